@@ -104,7 +104,8 @@ def _shift_sql(c: str) -> str:
 
 
 def _precision_sql(deviation: str, centre: str) -> str:
-    return f"greatest(0.0, 1 - {deviation} / nullif(abs({centre}), 0.0))"
+    """A centre of 0 has no precision; greatest() alone would turn its NULL into 0."""
+    return f"CASE WHEN {centre} <> 0 THEN greatest(0.0, 1 - {deviation} / abs({centre})) END"
 
 
 def _precision_value_sql(key_set, c):
