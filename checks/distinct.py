@@ -73,10 +73,11 @@ def distinctness_incremental(spark, sf_dir):
 @query("distinct_values_new", union([f"""
 SELECT DISTINCT '{c}' AS attribute, CAST({c} AS VARCHAR) AS value FROM events
 WHERE ts >= TIMESTAMP '{SPLIT}' AND {c} NOT IN (SELECT {c} FROM events WHERE ts < TIMESTAMP '{SPLIT}')"""
-                                     for c in VALUE_COLUMNS]))
+                                     for c in VALUE_COLUMNS + ["value"]]))
 def values_new_in_second_half(spark, sf_dir):
     first, second = _halves(spark, sf_dir)
-    return new_values(second, VALUE_COLUMNS, distinct_values(first, VALUE_COLUMNS))
+    columns = VALUE_COLUMNS + ["value"]
+    return new_values(second, columns, distinct_values(first, columns))
 
 
 @query("population_attribute", union([f"""

@@ -13,8 +13,9 @@ from pyspark.sql import types as T
 MISSING_MARKERS = ("", "null", "nan")
 DIGITS_ONLY_PATTERN = r"^\d+?(\.|\,)?\d+?$"
 
-# Texts the JVM would read as numbers though they are none: type suffixes and hexadecimal floats.
-_JVM_ONLY_NUMBER = r"(?i)[0-9.][df]\s*$|x"
+# Shape of a number text. The JVM reads more than that (type suffixes, hexadecimal floats), and fails
+# with an exception per cell on what is not a number at all.
+NUMBER_PATTERN = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
 
 NULL_TEXT = "null"
 KEY_SEPARATOR = ","
@@ -60,8 +61,8 @@ def all_filled(names: Iterable[str]) -> Column:
 
 def text_to_number(column: Column) -> Column:
     """Number in a text, with decimal comma or point; NULL if there is none."""
-    dotted = F.regexp_replace(column, ",", ".")
-    return F.when(~dotted.rlike(_JVM_ONLY_NUMBER), dotted.try_cast("double"))
+    dotted = F.translate(column, ",", ".")
+    return F.when(dotted.rlike(NUMBER_PATTERN), dotted.try_cast("double"))
 
 
 def number(df: DataFrame, name: str, digits_only: bool = False) -> Column:

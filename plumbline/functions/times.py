@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,23 +11,23 @@ from pyspark.sql import types as T
 
 from .cells import cell, dtype, is_text
 
-# Strptime directives and the Spark pattern letters with the same meaning.
-# The second form reads one digit as well as two, as strptime does; it is only safe where the
-# next character of the format is not a digit itself.
+# Strptime directives, the Spark pattern letters with the same meaning, and the texts they read.
+# The second pair reads one digit as well as two, as strptime does; it is only safe where the next character
+# of the format is not a digit itself.
 DIRECTIVES = {
-    "d": ("dd", "d"),
-    "m": ("MM", "M"),
-    "y": ("yy", "yy"),
-    "Y": ("yyyy", "yyyy"),
-    "H": ("HH", "H"),
-    "I": ("hh", "h"),
-    "M": ("mm", "m"),
-    "S": ("ss", "s"),
-    "f": ("SSSSSS", "SSSSSS"),
-    "j": ("DDD", "D"),
-    "b": ("MMM", "MMM"),
-    "B": ("MMMM", "MMMM"),
-    "p": ("a", "a"),
+    "d": (("dd", r"\d{2}"), ("d", r"\d{1,2}")),
+    "m": (("MM", r"\d{2}"), ("M", r"\d{1,2}")),
+    "y": (("yy", r"\d{2}"), ("yy", r"\d{2}")),
+    "Y": (("yyyy", r"\d{4}"), ("yyyy", r"\d{4}")),
+    "H": (("HH", r"\d{2}"), ("H", r"\d{1,2}")),
+    "I": (("hh", r"\d{2}"), ("h", r"\d{1,2}")),
+    "M": (("mm", r"\d{2}"), ("m", r"\d{1,2}")),
+    "S": (("ss", r"\d{2}"), ("s", r"\d{1,2}")),
+    "f": (("SSSSSS", r"\d{1,6}"), ("SSSSSS", r"\d{1,6}")),
+    "j": (("DDD", r"\d{3}"), ("D", r"\d{1,3}")),
+    "b": (("MMM", r"[A-Za-z]+"), ("MMM", r"[A-Za-z]+")),
+    "B": (("MMMM", r"[A-Za-z]+"), ("MMMM", r"[A-Za-z]+")),
+    "p": (("a", r"[AaPp][Mm]"), ("a", r"[AaPp][Mm]")),
 }
 
 # Format of the ends of a time range, default validity of a source in hours,
@@ -38,8 +39,8 @@ CENTURY_PIVOT = 69
 SECONDS_PER_HOUR = 3600.0
 
 
-def spark_pattern(time_format: str) -> str:
-    """Translate a strptime format to a Spark datetime pattern."""
+def translate(time_format: str) -> tuple[str, str]:
+    """A strptime format as a Spark datetime pattern, and a regular expression for the shape of its texts."""
     parts: list[tuple[bool, str]] = []          # (is directive, letter or literal)
     chars = iter(time_format)
     for char in chars:
@@ -54,28 +55,42 @@ def spark_pattern(time_format: str) -> str:
         else:
             raise ValueError(f"time format {time_format!r}: directive '%{letter}' is not supported; "
                              f"known: {', '.join('%' + d for d in DIRECTIVES)}")
-    pattern = ""
-    for index, (is_directive, part) in enumerate(parts):
-        if is_directive:
+    pattern = shape = literal = ""
+    for index, (is_directive, part) in enumerate([*parts, (True, "")]):
+        if not is_directive:
+            literal, shape = literal + part, shape + re.escape(part)
+            continue
+        if literal:
+            plain = not re.search(r"[A-Za-z'\[\]{}#]", literal)
+            pattern += literal if plain else "'" + literal.replace("'", "''") + "'"
+            literal = ""
+        if part:
             neighbours = parts[max(index - 1, 0):index] + parts[index + 1:index + 2]
             packed = any(d or p.isdigit() for d, p in neighbours)
-            pattern += DIRECTIVES[part][0 if packed else 1]
-        elif part == "'":
-            pattern += "''"
-        elif part.isalpha():
-            pattern += f"'{part}'"
-        else:
-            pattern += part
-    return pattern
+            letters, texts = DIRECTIVES[part][0 if packed else 1]
+            pattern, shape = pattern + letters, shape + texts
+    return pattern, f"^{shape}$"
+
+
+def spark_pattern(time_format: str) -> str:
+    return translate(time_format)[0]
 
 
 def parse_time(column: Column, time_format: str) -> Column:
-    """Timestamp in a text, NULL if it does not follow the format."""
-    parsed = F.try_to_timestamp(column, F.lit(spark_pattern(time_format)))
-    if "%y" in time_format.replace("%%", ""):
+    """Timestamp in a text, NULL if it does not follow the format.
+
+    The shape is looked at first: a text the parser has to give up on costs an exception per cell.
+    """
+    pattern, shape = translate(time_format)
+    parsed = F.when(column.rlike(shape), F.try_to_timestamp(column, F.lit(pattern)))
+    directives = time_format.replace("%%", "")
+    if "%y" in directives:
         # Two-digit years from the pivot on belong to the 1900s.
         parsed = F.when(F.year(parsed) >= 2000 + CENTURY_PIVOT,
                         parsed - F.make_ym_interval(F.lit(100))).otherwise(parsed)
+    elif "%Y" not in directives:
+        # Without a year strptime takes 1900 and Spark 1970.
+        parsed = parsed - F.make_ym_interval(F.lit(70))
     return parsed
 
 

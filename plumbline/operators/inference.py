@@ -58,43 +58,76 @@ def declared_kind(data_type: T.DataType) -> str | None:
     return STRING
 
 
-def inference_counts(df: DataFrame, columns: Sequence[str], time_formats: Sequence[str]) -> DataFrame:
-    """One row: for each text column its filled cells, and how many read as number and by each format."""
-    counters: list[Column] = []
-    for i, name in enumerate(columns):
-        filled = F.when(~is_missing(df, name), cell(name))
-        counters.append(F.count(filled).alias(f"filled_{i}"))
-        counters.append(F.count(text_to_number(filled)).alias(f"number_{i}"))
-        counters.extend(F.count(parse_time(filled, f)).alias(f"time_{i}_{j}") for j, f in enumerate(time_formats))
-    return df.agg(*counters)
+Candidates = Mapping[str, Sequence[str]]
 
 
-def inferred_types(df: DataFrame, columns: Sequence[str], time_formats: Sequence[str]) -> DataFrame:
-    """``column, type, format`` of text columns: number, else the first format all cells follow, else string.
+def all_candidates(columns: Sequence[str], time_formats: Sequence[str]) -> dict[str, list[str]]:
+    """Types to try per column, in order of preference: ``float``, then the time formats."""
+    return {c: [FLOAT, *time_formats] for c in columns}
 
-    Missing cells do not count; a column without a filled cell is a string. One aggregation for all columns.
+
+def _order(candidates: Candidates) -> list[str]:
+    """All candidates of any column, each in its place of preference."""
+    return list(dict.fromkeys(c for tried in candidates.values() for c in tried))
+
+
+def candidate_counts(df: DataFrame, candidates: Candidates) -> DataFrame:
+    """Per text column its ``filled`` cells, and in ``read_<n>`` how many of them read as candidate ``n``.
+
+    One scan turns the cells into (column, cell) pairs, which are counted per column where they are read. So
+    each candidate is one expression however many columns there are, and the generated code stays small.
+    """
+    pairs = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.when(~is_missing(df, c), cell(c)).alias("value")) for c in candidates])))
+    counters = []
+    for n, candidate in enumerate(_order(candidates)):
+        tried_on = [c for c, tried in candidates.items() if candidate in tried]
+        value = F.when(F.col("column").isin(tried_on), F.col("value"))
+        read = text_to_number(value) if candidate == FLOAT else parse_time(value, candidate)
+        counters.append(F.count(read).alias(f"read_{n}"))
+    return pairs.groupBy("column").agg(F.count("value").alias("filled"), *counters)
+
+
+def inferred_types(df: DataFrame, candidates: Candidates) -> DataFrame:
+    """``column, type, format`` of text columns: the first candidate that reads all filled cells, else string.
+
+    Missing cells do not count; a column without a filled cell is a string.
+    """
+    kind = F.when(F.col("filled") == 0, _type(STRING))
+    for n, candidate in enumerate(_order(candidates)):
+        found = _type(FLOAT) if candidate == FLOAT else _type(DATETIME, candidate)
+        kind = kind.when(F.col(f"read_{n}") == F.col("filled"), found)
+    kind = kind.otherwise(_type(STRING))
+    return candidate_counts(df, candidates).select("column", kind["type"].alias("type"), kind["format"].alias("format"))
+
+
+def _type(kind: str, time_format: str | None = None) -> Column:
+    return F.struct(F.lit(kind).alias("type"), F.lit(time_format).cast("string").alias("format"))
+
+
+def not_refuted(df: DataFrame, candidates: Candidates, rows: int) -> dict[str, list[str]]:
+    """Candidates that the first rows do not already refute. One unreadable cell is proof, so this loses nothing."""
+    left = {c: list(tried) for c, tried in candidates.items()}
+    for counts in candidate_counts(df.limit(rows), candidates).collect():       # one row per column
+        left[counts["column"]] = [c for n, c in enumerate(_order(candidates)) if counts[f"read_{n}"] == counts["filled"]
+                                  and c in candidates[counts["column"]]]
+    return left
+
+
+def infer_types(df: DataFrame, time_formats: Sequence[str] = (), probe_rows: int = 1000) -> ColumnTypes:
+    """Types of all columns: declared ones from the schema, texts from their whole content.
+
+    A look at the first rows drops most candidates, so that the pass over the data only tries those left.
     """
-    entries = []
-    for i, name in enumerate(columns):
-        filled = F.col(f"filled_{i}")
-        kind = F.when((filled > 0) & (F.col(f"number_{i}") == filled), F.struct(
-            F.lit(FLOAT).alias("type"), F.lit(None).cast("string").alias("format")))
-        for j, time_format in enumerate(time_formats):
-            kind = kind.when((filled > 0) & (F.col(f"time_{i}_{j}") == filled), F.struct(
-                F.lit(DATETIME).alias("type"), F.lit(time_format).alias("format")))
-        kind = kind.otherwise(F.struct(F.lit(STRING).alias("type"), F.lit(None).cast("string").alias("format")))
-        entries.append(F.struct(F.lit(name).alias("column"), kind["type"].alias("type"),
-                                kind["format"].alias("format")))
-    return inference_counts(df, columns, time_formats).select(F.inline(F.array(*entries)))
-
-
-def infer_types(df: DataFrame, time_formats: Sequence[str] = ()) -> ColumnTypes:
-    """Types of all columns: declared ones from the schema, texts from their content."""
     kinds = {f.name: declared_kind(f.dataType) for f in df.schema.fields}
     texts = [c for c, k in kinds.items() if k is None]
     formats = {}
     if texts:
-        for row in inferred_types(df, texts, time_formats).collect():       # one row per column
+        kinds |= {c: STRING for c in texts}
+        left = {c: tried for c, tried in not_refuted(df, all_candidates(texts, time_formats), probe_rows).items()
+                if tried}
+        found = inferred_types(df, left).collect() if left else []              # one row per column
+        for row in found:
             kinds[row["column"]] = row["type"]
             if row["format"]:
                 formats[row["column"]] = row["format"]

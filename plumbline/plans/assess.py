@@ -66,6 +66,9 @@ def assess_frame(source: DataFrame, types: ColumnTypes, spec: AssessmentSpec, as
     global_frames: list[DataFrame] = []
     if any(d in spec.dimensions for d in SUMMARISED):
         summary = stage(plan.summary(), staging, "summary")
+        if whole(summary).isEmpty():
+            # No row was selected. Grouping sets leave out even the whole table then, a plain aggregate does not.
+            summary = stage(plan.summary(keyed=False), staging, "empty_summary")
         tables |= plan.summary_tables(summary)
         metrics = plan.summary_globals()
         if metrics:
@@ -109,11 +112,11 @@ class _Plan:
     def _columns(self, dimension: str) -> list[str]:
         return [c for c in self.types.columns_for(dimension) if c in self.spec.columns]
 
-    def summary(self) -> DataFrame:
+    def summary(self, keyed: bool = True) -> DataFrame:
         spec = self.spec
         measures = [m for d, m in (("Accuracy", self.accuracy), ("Precision", self.precision),
                                    ("Timeliness", self.timeliness)) if d in spec.dimensions]
-        per_key = any(spec.asks(d, ATTRIBUTE, VALUE) for d in SUMMARISED)
+        per_key = keyed and any(spec.asks(d, ATTRIBUTE, VALUE) for d in SUMMARISED)
         key_sets = self.key_sets if per_key else []
         if "Completeness_Missing" in spec.dimensions:
             # Rows with a missing cell count for completeness only: they stay, and the measures skip them.

@@ -49,7 +49,7 @@ class TextLayout:
 
 def clean_line(line: Column) -> Column:
     """Without double quotes and backslashes, decimal commas as points."""
-    cleaned = F.regexp_replace(F.regexp_replace(line, '"', ""), r"\\", "")
+    cleaned = F.translate(line, '"\\', "")
     return F.regexp_replace(cleaned, r"(\d+),(\d+)", "$1.$2")
 
 

@@ -74,7 +74,7 @@ class SourceState:
 
     def correct_batches(self, requested: Sequence[str] | None = None) -> DataFrame:
         """Names of correctly analysed batches, of all or of the requested ones."""
-        names = self.ledger().filter("correctAnalysis = 1").select(F.col("fileName").alias("batch")).distinct()
+        names = self.ledger().filter("correctAnalysis = 1").select(F.col("fileName").alias("batch"))
         return names if requested is None else names.filter(F.col("batch").isin(list(requested)))
 
     def is_analysed(self, batch: str) -> bool:
