@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.operators.inference import (ColumnTypes, DIMENSIONS, all_candidates, dimension_columns,
-                                           infer_types, inferred_types)
+from plumbline.operators.inference import (ColumnTypes, DIMENSIONS, dimension_columns, infer_types,
+                                           type_table)
 from plumbline.operators.selection import Range, drop_incomplete, sample_rows, select_rows
 from plumbline.sources.readers import TextLayout, clean_line, split_cells
 
@@ -114,7 +114,7 @@ kinds AS ({union([f'''SELECT '{c}' AS "column", CASE
 SELECT "column", CASE WHEN kind IN ('float', 'string') THEN kind ELSE 'datetime' END AS type,
        CASE WHEN kind IN ('float', 'string') THEN NULL ELSE kind END AS format FROM kinds""")
 def types_of_texts(spark, sf_dir):
-    return inferred_types(_texts(spark, sf_dir), all_candidates(TEXTS, FORMATS))
+    return type_table(_texts(spark, sf_dir), TEXTS, FORMATS)
 
 
 ALLOWED_SQL = {"Completeness_Missing": "float string datetime", "Completeness_Frequency": "datetime",

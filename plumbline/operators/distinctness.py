@@ -82,11 +82,11 @@ def distinctness_update(rows: DataFrame, columns: Sequence[str], added: DataFram
     ``rows`` is one row with the batch's ``rows``, ``added`` the values new to the source and ``previous``
     the state before the batch, empty for the first one.
     """
-    attributes = rows.select("rows", F.explode(F.array(*[F.lit(c) for c in columns])).alias("Attribute"))
-    fresh = added.groupBy(F.col("attribute").alias("Attribute")).agg(F.count(F.lit(1)).alias("fresh"))
-    before = previous.select("Attribute", F.col("Count").alias("before"), F.col("TotalRows").alias("rows_before"))
-    count = F.coalesce("before", F.lit(0)) + F.coalesce("fresh", F.lit(0))
-    total = F.coalesce("rows_before", F.lit(0)) + F.col("rows")
-    return (attributes.join(fresh, "Attribute", "left").join(before, "Attribute", "left")
-            .select("Attribute", count.alias("Count"), total.alias("TotalRows"),
-                    ratio(count, total).alias("DistinctnessValue")))
+    batch = rows.select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("Attribute"),
+                        F.lit(0).cast("long").alias("Count"), F.col("rows").alias("TotalRows"))
+    fresh = added.select(F.col("attribute").alias("Attribute"), F.lit(1).cast("long").alias("Count"),
+                         F.lit(0).cast("long").alias("TotalRows"))
+    before = previous.select("Attribute", "Count", "TotalRows")
+    return (before.unionByName(fresh).unionByName(batch).groupBy("Attribute")
+            .agg(F.sum("Count").alias("Count"), F.sum("TotalRows").alias("TotalRows"))
+            .withColumn("DistinctnessValue", ratio(F.col("Count"), F.col("TotalRows"))))

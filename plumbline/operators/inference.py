@@ -114,20 +114,22 @@ def not_refuted(df: DataFrame, candidates: Candidates, rows: int) -> dict[str, l
     return left
 
 
-def infer_types(df: DataFrame, time_formats: Sequence[str] = (), probe_rows: int = 1000) -> ColumnTypes:
-    """Types of all columns: declared ones from the schema, texts from their whole content.
+def type_table(df: DataFrame, columns: Sequence[str], time_formats: Sequence[str], probe_rows: int = 1000) -> DataFrame:
+    """``column, type, format`` of text columns from their whole content.
 
     A look at the first rows drops most candidates, so that the pass over the data only tries those left.
     """
+    return inferred_types(df, not_refuted(df, all_candidates(columns, time_formats), probe_rows))
+
+
+def infer_types(df: DataFrame, time_formats: Sequence[str] = (), probe_rows: int = 1000) -> ColumnTypes:
+    """Types of all columns: declared ones from the schema, texts from their content."""
     kinds = {f.name: declared_kind(f.dataType) for f in df.schema.fields}
     texts = [c for c, k in kinds.items() if k is None]
+    kinds |= {c: STRING for c in texts}
     formats = {}
     if texts:
-        kinds |= {c: STRING for c in texts}
-        left = {c: tried for c, tried in not_refuted(df, all_candidates(texts, time_formats), probe_rows).items()
-                if tried}
-        found = inferred_types(df, left).collect() if left else []              # one row per column
-        for row in found:
+        for row in type_table(df, texts, time_formats, probe_rows).collect():       # one row per column
             kinds[row["column"]] = row["type"]
             if row["format"]:
                 formats[row["column"]] = row["format"]

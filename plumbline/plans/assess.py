@@ -26,6 +26,7 @@ from ..operators.timeliness import Timeliness, Validity, timeliness_row
 from ..operators.volume import volume_global, volume_value
 from ..sources.state import SourceState, read_bindings, write_table
 from ..spec import ATTRIBUTE, GLOBAL, TUPLE, VALUE, AssessmentSpec
+from .combine import named, side_by_side
 from .staging import stage, staging_folder
 from .summary import summarise, whole
 
@@ -72,24 +73,21 @@ def assess_frame(source: DataFrame, types: ColumnTypes, spec: AssessmentSpec, as
         tables |= plan.summary_tables(summary)
         metrics = plan.summary_globals()
         if metrics:
-            global_frames.append(whole(summary).select(*[c.alias(n) for n, c in metrics.items()]))
+            global_frames.append(whole(summary).select(*named(metrics)))
     tables |= plan.consistency_tables(staging)
     frequency_tables, frequency_globals = plan.frequency_tables(staging)
     tables |= frequency_tables
     global_frames += frequency_globals
     if spec.asks("Distinctness", GLOBAL):
         global_frames.append(distinctness_global(plan.filled, spec.columns, spec.digest_rows))
-    tables["final_quality"] = _one_row(global_frames, spec.sample, source.sparkSession)
+    tables["final_quality"] = _final_quality(global_frames, spec.sample, source.sparkSession)
     return tables
 
 
-def _one_row(frames: Sequence[DataFrame], confidence: float, spark: SparkSession) -> DataFrame:
-    """One-row frames side by side; each metric comes from the same rows, so the confidences' mean is one of them."""
-    keyed = [f.withColumn("__row", F.lit(1)) for f in frames]
-    if not keyed:
-        return spark.range(1).select(F.lit(float(confidence)).alias("Confidence"))
-    return (reduce(lambda a, b: a.join(b, "__row"), keyed).drop("__row")
-            .withColumn("Confidence", F.lit(float(confidence))))
+def _final_quality(frames: Sequence[DataFrame], confidence: float, spark: SparkSession) -> DataFrame:
+    """All whole-table metrics as one row. They come from the same rows, so their mean confidence is that of each."""
+    row = side_by_side(frames) if frames else spark.range(1).select()
+    return row.withColumn("Confidence", F.lit(float(confidence)))
 
 
 class _Plan:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.cells import cell
 from ..functions.scores import at_least_zero, ratio
 from ..functions.times import SECONDS_PER_HOUR, seconds_between
+from .combine import old_and_new
 
 ROWS = "Volume_TotalRows"
 UPDATES = "UpdatesCount"
@@ -140,8 +141,6 @@ def merge_quality(stored: DataFrame | None, batch: DataFrame, rules: Mapping[str
     if stored is None:
         return batch.select("source", F.lit(1).cast("long").alias(UPDATES), ROWS, *[cell(n) for n in rules])
     names = [c for c in stored.columns if c != "source"]
-    old = stored.select("source", *[cell(c).alias(f"old_{c}") for c in names])
-    new = batch.select("source", *[cell(c).alias(f"new_{c}") for c in batch.columns if c != "source"])
     pair = Pair(frozenset(names), as_of)
     types = {f.name: f.dataType for f in batch.schema.fields}
 
@@ -151,6 +150,6 @@ def merge_quality(stored: DataFrame | None, batch: DataFrame, rules: Mapping[str
 
     # A metric that is no longer measured keeps its stored value.
     kept = [pair.old(n).alias(n) for n in names if n not in rules and n not in (UPDATES, ROWS)]
-    return old.join(new, "source").select(
+    return old_and_new(stored, batch, "source").select(
         "source", (pair.old(UPDATES) + 1).alias(UPDATES), (pair.old_rows + pair.new_rows).alias(ROWS),
         *[merged(n, r) for n, r in rules.items()], *kept)

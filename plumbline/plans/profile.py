@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +21,7 @@ from ..operators.timeliness import RowTimeliness, Validity, timeliness_row
 from ..sources.readers import batch_name, read_batch
 from ..sources.state import SourceMetadata, SourceState, read_bindings
 from ..spec import ProfileSpec
+from .combine import named, side_by_side
 from .merge import (ROWS, MergeRule, distinctness_rules, merge_quality, precision_rules, timeliness_rules, weighted)
 from .summary import summarise, whole
 
@@ -57,7 +57,7 @@ def batch_metrics(df: DataFrame, types: ColumnTypes, volatility_hours: float, as
                **timeliness.profile_metrics()}
     merge: dict[str, MergeRule] = {"Completeness_Missing": weighted, **precision_rules(precision.columns),
                                    **timeliness_rules(types.columns_for("Timeliness"), volatility_hours)}
-    frames = [whole(summary).select(F.lit(source).alias("source"), *[c.alias(n) for n, c in metrics.items()])]
+    frames = [whole(summary).select(F.lit(source).alias("source"), *named(metrics))]
 
     for column, rates in (hourly_rates or {}).items():
         hours = frequency_hour(df, column, rates, types.formats.get(column), per_day=False)
@@ -70,7 +70,7 @@ def batch_metrics(df: DataFrame, types: ColumnTypes, volatility_hours: float, as
                          F.col("ConsistencyValue"))).alias(f"Consistency_{r.left}_{r.right}")
             for r in rules]).withColumn("source", F.lit(source)))
         merge |= {f"Consistency_{r.left}_{r.right}": weighted for r in rules}
-    return reduce(lambda a, b: a.join(b, "source"), frames), merge
+    return side_by_side(frames, "source"), merge
 
 
 def distinctness_metrics(update: DataFrame, columns: Sequence[str], source: str = "source") -> DataFrame:
@@ -110,7 +110,8 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
     bindings = read_bindings(spark, metadata.binding_paths)
 
     # The scored rows are written first: everything else reads their columns instead of the raw batch.
-    state.write_extended(extend_rows(batch.select(*map(cell, metadata.columns)), types, volatility, now, bindings), name)
+    own = batch.select(*[cell(f.name).cast(f.dataType).alias(f.name) for f in metadata.schema.fields])
+    state.write_extended(extend_rows(own, types, volatility, now, bindings), name)
     rows = state.extended_batch(metadata, name).select(*map(cell, metadata.columns))
 
     rates = {c: r for c in types.columns_for("Timeliness") if (r := state.hourly_rates(c)) is not None}
@@ -120,11 +121,12 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
     distinct_columns = types.columns_for("Distinctness")
     if distinct_columns:
         added = new_values(rows, distinct_columns, state.distinct_values(version - 1))
-        state.write_version(added, "source_distinct_values", version, ["attribute"])
+        state.write_version(added, "source_distinct_values", version)
         update = distinctness_update(rows.agg(F.count(F.lit(1)).alias("rows")), distinct_columns,
                                      state.added_values(version), state.source_distinctness(version - 1))
         state.write_version(update, "source_distinctness", version)
-        metrics = metrics.join(distinctness_metrics(state.source_distinctness(version), distinct_columns), "source")
+        metrics = side_by_side([metrics, distinctness_metrics(state.source_distinctness(version), distinct_columns)],
+                               "source")
         merge |= distinctness_rules(distinct_columns)
 
     stored = state.source_quality(version - 1) if version > 1 else None
@@ -140,5 +142,5 @@ def profile_files(spark: SparkSession, paths: Sequence[str], spec: ProfileSpec,
     if state.is_analysed(name):
         return False
     metadata = state.metadata()
-    batch = read_batch(spark, paths, spec.file_format, spec.layout, metadata.columns if metadata else None)
+    batch = read_batch(spark, paths, spec.file_format, spec.layout, metadata.columns if metadata else spec.columns)
     return profile_batch(spark, batch, name, spec, as_of)

@@ -90,9 +90,9 @@ class SourceState:
 
     # Tables of a version
 
-    def write_version(self, df: DataFrame, table: str, version: int, partition_by: Sequence[str] = ()) -> str:
+    def write_version(self, df: DataFrame, table: str, version: int) -> str:
         path = self.path(table, f"version={version}")
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        df.write.mode("overwrite").parquet(path)
         return path
 
     def read_version(self, table: str, version: int, schema: str | T.StructType | None = None) -> DataFrame | None:

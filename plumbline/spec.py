@@ -31,7 +31,10 @@ REFRESH_SUFFIX = "-R"           # of Consistency: score the rows again even with
 
 @dataclass(frozen=True)
 class ProfileSpec:
-    """One source: where its state lives and how its batches read."""
+    """One source: where its state lives and how its batches read.
+
+    ``columns`` names the fields of JSON batches; without it the first batch is read once more to find them.
+    """
 
     result_folder: str
     volatility_hours: float = DEFAULT_VOLATILITY_HOURS
@@ -39,6 +42,7 @@ class ProfileSpec:
     binding_paths: tuple[str, ...] = ()
     file_format: str = "json"
     layout: TextLayout | None = None
+    columns: tuple[str, ...] | None = None
     digits_only: bool = False
 
 

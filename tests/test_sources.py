@@ -87,7 +87,7 @@ def test_ledger_and_second_batch(spark, tmp_path, trips):
     second = write_lines(tmp_path / "in" / "doc2.txt", more)
     # A killed run of the same version left values behind; they are not seen, and overwritten.
     state.write_version(spark.createDataFrame([("CODLINHA", "left behind")], "attribute string, value string"),
-                        "source_distinct_values", 2, ["attribute"])
+                        "source_distinct_values", 2)
     assert state.distinct_values(1).filter("value = 'left behind'").isEmpty()
     assert profile_files(spark, [second], spec, "2018-05-03 14:42:17.844840")
     state = SourceState(spark, spec.result_folder)
