@@ -71,8 +71,15 @@ def distinct_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def new_values(df: DataFrame, columns: Sequence[str], stored: DataFrame) -> DataFrame:
-    """The distinct values of a batch that the source has not shown before."""
-    return distinct_values(df, columns).join(stored, ["attribute", "value"], "left_anti")
+    """The distinct values of a batch that the source has not shown before.
+
+    The stored values the batch repeats are found first. In that join the batch is the side to build from, so
+    a long history is only scanned when the batch's values are few enough to broadcast, and can be thinned out
+    by a run-time filter when they are not; against the history itself it would be shuffled for every batch.
+    """
+    current = distinct_values(df, columns)
+    repeated = stored.join(current, ["attribute", "value"], "left_semi")
+    return current.join(repeated, ["attribute", "value"], "left_anti")
 
 
 def distinctness_update(rows: DataFrame, columns: Sequence[str], added: DataFrame,

@@ -121,7 +121,7 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
     distinct_columns = types.columns_for("Distinctness")
     if distinct_columns:
         added = new_values(rows, distinct_columns, state.distinct_values(version - 1))
-        state.write_version(added, "source_distinct_values", version)
+        state.write_values(added, version)
         update = distinctness_update(rows.agg(F.count(F.lit(1)).alias("rows")), distinct_columns,
                                      state.added_values(version), state.source_distinctness(version - 1))
         state.write_version(update, "source_distinctness", version)

@@ -56,12 +56,16 @@ class SourceMetadata:
         return self.schema.fieldNames()
 
 
+SNAPSHOT_EVERY = 64             # versions between full copies of the distinct values
+
+
 class SourceState:
     """Tables below ``root``; ``version`` is that of the last batch that was analysed correctly."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, snapshot_every: int = SNAPSHOT_EVERY):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.snapshot_every = snapshot_every
 
     def path(self, *parts: str) -> str:
         return "/".join((self.root, *parts))
@@ -106,12 +110,25 @@ class SourceState:
         return found if found is not None else self.spark.createDataFrame([], DISTINCTNESS_SCHEMA)
 
     def distinct_values(self, version: int) -> DataFrame:
-        """Distinct values up to a version. Each version holds only those it was the first to show."""
-        found = (read_or_none(self.spark, self.path("source_distinct_values"), VALUES_SCHEMA + ", version int",
-                              "parquet") if version else None)
+        """Distinct values up to a version: the last full copy and what each version since was the first to show."""
+        empty = self.spark.createDataFrame([], VALUES_SCHEMA)
+        if version == 0:
+            return empty
+        base = version - version % self.snapshot_every
+        snapshot = self.read_version("source_distinct_snapshots", base, VALUES_SCHEMA) if base else None
+        since = base if snapshot is not None else 0
+        found = read_or_none(self.spark, self.path("source_distinct_values"), VALUES_SCHEMA + ", version int", "parquet")
         if found is None:
-            return self.spark.createDataFrame([], VALUES_SCHEMA)
-        return found.filter(F.col("version") <= version).select("attribute", "value")
+            return empty
+        later = found.filter(F.col("version").between(since + 1, version)).select("attribute", "value")
+        return later if snapshot is None else snapshot.unionByName(later)
+
+    def write_values(self, added: DataFrame, version: int) -> None:
+        """Store the values a version shows first, and from time to time all of them, to keep reading them cheap."""
+        self.write_version(added, "source_distinct_values", version)
+        if version % self.snapshot_every == 0:
+            before = self.distinct_values(version - 1)
+            self.write_version(before.unionByName(self.added_values(version)), "source_distinct_snapshots", version)
 
     def added_values(self, version: int) -> DataFrame:
         """Distinct values a version was the first to show, committed or not."""

@@ -1,0 +1,27 @@
+"""Every registered query against its SQL, and the driver's contract."""
+
+import pytest
+from check import connection, differences
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connection(SF)
+
+
+@pytest.mark.parametrize("name", queries())
+def test_query(spark, con, name):
+    got = queries()[name](spark, SF).toPandas()
+    if name in oracle_sql():
+        assert differences(got, con.execute(oracle_sql()[name]).df()) == ""
+    else:
+        assert len(got) > 0
+
+
+def test_contract(spark):
+    assert set(oracle_sql()) <= set(queries()) and set(queries()) - set(oracle_sql()) == {"sample_confidence"}
+    assert entry(spark).count() == 1

@@ -105,6 +105,20 @@ def test_ledger_and_second_batch(spark, tmp_path, trips):
     assert sorted(r["batch"] for r in state.correct_batches().collect()) == ["doc1-2017050215", "doc2"]
 
 
+def test_snapshots_of_distinct_values(spark, tmp_path):
+    state = SourceState(spark, str(tmp_path), snapshot_every=2)
+    schema = "attribute string, value string"
+    for version in range(1, 6):
+        state.write_values(spark.createDataFrame([("a", str(version))], schema), version)
+    assert sorted(p.name for p in (tmp_path / "source_distinct_snapshots").iterdir() if "=" in p.name) == [
+        "version=2", "version=4"]
+    for version in range(6):
+        expected = [str(v) for v in range(1, version + 1)]
+        assert sorted(r["value"] for r in state.distinct_values(version).collect()) == expected
+        # Without snapshots the same values come from the versions alone.
+        assert sorted(r["value"] for r in SourceState(spark, str(tmp_path), 7).distinct_values(version).collect()) == expected
+
+
 def test_failed_batch_is_recorded_and_can_run_again(spark, tmp_path):
     spec = ProfileSpec(str(tmp_path / "result"), 10.0, ("%Q",))
     batch = spark.createDataFrame([("x",)], "a string")
