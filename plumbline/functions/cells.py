@@ -79,6 +79,11 @@ def as_text(name: str) -> Column:
     return F.coalesce(cell(name).cast("string"), F.lit(NULL_TEXT))
 
 
+def key_cell(df: DataFrame, name: str) -> Column:
+    """The cell as a grouping key: in a text column NULL and the text ``null`` are one key."""
+    return F.coalesce(cell(name), F.lit(NULL_TEXT)) if is_text(dtype(df, name)) else cell(name)
+
+
 def key_text(names: Sequence[str]) -> Column:
     """The values of a key set as one text, in the order the key set names them."""
     return F.concat_ws(KEY_SEPARATOR, *[as_text(n) for n in names])

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import as_text, cell, key_text
+from ..functions.cells import as_text, cell, key_cell, key_text
 from ..functions.scores import ratio
 from ..plans.lookup import flag_known
 from ..plans.summary import count_sets, grouping_ids
@@ -67,7 +67,7 @@ def consistency_value(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     names = list(dict.fromkeys(c for r in rules for c in r.columns))
     position = {n: i for i, n in enumerate(names)}
     keys = [f"key_{i}" for i in range(len(names))]
-    rows = df.select(*[cell(n).alias(k) for n, k in zip(names, keys)])
+    rows = df.select(*[key_cell(df, n).alias(k) for n, k in zip(names, keys)])
     sets = list(dict.fromkeys(tuple(sorted(f"key_{position[c]}" for c in r.columns)) for r in rules))
     counted = count_sets(rows, sets, keys, [F.count(F.lit(1)).alias("pairs")])
     set_ids = dict(zip(sets, grouping_ids(sets, keys)))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import cell, key_set_name, key_text
+from ..functions.cells import key_cell, key_set_name, key_text
 from ..functions.scores import at_most_one, clamp01, ratio
 from ..functions.times import SECONDS_PER_HOUR, seconds_between, timestamp
 from ..plans.summary import KeySet, by_set, count_sets, distinct_key_sets, grouping_ids
@@ -50,7 +50,7 @@ def frequency_value(df: DataFrame, column: str, key_sets: Sequence[KeySet], rate
         raise ValueError("frequency per key needs a key set without the measured column")
     names = list(dict.fromkeys(c for k in sets for c in k))
     position = {n: i for i, n in enumerate(names)}
-    rows = (df.select(*[cell(n).alias(f"key_{i}") for i, n in enumerate(names)],
+    rows = (df.select(*[key_cell(df, n).alias(f"key_{i}") for i, n in enumerate(names)],
                       timestamp(df, column, time_format).alias("time")).filter("time IS NOT NULL")
             .withColumn("Hour", F.hour("time")))
     chosen = [[f"key_{position[c]}" for c in k] for k in sets]

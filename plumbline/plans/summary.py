@@ -15,7 +15,7 @@ from typing import Protocol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import all_filled, cell, is_missing, key_set_name, key_text
+from ..functions.cells import all_filled, is_missing, key_cell, key_set_name, key_text
 
 WHOLE_TABLE = ""                # key_set of the whole-table row
 SETS_PER_SCAN = 12              # Expand copies each row once per set; more sets take another scan
@@ -80,7 +80,7 @@ def summarise(df: DataFrame, measures: Sequence[Measure], key_sets: Sequence[Key
     columns: dict[str, Column] = {"filled_row": F.when(in_scope, F.lit(1))}
     for measure in measures:
         columns.update(measure.row_columns(df, in_scope))
-    rows = df.select(*[cell(n).alias(f"key_{i}") for i, n in enumerate(names)],
+    rows = df.select(*[key_cell(df, n).alias(f"key_{i}") for i, n in enumerate(names)],
                      *[column.alias(name) for name, column in columns.items()])
     position = {n: i for i, n in enumerate(names)}
     aggregates = [F.count(F.lit(1)).alias("rows"), F.count("filled_row").alias("rows_filled"),

@@ -10,7 +10,7 @@ from session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", 4)
+    session = local_session("tests", 2)
     yield session
     session.stop()
 
