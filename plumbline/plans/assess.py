@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -32,6 +33,7 @@ from .summary import summarise, whole
 
 log = logging.getLogger(__name__)
 
+CONCURRENT_WRITES = 4
 SUMMARISED = ("Volume", "Completeness_Missing", "Accuracy", "Precision", "Timeliness", "Distinctness",
               "Completeness_Population")
 
@@ -48,12 +50,15 @@ class Reference:
 
 
 def assess_frame(source: DataFrame, types: ColumnTypes, spec: AssessmentSpec, as_of: dt.datetime | str,
-                 staging: str, reference: Reference = Reference()) -> dict[str, DataFrame]:
+                 staging: str, reference: Reference = Reference(),
+                 errors: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """The metric tables of an assessment by name, except the rescored rows.
 
     One scan of the selected rows gives a staged summary that holds the groups of all key sets and the whole
     table; volume, completeness, accuracy, precision, timeliness, distinct keys and population are projections
     of it at every level. Whole-row distinctness, rules and frequency are one scan each, if asked for.
+
+    With ``errors`` a part that fails is noted there and the others go on; otherwise it raises.
     """
     now = instant(as_of)
     total = source.count()
@@ -62,28 +67,28 @@ def assess_frame(source: DataFrame, types: ColumnTypes, spec: AssessmentSpec, as
         # Written once, so that every scan below sees the same sample.
         selected = stage(sample_rows(selected, spec.sample, spec.seed), staging, "sample")
 
-    plan = _Plan(spec, types, reference, now, total, selected)
+    plan = _Plan(spec, types, reference, now, total, selected, staging)
     tables: dict[str, DataFrame] = {}
     global_frames: list[DataFrame] = []
-    if any(d in spec.dimensions for d in SUMMARISED):
-        summary = stage(plan.summary(), staging, "summary")
-        if whole(summary).isEmpty():
-            # No row was selected. Grouping sets leave out even the whole table then, a plain aggregate does not.
-            summary = stage(plan.summary(keyed=False), staging, "empty_summary")
-        tables |= plan.summary_tables(summary)
-        metrics = plan.summary_globals()
-        if metrics:
-            global_frames.append(whole(summary).select(*named(metrics)))
-    tables |= plan.consistency_tables(staging)
-    frequency_tables, frequency_globals = plan.frequency_tables(staging)
-    tables |= frequency_tables
-    global_frames += frequency_globals
-    if spec.asks("Distinctness", GLOBAL):
-        global_frames.append(distinctness_global(plan.filled, spec.columns, spec.digest_rows))
+    for name, part in (("summary", plan.summary_part), ("consistency", plan.consistency_part),
+                       ("frequency", plan.frequency_part), ("distinctness", plan.distinctness_part)):
+        try:
+            part_tables, part_globals = part()
+        except Exception as error:      # noqa: BLE001 - reported, the other parts go on
+            if errors is None:
+                raise
+            log.exception("%s failed", name)
+            errors[name] = str(error)
+            continue
+        tables |= part_tables
+        global_frames += part_globals
     tables["final_quality"] = _final_quality(global_frames, spec.sample, source.sparkSession)
     return tables
 
 
+Part = tuple[dict[str, DataFrame], list[DataFrame]]         # tables by name, and one-row frames of global metrics
+
+
 def _final_quality(frames: Sequence[DataFrame], confidence: float, spark: SparkSession) -> DataFrame:
     """All whole-table metrics as one row. They come from the same rows, so their mean confidence is that of each."""
     row = side_by_side(frames) if frames else spark.range(1).select()
@@ -94,8 +99,8 @@ class _Plan:
     """The tables of one assessment over its selected rows."""
 
     def __init__(self, spec: AssessmentSpec, types: ColumnTypes, reference: Reference, now: Column, total: int,
-                 selected: DataFrame):
-        self.spec, self.types, self.reference = spec, types, reference
+                 selected: DataFrame, staging: str):
+        self.spec, self.types, self.reference, self.staging = spec, types, reference, staging
         self.total, self.selected = total, selected
         self.filled = drop_incomplete(selected, spec.columns)
         # Grouping by a time is of no use; attribute completeness alone takes such keys.
@@ -110,6 +115,16 @@ class _Plan:
     def _columns(self, dimension: str) -> list[str]:
         return [c for c in self.types.columns_for(dimension) if c in self.spec.columns]
 
+    def summary_part(self) -> Part:
+        if not any(d in self.spec.dimensions for d in SUMMARISED):
+            return {}, []
+        summary = stage(self.summary(), self.staging, "summary")
+        if whole(summary).isEmpty():
+            # No row was selected. Grouping sets leave out even the whole table then, a plain aggregate does not.
+            summary = stage(self.summary(keyed=False), self.staging, "empty_summary")
+        metrics = self.summary_globals()
+        return self.summary_tables(summary), [whole(summary).select(*named(metrics))] if metrics else []
+
     def summary(self, keyed: bool = True) -> DataFrame:
         spec = self.spec
         measures = [m for d, m in (("Accuracy", self.accuracy), ("Precision", self.precision),
@@ -166,27 +181,33 @@ class _Plan:
                 summary, keys, self.reference.distinctness, sample)
         return tables
 
-    def consistency_tables(self, staging: str) -> dict[str, DataFrame]:
+    def distinctness_part(self) -> Part:
+        spec = self.spec
+        if not spec.asks("Distinctness", GLOBAL):
+            return {}, []
+        return {}, [distinctness_global(self.filled, spec.columns, spec.digest_rows)]
+
+    def consistency_part(self) -> Part:
         spec = self.spec
         rules = rule_set(self.reference.rules, spec.extra_rules, spec.columns) if spec.asks(
             "Consistency", ATTRIBUTE, VALUE) else []
         if not rules:
-            return {}
-        values = stage(consistency_value(self.filled, rules), staging, "consistency")
+            return {}, []
+        values = stage(consistency_value(self.filled, rules), self.staging, "consistency")
         tables = {}
         if spec.asks("Consistency", VALUE):
             tables["consistency_values"] = values.select("AntecedentValue", "Rule", "ConsistencyValue")
         if spec.asks("Consistency", ATTRIBUTE):
             tables["consistency_attributes_mean_per_rule"] = consistency_attribute(values, spec.sample)
-        return tables
+        return tables, []
 
-    def frequency_tables(self, staging: str) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    def frequency_part(self) -> Part:
         spec, sample = self.spec, self.spec.sample
         hours, values, global_frames = [], [], []
         for v in self.validities:
             hourly = self.reference.hourly_rates.get(v.column)
             if hourly is not None and spec.asks("Completeness_Frequency", GLOBAL):
-                table = stage(frequency_hour(self.filled, v.column, hourly, v.time_format, sample), staging,
+                table = stage(frequency_hour(self.filled, v.column, hourly, v.time_format, sample), self.staging,
                               f"hours_{len(hours)}")
                 hours.append(table.select(F.lit(v.column).alias("attribute"), *table.columns))
                 global_frames.append(frequency_global(table, v.column))
@@ -194,7 +215,7 @@ class _Plan:
             keys = [k for k in self.key_sets if v.column not in k]
             if by_value is not None and keys and spec.asks("Completeness_Frequency", ATTRIBUTE, VALUE):
                 values.append(stage(frequency_value(self.filled, v.column, keys, by_value, v.time_format, sample),
-                                    staging, f"frequency_{len(values)}"))
+                                    self.staging, f"frequency_{len(values)}"))
         tables = {}
         if hours:
             tables["completeness_frequency_global_hour"] = reduce(DataFrame.unionByName, hours)
@@ -273,12 +294,13 @@ def assess(spark: SparkSession, spec: AssessmentSpec, as_of: dt.datetime | str)
     extended = state.extended(metadata, state.correct_batches(spec.batches))
     staging = staging_folder(spark, result.folder + "/_staging")
     source = extended.select(*[cell(c) for c in spec.columns])
-    for name, table in assess_frame(source, types, spec, as_of, staging, reference).items():
-        _write(result, name, table, spec.file_format)
+    tables = assess_frame(source, types, spec, as_of, staging, reference, result.errors)
     if any(spec.asks(d, TUPLE) for d in spec.dimensions):
-        rescored = rescore_rows(extended, types, spec, as_of, read_bindings(spark, spec.binding_paths),
-                                metadata.binding_paths, metadata.volatility_hours)
-        _write(result, "extended_dataset", rescored, spec.file_format)
+        tables["extended_dataset"] = rescore_rows(extended, types, spec, as_of, read_bindings(spark, spec.binding_paths),
+                                                  metadata.binding_paths, metadata.volatility_hours)
+    # Most tables are small: a few jobs at a time keep the executors busy.
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        list(pool.map(lambda item: _write(result, *item, spec.file_format), tables.items()))
     return result
 
 

@@ -89,6 +89,8 @@ def test_ledger_and_second_batch(spark, tmp_path, trips):
     state.write_version(spark.createDataFrame([("CODLINHA", "left behind")], "attribute string, value string"),
                         "source_distinct_values", 2)
     assert state.distinct_values(1).filter("value = 'left behind'").isEmpty()
+    state.write_extended(state.extended_batch(state.metadata(), "doc1-2017050215").drop("batch"), "doc2")
+    assert state.extended(state.metadata()).count() == 7
     assert profile_files(spark, [second], spec, "2018-05-03 14:42:17.844840")
     state = SourceState(spark, spec.result_folder)
     quality = state.source_quality(state.version()).head().asDict()
@@ -279,6 +281,20 @@ def test_selection_and_scope(spark, tmp_path):
     assert set(tables) == {"precision_values", "final_quality"}
 
 
+def test_failing_part_leaves_the_others(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0), ("b", 1.0)], "k string, x double")
+    rates = {"x": spark.range(1)}               # x is taken for a time, which it is not
+    types = ColumnTypes({"k": "string", "x": "datetime"})
+    spec = AssessmentSpec(columns=("k", "x"), extra_rules=[Rule(("k",), ("x",))],
+                          dimensions={"Completeness_Frequency": ["global"], "Consistency": ["attribute"], "Volume": []})
+    errors = {}
+    tables = assess_frame(df, types, spec, AS_OF, str(tmp_path / "a"), Reference(hourly_rates=rates), errors)
+    assert set(errors) == {"frequency"} and tables["final_quality"].head()["Volume"] == 1.0
+    assert tables["consistency_attributes_mean_per_rule"].head()["ConsistencyValue"] == 1.0
+    with pytest.raises(ValueError, match="not a time"):
+        assess_frame(df, types, spec, AS_OF, str(tmp_path / "b"), Reference(hourly_rates=rates))
+
+
 def test_sampled_assessment(spark, tmp_path):
     df = spark.range(5000).select(F.concat(F.lit("k"), F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("x"))
     types = ColumnTypes({"k": "string", "x": "float"})
@@ -357,6 +373,27 @@ def test_configuration_lines(trips):
         AssessmentSpec.from_lines(lines[:3], types)
 
 
+def test_jobs_from_the_command_line(spark, tmp_path, capsys):
+    from plumbline.__main__ import main
+    for day in (1, 2):
+        write_lines(tmp_path / f"doc2024010{day}.txt", [{"k": "a", "t": f"0{day}/01/24"}, {"k": None, "t": "bad"}])
+    result = str(tmp_path / "result")
+    profile = ["--as-of", "2024-01-03 00:00:00", "profile", str(tmp_path / "doc%Y%m%d.txt"), result,
+               "--volatility", "100", "--time-format", "%d/%m/%y", "--series",
+               str(tmp_path / "doc20240101.txt"), str(tmp_path / "doc20240102.txt"), "1"]
+    assert main(profile) == 0 and "profiled" in capsys.readouterr().out
+    assert main(profile) == 0 and "analysed before" in capsys.readouterr().out
+    configuration = tmp_path / "configuration.txt"
+    configuration.write_text("\n".join([f"{result};*", f"{result}/out", "k;t", "k", ";", ";", "Volume;Completeness_Missing",
+                                        "", "", "", "", "global;attribute", "0", ""]))
+    assert main(["--as-of", "2024-01-03 00:00:00", "assess", str(configuration), "1.0"]) == 0
+    assert "final_quality" in capsys.readouterr().out
+    final = spark.read.parquet(f"{result}/out_20240103-000000_confidence_1.0/final_quality").head()
+    assert final["Volume_TotalRows"] == 2 and final["Volume"] == 0.5
+    with pytest.raises(ValueError, match="series"):
+        main(profile[:-3] + ["x", "y", "1"])
+
+
 def test_levels_are_checked():
     assert granularities("Volume", []) == ("global",) and granularities("Volume", ["", "value"]) == ("value",)
     for dimension, levels in (("Consistency", ["global"]), ("Consistency", []), ("Volume", ["tuple"]), ("Speed", [])):
