@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.cells import as_text, cell, key_cell, key_text
 from ..functions.scores import ratio
 from ..plans.lookup import flag_known
-from ..plans.summary import count_sets, grouping_ids
+from ..plans.summary import aggregate_sets, by_set
 
 RULES_SCHEMA = "Antecedent string, Consequent string"
 
@@ -64,22 +64,13 @@ def consistency_value(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """
     if not rules:
         raise ValueError("consistency needs at least one rule")
-    names = list(dict.fromkeys(c for r in rules for c in r.columns))
-    position = {n: i for i, n in enumerate(names)}
-    keys = [f"key_{i}" for i in range(len(names))]
-    rows = df.select(*[key_cell(df, n).alias(k) for n, k in zip(names, keys)])
-    sets = list(dict.fromkeys(tuple(sorted(f"key_{position[c]}" for c in r.columns)) for r in rules))
-    counted = count_sets(rows, sets, keys, [F.count(F.lit(1)).alias("pairs")])
-    set_ids = dict(zip(sets, grouping_ids(sets, keys)))
-
-    entries = []
-    for rule in rules:
-        own_set = set_ids[tuple(sorted(f"key_{position[c]}" for c in rule.columns))]
-        entries.append(F.when(F.col("set_id") == own_set, F.struct(
-            F.lit(rule.left).alias("RuleAntecedent"), F.lit(rule.right).alias("RuleConsequent"),
-            key_text([f"key_{position[c]}" for c in rule.antecedent]).alias("AntecedentValue"))))
-    pairs = counted.select("pairs", F.explode(F.array(*entries)).alias("e")).filter("e IS NOT NULL")
-    return (pairs.select("pairs", "e.*").groupBy("RuleAntecedent", "RuleConsequent", "AntecedentValue")
+    key = {n: f"key_{i}" for i, n in enumerate(dict.fromkeys(c for r in rules for c in r.columns))}
+    rows = df.select(*[key_cell(df, n).alias(k) for n, k in key.items()])
+    counted = aggregate_sets(rows, [[key[c] for c in r.columns] for r in rules], [F.count(F.lit(1)).alias("pairs")])
+    pairs = counted.select("pairs", by_set([F.lit(r.left) for r in rules]).alias("RuleAntecedent"),
+                           by_set([F.lit(r.right) for r in rules]).alias("RuleConsequent"),
+                           by_set([key_text([key[c] for c in r.antecedent]) for r in rules]).alias("AntecedentValue"))
+    return (pairs.groupBy("RuleAntecedent", "RuleConsequent", "AntecedentValue")
             .agg(ratio(F.max("pairs"), F.sum("pairs")).alias("ConsistencyValue"))
             .withColumn("Rule", F.concat_ws(" -> ", "RuleAntecedent", "RuleConsequent")))
 

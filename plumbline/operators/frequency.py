@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.cells import key_cell, key_set_name, key_text
 from ..functions.scores import at_most_one, clamp01, ratio
 from ..functions.times import SECONDS_PER_HOUR, seconds_between, timestamp
-from ..plans.summary import KeySet, by_set, count_sets, distinct_key_sets, grouping_ids
+from ..plans.summary import KeySet, aggregate_sets, by_set, distinct_key_sets
 
 
 def frequency_hour(df: DataFrame, column: str, rates: DataFrame, time_format: str | None = None,
@@ -53,15 +53,11 @@ def frequency_value(df: DataFrame, column: str, key_sets: Sequence[KeySet], rate
     rows = (df.select(*[key_cell(df, n).alias(f"key_{i}") for i, n in enumerate(names)],
                       timestamp(df, column, time_format).alias("time")).filter("time IS NOT NULL")
             .withColumn("Hour", F.hour("time")))
-    chosen = [[f"key_{position[c]}" for c in k] for k in sets]
-    with_hour = [keys + ["Hour"] for keys in chosen]
-    all_keys = [f"key_{i}" for i in range(len(names))] + ["Hour"]
-    counted = count_sets(rows, with_hour, all_keys, [
+    keys = [[f"key_{position[c]}" for c in k] for k in sets]
+    counted = aggregate_sets(rows, [[*k, "Hour"] for k in keys], [
         F.count(F.lit(1)).alias("n"), F.min("time").alias("first"), F.max("time").alias("last")])
-    ids = grouping_ids(with_hour, all_keys)
-    labelled = counted.select(by_set(ids, [F.lit(key_set_name(k)) for k in sets]).alias("key_set"),
-                              by_set(ids, [key_text(keys) for keys in chosen]).alias("key_value"),
-                              "Hour", "n", "first", "last")
+    labelled = counted.select(by_set([F.lit(key_set_name(k)) for k in sets]).alias("key_set"),
+                              by_set([key_text(k) for k in keys]).alias("key_value"), "Hour", "n", "first", "last")
     rated = (rates.groupBy(F.col("Key").alias("key_set"), F.col("Value").cast("string").alias("key_value"),
                            F.col("Hour").cast("int").alias("Hour"))
              .agg(F.max("Frequency").alias("Frequency")))

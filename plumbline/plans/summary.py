@@ -19,6 +19,7 @@ from ..functions.cells import all_filled, is_missing, key_cell, key_set_name, ke
 
 WHOLE_TABLE = ""                # key_set of the whole-table row
 SETS_PER_SCAN = 12              # Expand copies each row once per set; more sets take another scan
+KEYS_PER_SCAN = 60              # bits of a grouping id that are used
 
 KeySet = Sequence[str]
 
@@ -44,21 +45,53 @@ def distinct_key_sets(key_sets: Sequence[KeySet]) -> list[tuple[str, ...]]:
     return sets
 
 
-def grouping_ids(sets: Sequence[Sequence[str]], keys: Sequence[str]) -> list[int]:
-    """``grouping_id()`` of each set: the bit of every key outside the set, first key highest."""
-    return [sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in chosen) for chosen in sets]
+def aggregate_sets(rows: DataFrame, sets: Sequence[Sequence[str]], aggregates: Sequence[Column],
+                   sets_per_scan: int = SETS_PER_SCAN) -> DataFrame:
+    """Aggregate by every set of columns; ``set_no`` is the set's place in ``sets``.
 
+    One scan serves up to ``sets_per_scan`` sets. Sets of the same columns in another order share their groups.
+    Columns that are not in a row's set are NULL.
+    """
+    places: dict[frozenset[str], list[int]] = {}
+    for i, columns in enumerate(sets):
+        places.setdefault(frozenset(columns), []).append(i)
+    unique = [sets[found[0]] for found in places.values()]
+    frames = [_aggregate_chunk(rows, chunk, [places[frozenset(c)] for c in chunk], aggregates)
+              for chunk in _chunks(unique, sets_per_scan)]
+    grouped = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if len(unique) == len(sets):
+        return grouped.withColumn("set_no", F.col("set_nos")[0]).drop("set_nos")
+    return grouped.withColumn("set_no", F.explode("set_nos")).drop("set_nos")
+
+
+def _chunks(sets: Sequence[Sequence[str]], sets_per_scan: int) -> list[list[Sequence[str]]]:
+    """Sets in order, so many at a time that their columns fit the bits of a grouping id."""
+    chunks: list[list[Sequence[str]]] = []
+    for columns in sets:
+        full = not chunks or len(chunks[-1]) == sets_per_scan
+        if full or len({c for s in [*chunks[-1], columns] for c in s}) > KEYS_PER_SCAN:
+            chunks.append([])
+        chunks[-1].append(columns)
+    return chunks
 
-def by_set(ids: Sequence[int], values: Sequence[Column]) -> Column:
-    """The value that belongs to the row's grouping set, in column ``set_id``."""
-    return F.coalesce(*[F.when(F.col("set_id") == i, v) for i, v in zip(ids, values)])
+
+def _aggregate_chunk(rows: DataFrame, sets: Sequence[Sequence[str]], places: Sequence[Sequence[int]],
+                     aggregates: Sequence[Column]) -> DataFrame:
+    numbers = [F.array(*[F.lit(i) for i in found]) for found in places]
+    if len(sets) == 1:
+        return rows.groupBy(*sets[0]).agg(*aggregates).withColumn("set_nos", numbers[0])
+    keys = list(dict.fromkeys(c for columns in sets for c in columns))
+    grouped = (rows.groupingSets([list(columns) for columns in sets], *keys)
+               .agg(F.grouping_id().cast("long").alias("grouping"), *aggregates))
+    # The grouping id has the bit of every key outside the set, the first key highest.
+    ids = [sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in columns) for columns in sets]
+    chosen = F.coalesce(*[F.when(F.col("grouping") == i, n) for i, n in zip(ids, numbers)])
+    return grouped.withColumn("set_nos", chosen).drop("grouping")
 
 
-def count_sets(rows: DataFrame, sets: Sequence[Sequence[str]], keys: Sequence[str],
-               aggregates: Sequence[Column]) -> DataFrame:
-    """Aggregate for every set in one scan; ``set_id`` tells the sets apart."""
-    return (rows.groupingSets([list(s) for s in sets], *keys)
-            .agg(F.grouping_id().cast("long").alias("set_id"), *aggregates))
+def by_set(values: Sequence[Column]) -> Column:
+    """The value that belongs to the row's set, given one per set."""
+    return F.coalesce(*[F.when(F.col("set_no") == i, v) for i, v in enumerate(values)])
 
 
 def summarise(df: DataFrame, measures: Sequence[Measure], key_sets: Sequence[KeySet] = (),
@@ -82,36 +115,16 @@ def summarise(df: DataFrame, measures: Sequence[Measure], key_sets: Sequence[Key
         columns.update(measure.row_columns(df, in_scope))
     rows = df.select(*[key_cell(df, n).alias(f"key_{i}") for i, n in enumerate(names)],
                      *[column.alias(name) for name, column in columns.items()])
-    position = {n: i for i, n in enumerate(names)}
+    key = {n: f"key_{i}" for i, n in enumerate(names)}
     aggregates = [F.count(F.lit(1)).alias("rows"), F.count("filled_row").alias("rows_filled"),
                   *[a for measure in measures for a in measure.aggregates()]]
-    chunks = [sets[i:i + sets_per_scan] for i in range(0, len(sets), sets_per_scan)]
-    return reduce(DataFrame.unionByName, [_aggregate(rows, chunk, position, aggregates) for chunk in chunks])
-
-
-def _aggregate(rows: DataFrame, sets: Sequence[tuple[str, ...]], position: Mapping[str, int],
-               aggregates: Sequence[Column]) -> DataFrame:
-    used = list(dict.fromkeys(c for columns in sets for c in columns))
-    keys = [f"key_{position[c]}" for c in used]
-    if len(sets) == 1:
-        grouped = rows.groupBy(*keys).agg(*aggregates).withColumn("set_id", F.lit(0))
-        ids = [0]
-    else:
-        chosen = [[f"key_{position[c]}" for c in columns] for columns in sets]
-        grouped = count_sets(rows, chosen, keys, aggregates)
-        ids = grouping_ids(chosen, keys)
-
-    def value(columns: Sequence[str]) -> Column:
-        return key_text([f"key_{position[c]}" for c in columns])
-
-    def missing(columns: Sequence[str]) -> Column:
-        # A key of several columns is one text and never missing.
-        return is_missing(grouped, f"key_{position[columns[0]]}") if len(columns) == 1 else F.lit(False)
-
-    statistics = [c for c in grouped.columns if c not in keys and c != "set_id"]
-    return grouped.select(by_set(ids, [F.lit(key_set_name(c)) for c in sets]).alias("key_set"),
-                          by_set(ids, [value(c) for c in sets]).alias("key_value"),
-                          by_set(ids, [missing(c) for c in sets]).alias("key_missing"), *statistics)
+    grouped = aggregate_sets(rows, [[key[c] for c in columns] for columns in sets], aggregates, sets_per_scan)
+    # A key of several columns is one text and never missing.
+    missing = [is_missing(grouped, key[columns[0]]) if len(columns) == 1 else F.lit(False) for columns in sets]
+    statistics = [c for c in grouped.columns if c != "set_no" and c not in key.values()]
+    return grouped.select(by_set([F.lit(key_set_name(columns)) for columns in sets]).alias("key_set"),
+                          by_set([key_text([key[c] for c in columns]) for columns in sets]).alias("key_value"),
+                          by_set(missing).alias("key_missing"), *statistics)
 
 
 def whole(summary: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from plumbline.operators.frequency import frequency_attribute, frequency_global,
 from plumbline.operators.precision import Precision
 from plumbline.operators.timeliness import RowTimeliness, Timeliness, Validity, timeliness_row
 from plumbline.operators.volume import volume_global, volume_value
-from plumbline.plans.summary import summarise, whole
+from plumbline.plans.summary import aggregate_sets, summarise, whole
 
 AS_OF_TEXT = "2024-02-01 00:00:00"
 
@@ -32,7 +32,7 @@ def test_summary_against_brute_force(rows, sets_per_scan):
     data = [(rng.choice(["a", "b", None, "null", ""]), rng.choice([1, 2, None]), rng.choice([1.0, 2.5, -3.0, None]))
             for _ in range(300)]
     df = rows(data, "k string, g int, x double")
-    sets = [["k"], ["g", "k"], ["g"]]
+    sets = [["k"], ["g", "k"], ["k", "g"], ["g"]]
     precision, completeness = Precision(["x"]), Completeness(["k", "g", "x"])
     summary = summarise(df, [precision, completeness], sets, whole_table=True, scope=["k", "g", "x"],
                         sets_per_scan=sets_per_scan)
@@ -43,6 +43,7 @@ def test_summary_against_brute_force(rows, sets_per_scan):
         expected["k", text[0]].append((k, g, x))
         expected["g", text[1]].append((k, g, x))
         expected["g_k", f"{text[1]},{text[0]}"].append((k, g, x))
+        expected["k_g", f"{text[0]},{text[1]}"].append((k, g, x))
     got = summary.collect()
     assert len(got) == len(expected)
     by_key = {(r["key_set"], r["key_value"] or ""): r for r in got}
@@ -60,6 +61,15 @@ def test_summary_against_brute_force(rows, sets_per_scan):
             assert row["number_deviation_0"] == pytest.approx(math.sqrt(sum((x - mean) ** 2 for x in xs) / len(xs)), abs=1e-9)
 
 
+def test_many_key_sets_take_several_scans(spark):
+    names = [f"c{i}" for i in range(70)]
+    df = spark.range(20).select(*[(F.col("id") % (i + 1)).alias(n) for i, n in enumerate(names)])
+    sets = [[n] for n in names] + [names[:65], names[5:]]
+    counted = aggregate_sets(df, sets, [F.count(F.lit(1)).alias("n")]).groupBy("set_no").agg(F.count("*"), F.sum("n"))
+    assert {r[0]: (r[1], r[2]) for r in counted.collect()} == {
+        i: (min(i + 1, 20) if i < 70 else 20, 20) for i in range(72)}
+
+
 def test_summary_rejects_ambiguous_key_sets(rows):
     df = rows([("x", "y", "z", "w")], "a string, b_c string, a_b string, c string")
     with pytest.raises(ValueError, match="share a name"):

@@ -108,6 +108,7 @@ def test_consistency(rows):
     assert got["k -> v", "a"]["ConsistencyValue"] == pytest.approx(2 / 3) and got["k -> v", "null"]["ConsistencyValue"] == 1.0
     assert got["v -> k", "x"]["ConsistencyValue"] == pytest.approx(2 / 3) and got["v -> k", "y"]["ConsistencyValue"] == 0.5
     assert got["k,v -> n", "a,x"]["ConsistencyValue"] == 0.5
+    assert len(got) == 3 + 2 + 4
     means = as_dicts(consistency_attribute(values, 0.3), "RuleAntecedent")
     assert means["k"]["ConsistencyValue"] == pytest.approx((2 / 3 + 1 + 1) / 3) and means["k"]["Confidence"] == 0.3
 
