@@ -13,9 +13,10 @@ from pyspark.sql import types as T
 MISSING_MARKERS = ("", "null", "nan")
 DIGITS_ONLY_PATTERN = r"^\d+?(\.|\,)?\d+?$"
 
-# Shape of a number text. The JVM reads more than that (type suffixes, hexadecimal floats), and fails
-# with an exception per cell on what is not a number at all.
-NUMBER_PATTERN = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
+# Shape of a number text, with decimal comma or point. The JVM reads more than that (type suffixes, hexadecimal
+# floats), and fails with an exception per cell on what is not a number at all. Nothing here backtracks.
+NUMBER_PATTERN = (r"^\s*+[+-]?(?:\d++[.,]?\d*+(?:[eE][+-]?\d++)?|[.,]\d++(?:[eE][+-]?\d++)?"
+                  r"|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*+$")
 
 NULL_TEXT = "null"
 KEY_SEPARATOR = ","
@@ -61,8 +62,7 @@ def all_filled(names: Iterable[str]) -> Column:
 
 def text_to_number(column: Column) -> Column:
     """Number in a text, with decimal comma or point; NULL if there is none."""
-    dotted = F.translate(column, ",", ".")
-    return F.when(dotted.rlike(NUMBER_PATTERN), dotted.try_cast("double"))
+    return F.when(column.rlike(NUMBER_PATTERN), F.replace(column, F.lit(","), F.lit(".")).try_cast("double"))
 
 
 def number(df: DataFrame, name: str, digits_only: bool = False) -> Column:

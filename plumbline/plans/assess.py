@@ -61,7 +61,7 @@ def assess_frame(source: DataFrame, types: ColumnTypes, spec: AssessmentSpec, as
     With ``errors`` a part that fails is noted there and the others go on; otherwise it raises.
     """
     now = instant(as_of)
-    total = source.count()
+    total = source.count() if "Volume" in spec.dimensions else 0
     selected = select_rows(source, spec.columns, spec.ranges, spec.values, types)
     if spec.sample < 1:
         # Written once, so that every scan below sees the same sample.
@@ -70,18 +70,21 @@ def assess_frame(source: DataFrame, types: ColumnTypes, spec: AssessmentSpec, as
     plan = _Plan(spec, types, reference, now, total, selected, staging)
     tables: dict[str, DataFrame] = {}
     global_frames: list[DataFrame] = []
-    for name, part in (("summary", plan.summary_part), ("consistency", plan.consistency_part),
-                       ("frequency", plan.frequency_part), ("distinctness", plan.distinctness_part)):
-        try:
-            part_tables, part_globals = part()
-        except Exception as error:      # noqa: BLE001 - reported, the other parts go on
-            if errors is None:
-                raise
-            log.exception("%s failed", name)
+    parts = {"summary": plan.summary_part, "consistency": plan.consistency_part, "frequency": plan.frequency_part,
+             "distinctness": plan.distinctness_part}
+    with ThreadPoolExecutor(len(parts)) as pool:
+        running = {name: pool.submit(part) for name, part in parts.items()}
+    for name, part in running.items():
+        error = part.exception()
+        if error is None:
+            part_tables, part_globals = part.result()
+            tables |= part_tables
+            global_frames += part_globals
+        elif errors is None:
+            raise error
+        else:
+            log.error("%s failed", name, exc_info=error)
             errors[name] = str(error)
-            continue
-        tables |= part_tables
-        global_frames += part_globals
     tables["final_quality"] = _final_quality(global_frames, spec.sample, source.sparkSession)
     return tables
 

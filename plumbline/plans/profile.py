@@ -85,10 +85,11 @@ def profile_batch(spark: SparkSession, batch: DataFrame, name: str, spec: Profil
                   as_of: dt.datetime | str) -> bool:
     """Profile one batch. False if the ledger says it was analysed before; a failure is recorded and raised."""
     state = SourceState(spark, spec.result_folder)
-    if state.is_analysed(name):
+    version, analysed = state.progress(name)
+    if analysed:
         log.info("batch %s was analysed before", name)
         return False
-    version = state.version() + 1
+    version += 1
     try:
         _profile(state, batch, name, spec, as_of, version)
     except Exception:
@@ -101,7 +102,7 @@ def profile_batch(spark: SparkSession, batch: DataFrame, name: str, spec: Profil
 def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec, as_of: dt.datetime | str,
              version: int) -> None:
     spark, now = state.spark, instant(as_of)
-    metadata = state.metadata()
+    metadata = state.metadata(version - 1)
     if metadata is None:
         metadata = SourceMetadata(infer_types(batch, spec.time_formats), batch.schema, spec.volatility_hours,
                                   tuple(spec.binding_paths))
@@ -139,8 +140,9 @@ def profile_files(spark: SparkSession, paths: Sequence[str], spec: ProfileSpec,
         raise ValueError("no input files")
     name = batch_name(paths)
     state = SourceState(spark, spec.result_folder)
-    if state.is_analysed(name):
+    version, analysed = state.progress(name)
+    if analysed:
         return False
-    metadata = state.metadata()
+    metadata = state.metadata(version)
     batch = read_batch(spark, paths, spec.file_format, spec.layout, metadata.columns if metadata else spec.columns)
     return profile_batch(spark, batch, name, spec, as_of)

@@ -49,13 +49,13 @@ class TextLayout:
 
 def clean_line(line: Column) -> Column:
     """Without double quotes and backslashes, decimal commas as points."""
-    cleaned = F.translate(line, '"\\', "")
-    return F.regexp_replace(cleaned, r"(\d+),(\d+)", "$1.$2")
+    cleaned = F.replace(F.replace(line, F.lit('"'), F.lit("")), F.lit("\\"), F.lit(""))
+    return F.regexp_replace(cleaned, r"(\d++),(\d++)", "$1.$2")
 
 
 def split_cells(lines: DataFrame, header: Sequence[str], layout: TextLayout) -> DataFrame:
     """Cells of a frame of text lines in column ``value``; a line that is short of cells ends in NULLs."""
-    kept = lines.filter(F.length(F.regexp_replace("value", '"', "")) > 0)
+    kept = lines.filter(F.replace(F.col("value"), F.lit('"'), F.lit("")) != "")
     # One extraction per line, then the cells by position.
     cells = kept.select(F.regexp_extract_all(clean_line(F.col("value")), F.lit(layout.cell_pattern), F.lit(1))
                         .alias("cells"))

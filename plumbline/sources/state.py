@@ -81,12 +81,18 @@ class SourceState:
         names = self.ledger().filter("correctAnalysis = 1").select(F.col("fileName").alias("batch"))
         return names if requested is None else names.filter(F.col("batch").isin(list(requested)))
 
+    def progress(self, batch: str) -> tuple[int, bool]:
+        """Version of the source, and whether a batch was analysed correctly before."""
+        correct = self.ledger().filter("correctAnalysis = 1")
+        row = correct.agg(F.max("version").alias("version"),
+                          F.coalesce(F.max(F.col("fileName") == batch), F.lit(False)).alias("analysed")).head()
+        return row["version"] or 0, row["analysed"]
+
     def is_analysed(self, batch: str) -> bool:
-        return not self.correct_batches([batch]).isEmpty()
+        return self.progress(batch)[1]
 
     def version(self) -> int:
-        row = self.ledger().filter("correctAnalysis = 1").agg(F.max("version").alias("v")).head()
-        return row["v"] or 0
+        return self.progress("")[0]
 
     def record(self, batch: str, correct: bool, analysis_time: str, version: int | None) -> None:
         (self.spark.createDataFrame([(batch, int(correct), analysis_time, version)], LEDGER_SCHEMA)
@@ -171,9 +177,9 @@ class SourceState:
         (self.spark.createDataFrame([row], METADATA_SCHEMA).write.mode("overwrite")
          .json(self.path("preliminary_information", f"version={version}")))
 
-    def metadata(self) -> SourceMetadata | None:
-        """Metadata of the first correct batch, None before there is one."""
-        if self.version() == 0:
+    def metadata(self, version: int | None = None) -> SourceMetadata | None:
+        """Metadata of the first correct batch, None before there is one. ``version`` spares a look at the ledger."""
+        if (self.version() if version is None else version) == 0:
             return None
         row = (self.spark.read.schema(METADATA_SCHEMA)
                .json(self.path("preliminary_information", "version=1")).head())
