@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,9 @@ from ..functions.cells import cell
 
 BROADCAST_BYTES = 64 * 1024 * 1024      # largest list, as texts, that goes to every executor
 ROW_OVERHEAD_BYTES = 64
-HOT_SHARE = 1000                        # a key is hot above 1/1000 of the rows: there are fewer than 1000
+HOT_SHARE = 1000                        # a key is hot above 1/1000 of the sampled rows: there are fewer than 1000
+HOT_SAMPLE = 0.01                       # rows looked at to find hot keys
+HOT_ROWS = 20                           # and how many of those a hot key has at least
 
 
 def text_bytes(df: DataFrame) -> int:
@@ -22,28 +24,42 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).head()["bytes"]
 
 
+def hot_keys(rows: DataFrame, keys: Sequence[str], fraction: float = HOT_SAMPLE) -> DataFrame:
+    """Keys that hold many rows, judged by a sample; fewer than ``HOT_SHARE``.
+
+    They only decide how a row is joined, not what comes out. The keys found are fixed by bringing them to the
+    driver: two parts of a plan that each sampled for themselves could disagree on a key.
+    """
+    sample = rows.select(*keys).sample(fraction, seed=0)
+    counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    total = sample.agg(F.count(F.lit(1))).scalar()
+    hot = counts.filter((F.col("rows") * HOT_SHARE > total) & (F.col("rows") >= HOT_ROWS)).select(*keys)
+    return rows.sparkSession.createDataFrame(hot.collect(), hot.schema)
+
+
 def flag_known(df: DataFrame, keys: Mapping[str, Column], known: DataFrame, flag: str,
                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add a boolean ``flag``: does ``known`` hold the row's ``keys``?
 
     ``keys`` maps each column of ``known`` to the text expression on ``df`` it is compared with. A list of
-    checked size is broadcast and rows stay where they are. A longer list takes a shuffle join, in which the
-    keys that hold many rows are answered first by a broadcast of their (fewer than ``HOT_SHARE``) answers.
+    checked size is broadcast and rows stay where they are. A longer list takes a shuffle join, except for rows
+    with a hot key: those stay where they are too and get the answers of the hot keys by broadcast.
     """
     names = {c: f"__key_{i}" for i, c in enumerate(known.columns)}
     joined_on = list(names.values())
-    listed = known.select(*[cell(c).alias(n) for c, n in names.items()]).distinct()
-    answers = listed.withColumn(flag, F.lit(True))
+    listed = known.select(*[cell(c).alias(n) for c, n in names.items()])
+    distinct = listed.distinct()
+    answers = distinct.withColumn(flag, F.lit(True))
     rows = df.select("*", *[keys[c].alias(n) for c, n in names.items()])
     answered = [*[cell(c) for c in df.columns], F.coalesce(flag, F.lit(False)).alias(flag)]
 
-    if text_bytes(listed) <= broadcast_bytes:
+    # The list as it is bounds the distinct one, and is measured without a shuffle.
+    if text_bytes(listed) <= broadcast_bytes or text_bytes(distinct) <= broadcast_bytes:
         return rows.join(F.broadcast(answers), joined_on, "left").select(*answered)
 
-    counts = rows.groupBy(*joined_on).agg(F.count(F.lit(1)).alias("rows"))
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    hot = counts.filter(F.col("rows") * HOT_SHARE > total).select(*joined_on)
-    hot_answers = F.broadcast(hot).join(answers, joined_on, "left")
+    hot = F.broadcast(hot_keys(rows, joined_on))
+    hot_answers = hot.join(listed.join(hot, joined_on, "left_semi").distinct().withColumn(flag, F.lit(True)),
+                           joined_on, "left")
     hot_rows = rows.join(F.broadcast(hot_answers), joined_on, "inner")
-    cold_rows = rows.join(F.broadcast(hot), joined_on, "left_anti").join(answers, joined_on, "left")
+    cold_rows = rows.join(hot, joined_on, "left_anti").join(answers, joined_on, "left")
     return hot_rows.select(*answered).unionByName(cold_rows.select(*answered))

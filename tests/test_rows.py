@@ -9,7 +9,7 @@ from plumbline.operators.consistency import (Rule, consistency_attribute, consis
                                              with_association)
 from plumbline.operators.inference import ColumnTypes, dimension_columns, infer_types
 from plumbline.operators.selection import Range, drop_incomplete, sample_rows, select_rows
-from plumbline.plans.lookup import flag_known, text_bytes
+from plumbline.plans.lookup import flag_known, hot_keys, text_bytes
 from plumbline.sources.readers import TextLayout, batch_name, clean_line, read_text, split_cells
 
 GRID = ColumnTypes({"a": "float", "b": "float"})
@@ -145,6 +145,8 @@ def test_long_list_answers_like_a_short_one(spark):
     known = (spark.range(0, 6000, 5).select(F.col("id").cast("string").alias("k"))
              .unionByName(spark.createDataFrame([("hot",), ("hot",)], "k string")))
     short = flag_known(rows, {"k": as_text("k")}, known, "known")
+    assert sorted(r["k"] for r in hot_keys(rows, ["k"], 0.5).collect()) == ["absent", "hot"]
+    assert hot_keys(rows, ["id"], 0.5).isEmpty()
     long = flag_known(rows, {"k": as_text("k")}, known, "known", broadcast_bytes=0)
     assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.collect()))
     assert long.count() == 6000 and long.filter("known AND k = 'hot'").count() == 2000
