@@ -3,17 +3,19 @@
 The steps, all exact:
 
 1. A scan hashes every text's n-grams to a set. Equal sets are one node from here on, with the smallest id of its documents.
-2. All n-grams get one global order: rare ones by hash, then those that many documents hold by frequency, so that common
-   passages come last. Any order gives the same result; frequency counts which n-grams a scan's chunks of sets hold several times,
-   and what is broadcast of that is at most ``FREQUENT`` n-grams.
+2. All n-grams get one global order: rare ones by hash, then frequent ones by frequency, so that passages which documents
+   share come last. Any order gives the same result. Frequencies are counted over all documents for the lower half of the hash
+   range, from which prefixes are taken, on 32 bits of the hash; what is broadcast is at most ``FREQUENT`` n-grams, the most
+   frequent ones.
 3. Two similar sets share one of their first ``n - ceil(t n) + 1`` n-grams. These prefixes are dealt out by n-gram, packed into
    arrays, and n-grams with several nodes give the candidate lists; equal lists count once.
-4. Nodes are compared within lists by a traversal of a prefix tree: the sets that meet one query set are
-   sorted by their ordered n-grams, which is the depth-first order of their trie, so the overlap counted along a shared
-   path is counted once, and a subtree is left when overlap plus remaining length cannot reach the bound. First, each node is
-   compared with one leader of its lists. Lists that then still lie in several components are compared in full, in blocks of
-   bounded size. Pairs that are already connected are not compared; pairs are never listed.
-5. Components of the links are joined back to the documents.
+4. Nodes that lists connect are a family, and similar nodes are in one family. A family of bounded size is compared in one task, its sets
+   sent once. A larger one is compared list by list: first each node with one leader of its lists, then the lists that still
+   lie in several components in full, in blocks of bounded size.
+5. A comparison traverses a prefix tree: the sets that meet one query set are sorted by their ordered n-grams, which is the
+   depth-first order of their trie, so the overlap counted along a shared path is counted once, and a subtree is left when overlap plus
+   remaining length cannot reach the bound. Pairs that are already connected are not compared; pairs are never listed.
+6. Components of the links are joined back to the documents.
 
 Hashes: 64 bits for an n-gram, 128 bits for a set.
 
@@ -38,11 +40,13 @@ from plumbline.llm.shared import scalar, staged
 from plumbline.llm.words import LOWER, distinct, texts, window_hashes, word_hashes
 
 WIDTH, PERCENT = 5, 75
-FREQUENT = 1 << 20          # most n-grams whose frequency is broadcast
-OFTEN_IN_CHUNK = 3          # sets of a chunk that hold an n-gram which is counted
-OFTEN = 8                   # count from which an n-gram is ordered by frequency
+FREQUENT = 1 << 22          # most n-grams whose frequency is broadcast
+COUNTED_BITS = 31           # of an n-gram's hash are cut off in counting
+COUNTED_BELOW = np.uint64(1 << 63)
 CHUNK_NGRAMS = 4_000_000    # n-grams of the sets that are counted, or packed, together
 PART_NGRAMS = 1_000_000     # prefix n-grams of a part
+FAMILY_NODES = 512          # nodes of a family that one task compares
+FAMILY_NGRAMS = 8_000_000   # and their n-grams
 BLOCK_NODES = 64            # nodes of a block of a list
 STEP = 64                   # n-grams of a path that are looked up at once
 
@@ -65,21 +69,24 @@ def least_overlap(a: int, b: int, percent: int) -> int:
 
 
 class Order:
-    """The global order of n-grams: by hash, except that frequent ones follow by frequency."""
+    """The global order of n-grams: by hash, except that frequent ones follow by frequency. Frequency is that of the upper bits."""
 
-    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
-        by_token = np.argsort(tokens)
-        self.tokens, self.counts = tokens[by_token], counts[by_token]
+    def __init__(self, heads: np.ndarray, counts: np.ndarray):
+        by_head = np.argsort(heads)
+        self.heads, self.counts = heads[by_head], counts[by_head]
 
     def apply(self, tokens: np.ndarray) -> np.ndarray:
         """Sorted hashes in the global order."""
-        if not len(self.tokens) or not len(tokens):
+        counted = int(np.searchsorted(tokens, COUNTED_BELOW))
+        if not len(self.heads) or not counted:
             return tokens
-        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-        frequent = self.tokens[at] == tokens
+        heads = (tokens[:counted] >> np.uint64(COUNTED_BITS)).astype(np.uint32)
+        at = np.minimum(np.searchsorted(self.heads, heads), len(self.heads) - 1)
+        frequent = self.heads[at] == heads
         if not frequent.any():
             return tokens
-        return np.concatenate((tokens[~frequent], tokens[frequent][np.argsort(self.counts[at[frequent]], kind="stable")]))
+        late = tokens[:counted][frequent]
+        return np.concatenate((tokens[:counted][~frequent], tokens[counted:], late[np.argsort(self.counts[at[frequent]], kind="stable")]))
 
 
 class Traversal:
@@ -117,56 +124,87 @@ def _first_here(known: set, key: bytes) -> bool:
     return True
 
 
-def profiled(docs: DataFrame, width: int) -> DataFrame:
-    """A row per document (doc, hash of the text, set, n) and, in other rows, n-grams that several sets of a chunk hold."""
+def profiled(docs: DataFrame, slices: int, width: int) -> DataFrame:
+    """A row per document (doc, hash of the text, fp: the set's hash, n) and, in other rows, the n-grams of chunks of distinct sets: per
+    slice of the hash range the upper bits of each (heads), and those that several of the sets hold (again) with how many more do."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set = set()
         chunk: list[np.ndarray] = []
         held = 0
-
-        def out(rows: list, often: tuple | None = None) -> pa.RecordBatch:
-            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            rows = [(*r, None, None) for r in rows] if often is None else [(None, None, None, None, *often)]
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                              ["doc", "hash", "fp", "n", "tokens", "counts"])
-
-        def often() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(chunk), return_counts=True)
-            many = counts >= OFTEN_IN_CHUNK
-            return out([], (tokens[many].view(np.int64), counts[many].astype(np.int64)))
+        kinds = [("doc", pa.int64()), ("hash", pa.int64()), ("fp", pa.binary()), ("n", pa.int64()), ("slice", pa.int32()), ("heads", pa.binary()),
+                 ("again", pa.binary()), ("more", pa.binary())]
+
+        def out(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, (_, k) in enumerate(kinds)], [name for name, _ in kinds])
+
+        def counts() -> pa.RecordBatch:
+            heads = (np.concatenate(chunk) >> np.uint64(COUNTED_BITS)).astype(np.uint32)
+            heads.sort()
+            begins = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
+            sizes = np.diff(np.concatenate((begins, [len(heads)])))
+            heads = heads[begins]
+            places = np.searchsorted(heads, (np.arange(slices + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(slices))
+            rows = []
+            for i, (a, b) in enumerate(zip(places[:-1].tolist(), places[1:].tolist())):
+                several = sizes[a:b] > 1
+                rows.append((None, None, None, None, i, heads[a:b].tobytes(), heads[a:b][several].tobytes(),
+                             (sizes[a:b][several] - 1).astype(np.int64).tobytes()))
+            return out(rows)
 
         for batch in batches:
             rows = []
             for doc, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
                 tokens = ngram_set(text, width)
                 fp = xxh3_128_digest(tokens)
-                rows.append((doc, own, fp, len(tokens)))
+                rows.append((doc, own, fp, len(tokens), None, None, None, None))
                 if len(tokens) and _first_here(known, fp):
-                    chunk.append(tokens)
-                    held += len(tokens)
+                    chunk.append(tokens[:np.searchsorted(tokens, COUNTED_BELOW)])
+                    held += len(chunk[-1])
                     if held >= CHUNK_NGRAMS:
-                        yield often()
+                        yield counts()
                         chunk, held = [], 0
                         known.clear()
             yield out(rows)
-        if chunk:
-            yield often()
+        if held:
+            yield counts()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("hash"), "text") \
-        .mapInArrow(scan, "doc bigint, hash bigint, fp binary, n bigint, tokens array<bigint>, counts array<bigint>")
+        .mapInArrow(scan, "doc bigint, hash bigint, fp binary, n bigint, slice int, heads binary, again binary, more binary")
 
 
 def global_order(profile: DataFrame) -> Order:
-    """Brings the frequent n-grams to the driver: at most ``FREQUENT``, the most frequent ones."""
-    counted = staged(profile.where("tokens IS NOT NULL").select(F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
-                     .groupBy("t.tokens").agg(F.sum("t.counts").alias("count")).where(F.col("count") >= OFTEN))
-    n = counted.count()
-    if n > FREQUENT:
-        least = scalar(counted, F.percentile_approx("count", F.lit(1 - FREQUENT / n), F.lit(10_000)))
-        counted = counted.where(F.col("count") > least).limit(FREQUENT)
-    frame = counted.toArrow()
-    return Order(frame.column("tokens").to_numpy().view(np.uint64), frame.column("count").to_numpy())
+    """Counts n-grams over all sets. At most ``FREQUENT`` reach the driver: those above the least power of two that few enough reach."""
+
+    def count(table: pa.Table) -> pa.Table:
+        own = lambda name, kind: np.concatenate([np.frombuffer(b.as_py(), kind) for b in table.column(name)])       # noqa: E731
+        heads = own("heads", np.uint32)
+        heads.sort()
+        begins = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1]))) if len(heads) else np.empty(0, np.int64)
+        counts = np.diff(np.concatenate((begins, [len(heads)]))).astype(np.int64)
+        heads = heads[begins]
+        np.add.at(counts, np.searchsorted(heads, own("again", np.uint32)), own("more", np.int64))
+        several = counts > 1
+        heads, counts = heads[several], counts[several]
+        reach = [int((counts >> k > 0).sum()) for k in range(1, 63)]
+        return pa.table({"heads": pa.array([heads.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
+                         "reach": pa.array([reach], pa.list_(pa.int64()))})
+
+    counted = staged(profile.where("slice IS NOT NULL").select("slice", "heads", "again", "more").groupBy("slice")
+                     .applyInArrow(count, "heads binary, counts binary, reach array<bigint>"))
+    reach = {r["k"]: r["n"] for r in counted.select(F.posexplode("reach").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("n")).collect()}
+    least = next((k + 1 for k in sorted(reach) if reach[k] <= FREQUENT), 1)
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for heads, counts in zip(batch.column(0), batch.column(1)):
+                counts = np.frombuffer(counts.as_py(), np.int64)
+                many = counts >> least > 0
+                yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(heads.as_py(), np.uint32)[many].tobytes()], pa.binary()),
+                                                  pa.array([np.minimum(counts[many], 1 << 31).astype(np.uint32).tobytes()], pa.binary())], ["heads", "counts"])
+
+    frame = counted.select("heads", "counts").mapInArrow(often, "heads binary, counts binary").toArrow()
+    return Order(*[np.concatenate([np.empty(0, np.uint32), *[np.frombuffer(b.as_py(), np.uint32) for b in frame.column(c)]]) for c in ("heads", "counts")])
 
 
 def candidate_lists(docs: DataFrame, order, parts: int, width: int, percent: int) -> DataFrame:
@@ -237,18 +275,20 @@ def candidate_lists(docs: DataFrame, order, parts: int, width: int, percent: int
 
 
 def ordered_sets(docs: DataFrame, wanted: DataFrame, order, width: int) -> DataFrame:
-    """fp, tokens (big-endian, in the global order, so that bytes sort as the trie's depth-first order) of the nodes in ``wanted``
-    (fp, doc, hash: one document that has the set)."""
+    """fp, family, tokens (big-endian, in the global order, so that bytes sort as the trie's depth-first order) of the nodes in
+    ``wanted`` (fp, family, and doc, hash: one document that has the set)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = order.value
         for batch in batches:
-            sets = [own.apply(ngram_set(text, width)).astype(">u8").tobytes() for text in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array(sets, pa.binary())], ["fp", "tokens"])
+            sets = [own.apply(ngram_set(text, width)).astype(">u8").tobytes() for text in texts(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), batch.column(1).cast(pa.binary()), pa.array(sets, pa.binary())],
+                                             ["fp", "family", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
     own = rows.join(wanted, rows["_doc"].eqNullSafe(wanted["doc"]) & (rows["_hash"] == wanted["hash"]))
-    return own.select("fp", "text").mapInArrow(build, "fp binary, tokens binary").dropDuplicates(["fp"])
+    # A document repeated in full gives its set more than once.
+    return own.select("fp", "family", "text").mapInArrow(build, "fp binary, family binary, tokens binary")
 
 
 # Comparisons
@@ -266,6 +306,49 @@ def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
 
 
+class Forest:
+    """Which nodes are connected."""
+
+    def __init__(self, pairs):
+        self.root = {}
+        for node, label in pairs:
+            self.root.setdefault(label, label)
+            self.root[node] = label
+
+    def top(self, x: bytes) -> bytes:
+        root = self.root
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    def join(self, a: bytes, b: bytes) -> None:
+        low, high = sorted((self.top(a), self.top(b)))
+        self.root[high] = low
+
+
+def _tokens(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, ">u8").astype(np.uint64)
+
+
+def family_components(sets: DataFrame, percent: int) -> DataFrame:
+    """node, component for families (fp, family, tokens) that one task can hold."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, 1):
+            found = {row[2]: row[1] for row in group}       # in the trie's order
+            nodes, sets_of = list(found), [_tokens(t) for t in found.values()]
+            forest = Forest((n, n) for n in nodes)
+            for i, node in enumerate(nodes):
+                traversal = Traversal(sets_of[i], percent)
+                for j in range(i + 1, len(nodes)):
+                    if forest.top(node) != forest.top(nodes[j]) and traversal.similar(sets_of[j]):
+                        forest.join(node, nodes[j])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([forest.top(n) for n in nodes], pa.binary())], ["node", "component"])
+
+    return sets.select("family", "tokens", "fp").repartition("family").sortWithinPartitions("family", "tokens") \
+        .mapInArrow(compare, "node binary, component binary")
+
+
 def leader_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: the pairs (fp, leader) that are similar. A leader's nodes are dealt out in blocks, each with its leader's set."""
     sizes = staged(pairs.groupBy(F.col("leader").alias("_leader")).agg(F.ceil(F.count(F.lit(1)) / F.lit(16 * BLOCK_NODES)).alias("blocks")))
@@ -280,8 +363,8 @@ def leader_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             traversal = None
             for leader, _, role, tokens, fp in group:
                 if role == 0:
-                    traversal = Traversal(np.frombuffer(tokens, ">u8").astype(np.uint64), percent)
-                elif traversal.similar(np.frombuffer(tokens, ">u8").astype(np.uint64)):
+                    traversal = Traversal(_tokens(tokens), percent)
+                elif traversal.similar(_tokens(tokens)):
                     found.append((leader, fp))
             if len(found) > 10_000:
                 yield _edges(found)
@@ -305,21 +388,15 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         found: list[tuple[bytes, bytes]] = []
         for group in _groups(batches, 3):
             rows = list(group)
-            root = {row[6]: row[6] for row in rows}
-
-            def top(x: bytes) -> bytes:
-                while root[x] != x:
-                    root[x] = x = root[root[x]]
-                return x
-
-            sets_of = [np.frombuffer(row[4], ">u8").astype(np.uint64) for row in rows]
+            forest = Forest((row[5], row[6]) for row in rows)
+            sets_of = [_tokens(row[4]) for row in rows]
             for i, row in enumerate(rows):
                 traversal = Traversal(sets_of[i], percent)
                 for j in range(i + 1, len(rows)):
                     other = rows[j]
-                    if (row[1] == row[2] or row[3] != other[3]) and top(row[6]) != top(other[6]) and traversal.similar(sets_of[j]):
+                    if (row[1] == row[2] or row[3] != other[3]) and forest.top(row[5]) != forest.top(other[5]) and traversal.similar(sets_of[j]):
                         found.append((row[5], other[5]))
-                        root[top(other[6])] = top(row[6])
+                        forest.join(row[5], other[5])
             if len(found) > 10_000:
                 yield _edges(found)
                 found = []
@@ -330,35 +407,51 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(compare, "a binary, b binary")
 
 
+def large_components(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """node, component of the linked nodes of families too large for one task. ``lists``: list, leader, fp."""
+    sets = sets.select("fp", "tokens")
+    pairs = staged(lists.groupBy("fp").agg(F.min("leader").alias("leader")).where("fp != leader"))
+    links = staged(leader_links(pairs, sets, percent))
+    linked = components(links)
+    members = staged(lists.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("list", "fp", F.coalesce("component", "fp").alias("component")))
+    mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list")
+    more = staged(block_links(staged(members.join(mixed, "list")), sets, percent))
+    return linked if more.isEmpty() else components(links.unionByName(more))
+
+
 def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, text_hash, n_shingles, component_id (smallest id of its component) and ``keeper``, the
     (doc_id, text_hash) of the document that stands for the component."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    profile = staged(profiled(docs, width))
-    rows = profile.where("fp IS NOT NULL")
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    profile = staged(profiled(docs, 4 * tasks, width))
+    rows = profile.where("fp IS NOT NULL").select("doc", "hash", "fp", "n")
     first = F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("hash"))
     nodes = staged(rows.where("n > 0").groupBy("fp").agg(F.max("n").alias("n"), F.min(first).alias("first"))
                    .withColumn("short", F.conv(F.hex(F.substring("fp", 1, 8)), 16, -10).cast("long")))
     order = spark.sparkContext.broadcast(global_order(profile))
     prefixes = scalar(nodes, F.sum(F.col("n") * (100 - percent) / 100 + 1)) or 0
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(prefixes / PART_NGRAMS))
-    shorts = staged(candidate_lists(docs, order, parts, width, percent))
-    lists = staged(shorts.join(nodes.select("short", "fp", "first"), "short").select("list", "fp", "first"))
-    wanted = lists.groupBy("fp").agg(F.min("first").alias("first")).select("fp", F.col("first.doc").alias("doc"), F.col("first.hash").alias("hash"))
-    sets = staged(ordered_sets(docs, wanted, order, width))
-    lists = lists.select("list", "fp")
+    shorts = staged(candidate_lists(docs, order, max(4 * tasks, math.ceil(prefixes / PART_NGRAMS)), width, percent))
+    lists = staged(shorts.join(nodes.select("short", "fp"), "short").select("list", "fp"))
     heads = lists.groupBy(F.col("list").alias("_list")).agg(F.min("fp").alias("leader"))
-    pairs = lists.join(heads, lists["list"] == heads["_list"]).groupBy("fp").agg(F.min("leader").alias("leader")).where("fp != leader")
-    links = staged(leader_links(staged(pairs), sets, percent))
-    linked = components(links)
-    members = staged(lists.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("list", "fp", F.coalesce("component", "fp").alias("component")))
-    mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list")
-    more = staged(block_links(staged(members.join(mixed, "list")), sets, percent))
-    if not more.isEmpty():
-        linked = components(links.unionByName(more))
+    lists = staged(lists.join(heads, lists["list"] == heads["_list"]).select("list", "leader", "fp"))
+    families = components(lists.where("leader != fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()) \
+        .select(F.col("node").alias("fp"), F.col("component").alias("family"))
+    wanted = staged(families.join(nodes, "fp").select("fp", "family", "n", F.col("first.doc").alias("doc"), F.col("first.hash").alias("hash")))
+    sizes = wanted.groupBy("family").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("ngrams"))
+    large = staged(sizes.where((F.col("nodes") > FAMILY_NODES) | (F.col("ngrams") > FAMILY_NGRAMS)).select("family"))
+    sets = ordered_sets(docs, wanted, order, width)
+    if large.isEmpty():
+        linked = family_components(sets, percent)
+    else:
+        sets = staged(sets)
+        linked = family_components(sets.join(large, "family", "left_anti"), percent)
+        big = staged(wanted.join(large, "family", "left_semi").select("fp"))
+        linked = linked.unionByName(large_components(lists.join(big, "fp"), sets.join(big, "fp").dropDuplicates(["fp"]), percent))
     named = nodes.select("fp", "first").join(linked.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    named = staged(named)
     keepers = named.groupBy("component").agg(F.min("first").alias("keeper"))
     classes = staged(named.join(keepers, "component").select(F.col("fp").alias("_fp"), "keeper"))
     out = rows.join(classes, rows["fp"] == classes["_fp"], "left")

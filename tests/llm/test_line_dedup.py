@@ -1,0 +1,84 @@
+import hashlib
+import random
+
+import pytest
+
+from plumbline.llm import line_dedup as L
+from plumbline.llm.queries import line_dedup
+
+from .conftest import text
+
+
+def brute(rows, least=20, docs=3):
+    key = lambda line: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))     # noqa: E731
+    held = {}
+    for doc, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= least:
+                held.setdefault(key(line), set()).add(-1 << 63 if doc is None else doc)
+    out = []
+    for doc, t in rows:
+        own = -1 << 63 if doc is None else doc
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if not (len(key(x)) >= least and len(held[key(x)]) >= docs and max(held[key(x)]) != own)]
+        out.append((doc, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    rows = L.line_bitmaps(df).select("row.doc_id", line_dedup.line_digest("row.text", "bitmap").alias("d")).select("doc_id", "d.*").collect()
+    return sorted([tuple(r) for r in rows], key=repr)
+
+
+def corpus(seed, n):
+    pick = random.Random(seed)
+    common = [f"This line is common number {i} é" + "x" * (i % 7) for i in range(12)] + ["short one", "exactly twenty chars", "é" * 20, "é" * 19]
+    rows = []
+    for d in range(n):
+        lines = [pick.choice(common) if pick.random() < 0.5 else text(pick.random(), 8) for _ in range(pick.randrange(1, 30))]
+        lines = [pick.choice([line, line.upper() if line.isascii() else line, f"  {line}\t", line + "\r"]) for line in lines]
+        rows.append((d, "\n".join(["the very common line of all documents"] * pick.randrange(3) + lines)))
+    return rows
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 40])
+def test_against_brute_force(spark, docs, partitions):
+    rows = corpus(partitions, 120) + [(500, ""), (501, None), (3, corpus(9, 5)[4][1]), (3, corpus(9, 5)[4][1]), (None, corpus(9, 5)[3][1]), (None, corpus(9, 5)[2][1])]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert result(docs(rows).repartition(3)) == brute(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_one_line_in_all_documents_spreads(spark, docs):
+    """All rows have one key: every range holds a part of it, and what stays open is put together."""
+    rows = [(i, "one line that every single document holds") for i in range(2000)]
+    assert [r for r in result(docs(rows).repartition(8)) if r[2] == 0] == [r for r in brute(rows) if r[2] == 0]
+    assert len([r for r in result(docs(rows).repartition(8)) if r[2] == 0]) == 1
+
+
+def test_bitmap():
+    import zlib
+
+    import numpy as np
+    bits = zlib.compress(np.packbits(np.array([1, 0, 1, 1, 1, 1, 1, 0], bool)).tobytes())
+    assert L.kept_lines(b"a\nb\nc", bits) == [b"a", b"c"] and L.kept_lines(b"a\nb\nc", None) == [b"a", b"b", b"c"]
+    assert L.kept_lines(b"\n".join([b"x"] * 10), bits) == [b"x"] * 8
+
+
+def test_odd_rows(spark, odd_docs):
+    rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    assert result(odd_docs) == brute(rows)
+    kept = L.deduplicated(odd_docs)
+    assert kept.columns == odd_docs.columns and kept.count() == 9
+    assert result(odd_docs.limit(0)) == []
+
+
+def test_texts(spark, docs):
+    line = "a line of more than twenty characters"
+    got = {r["doc_id"]: r["text"] for r in L.deduplicated(docs([f"{line}\nx", f" {line.upper()}\ny\n{line}", line, None, f"{line}\nz"])).collect()}
+    assert got == {0: "x", 1: "y", 2: "", 3: None, 4: f"{line}\nz"}
