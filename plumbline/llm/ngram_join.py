@@ -9,12 +9,12 @@ The steps, all exact:
    frequent ones.
 3. Two similar sets share one of their first ``n - ceil(t n) + 1`` n-grams. These prefixes are dealt out by n-gram, packed into
    arrays, and n-grams with several nodes give the candidate lists; equal lists count once.
-4. Nodes that lists connect are a family, and similar nodes are in one family. A family of bounded size is compared in one task, its sets
-   sent once. A larger one is compared list by list: first each node with one leader of its lists, then the lists that still
-   lie in several components in full, in blocks of bounded size.
+4. Each node is compared with the leaders of its lists. Lists that then still lie in several components are gone through in blocks of
+   bounded size, for pairs across components: the prefix n-grams that two nodes share are counted, and only pairs whose
+   count plus remaining length can reach the bound are compared.
 5. A comparison traverses a prefix tree: the sets that meet one query set are sorted by their ordered n-grams, which is the
    depth-first order of their trie, so the overlap counted along a shared path is counted once, and a subtree is left when overlap plus
-   remaining length cannot reach the bound. Pairs that are already connected are not compared; pairs are never listed.
+   remaining length cannot reach the bound.
 6. Components of the links are joined back to the documents.
 
 Hashes: 64 bits for an n-gram, 128 bits for a set.
@@ -45,8 +45,7 @@ COUNTED_BITS = 31           # of an n-gram's hash are cut off in counting
 COUNTED_BELOW = np.uint64(1 << 63)
 CHUNK_NGRAMS = 4_000_000    # n-grams of the sets that are counted, or packed, together
 PART_NGRAMS = 1_000_000     # prefix n-grams of a part
-FAMILY_NODES = 512          # nodes of a family that one task compares
-FAMILY_NGRAMS = 8_000_000   # and their n-grams
+LEADER_NODES = 1024         # nodes that a task compares with one leader
 BLOCK_NODES = 64            # nodes of a block of a list
 STEP = 64                   # n-grams of a path that are looked up at once
 
@@ -89,6 +88,15 @@ class Order:
         return np.concatenate((tokens[:counted][~frequent], tokens[counted:], late[np.argsort(self.counts[at[frequent]], kind="stable")]))
 
 
+    def place(self, token: np.uint64) -> bytes:
+        """Bytes that sort as the n-gram does in the global order."""
+        count, head = 0, np.uint32(token >> np.uint64(COUNTED_BITS)) if token < COUNTED_BELOW else None
+        if head is not None and len(self.heads):
+            at = min(int(np.searchsorted(self.heads, head)), len(self.heads) - 1)
+            count = int(self.counts[at]) if self.heads[at] == head else 0
+        return count.to_bytes(8, "big") + int(token).to_bytes(8, "big")
+
+
 class Traversal:
     """Overlap of one query set with sets that come in the depth-first order of their trie."""
 
@@ -208,7 +216,8 @@ def global_order(profile: DataFrame) -> Order:
 
 
 def candidate_lists(docs: DataFrame, order, parts: int, width: int, percent: int) -> DataFrame:
-    """list, short: nodes (the first 64 bits of their set's hash) that have an n-gram of their prefixes in common."""
+    """list, short, weight: nodes (the first 64 bits of their set's hash) that have n-grams of their prefixes in common, and how many
+    n-grams have just these nodes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = order.value
@@ -262,33 +271,36 @@ def candidate_lists(docs: DataFrame, order, parts: int, width: int, percent: int
             new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
             tokens, nodes = tokens[new], nodes[new]
         begins = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.empty(0, np.int64)
-        found: dict[int, np.ndarray] = {}
+        found: dict[int, list] = {}
         for i, j in zip(begins.tolist(), [*begins[1:].tolist(), len(tokens)]):
             if j - i > 1:
-                found.setdefault(xxh3_64_intdigest(nodes[i:j].tobytes()), nodes[i:j])
-        keys = np.repeat(np.fromiter(found, np.uint64, len(found)).view(np.int64), [len(x) for x in found.values()])
-        return pa.table({"list": pa.array(keys, pa.int64()),
-                         "short": pa.array(np.concatenate([np.empty(0, np.int64), *found.values()]), pa.int64())})
+                found.setdefault(xxh3_64_intdigest(nodes[i:j].tobytes()), [nodes[i:j], 0])[1] += 1
+        sizes = [len(x) for x, _ in found.values()]
+        return pa.table({"list": pa.array(np.repeat(np.fromiter(found, np.uint64, len(found)).view(np.int64), sizes), pa.int64()),
+                         "short": pa.array(np.concatenate([np.empty(0, np.int64), *[x for x, _ in found.values()]]), pa.int64()),
+                         "weight": pa.array(np.repeat(np.array([w for _, w in found.values()], np.int64), sizes), pa.int64())})
 
     packed = docs.select("text").mapInArrow(pack, "part int, tokens binary, nodes binary")
-    return packed.groupBy("part").applyInArrow(lists, "list bigint, short bigint").distinct()
+    return packed.groupBy("part").applyInArrow(lists, "list bigint, short bigint, weight bigint") \
+        .groupBy("list", "short").agg(F.sum("weight").alias("weight"))
 
 
-def ordered_sets(docs: DataFrame, wanted: DataFrame, order, width: int) -> DataFrame:
-    """fp, family, tokens (big-endian, in the global order, so that bytes sort as the trie's depth-first order) of the nodes in
-    ``wanted`` (fp, family, and doc, hash: one document that has the set)."""
+def ordered_sets(docs: DataFrame, wanted: DataFrame, order, width: int, percent: int) -> DataFrame:
+    """fp, n, last (the place of the prefix's last n-gram), tokens (big-endian, in the global order, so that bytes sort as the trie's
+    depth-first order) of the nodes in ``wanted`` (fp, and doc, hash: one document that has the set)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = order.value
         for batch in batches:
-            sets = [own.apply(ngram_set(text, width)).astype(">u8").tobytes() for text in texts(batch.column(2))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), batch.column(1).cast(pa.binary()), pa.array(sets, pa.binary())],
-                                             ["fp", "family", "tokens"])
+            sets = [own.apply(ngram_set(text, width)) for text in texts(batch.column(1))]
+            last = [own.place(s[prefix_length(len(s), percent) - 1]) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(last, pa.binary()),
+                                              pa.array([s.astype(">u8").tobytes() for s in sets], pa.binary())], ["fp", "n", "last", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
     own = rows.join(wanted, rows["_doc"].eqNullSafe(wanted["doc"]) & (rows["_hash"] == wanted["hash"]))
-    # A document repeated in full gives its set more than once.
-    return own.select("fp", "family", "text").mapInArrow(build, "fp binary, family binary, tokens binary")
+    # A document repeated in full would give its set more than once.
+    return own.groupBy("fp").agg(F.first("text").alias("text")).mapInArrow(build, "fp binary, n bigint, last binary, tokens binary")
 
 
 # Comparisons
@@ -306,52 +318,13 @@ def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
 
 
-class Forest:
-    """Which nodes are connected."""
-
-    def __init__(self, pairs):
-        self.root = {}
-        for node, label in pairs:
-            self.root.setdefault(label, label)
-            self.root[node] = label
-
-    def top(self, x: bytes) -> bytes:
-        root = self.root
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    def join(self, a: bytes, b: bytes) -> None:
-        low, high = sorted((self.top(a), self.top(b)))
-        self.root[high] = low
-
-
 def _tokens(data: bytes) -> np.ndarray:
     return np.frombuffer(data, ">u8").astype(np.uint64)
 
 
-def family_components(sets: DataFrame, percent: int) -> DataFrame:
-    """node, component for families (fp, family, tokens) that one task can hold."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 1):
-            found = {row[2]: row[1] for row in group}       # in the trie's order
-            nodes, sets_of = list(found), [_tokens(t) for t in found.values()]
-            forest = Forest((n, n) for n in nodes)
-            for i, node in enumerate(nodes):
-                traversal = Traversal(sets_of[i], percent)
-                for j in range(i + 1, len(nodes)):
-                    if forest.top(node) != forest.top(nodes[j]) and traversal.similar(sets_of[j]):
-                        forest.join(node, nodes[j])
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([forest.top(n) for n in nodes], pa.binary())], ["node", "component"])
-
-    return sets.select("family", "tokens", "fp").repartition("family").sortWithinPartitions("family", "tokens") \
-        .mapInArrow(compare, "node binary, component binary")
-
-
 def leader_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b: the pairs (fp, leader) that are similar. A leader's nodes are dealt out in blocks, each with its leader's set."""
-    sizes = staged(pairs.groupBy(F.col("leader").alias("_leader")).agg(F.ceil(F.count(F.lit(1)) / F.lit(16 * BLOCK_NODES)).alias("blocks")))
+    sizes = staged(pairs.groupBy(F.col("leader").alias("_leader")).agg(F.ceil(F.count(F.lit(1)) / F.lit(LEADER_NODES)).alias("blocks")))
     placed = pairs.join(sizes, pairs["leader"] == sizes["_leader"]) \
         .select("leader", F.pmod(F.xxhash64("fp"), F.col("blocks")).alias("block"), F.lit(1).alias("role"), "fp")
     leaders = sizes.select(F.col("_leader").alias("leader"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
@@ -371,52 +344,55 @@ def leader_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 found = []
         yield _edges(found)
 
-    rows = placed.unionByName(leaders).join(sets, "fp").select("leader", "block", "role", "tokens", "fp")
+    rows = placed.unionByName(leaders).join(sets.select("fp", "tokens"), "fp").select("leader", "block", "role", "tokens", "fp")
     return rows.repartition("leader", "block").sortWithinPartitions("leader", "block", "role", "tokens") \
         .mapInArrow(compare, "a binary, b binary")
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: enough similar pairs of each list's members (list, fp, component) to connect all that are similar."""
+def common_prefixes(members: DataFrame, percent: int) -> DataFrame:
+    """a, b, common: pairs of nodes of different components, of sizes that can be similar, that have prefix n-grams in common, and how
+    many. ``members``: list, fp, n, weight, component."""
     sizes = staged(members.groupBy(F.col("list").alias("_list")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_NODES)).alias("blocks")))
     placed = members.join(sizes, members["list"] == sizes["_list"]) \
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks"))) \
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
-        .select("list", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "fp", "component")
+        .select("list", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "n", "fp", "own", "weight", "component")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[bytes, bytes]] = []
-        for group in _groups(batches, 3):
-            rows = list(group)
-            forest = Forest((row[5], row[6]) for row in rows)
-            sets_of = [_tokens(row[4]) for row in rows]
-            for i, row in enumerate(rows):
-                traversal = Traversal(sets_of[i], percent)
-                for j in range(i + 1, len(rows)):
-                    other = rows[j]
-                    if (row[1] == row[2] or row[3] != other[3]) and forest.top(row[5]) != forest.top(other[5]) and traversal.similar(sets_of[j]):
-                        found.append((row[5], other[5]))
-                        forest.join(row[5], other[5])
-            if len(found) > 10_000:
-                yield _edges(found)
-                found = []
-        yield _edges(found)
-
-    rows = placed.join(sets, "fp").select("list", "low", "high", "own", "tokens", "fp", "component")
-    return rows.repartition("list", "low", "high").sortWithinPartitions("list", "low", "high", "tokens") \
-        .mapInArrow(compare, "a binary, b binary")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[bytes, bytes], int] = {}
 
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.binary()), pa.array([k[1] for k in found], pa.binary()),
+                                               pa.array(list(found.values()), pa.int64())], ["a", "b", "common"])
 
-def large_components(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """node, component of the linked nodes of families too large for one task. ``lists``: list, leader, fp."""
-    sets = sets.select("fp", "tokens")
-    pairs = staged(lists.groupBy("fp").agg(F.min("leader").alias("leader")).where("fp != leader"))
-    links = staged(leader_links(pairs, sets, percent))
-    linked = components(links)
-    members = staged(lists.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("list", "fp", F.coalesce("component", "fp").alias("component")))
-    mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list")
-    more = staged(block_links(staged(members.join(mixed, "list")), sets, percent))
-    return linked if more.isEmpty() else components(links.unionByName(more))
+        for group in _groups(batches, 3):
+            rows = list(group)      # by size; a pair within one block is counted where low and high are equal
+            for i, (_, low, high, n, fp, own, weight, component) in enumerate(rows):
+                for _, _, _, m, other, block, _, far in rows[i + 1:]:
+                    if n * 100 < percent * m:
+                        break
+                    if component != far and (low == high or own != block):
+                        key = (fp, other) if fp < other else (other, fp)
+                        found[key] = found.get(key, 0) + weight
+            if len(found) > 50_000:
+                yield out()
+                found.clear()
+        yield out()
+
+    pairs = placed.repartition("list", "low", "high").sortWithinPartitions("list", "low", "high", "n", "fp") \
+        .mapInArrow(count, "a binary, b binary, common bigint")
+    return pairs.groupBy("a", "b").agg(F.sum("common").alias("common"))
+
+
+def reachable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """fp, leader: the pairs (a, b, common) that may be similar. Of two nodes, all common n-grams up to the end of the prefix that ends first are
+    counted, so their overlap is at most the count and what that node has after its prefix."""
+    own = lambda side: sets.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), F.col("last").alias(f"last_{side}"))     # noqa: E731
+    joined = pairs.join(own("a"), "a").join(own("b"), "b")
+    n = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
+    after = F.ceil(n * F.lit(percent) / 100) - 1
+    return joined.where((F.col("common") + after) * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))) \
+        .select(F.col("b").alias("fp"), F.col("a").alias("leader"))
 
 
 def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -433,23 +409,20 @@ def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     order = spark.sparkContext.broadcast(global_order(profile))
     prefixes = scalar(nodes, F.sum(F.col("n") * (100 - percent) / 100 + 1)) or 0
     shorts = staged(candidate_lists(docs, order, max(4 * tasks, math.ceil(prefixes / PART_NGRAMS)), width, percent))
-    lists = staged(shorts.join(nodes.select("short", "fp"), "short").select("list", "fp"))
+    lists = shorts.join(nodes.select("short", "fp", "n"), "short").select("list", "fp", "n", "weight")
     heads = lists.groupBy(F.col("list").alias("_list")).agg(F.min("fp").alias("leader"))
-    lists = staged(lists.join(heads, lists["list"] == heads["_list"]).select("list", "leader", "fp"))
-    families = components(lists.where("leader != fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()) \
-        .select(F.col("node").alias("fp"), F.col("component").alias("family"))
-    wanted = staged(families.join(nodes, "fp").select("fp", "family", "n", F.col("first.doc").alias("doc"), F.col("first.hash").alias("hash")))
-    sizes = wanted.groupBy("family").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("ngrams"))
-    large = staged(sizes.where((F.col("nodes") > FAMILY_NODES) | (F.col("ngrams") > FAMILY_NGRAMS)).select("family"))
-    sets = ordered_sets(docs, wanted, order, width)
-    if large.isEmpty():
-        linked = family_components(sets, percent)
-    else:
-        sets = staged(sets)
-        linked = family_components(sets.join(large, "family", "left_anti"), percent)
-        big = staged(wanted.join(large, "family", "left_semi").select("fp"))
-        linked = linked.unionByName(large_components(lists.join(big, "fp"), sets.join(big, "fp").dropDuplicates(["fp"]), percent))
-    named = nodes.select("fp", "first").join(linked.withColumnRenamed("node", "fp"), "fp", "left") \
+    lists = staged(lists.join(heads, lists["list"] == heads["_list"]).select("list", "leader", "fp", "n", "weight"))
+    wanted = nodes.join(lists.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first.doc").alias("doc"), F.col("first.hash").alias("hash"))
+    sets = staged(ordered_sets(docs, staged(wanted), order, width, percent))
+    links = staged(leader_links(staged(lists.where("leader != fp").select("fp", "leader").distinct()), sets, percent))
+    linked = components(links).withColumnRenamed("node", "fp")
+    members = staged(lists.join(linked, "fp", "left").select("list", "fp", "n", "weight", F.coalesce("component", "fp").alias("component")))
+    mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list")
+    pairs = staged(reachable(common_prefixes(members.join(mixed, "list"), percent), sets, percent))
+    more = staged(leader_links(pairs, sets, percent))
+    if not more.isEmpty():
+        linked = components(links.unionByName(more)).withColumnRenamed("node", "fp")
+    named = nodes.select("fp", "first").join(linked, "fp", "left") \
         .select("fp", "first", F.coalesce("component", "fp").alias("component"))
     named = staged(named)
     keepers = named.groupBy("component").agg(F.min("first").alias("keeper"))

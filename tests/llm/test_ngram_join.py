@@ -68,9 +68,9 @@ def result(df):
 
 @pytest.mark.parametrize("seed", range(4))
 def test_against_brute_force(docs, seed, monkeypatch):
-    if seed % 2:        # few frequent n-grams, small chunks and parts, large families and small blocks at this size too
+    if seed % 2:        # few frequent n-grams, small chunks, parts and blocks at this size too
         monkeypatch.setattr(J, "FREQUENT", 40)
-        monkeypatch.setattr(J, "FAMILY_NODES", 2)
+        monkeypatch.setattr(J, "LEADER_NODES", 2)
         monkeypatch.setattr(J, "BLOCK_NODES", 3)
         monkeypatch.setattr(J, "PART_NGRAMS", 100)
         monkeypatch.setattr(J, "CHUNK_NGRAMS", 500)
@@ -78,7 +78,7 @@ def test_against_brute_force(docs, seed, monkeypatch):
     assert result(docs(rows).repartition(3)) == brute(rows)
 
 
-@pytest.mark.parametrize("nodes", [J.FAMILY_NODES, 5])
+@pytest.mark.parametrize("nodes", [J.BLOCK_NODES, 2])
 def test_links_that_no_leader_has(docs, monkeypatch, nodes):
     """Neighbours in a chain are similar, its ends are not; the documents' order does not follow the chain."""
     base = words("chain", 100, 10_000)
@@ -86,7 +86,7 @@ def test_links_that_no_leader_has(docs, monkeypatch, nodes):
     for i in range(30):
         base = base[3:] + words(f"c{i}", 3, 10_000)
         chain.append(" ".join(base))
-    monkeypatch.setattr(J, "FAMILY_NODES", nodes)
+    monkeypatch.setattr(J, "BLOCK_NODES", nodes)
     random.Random(3).shuffle(chain)
     rows = list(enumerate(chain))
     assert result(docs(rows)) == brute(rows) and len({r[2] for r in brute(rows)}) == 1
