@@ -10,7 +10,7 @@ from plumbline.operators.consistency import (Rule, consistency_attribute, consis
 from plumbline.operators.distinctness import (DISTINCTNESS_SCHEMA, VALUES_SCHEMA, distinct_values,
                                               distinctness_attribute, distinctness_global, distinctness_update,
                                               new_values, population_attribute)
-from plumbline.plans.lookup import flag_known
+from plumbline.plans.lookup import Lookup, flag_known
 from plumbline.plans.summary import summarise
 
 from .registry import query, r6, rounded, sql_key, table, union
@@ -151,7 +151,7 @@ def valid_combinations(spark, sf_dir):
     return rounded(with_association(homes, [regions, segments]).select("c_custkey", "ASSOCIATION_CONSISTENCY"))
 
 
-# A list that is taken for too long to broadcast: part and supplier pairs shipped before 1998, two flags dominate
+# A list that is taken for too long to broadcast: flags with quantities of lines shipped before March 1992; few flags hold all rows
 @query("association_long_list", """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, EXISTS (
     SELECT 1 FROM lineitem e WHERE e.l_returnflag = l.l_returnflag AND e.l_quantity = l.l_quantity
@@ -161,5 +161,5 @@ def long_list(spark, sf_dir):
     keys = ["l_returnflag", "l_quantity"]
     known = (lineitem.filter(F.col("l_shipdate") < F.lit("1992-03-01 00:00:00").cast("timestamp_ntz"))
              .select(*[as_text(k).alias(k) for k in keys]))
-    flagged = flag_known(lineitem, {k: as_text(k) for k in keys}, known, "known", broadcast_bytes=0)
+    flagged = flag_known(lineitem, [Lookup({k: as_text(k) for k in keys}, known, "known")], broadcast_bytes=0)
     return flagged.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "known")

@@ -26,10 +26,9 @@ RULE = Rule(("event_type",), ("value",))
 
 
 def work_folder(spark) -> str:
-    """A fresh folder below the cluster's checkpoint folder; a temporary one only if none is set."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return staging_folder(spark, None)
-    return staging_folder(spark, tempfile.gettempdir())
+    """A fresh folder below the cluster's checkpoint folder; a temporary one only if none is set and the driver runs the tasks."""
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    return staging_folder(spark, tempfile.gettempdir() if local else None)
 
 
 def _halves(spark, sf_dir):

@@ -1,10 +1,11 @@
 """Jobs for spark-submit or ``python -m plumbline``.
 
     profile INPUT RESULT_FOLDER [--volatility HOURS] [--time-format FORMAT]... [--bindings PATH]...
-            [--series START END DAYS] [--format json|text|parquet|...] [--before CHARS --after CHARS [--header A,B]]
+            [--series START END DAYS] [--format json|text|csv|parquet|...] [--option KEY=VALUE]... [--columns A,B]
+            [--before CHARS --after CHARS [--header A,B]] [--digits-only]
     assess CONFIGURATION SAMPLE
 
-With ``--series`` the input is a strftime pattern of file names. Text input needs the characters that stand before
+Delimited text is ``--format csv`` with ``--option header=true`` or ``--option sep=;``. With ``--series`` the input is a strftime pattern of file names. Text input needs the characters that stand before
 and after a cell. The configuration of an assessment is a text of 14 lines, see ``AssessmentSpec.from_lines``.
 """
 
@@ -40,7 +41,11 @@ def arguments() -> argparse.ArgumentParser:
     profile.add_argument("--format", default="json")
     profile.add_argument("--before")
     profile.add_argument("--after")
-    profile.add_argument("--header", type=lambda text: tuple(text.split(",")))
+    names = lambda text: tuple(text.split(","))      # noqa: E731
+    profile.add_argument("--header", type=names)
+    profile.add_argument("--columns", type=names, help="fields of JSON batches, instead of a pass to find them")
+    profile.add_argument("--digits-only", action="store_true", help="numbers are written in digits only")
+    profile.add_argument("--option", action="append", default=[], help="of the reader, as key=value")
     assessment = jobs.add_parser("assess")
     assessment.add_argument("configuration")
     assessment.add_argument("sample", type=float)
@@ -56,7 +61,8 @@ def run_profile(spark: SparkSession, options: argparse.Namespace, as_of: dt.date
             raise ValueError("the series names no file: check the pattern, the start and the end")
     layout = TextLayout(options.before, options.after, options.header) if options.before and options.after else None
     spec = ProfileSpec(options.result_folder, options.volatility, tuple(options.time_format), tuple(options.bindings),
-                       options.format, layout)
+                       options.format, layout, options.columns, options.digits_only,
+                       dict(o.split("=", 1) for o in options.option))
     return profile_files(spark, paths, spec, as_of)
 
 

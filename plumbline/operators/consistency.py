@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions.cells import as_text, cell, key_cell, key_text
 from ..functions.scores import ratio
-from ..plans.lookup import flag_known
+from ..plans.lookup import BROADCAST_BYTES, Lookup, flag_known
 from ..plans.summary import aggregate_sets, by_set
 
 RULES_SCHEMA = "Antecedent string, Consequent string"
+MAX_RULES = 10_000              # every dozen is a scan of its own
 
 
 @dataclass(frozen=True)
@@ -47,10 +48,14 @@ def parse_rule(text: str) -> Rule | None:
 
 
 def rule_set(stored: DataFrame | None, extra: Sequence[Rule], columns: Sequence[str]) -> list[Rule]:
-    """Stored and extra rules whose columns are all at hand. Rules are few: their names come to the driver."""
+    """Stored and extra rules whose columns are all at hand. Their names come to the driver, so there may be ``MAX_RULES`` at
+    most; a longer list is an error, not cut."""
     rules = []
     if stored is not None:
-        for row in stored.select("Antecedent", "Consequent").collect():
+        names = stored.select("Antecedent", "Consequent").distinct().limit(MAX_RULES + 1).collect()
+        if len(names) > MAX_RULES:
+            raise ValueError(f"more than {MAX_RULES} stored rules")
+        for row in sorted(names):
             rules.append(Rule(tuple(row["Antecedent"].split(",")), tuple(row["Consequent"].split(","))))
     rules.extend(extra)
     return [r for r in dict.fromkeys(rules) if set(r.columns) <= set(columns)]
@@ -87,8 +92,8 @@ def applicable_bindings(bindings: Sequence[DataFrame], columns: Sequence[str]) -
     return [b for b in bindings if b.columns and set(b.columns) <= set(columns)]
 
 
-def with_association(df: DataFrame, bindings: Sequence[DataFrame],
-                     name: str = "ASSOCIATION_CONSISTENCY") -> DataFrame:
+def with_association(df: DataFrame, bindings: Sequence[DataFrame], name: str = "ASSOCIATION_CONSISTENCY",
+                     broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add the share of binding lists that hold the row's values. Without a list there is no score to add.
 
     Values are compared as texts; a list never matches by a combination with a NULL in it.
@@ -97,11 +102,10 @@ def with_association(df: DataFrame, bindings: Sequence[DataFrame],
     if not lists:
         return df
     kept = [c for c in df.columns if c != name]
-    result, flags = df.select(*[cell(c) for c in kept]), []
-    for i, binding in enumerate(lists):
-        flag = f"__known_{i}"
-        known = binding.dropna("any").select(*[cell(c).cast("string").alias(c) for c in binding.columns])
-        result = flag_known(result, {c: as_text(c) for c in binding.columns}, known, flag)
-        flags.append(F.col(flag).cast("int"))
+    lookups = [Lookup({c: as_text(c) for c in binding.columns},
+                      binding.dropna("any").select(*[cell(c).cast("string").alias(c) for c in binding.columns]), f"__known_{i}")
+               for i, binding in enumerate(lists)]
+    result = flag_known(df.select(*[cell(c) for c in kept]), lookups, broadcast_bytes)
+    flags = [F.col(lookup.flag).cast("int") for lookup in lookups]
     hits = sum(flags[1:], flags[0])
     return result.select(*[cell(c) for c in kept], ratio(hits, F.lit(len(lists))).alias(name))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.cells import as_text, cell
 from ..functions.scores import at_least_zero, at_most_one, ratio
@@ -15,11 +16,24 @@ VALUES_SCHEMA = "attribute string, value string"
 DISTINCTNESS_SCHEMA = "Attribute string, Count bigint, TotalRows bigint, DistinctnessValue double"
 
 
-def row_digest(columns: Sequence[str]):
+def _exact_text(name: str, kind: T.DataType) -> Column:
+    """A text that two cells share if and only if grouping takes them as equal."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (cell(name) + F.lit(0.0)).cast("string")         # 0.0 for -0.0
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(cell(name)).cast("string")         # two instants may share a local time
+    if isinstance(kind, T.BinaryType):
+        return F.hex(cell(name))
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.to_json(F.struct(cell(name)), {"ignoreNullFields": "false"})
+    return cell(name).cast("string")
+
+
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 over the cells, each with its length so that no two rows write the same text."""
     parts = []
     for name in columns:
-        text = cell(name).cast("string")
+        text = _exact_text(name, df.schema[name].dataType)
         parts.append(F.when(text.isNull(), F.lit("-")).otherwise(
             F.concat(F.length(text).cast("string"), F.lit(":"), text)))
     return F.sha2(F.concat(*parts), 256)
@@ -32,7 +46,7 @@ def distinctness_global(df: DataFrame, columns: Sequence[str], digest: bool = Fa
     ``DistinctRatio`` is the plain share of distinct rows. With ``digest`` the shuffle moves a SHA-256
     digest per row instead of the row, which pays for wide rows. Equal rows are combined before it either way.
     """
-    keys = [row_digest(columns).alias("digest")] if digest else [cell(c) for c in columns]
+    keys = [row_digest(df, columns).alias("digest")] if digest else [cell(c) for c in columns]
     counted = df.select(*keys)
     sizes = counted.groupBy(*[cell(c) for c in counted.columns]).agg(F.count(F.lit(1)).alias("copies"))
     repeated = F.sum(F.when(F.col("copies") > 2, F.col("copies") / 2).otherwise(0.0))

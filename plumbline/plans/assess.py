@@ -6,7 +6,7 @@ import datetime as dt
 import logging
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,16 +58,16 @@ def assess_frame(source: DataFrame, types: ColumnTypes, spec: AssessmentSpec, as
     table; volume, completeness, accuracy, precision, timeliness, distinct keys and population are projections
     of it at every level. Whole-row distinctness, rules and frequency are one scan each, if asked for.
 
-    With ``errors`` a part that fails is noted there and the others go on; otherwise it raises.
+    With ``errors`` a dimension of the summary, or another part, that fails is noted there under its name and the others go on;
+    otherwise it raises.
     """
     now = instant(as_of)
-    total = source.count() if "Volume" in spec.dimensions else 0
     selected = select_rows(source, spec.columns, spec.ranges, spec.values, types)
     if spec.sample < 1:
         # Written once, so that every scan below sees the same sample.
         selected = stage(sample_rows(selected, spec.sample, spec.seed), staging, "sample")
 
-    plan = _Plan(spec, types, reference, now, total, selected, staging)
+    plan = _Plan(spec, types, reference, now, source, selected, staging, errors)
     tables: dict[str, DataFrame] = {}
     global_frames: list[DataFrame] = []
     parts = {"summary": plan.summary_part, "consistency": plan.consistency_part, "frequency": plan.frequency_part,
@@ -101,22 +101,46 @@ def _final_quality(frames: Sequence[DataFrame], confidence: float, spark: SparkS
 class _Plan:
     """The tables of one assessment over its selected rows."""
 
-    def __init__(self, spec: AssessmentSpec, types: ColumnTypes, reference: Reference, now: Column, total: int,
-                 selected: DataFrame, staging: str):
-        self.spec, self.types, self.reference, self.staging = spec, types, reference, staging
-        self.total, self.selected = total, selected
+    def __init__(self, spec: AssessmentSpec, types: ColumnTypes, reference: Reference, now: Column, source: DataFrame,
+                 selected: DataFrame, staging: str, errors: dict[str, str] | None = None):
+        self.types, self.reference, self.staging = types, reference, staging
+        self.selected = selected
         self.filled = drop_incomplete(selected, spec.columns)
         # Grouping by a time is of no use; attribute completeness alone takes such keys.
         self.key_sets = [k for k in spec.key_sets if not any(types.is_time(c) for c in k)]
-        self.completeness = Completeness(spec.columns)
-        self.accuracy = Accuracy([Expected(c, *spec.expected[c]) for c in self._columns("Accuracy")
-                                  if c in spec.expected])
-        self.precision = Precision(self._columns("Precision"))
+        columns = lambda dimension: [c for c in types.columns_for(dimension) if c in spec.columns]      # noqa: E731
         self.validities = validities_of(spec, types, reference.volatility_hours)
-        self.timeliness = Timeliness(self.validities, now)
-
-    def _columns(self, dimension: str) -> list[str]:
-        return [c for c in self.types.columns_for(dimension) if c in self.spec.columns]
+        build = {
+            "Volume": lambda: source.count(),
+            "Completeness_Missing": lambda: self._checked(Completeness(spec.columns)),
+            "Accuracy": lambda: self._checked(Accuracy([Expected(c, *spec.expected[c]) for c in columns("Accuracy")
+                                                        if c in spec.expected])),
+            "Precision": lambda: self._checked(Precision(columns("Precision"))),
+            "Timeliness": lambda: self._checked(Timeliness(self.validities, now)),
+        }
+        # A dimension that cannot be built is left out, so that the others still share their scan.
+        built: dict[str, object] = {}
+        for dimension in [d for d in build if d in spec.dimensions]:
+            try:
+                built[dimension] = build[dimension]()
+            except Exception as error:      # noqa: BLE001 - reported, the other dimensions go on
+                if errors is None:
+                    raise
+                log.error("%s failed", dimension, exc_info=error)
+                errors[dimension] = str(error)
+                spec = replace(spec, dimensions={d: g for d, g in spec.dimensions.items() if d != dimension})
+        self.spec = spec
+        self.total = built.get("Volume", 0)
+        self.completeness = built.get("Completeness_Missing") or Completeness(spec.columns)
+        self.accuracy = built.get("Accuracy") or Accuracy([])
+        self.precision = built.get("Precision") or Precision([])
+        self.timeliness = built.get("Timeliness") or Timeliness([], now)
+
+    def _checked(self, measure):
+        """The measure, once its columns and aggregates are known to fit the rows."""
+        self.selected.select(*[c.alias(n) for n, c in measure.row_columns(self.selected, F.lit(True)).items()]) \
+            .agg(F.count(F.lit(1)), *measure.aggregates()).schema
+        return measure
 
     def summary_part(self) -> Part:
         if not any(d in self.spec.dimensions for d in SUMMARISED):
@@ -299,8 +323,12 @@ def assess(spark: SparkSession, spec: AssessmentSpec, as_of: dt.datetime | str)
     source = extended.select(*[cell(c) for c in spec.columns])
     tables = assess_frame(source, types, spec, as_of, staging, reference, result.errors)
     if any(spec.asks(d, TUPLE) for d in spec.dimensions):
-        tables["extended_dataset"] = rescore_rows(extended, types, spec, as_of, read_bindings(spark, spec.binding_paths),
-                                                  metadata.binding_paths, metadata.volatility_hours)
+        try:
+            tables["extended_dataset"] = rescore_rows(extended, types, spec, as_of, read_bindings(spark, spec.binding_paths),
+                                                      metadata.binding_paths, metadata.volatility_hours)
+        except Exception as error:      # noqa: BLE001 - reported with the result, the other tables go on
+            log.exception("the rows could not be scored")
+            result.errors["extended_dataset"] = str(error)
     # Most tables are small: a few jobs at a time keep the executors busy.
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         list(pool.map(lambda item: _write(result, *item, spec.file_format), tables.items()))

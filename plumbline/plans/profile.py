@@ -18,7 +18,7 @@ from ..operators.frequency import frequency_global, frequency_hour
 from ..operators.inference import ColumnTypes, infer_types
 from ..operators.precision import Precision
 from ..operators.timeliness import RowTimeliness, Validity, timeliness_row
-from ..sources.readers import batch_name, read_batch
+from ..sources.readers import batch_digest, batch_name, malformed_lines, read_batch
 from ..sources.state import SourceMetadata, SourceState, read_bindings
 from ..spec import ProfileSpec
 from .combine import named, side_by_side
@@ -82,8 +82,9 @@ def distinctness_metrics(update: DataFrame, columns: Sequence[str], source: str
 
 
 def profile_batch(spark: SparkSession, batch: DataFrame, name: str, spec: ProfileSpec,
-                  as_of: dt.datetime | str) -> bool:
-    """Profile one batch. False if the ledger says it was analysed before; a failure is recorded and raised."""
+                  as_of: dt.datetime | str, paths: str | None = None) -> bool:
+    """Profile one batch. False if the ledger says it was analysed before; a failure is recorded and raised. ``paths`` is the digest of
+    a batch of files."""
     state = SourceState(spark, spec.result_folder)
     version, analysed = state.progress(name)
     if analysed:
@@ -93,9 +94,9 @@ def profile_batch(spark: SparkSession, batch: DataFrame, name: str, spec: Profil
     try:
         _profile(state, batch, name, spec, as_of, version)
     except Exception:
-        state.record(name, False, str(as_of), None)
+        state.record(name, False, str(as_of), None, paths)
         raise
-    state.record(name, True, str(as_of), version)
+    state.record(name, True, str(as_of), version, paths)
     return True
 
 
@@ -104,7 +105,7 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
     spark, now = state.spark, instant(as_of)
     metadata = state.metadata(version - 1)
     if metadata is None:
-        metadata = SourceMetadata(infer_types(batch, spec.time_formats), batch.schema, spec.volatility_hours,
+        metadata = SourceMetadata(infer_types(batch, spec.all_time_formats), batch.schema, spec.volatility_hours,
                                   tuple(spec.binding_paths))
         state.save_metadata(metadata, version)
     types, volatility = metadata.types, metadata.volatility_hours
@@ -138,11 +139,14 @@ def profile_files(spark: SparkSession, paths: Sequence[str], spec: ProfileSpec,
     """Profile the batch that a list of files makes up."""
     if not paths:
         raise ValueError("no input files")
-    name = batch_name(paths)
-    state = SourceState(spark, spec.result_folder)
-    version, analysed = state.progress(name)
+    digest, state = batch_digest(paths), SourceState(spark, spec.result_folder)
+    version, analysed, name = state.place_of(batch_name(paths), digest)
     if analysed:
         return False
     metadata = state.metadata(version)
-    batch = read_batch(spark, paths, spec.file_format, spec.layout, metadata.columns if metadata else spec.columns)
-    return profile_batch(spark, batch, name, spec, as_of)
+    batch = read_batch(spark, paths, spec.file_format, spec.layout, metadata.columns if metadata else spec.columns, spec.options)
+    if spec.file_format == "json" and spec.layout is None:
+        lines = state.write_malformed(malformed_lines(spark, paths, batch.schema), name)
+        if lines:
+            log.warning("batch %s: %d lines are no JSON objects, kept in malformed_lines", name, lines)
+    return profile_batch(spark, batch, name, spec, as_of, digest)

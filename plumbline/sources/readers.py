@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,17 +13,34 @@ from pyspark.sql import types as T
 
 from ..functions.cells import cell
 
+DIGEST_DIGITS = 16              # of the digest of a batch's paths
+CORRUPT = "_corrupt_record"
+
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
 def read_json(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
-    """JSON lines, every cell a text. Without ``columns`` the field names are found by a pass over the data."""
-    reader = spark.read.option("primitivesAsString", "true")
-    if columns:
-        reader = reader.schema(text_schema(columns))
-    return reader.json(paths if isinstance(paths, str) else list(paths))
+    """JSON lines, every cell a text. Without ``columns`` the field names are found by a pass over the data.
+
+    Lines that are no JSON objects are neither rows nor columns; ``malformed_lines`` has them.
+    """
+    files = paths if isinstance(paths, str) else list(paths)
+    reader = spark.read.option("primitivesAsString", "true").option("columnNameOfCorruptRecord", CORRUPT)
+    found = text_schema(columns) if columns else reader.json(files).schema
+    schema = T.StructType([f for f in found.fields if f.name != CORRUPT])
+    if not schema.fields:
+        raise ValueError(f"no JSON objects in {paths}")
+    return reader.schema(schema).option("mode", "DROPMALFORMED").json(files)
+
+
+def malformed_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """``line`` of every line of JSON files that is no JSON object of this schema."""
+    whole = T.StructType(list(schema.fields)).add(CORRUPT, T.StringType())
+    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).filter(F.trim("value") != "")
+    parsed = F.from_json("value", whole, {"columnNameOfCorruptRecord": CORRUPT})
+    return lines.filter(parsed[CORRUPT].isNotNull()).select(F.col("value").alias("line"))
 
 
 @dataclass(frozen=True)
@@ -75,20 +93,28 @@ def read_text(spark: SparkSession, paths: str | Sequence[str], layout: TextLayou
 
 
 def read_batch(spark: SparkSession, paths: str | Sequence[str], file_format: str = "json",
-               layout: TextLayout | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """A batch in any supported form: ``json``, ``text`` with a layout, or a typed format Spark reads."""
+               layout: TextLayout | None = None, columns: Sequence[str] | None = None,
+               options: Mapping[str, str] | None = None) -> DataFrame:
+    """A batch in any supported form: ``json``, ``text`` with a layout, or a format Spark reads, with its reader's ``options``
+    (for delimited text ``csv`` with ``header`` and ``sep``)."""
     if layout is not None or file_format == "text":
         if layout is None:
             raise ValueError("text batches need a layout")
         return read_text(spark, paths, layout)
     if file_format == "json":
         return read_json(spark, paths, columns)
-    return spark.read.format(file_format).load(paths if isinstance(paths, str) else list(paths))
+    return spark.read.format(file_format).options(**(options or {})).load(paths if isinstance(paths, str) else list(paths))
 
 
 def batch_name(paths: Sequence[str]) -> str:
-    """Name of a batch from its files: first and last file name without ``.txt``."""
+    """Readable name of a batch from its files: first and last file name without ``.txt``. Several batches may share it."""
     names = [p.rstrip("/").rsplit("/", 1)[-1].removesuffix(".txt") for p in paths]
     if not names or not all(names):
         raise ValueError(f"cannot name a batch from {list(paths)}")
     return names[0] if len(names) == 1 else f"{names[0]}_{names[-1]}"
+
+
+def batch_digest(paths: Sequence[str]) -> str:
+    """Identity of a batch of files: a digest of all full paths, in any order."""
+    full = sorted({p.rstrip("/") for p in paths})
+    return hashlib.sha256("\n".join(full).encode()).hexdigest()[:DIGEST_DIGITS]

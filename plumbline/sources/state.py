@@ -19,8 +19,9 @@ from ..functions.times import DEFAULT_VOLATILITY_HOURS
 from ..operators.consistency import RULES_SCHEMA
 from ..operators.distinctness import DISTINCTNESS_SCHEMA, VALUES_SCHEMA
 from ..operators.inference import ColumnTypes, dimension_columns
+from .readers import CORRUPT, DIGEST_DIGITS
 
-LEDGER_SCHEMA = "fileName string, correctAnalysis int, analysisTime string, version int"
+LEDGER_SCHEMA = "fileName string, correctAnalysis int, analysisTime string, version int, paths string"
 HOURLY_RATE_SCHEMA = "Hour int, Frequency double"
 VALUE_RATE_SCHEMA = "Key string, Value string, Hour int, Frequency double"
 METADATA_SCHEMA = ("header array<string>, volatility double, datatypes array<string>, timeFormats array<string>, "
@@ -79,7 +80,11 @@ class SourceState:
     def correct_batches(self, requested: Sequence[str] | None = None) -> DataFrame:
         """Names of correctly analysed batches, of all or of the requested ones."""
         names = self.ledger().filter("correctAnalysis = 1").select(F.col("fileName").alias("batch"))
-        return names if requested is None else names.filter(F.col("batch").isin(list(requested)))
+        if requested is None:
+            return names
+        # Batches of other files with the same name carry a digest; the plain name asks for all of them.
+        readable = F.regexp_replace("batch", f"-[0-9a-f]{{{DIGEST_DIGITS}}}$", "")
+        return names.filter(F.col("batch").isin(list(requested)) | readable.isin(list(requested)))
 
     def progress(self, batch: str) -> tuple[int, bool]:
         """Version of the source, and whether a batch was analysed correctly before."""
@@ -88,14 +93,24 @@ class SourceState:
                           F.coalesce(F.max(F.col("fileName") == batch), F.lit(False)).alias("analysed")).head()
         return row["version"] or 0, row["analysed"]
 
+    def place_of(self, name: str, digest: str) -> tuple[int, bool, str]:
+        """Version of the source, whether the files with this digest of their paths were analysed correctly before, and the name of their
+        batch: the plain one, unless batches of other files have it. A ledger without digests goes by names."""
+        correct = self.ledger().filter("correctAnalysis = 1")
+        own = (F.col("paths") == digest) | (F.col("paths").isNull() & (F.col("fileName") == name))
+        other = (F.col("fileName") == name) & (F.col("paths") != digest)
+        row = correct.agg(F.max("version").alias("version"), F.coalesce(F.max(own), F.lit(False)).alias("analysed"),
+                          F.coalesce(F.max(other), F.lit(False)).alias("taken")).head()
+        return row["version"] or 0, row["analysed"], f"{name}-{digest}" if row["taken"] else name
+
     def is_analysed(self, batch: str) -> bool:
         return self.progress(batch)[1]
 
     def version(self) -> int:
         return self.progress("")[0]
 
-    def record(self, batch: str, correct: bool, analysis_time: str, version: int | None) -> None:
-        (self.spark.createDataFrame([(batch, int(correct), analysis_time, version)], LEDGER_SCHEMA)
+    def record(self, batch: str, correct: bool, analysis_time: str, version: int | None, paths: str | None = None) -> None:
+        (self.spark.createDataFrame([(batch, int(correct), analysis_time, version, paths)], LEDGER_SCHEMA)
          .write.mode("append").json(self.path("source_analysed_updates")))
 
     # Tables of a version
@@ -148,6 +163,17 @@ class SourceState:
         (df.withColumn("batch", F.lit(batch)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(self.path("extended_dataset")))
 
+    def write_malformed(self, lines: DataFrame, batch: str) -> int:
+        """Keep the lines of a batch that could not be read, and say how many they are."""
+        path = self.path("malformed_lines", f"batch={batch}")
+        lines.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema("line string").parquet(path).count()
+
+    def malformed(self) -> DataFrame:
+        """``batch, line`` of all lines that could not be read."""
+        found = read_or_none(self.spark, self.path("malformed_lines"), "line string, batch string", "parquet")
+        return found if found is not None else self.spark.createDataFrame([], "line string, batch string")
+
     def extended(self, metadata: SourceMetadata, batches: DataFrame | None = None) -> DataFrame:
         """Profiled rows of the correctly analysed batches. The names prune the partitions that are read."""
         names = self.correct_batches() if batches is None else batches
@@ -207,9 +233,17 @@ def extended_columns(metadata: SourceMetadata) -> list[str]:
 
 
 def read_bindings(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
-    """Lists of valid combinations, one JSON-lines table each; a path without a table is left out."""
-    tables = [read_or_none(spark, path) for path in paths]
-    return [t for t in tables if t is not None and t.columns and "_corrupt_record" not in t.columns]
+    """Lists of valid combinations, one JSON-lines table each. A list that cannot be read whole is an error: without it, or
+    without some of its lines, every score would change."""
+    tables = []
+    for path in paths:
+        found = read_or_none(spark, path)
+        if found is None or not found.columns:
+            raise ValueError(f"no valid combinations at {path}")
+        if CORRUPT in found.columns:
+            raise ValueError(f"{path} holds lines that are no JSON objects")
+        tables.append(found)
+    return tables
 
 
 def write_table(df: DataFrame, folder: str, name: str, file_format: str = "parquet",

@@ -33,7 +33,8 @@ REFRESH_SUFFIX = "-R"           # of Consistency: score the rows again even with
 class ProfileSpec:
     """One source: where its state lives and how its batches read.
 
-    ``columns`` names the fields of JSON batches; without it the first batch is read once more to find them.
+    ``columns`` names the fields of JSON batches; without it the first batch is read once more to find them. ``options``
+    are those of Spark's reader for the other formats.
     """
 
     result_folder: str
@@ -44,6 +45,12 @@ class ProfileSpec:
     layout: TextLayout | None = None
     columns: tuple[str, ...] | None = None
     digits_only: bool = False
+    options: Mapping[str, str] = field(default_factory=dict)
+
+    @property
+    def all_time_formats(self) -> tuple[str, ...]:
+        """Formats to try on texts: those given, then those of the layout."""
+        return tuple(dict.fromkeys(self.time_formats + (self.layout.time_formats if self.layout else ())))
 
 
 def granularities(dimension: str, asked: Sequence[str]) -> tuple[str, ...]:

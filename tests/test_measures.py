@@ -220,6 +220,20 @@ def test_distinctness_of_rows(rows, digest):
     assert got["DistinctRatio"] == pytest.approx(4 / 10)
 
 
+def test_digest_groups_as_rows_do(spark, rows):
+    zeros = rows([(0.0, 1.5), (-0.0, 1.5), (0.0, 1.5), (float("nan"), 2.0), (float("nan"), 2.0)], "x double, y float")
+    plain, digest = (distinctness_global(zeros, ["x", "y"], d).head() for d in (False, True))
+    assert plain == digest and digest["DistinctRatio"] == 0.4
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:        # the hour that is there twice when summer time ends
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        times = spark.sql("SELECT timestamp_seconds(s) AS t, CAST(unhex(h) AS BINARY) AS b, array(s) AS a FROM VALUES (1698537600L, 'FF'), (1698541200L, 'FE') AS v(s, h)")
+        for columns in (["t"], ["b"], ["a"], ["t", "b", "a"]):
+            assert distinctness_global(times, columns, True).head()["DistinctRatio"] == 1.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_digest_keeps_rows_apart(rows):
     df = rows([("1:a", "b"), ("1:a1:b", ""), ("-", None), (None, "-"), ("a", "bc"), ("ab", "c")], "a string, b string")
     assert distinctness_global(df, ["a", "b"], digest=True).head()["DistinctRatio"] == 1.0

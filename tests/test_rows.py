@@ -9,7 +9,7 @@ from plumbline.operators.consistency import (Rule, consistency_attribute, consis
                                              with_association)
 from plumbline.operators.inference import ColumnTypes, dimension_columns, infer_types
 from plumbline.operators.selection import Range, drop_incomplete, sample_rows, select_rows
-from plumbline.plans.lookup import flag_known, hot_keys, text_bytes
+from plumbline.plans.lookup import Lookup, flag_known, hot_keys, text_bytes
 from plumbline.sources.readers import TextLayout, batch_name, clean_line, read_text, split_cells
 
 GRID = ColumnTypes({"a": "float", "b": "float"})
@@ -144,15 +144,29 @@ def test_long_list_answers_like_a_short_one(spark):
         .otherwise(F.col("id").cast("string")).alias("k"))
     known = (spark.range(0, 6000, 5).select(F.col("id").cast("string").alias("k"))
              .unionByName(spark.createDataFrame([("hot",), ("hot",)], "k string")))
-    short = flag_known(rows, {"k": as_text("k")}, known, "known")
-    assert sorted(r["k"] for r in hot_keys(rows, ["k"], 0.5).collect()) == ["absent", "hot"]
-    assert hot_keys(rows, ["id"], 0.5).isEmpty()
-    long = flag_known(rows, {"k": as_text("k")}, known, "known", broadcast_bytes=0)
+    lookup = Lookup({"k": as_text("k")}, known, "known")
+    short = flag_known(rows, [lookup])
+    found = hot_keys(rows.select("k", F.col("id").cast("string").alias("id")), [["k"], ["id"], ["k", "k"]], 0.5).collect()
+    assert sorted(map(tuple, found)) == [(0, '["absent"]'), (0, '["hot"]'), (2, '["absent","absent"]'), (2, '["hot","hot"]')]
+    long = flag_known(rows, [lookup], broadcast_bytes=0)
     assert sorted(map(tuple, short.collect())) == sorted(map(tuple, long.collect()))
     assert long.count() == 6000 and long.filter("known AND k = 'hot'").count() == 2000
     assert text_bytes(spark.createDataFrame([("abc",), (None,)], "k string")) == 131
 
 
+def test_scans_do_not_grow_with_the_lists(spark, tmp_path):
+    """The rows are read once, however many long lists there are, and once for the sample."""
+    path = str(tmp_path / "rows")
+    spark.range(3000).select(*[F.col("id").cast("string").alias(c) for c in "abc"]).write.parquet(path)
+    rows = spark.read.parquet(path)
+    lists = [spark.range(0, 3000, step).select(F.col("id").cast("string").alias(c)) for c, step in zip("abc", (2, 3, 5))]
+    for n in (1, 2, 3):
+        flagged = flag_known(rows, [Lookup({c: F.col(c)}, known, f"known_{c}") for c, known in zip("abc"[:n], lists)], broadcast_bytes=0)
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1
+        assert [flagged.filter(f"known_{c}").count() for c in "abc"[:n]] == [1500, 1000, 600][:n]
+
+
 # Types
 
 def test_inference(rows):

@@ -13,7 +13,7 @@ from plumbline.functions.times import instant
 from plumbline.plans.merge import merge_quality
 from plumbline.plans.profile import batch_metrics
 from plumbline.plans.staging import stage, staging_folder
-from plumbline.sources.readers import read_batch
+from plumbline.sources.readers import batch_digest, read_batch
 from plumbline.sources.state import read_bindings, write_table
 from plumbline.spec import granularities
 from plumbline.streaming.batches import profile_stream
@@ -419,7 +419,7 @@ def test_empty_selection(spark, tmp_path):
 def test_batches_prune_partitions(spark, trips):
     spec, _ = trips
     state = SourceState(spark, spec.result_folder)
-    for batches, pruning in ((["doc1-2017050215"], "(batch#"), (["doc1-2017050215", "doc2"], "dynamicpruning"),
+    for batches, pruning in ((["doc1-2017050215"], "(batch#"), (["doc1-2017050215", "doc2"], "(batch#"),
                              (None, "dynamicpruning")):
         rows = state.extended(state.metadata(), state.correct_batches(batches)).select("CODLINHA")
         plan = rows._jdf.queryExecution().executedPlan().toString()
@@ -436,10 +436,88 @@ def test_staging(spark, tmp_path):
 
 
 def test_binding_paths_that_cannot_be_read(spark, tmp_path):
+    """A list that is missing, empty or damaged is an error: leaving it out would change the scores."""
     good = write_lines(tmp_path / "good", [{"a": "1"}])
-    bad = tmp_path / "bad"
-    bad.write_text("not json\n")
-    assert [b.columns for b in read_bindings(spark, [good, str(tmp_path / "absent"), str(bad)])] == [["a"]]
+    (tmp_path / "bad").write_text('{"a": "1"}\nnot json\n')
+    (tmp_path / "empty").write_text("")
+    assert [b.columns for b in read_bindings(spark, [good])] == [["a"]]
+    for path, why in (("absent", "no valid"), ("bad", "no JSON"), ("empty", "no valid")):
+        with pytest.raises(ValueError, match=why):
+            read_bindings(spark, [good, str(tmp_path / path)])
+
+
+def test_damaged_binding_list_is_reported(spark, tmp_path, trips):
+    spec, _ = trips
+    (tmp_path / "bad").write_text("not json\n")
+    result = assess(spark, AssessmentSpec(
+        columns=("CODLINHA", "NOMELINHA"), dimensions={"Consistency": ["tuple"], "Volume": ["global"]}, source_folder=spec.result_folder,
+        output_folder=str(tmp_path / "out"), binding_paths=(str(tmp_path / "bad"),)), AS_OF)
+    assert list(result.errors) == ["extended_dataset"] and "no JSON" in result.errors["extended_dataset"]
+    assert list(result.tables) == ["final_quality"]
+
+
+def test_batches_of_equal_names_are_kept_apart(spark, tmp_path):
+    paths = [write_lines(tmp_path / day / "part.txt", [{"a": str(i)}, {"a": "x"}]) for i, day in enumerate(("01", "02"))]
+    spec = ProfileSpec(str(tmp_path / "result"))
+    assert [profile_files(spark, [p], spec, AS_OF) for p in paths + paths] == [True, True, False, False]
+    state = SourceState(spark, spec.result_folder)
+    rows = state.extended(state.metadata())
+    assert sorted(r["a"] for r in rows.collect()) == ["0", "1", "x", "x"]
+    names = sorted(r["batch"] for r in state.correct_batches().collect())
+    assert names == ["part", f"part-{batch_digest([paths[1]])}"]
+    assert state.correct_batches(["part"]).count() == 2 and state.correct_batches([names[1]]).count() == 1
+    assert batch_digest(paths) == batch_digest(paths[::-1]) != batch_digest(paths[:1])
+
+
+@pytest.mark.parametrize("columns", [None, ("a", "b")])
+def test_malformed_lines_are_reported_and_left_out(spark, tmp_path, columns):
+    path = tmp_path / "in.txt"
+    path.write_text('{"a": "1", "b": "x"}\nnot json\n{"a": "2", "b": "y"}\n{"a": "3"\n')
+    spec = ProfileSpec(str(tmp_path / "result"), columns=columns)
+    assert profile_files(spark, [str(path)], spec, AS_OF)
+    state = SourceState(spark, spec.result_folder)
+    quality = state.source_quality(1).head()
+    assert quality["Volume_TotalRows"] == 2 and quality["Completeness_Missing"] == 1.0
+    assert state.metadata().columns == ["a", "b"]
+    assert sorted(tuple(r) for r in state.malformed().collect()) == [("not json", "in"), ('{"a": "3"', "in")]
+    (tmp_path / "none.txt").write_text("not json\n")
+    with pytest.raises(ValueError, match="no JSON objects"):
+        read_batch(spark, [str(tmp_path / "none.txt")])
+
+
+def test_reader_options_and_layout_formats(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("day;x\n02/05/17;1\n03/05/17;2\n")
+    spec = ProfileSpec(str(tmp_path / "csv"), time_formats=("%d/%m/%y",), file_format="csv", options={"header": "true", "sep": ";"})
+    assert profile_files(spark, [str(tmp_path / "in.csv")], spec, AS_OF)
+    assert SourceState(spark, spec.result_folder).metadata().types.kinds == {"day": "datetime", "x": "float"}
+    (tmp_path / "in.txt").write_text(";02/05/17;;1;\n;03/05/17;;2;\n")
+    layout = TextLayout(";", ";", ("day", "x"), ("%d/%m/%y",))
+    spec = ProfileSpec(str(tmp_path / "text"), file_format="text", layout=layout)
+    assert profile_files(spark, [str(tmp_path / "in.txt")], spec, AS_OF)
+    types = SourceState(spark, spec.result_folder).metadata().types
+    assert types.kinds == {"day": "datetime", "x": "float"} and types.formats == {"day": "%d/%m/%y"}
+
+
+def test_one_bad_parameter_leaves_the_other_dimensions(spark, tmp_path):
+    frame = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", None)], "k string, x double")
+    spec = AssessmentSpec(columns=("k", "x"), key_sets=[("k",)], expected={"x": (5.0, 0.0)}, dimensions={
+        "Volume": ["global"], "Completeness_Missing": ["global"], "Precision": ["global", "value"], "Accuracy": ["global", "value"]})
+    errors = {}
+    tables = assess_frame(frame, ColumnTypes({"k": "string", "x": "float"}), spec, AS_OF, str(tmp_path), errors=errors)
+    row = tables["final_quality"].head().asDict()
+    assert list(errors) == ["Accuracy"] and "accuracy_values" not in tables and tables["precision_values"].count() > 0
+    assert {"Volume", "Volume_TotalRows", "Completeness_Missing", "Precision_x", "Precision_Deviation_x", "Confidence"} <= set(row)
+    with pytest.raises(Exception):
+        assess_frame(frame, ColumnTypes({"k": "string", "x": "float"}), spec, AS_OF, str(tmp_path / "2"))
+
+
+def test_stored_rules_are_bounded(spark, monkeypatch):
+    from plumbline.operators import consistency
+    monkeypatch.setattr(consistency, "MAX_RULES", 2)
+    stored = spark.createDataFrame([("a", c) for c in "bcd"], "Antecedent string, Consequent string")
+    with pytest.raises(ValueError, match="more than 2"):
+        consistency.rule_set(stored, (), ["a", "b"])
+    assert len(consistency.rule_set(stored.limit(2), (), ["a", "b", "c", "d"])) == 2
 
 
 def test_tables_are_not_overwritten_by_default(spark, tmp_path):
@@ -462,4 +540,10 @@ def test_stream_of_batches(spark, tmp_path):
     state = SourceState(spark, spec.result_folder)
     quality = state.source_quality(state.version()).head()
     assert quality["UpdatesCount"] == 2 and quality["Volume_TotalRows"] == 3 and quality["Distinct_Number_a"] == 3
+    # A new checkpoint counts from 0 again; its batches are new ones.
+    write_lines(tmp_path / "more" / "one", [{"a": "4"}])
+    again = spark.readStream.schema("a string").json(str(tmp_path / "more"))
+    query = profile_stream(again, spec, str(tmp_path / "checkpoint2"), "s", available_now=True)
+    query.awaitTermination(120)
+    assert query.exception() is None and state.source_quality(state.version()).head()["Volume_TotalRows"] == 4
     assert Reference().volatility_hours == 17520.0
