@@ -97,6 +97,11 @@ def _share(m: Column, rule: tuple[str, str]) -> Column:
     return m[rule[0]] / F.greatest(m[rule[1]], F.lit(1))
 
 
+def _passed(share: Column, cutoffs: list[float]) -> Column:
+    """How many of the cutoffs the share is above."""
+    return F.size(F.filter(F.array(*[F.lit(float(c)) for c in cutoffs]), lambda cutoff: share > cutoff))
+
+
 def binomial_at_most(k: int, n: int, p: float) -> float:
     """P(X <= k) of a binomial variable, summed exactly in logarithms."""
     if k >= n:
@@ -126,8 +131,7 @@ def calibrated(measured_docs: DataFrame, labels: DataFrame, plan: RiskPlan, stra
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")) \
         .agg(F.min("quality").alias("_low"), F.max("quality").alias("_high")).where("_low = _high")
     rows = measured_docs.join(known, measured_docs["doc_id"] == known["_id"]).where(~base_failed(F.col("m")))
-    steps = [F.struct(F.lit(rule).alias("rule"), F.size(F.filter(F.array(*[F.lit(float(c)) for c in plan.cutoffs[rule]]),
-                                                                 lambda c, s=_share(F.col("m"), parts): s > c)).alias("passed"))
+    steps = [F.struct(F.lit(rule).alias("rule"), _passed(_share(F.col("m"), parts), plan.cutoffs[rule]).alias("passed"))
              for rule, parts in plan.rules.items()]
     counts = staged(rows.select(F.col(stratum).alias("stratum"), (F.col("_low") >= 1).alias("good"), F.explode(F.array(*steps)).alias("s"))
                     .groupBy("stratum", "s.rule", "s.passed", "good").agg(F.count(F.lit(1)).alias("n")))
