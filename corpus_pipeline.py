@@ -10,7 +10,7 @@ from plumbline.llm.ngram_join import representatives
 from plumbline.llm.oracles import PIPELINE
 from plumbline.llm.quality_rules import kept_documents
 from plumbline.llm.sharding import sharded
-from plumbline.llm.shared import staged, table
+from plumbline.llm.shared import importable, staged, table
 from plumbline.llm.source_mix import mixture
 
 
@@ -52,6 +52,7 @@ ORACLE_SQL = PIPELINE
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; what each returns is written and read again."""
+    importable(spark)
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir))

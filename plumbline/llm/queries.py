@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import decontaminate, html_text, line_dedup, ngram_join, quality_rules, sharding, source_mix, token_counts, url_filters, warc
 from plumbline.llm.oracles import SQL  # noqa: F401
-from plumbline.llm.shared import table
+from plumbline.llm.shared import importable, table
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -99,8 +100,17 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _whole(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _whole(query) for name, query in {
     "op1_quality_rules": quality, "op2_token_counts": tokens, "op3_source_mix": mix, "op4_decontamination": contaminated,
     "op5_warc": archives, "op6_line_dedup": lines, "op7_ngram_join": ngrams, "op8_sharding": shards, "op9_url_filters": urls,
     "op10_html_text": page_text,
-}
+}.items()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -11,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+_PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SETTING = "spark.checkpoint.dir"
 _LOCAL: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,6 +29,17 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{configured.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets the Python workers import this package: where it lies neither in the working folder nor on PYTHONPATH, as on a cluster
+    that has not installed it, Spark hands it out."""
+    context, root = spark.sparkContext, os.path.dirname(_PACKAGE)
+    places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if context.applicationId in _SHIPPED or any(os.path.realpath(p) == os.path.realpath(root) for p in places if p):
+        return
+    context.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), "package"), "zip", root, os.path.basename(_PACKAGE)))
+    _SHIPPED.add(context.applicationId)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """The frame, written once as Parquet in the shared folder: an executor lost later costs no recomputation."""
     path = shared_folder(df.sparkSession)
