@@ -2,11 +2,11 @@
 
 The steps, all exact:
 
-1. A scan hashes every text's n-grams to a set. Equal sets are one node from here on, with the smallest id of its documents.
-2. All n-grams get one global order: rare ones by hash, then frequent ones by frequency, so that passages which documents
-   share come last. Any order gives the same result. Frequencies are counted over all documents for the lower half of the hash
-   range, from which prefixes are taken, on 32 bits of the hash; what is broadcast is at most ``FREQUENT`` n-grams, the most
-   frequent ones.
+1. A scan hashes every text's n-grams to a set. Equal sets are one node from here on, with the smallest id of its documents. The n-grams
+   of all sets are dealt out by ranges of their hash, and each node learns how many of its own occur elsewhere: a node that is similar
+   to another one shares ``t`` of its n-grams, so nodes that repeat fewer are done. The sets of the others are kept.
+2. Their n-grams get one global order: rare ones by hash, then frequent ones by frequency, so that passages which documents
+   share come last. Any order gives the same result; what is broadcast of it is at most ``FREQUENT`` n-grams, the most frequent ones.
 3. Two similar sets share one of their first ``n - ceil(t n) + 1`` n-grams. These prefixes are dealt out by n-gram, packed into
    arrays, and n-grams with several nodes give the candidate lists; equal lists count once.
 4. Each node is compared with the leaders of its lists. Lists that then still lie in several components are gone through in blocks of
@@ -17,7 +17,7 @@ The steps, all exact:
    remaining length cannot reach the bound.
 6. Components of the links are joined back to the documents.
 
-Hashes: 64 bits for an n-gram, 128 bits for a set.
+Hashes: 64 bits for an n-gram, 128 bits for a set. What is counted on fewer bits only lets more through to an exact step.
 
 Defined cases: null or empty texts, and texts without a word, have an empty set and link with nothing; a text with fewer words
 than n has one n-gram, the whole sequence. Documents with equal sets are linked. Rows with equal ids are documents of their own;
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +42,12 @@ from plumbline.llm.words import LOWER, distinct, texts, window_hashes, word_hash
 
 WIDTH, PERCENT = 5, 75
 FREQUENT = 1 << 22          # most n-grams whose frequency is broadcast
-COUNTED_BITS = 31           # of an n-gram's hash are cut off in counting
-COUNTED_BELOW = np.uint64(1 << 63)
 CHUNK_NGRAMS = 4_000_000    # n-grams of the sets that are counted, or packed, together
+CHUNK_SETS = 1 << 16        # and sets; their numbers take 16 bits
 PART_NGRAMS = 1_000_000     # prefix n-grams of a part
 LEADER_NODES = 1024         # nodes that a task compares with one leader
 BLOCK_NODES = 64            # nodes of a block of a list
+BROADCAST_NODES = 1_000_000 # whose ids, 40 bytes each, go to every executor; more are joined by a shuffle
 STEP = 64                   # n-grams of a path that are looked up at once
 
 
@@ -68,33 +69,27 @@ def least_overlap(a: int, b: int, percent: int) -> int:
 
 
 class Order:
-    """The global order of n-grams: by hash, except that frequent ones follow by frequency. Frequency is that of the upper bits."""
+    """The global order of n-grams: by hash, except that frequent ones follow by frequency."""
 
-    def __init__(self, heads: np.ndarray, counts: np.ndarray):
-        by_head = np.argsort(heads)
-        self.heads, self.counts = heads[by_head], counts[by_head]
+    def __init__(self, tokens: np.ndarray, counts: np.ndarray):
+        by_token = np.argsort(tokens)
+        self.tokens, self.counts = tokens[by_token], counts[by_token]
+
+    def count(self, tokens: np.ndarray) -> np.ndarray:
+        """Frequency of each n-gram, 0 for the rare ones."""
+        if not len(self.tokens):
+            return np.zeros(len(tokens), np.uint32)
+        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
+        return np.where(self.tokens[at] == tokens, self.counts[at], 0)
 
     def apply(self, tokens: np.ndarray) -> np.ndarray:
         """Sorted hashes in the global order."""
-        counted = int(np.searchsorted(tokens, COUNTED_BELOW))
-        if not len(self.heads) or not counted:
-            return tokens
-        heads = (tokens[:counted] >> np.uint64(COUNTED_BITS)).astype(np.uint32)
-        at = np.minimum(np.searchsorted(self.heads, heads), len(self.heads) - 1)
-        frequent = self.heads[at] == heads
-        if not frequent.any():
-            return tokens
-        late = tokens[:counted][frequent]
-        return np.concatenate((tokens[:counted][~frequent], tokens[counted:], late[np.argsort(self.counts[at[frequent]], kind="stable")]))
-
+        counts = self.count(tokens)
+        return tokens[np.argsort(counts, kind="stable")] if counts.any() else tokens
 
     def place(self, token: np.uint64) -> bytes:
         """Bytes that sort as the n-gram does in the global order."""
-        count, head = 0, np.uint32(token >> np.uint64(COUNTED_BITS)) if token < COUNTED_BELOW else None
-        if head is not None and len(self.heads):
-            at = min(int(np.searchsorted(self.heads, head)), len(self.heads) - 1)
-            count = int(self.counts[at]) if self.heads[at] == head else 0
-        return count.to_bytes(8, "big") + int(token).to_bytes(8, "big")
+        return int(self.count(np.array([token]))[0]).to_bytes(4, "big") + int(token).to_bytes(8, "big")
 
 
 class Traversal:
@@ -122,157 +117,222 @@ class Traversal:
         return depth == n and bool(overlap[n] >= need)
 
 
-# Scans of the texts
+# Sets
+
+class Slices:
+    """Ranges of the hash, and 32 bits of each hash within its range."""
+
+    def __init__(self, n: int):
+        self.width = np.uint64(-(-(1 << 64) // n)) if n > 1 else np.uint64((1 << 64) - 1)
+        self.step = np.uint64(max(1, -(-int(self.width) // (1 << 32))))
+
+    def cut(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Range, and bits within it, of each hash."""
+        ranges = tokens // self.width
+        return ranges.astype(np.int64), ((tokens - ranges * self.width) // self.step).astype(np.uint32)
+
+
+def _batch(rows: list[tuple], kinds: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [name for name, _ in kinds])
+
+
+def _blobs(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_py(), kind) for b in column]
+
 
-def _first_here(known: set, key: bytes) -> bool:
-    """Whether a set comes up for the first time in this chunk. Copies are counted and packed once per chunk."""
-    if key in known:
-        return False
-    known.add(key)
-    return True
+_LONGS = pa.list_(pa.int64())
+_CHUNKS = [("slice", pa.int32()), ("chunk", pa.int64()), ("heads", pa.binary()), ("owners", pa.binary()), ("doc", _LONGS), ("hash", _LONGS),
+           ("fp", pa.list_(pa.binary())), ("n", _LONGS), ("place", _LONGS)]
+_CHUNK_SCHEMA = "slice int, chunk bigint, heads binary, owners binary, doc array<bigint>, hash array<bigint>, fp array<binary>, n array<bigint>, " \
+                "place array<bigint>"
+_COUNT_SCHEMA = "chunk bigint, owners binary, counts binary, doc array<bigint>, hash array<bigint>, fp array<binary>, n array<bigint>, place array<bigint>"
 
 
 def profiled(docs: DataFrame, slices: int, width: int) -> DataFrame:
-    """A row per document (doc, hash of the text, fp: the set's hash, n) and, in other rows, the n-grams of chunks of distinct sets: per
-    slice of the hash range the upper bits of each (heads), and those that several of the sets hold (again) with how many more do."""
+    """A row per document: doc, hash of the text, fp (the set's hash), n, and ``repeated``, how many of its n-grams come up elsewhere,
+    if not a few more: an n-gram counts by the bits that its slice keeps, and copies in other chunks are elsewhere.
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: set = set()
-        chunk: list[np.ndarray] = []
+    Chunks of distinct sets are numbered by task, so that a task that is run again numbers them alike.
+    """
+    ranges = Slices(slices)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        chunk = TaskContext.get().partitionId() << 32
+        known: dict[bytes, int] = {}
+        sets: list[np.ndarray] = []
+        rows: list[tuple] = []
         held = 0
-        kinds = [("doc", pa.int64()), ("hash", pa.int64()), ("fp", pa.binary()), ("n", pa.int64()), ("slice", pa.int32()), ("heads", pa.binary()),
-                 ("again", pa.binary()), ("more", pa.binary())]
-
-        def out(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, (_, k) in enumerate(kinds)], [name for name, _ in kinds])
-
-        def counts() -> pa.RecordBatch:
-            heads = (np.concatenate(chunk) >> np.uint64(COUNTED_BITS)).astype(np.uint32)
-            heads.sort()
-            begins = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1])))
-            sizes = np.diff(np.concatenate((begins, [len(heads)])))
-            heads = heads[begins]
-            places = np.searchsorted(heads, (np.arange(slices + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(slices))
-            rows = []
-            for i, (a, b) in enumerate(zip(places[:-1].tolist(), places[1:].tolist())):
-                several = sizes[a:b] > 1
-                rows.append((None, None, None, None, i, heads[a:b].tobytes(), heads[a:b][several].tobytes(),
-                             (sizes[a:b][several] - 1).astype(np.int64).tobytes()))
-            return out(rows)
+
+        def out() -> pa.RecordBatch:
+            packed: list[tuple] = [(-1 - chunk % slices, chunk, None, None, *[[r[i] for r in rows] for i in range(5)])]
+            if sets:
+                of, heads = ranges.cut(np.concatenate(sets))
+                owners = np.repeat(np.arange(len(sets)).astype(np.uint16), [len(s) for s in sets])
+                by_range = np.argsort(of, kind="stable")
+                heads, owners, ends = heads[by_range], owners[by_range], np.cumsum(np.bincount(of, minlength=slices)).tolist()
+                packed += [(i, chunk, heads[a:b].tobytes(), owners[a:b].tobytes(), *[None] * 5) for i, (a, b) in enumerate(zip([0, *ends], ends)) if b > a]
+            return _batch(packed, _CHUNKS)
 
         for batch in batches:
-            rows = []
             for doc, own, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch.column(2))):
                 tokens = ngram_set(text, width)
                 fp = xxh3_128_digest(tokens)
-                rows.append((doc, own, fp, len(tokens), None, None, None, None))
-                if len(tokens) and _first_here(known, fp):
-                    chunk.append(tokens[:np.searchsorted(tokens, COUNTED_BELOW)])
-                    held += len(chunk[-1])
-                    if held >= CHUNK_NGRAMS:
-                        yield counts()
-                        chunk, held = [], 0
-                        known.clear()
-            yield out(rows)
-        if held:
-            yield counts()
+                if len(tokens) and fp not in known:      # a copy within the chunk is neither counted nor sent
+                    known[fp] = len(sets)
+                    sets.append(tokens)
+                    held += len(tokens)
+                rows.append((doc, own, fp, len(tokens), known.get(fp, -1)))
+                if held >= CHUNK_NGRAMS or len(rows) >= CHUNK_SETS:
+                    yield out()
+                    chunk, held = chunk + 1, 0
+                    known.clear(), sets.clear(), rows.clear()
+        if rows:
+            yield out()
+
+    def count(table: pa.Table) -> pa.Table:
+        docs_of = ["doc", "hash", "fp", "n", "place"]
+        if table.column("slice")[0].as_py() < 0:
+            empty = pa.array([None] * len(table), pa.binary())
+            return pa.table({"chunk": table.column("chunk"), "owners": empty, "counts": empty, **{c: table.column(c) for c in docs_of}})
+        heads, owners = np.concatenate(_blobs(table.column("heads"), np.uint32)), _blobs(table.column("owners"), np.uint16)
+        places = np.repeat(np.arange(len(owners)) * CHUNK_SETS, [len(o) for o in owners]) + np.concatenate(owners)
+        by_head = np.argsort(heads, kind="stable")
+        heads = heads[by_head]
+        same = heads[1:] == heads[:-1]
+        several = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        places, counts = np.unique(places[by_head][several], return_counts=True)
+        cuts = np.searchsorted(places, np.arange(len(owners) + 1) * CHUNK_SETS).tolist()
+        chunks = table.column("chunk").to_pylist()
+        rows = [(c, (places[a:b] % CHUNK_SETS).astype(np.uint16).tobytes(), counts[a:b].astype(np.uint32).tobytes(), *[None] * 5)
+                for c, a, b in zip(chunks, cuts, cuts[1:]) if b > a]
+        kinds = [("chunk", pa.int64()), ("owners", pa.binary()), ("counts", pa.binary()), *_CHUNKS[4:]]
+        return pa.Table.from_batches([_batch(rows, kinds)])
+
+    def total(table: pa.Table) -> pa.Table:
+        sums = np.zeros(CHUNK_SETS + 1, np.int64)       # the last place is that of empty sets
+        columns: dict[str, list] = {c: [] for c in ("doc", "hash", "fp", "n", "place")}
+        for row in table.to_pylist():
+            if row["owners"] is None:
+                for c, values in columns.items():
+                    values.extend(row[c])
+            else:
+                sums += np.bincount(np.frombuffer(row["owners"], np.uint16), np.frombuffer(row["counts"], np.uint32), CHUNK_SETS + 1).astype(np.int64)
+        return pa.table({"doc": pa.array(columns["doc"], pa.int64()), "hash": pa.array(columns["hash"], pa.int64()), "fp": pa.array(columns["fp"], pa.binary()),
+                         "n": pa.array(columns["n"], pa.int64()), "repeated": pa.array(sums[np.array(columns["place"], np.int64)], pa.int64())})
+
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("hash"), "text").mapInArrow(pack, _CHUNK_SCHEMA)
+    return packed.groupBy("slice").applyInArrow(count, _COUNT_SCHEMA) \
+        .groupBy("chunk").applyInArrow(total, "doc bigint, hash bigint, fp binary, n bigint, repeated bigint")
+
+
+def kept_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """fp, tokens (sorted hashes) of nodes (fp, and doc, hash: one document that has the set)."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [ngram_set(text, width).tobytes() for text in texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array(sets, pa.binary())], ["fp", "tokens"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
+    wanted = nodes.select("fp", "doc", "hash")
+    if nodes.count() <= BROADCAST_NODES:
+        wanted = F.broadcast(wanted)
+    own = rows.join(wanted, rows["_doc"].eqNullSafe(wanted["doc"]) & (rows["_hash"] == wanted["hash"]))
+    # A document repeated in full would give its set more than once.
+    return own.select("fp", "text").mapInArrow(build, "fp binary, tokens binary").dropDuplicates(["fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("hash"), "text") \
-        .mapInArrow(scan, "doc bigint, hash bigint, fp binary, n bigint, slice int, heads binary, again binary, more binary")
 
+def global_order(sets: DataFrame, slices: int) -> Order:
+    """Counts n-grams over the sets. At most ``FREQUENT`` reach the driver: those above the least power of two that few enough reach."""
+    ranges = Slices(slices)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk: list[np.ndarray] = []
+        held = 0
+
+        def out() -> pa.RecordBatch:
+            tokens, counts = np.unique(np.concatenate(chunk), return_counts=True)
+            cuts = np.searchsorted(ranges.cut(tokens)[0], np.arange(slices + 1)).tolist()
+            rows = [(i, tokens[a:b].tobytes(), counts[a:b].astype(np.int64).tobytes()) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            return _batch(rows, [("slice", pa.int32()), ("tokens", pa.binary()), ("counts", pa.binary())])
 
-def global_order(profile: DataFrame) -> Order:
-    """Counts n-grams over all sets. At most ``FREQUENT`` reach the driver: those above the least power of two that few enough reach."""
+        for batch in batches:
+            for tokens in batch.column(0):
+                chunk.append(np.frombuffer(tokens.as_py(), np.uint64))
+                held += len(chunk[-1])
+                if held >= CHUNK_NGRAMS:
+                    yield out()
+                    chunk, held = [], 0
+        if held:
+            yield out()
 
     def count(table: pa.Table) -> pa.Table:
-        own = lambda name, kind: np.concatenate([np.frombuffer(b.as_py(), kind) for b in table.column(name)])       # noqa: E731
-        heads = own("heads", np.uint32)
-        heads.sort()
-        begins = np.flatnonzero(np.concatenate(([True], heads[1:] != heads[:-1]))) if len(heads) else np.empty(0, np.int64)
-        counts = np.diff(np.concatenate((begins, [len(heads)]))).astype(np.int64)
-        heads = heads[begins]
-        np.add.at(counts, np.searchsorted(heads, own("again", np.uint32)), own("more", np.int64))
-        several = counts > 1
-        heads, counts = heads[several], counts[several]
+        tokens, places = np.unique(np.concatenate(_blobs(table.column("tokens"), np.uint64)), return_inverse=True)
+        counts = np.zeros(len(tokens), np.int64)
+        np.add.at(counts, places, np.concatenate(_blobs(table.column("counts"), np.int64)))
+        tokens, counts = tokens[counts > 1], counts[counts > 1]
         reach = [int((counts >> k > 0).sum()) for k in range(1, 63)]
-        return pa.table({"heads": pa.array([heads.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
-                         "reach": pa.array([reach], pa.list_(pa.int64()))})
+        return pa.table({"tokens": pa.array([tokens.tobytes()], pa.binary()), "counts": pa.array([counts.tobytes()], pa.binary()),
+                         "reach": pa.array([reach], _LONGS)})
 
-    counted = staged(profile.where("slice IS NOT NULL").select("slice", "heads", "again", "more").groupBy("slice")
-                     .applyInArrow(count, "heads binary, counts binary, reach array<bigint>"))
+    counted = staged(sets.select("tokens").mapInArrow(pack, "slice int, tokens binary, counts binary").groupBy("slice")
+                     .applyInArrow(count, "tokens binary, counts binary, reach array<bigint>"))
     reach = {r["k"]: r["n"] for r in counted.select(F.posexplode("reach").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("n")).collect()}
     least = next((k + 1 for k in sorted(reach) if reach[k] <= FREQUENT), 1)
 
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for heads, counts in zip(batch.column(0), batch.column(1)):
+            for tokens, counts in zip(batch.column(0), batch.column(1)):
                 counts = np.frombuffer(counts.as_py(), np.int64)
                 many = counts >> least > 0
-                yield pa.RecordBatch.from_arrays([pa.array([np.frombuffer(heads.as_py(), np.uint32)[many].tobytes()], pa.binary()),
-                                                  pa.array([np.minimum(counts[many], 1 << 31).astype(np.uint32).tobytes()], pa.binary())], ["heads", "counts"])
+                yield _batch([(np.frombuffer(tokens.as_py(), np.uint64)[many].tobytes(), np.minimum(counts[many], 1 << 31).astype(np.uint32).tobytes())],
+                             [("tokens", pa.binary()), ("counts", pa.binary())])
 
-    frame = counted.select("heads", "counts").mapInArrow(often, "heads binary, counts binary").toArrow()
-    return Order(*[np.concatenate([np.empty(0, np.uint32), *[np.frombuffer(b.as_py(), np.uint32) for b in frame.column(c)]]) for c in ("heads", "counts")])
+    frame = counted.select("tokens", "counts").mapInArrow(often, "tokens binary, counts binary").toArrow()
+    return Order(*[np.concatenate([np.empty(0, kind), *_blobs(frame.column(c), kind)]) for c, kind in (("tokens", np.uint64), ("counts", np.uint32))])
 
 
-def candidate_lists(docs: DataFrame, order, parts: int, width: int, percent: int) -> DataFrame:
+def candidate_lists(sets: DataFrame, order, parts: int, percent: int) -> DataFrame:
     """list, short, weight: nodes (the first 64 bits of their set's hash) that have n-grams of their prefixes in common, and how many
     n-grams have just these nodes."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = order.value
-        known: set = set()
-        tokens: list[np.ndarray] = []
+        prefixes: list[np.ndarray] = []
         nodes: list[int] = []
-        sizes: list[int] = []
         held = 0
 
-        def out() -> Iterator[pa.RecordBatch]:
-            all_tokens = np.concatenate(tokens)
-            part = (all_tokens % np.uint64(parts)).astype(np.int64)
+        def out() -> pa.RecordBatch:
+            tokens = np.concatenate(prefixes)
+            part = (tokens % np.uint64(parts)).astype(np.int64)
             by_part = np.argsort(part, kind="stable")
-            all_nodes = np.repeat(np.array(nodes, np.int64), sizes)[by_part]
-            all_tokens, ends = all_tokens[by_part], np.cumsum(np.bincount(part, minlength=parts))
-            cuts = [(p, int(ends[p - 1]) if p else 0, int(ends[p])) for p in range(parts)]
-            cuts = [c for c in cuts if c[2] > c[1]]
-            yield pa.RecordBatch.from_arrays([pa.array([c[0] for c in cuts], pa.int32()),
-                                              pa.array([all_tokens[i:j].tobytes() for _, i, j in cuts], pa.binary()),
-                                              pa.array([all_nodes[i:j].tobytes() for _, i, j in cuts], pa.binary())],
-                                             ["part", "tokens", "nodes"])
+            owners = np.repeat(np.array(nodes, np.int64), [len(p) for p in prefixes])[by_part]
+            tokens, ends = tokens[by_part], np.cumsum(np.bincount(part, minlength=parts)).tolist()
+            return _batch([(i, tokens[a:b].tobytes(), owners[a:b].tobytes()) for i, (a, b) in enumerate(zip([0, *ends], ends)) if b > a],
+                          [("part", pa.int32()), ("tokens", pa.binary()), ("nodes", pa.binary())])
 
         for batch in batches:
-            for text in texts(batch.column(0)):
-                found = ngram_set(text, width)
-                fp = xxh3_128_digest(found)
-                if len(found) and _first_here(known, fp):
-                    some = own.apply(found)[:prefix_length(len(found), percent)]
-                    tokens.append(some)
-                    nodes.append(int.from_bytes(fp[:8], "big", signed=True))
-                    sizes.append(len(some))
-                    held += len(some)
-                    if held >= CHUNK_NGRAMS:
-                        yield from out()
-                        tokens.clear(), nodes.clear(), sizes.clear(), known.clear()
-                        held = 0
-        if tokens:
-            yield from out()
+            for fp, tokens in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = np.frombuffer(tokens.as_py(), np.uint64)
+                prefixes.append(own.apply(found)[:prefix_length(len(found), percent)])
+                nodes.append(int.from_bytes(fp[:8], "big", signed=True))
+                held += len(prefixes[-1])
+                if held >= CHUNK_NGRAMS:
+                    yield out()
+                    prefixes.clear(), nodes.clear()
+                    held = 0
+        if held:
+            yield out()
 
     def lists(table: pa.Table) -> pa.Table:
-        tokens = np.concatenate([np.frombuffer(b.as_py(), np.uint64) for b in table.column("tokens")])
-        nodes = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in table.column("nodes")])
-        by_token = np.argsort(tokens)
-        tokens, nodes = tokens[by_token], nodes[by_token]
-        same = tokens[1:] == tokens[:-1]
-        several = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        tokens, nodes = tokens[several], nodes[several]
+        tokens, nodes = np.concatenate(_blobs(table.column("tokens"), np.uint64)), np.concatenate(_blobs(table.column("nodes"), np.int64))
         both = np.lexsort((nodes, tokens))
         tokens, nodes = tokens[both], nodes[both]
-        if len(tokens):
-            new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
-            tokens, nodes = tokens[new], nodes[new]
-        begins = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.empty(0, np.int64)
+        begins = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))).tolist()
         found: dict[int, list] = {}
-        for i, j in zip(begins.tolist(), [*begins[1:].tolist(), len(tokens)]):
+        for i, j in zip(begins, [*begins[1:], len(tokens)]):
             if j - i > 1:
                 found.setdefault(xxh3_64_intdigest(nodes[i:j].tobytes()), [nodes[i:j], 0])[1] += 1
         sizes = [len(x) for x, _ in found.values()]
@@ -280,42 +340,37 @@ def candidate_lists(docs: DataFrame, order, parts: int, width: int, percent: int
                          "short": pa.array(np.concatenate([np.empty(0, np.int64), *[x for x, _ in found.values()]]), pa.int64()),
                          "weight": pa.array(np.repeat(np.array([w for _, w in found.values()], np.int64), sizes), pa.int64())})
 
-    packed = docs.select("text").mapInArrow(pack, "part int, tokens binary, nodes binary")
+    packed = sets.select("fp", "tokens").mapInArrow(pack, "part int, tokens binary, nodes binary")
     return packed.groupBy("part").applyInArrow(lists, "list bigint, short bigint, weight bigint") \
         .groupBy("list", "short").agg(F.sum("weight").alias("weight"))
 
 
-def ordered_sets(docs: DataFrame, wanted: DataFrame, order, width: int, percent: int) -> DataFrame:
+def ordered_sets(sets: DataFrame, order, percent: int) -> DataFrame:
     """fp, n, last (the place of the prefix's last n-gram), tokens (big-endian, in the global order, so that bytes sort as the trie's
-    depth-first order) of the nodes in ``wanted`` (fp, and doc, hash: one document that has the set)."""
+    depth-first order)."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = order.value
         for batch in batches:
-            sets = [own.apply(ngram_set(text, width)) for text in texts(batch.column(1))]
-            last = [own.place(s[prefix_length(len(s), percent) - 1]) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(last, pa.binary()),
-                                              pa.array([s.astype(">u8").tobytes() for s in sets], pa.binary())], ["fp", "n", "last", "tokens"])
+            found = [own.apply(np.frombuffer(t.as_py(), np.uint64)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array([len(s) for s in found], pa.int64()),
+                                              pa.array([own.place(s[prefix_length(len(s), percent) - 1]) for s in found], pa.binary()),
+                                              pa.array([s.astype(">u8").tobytes() for s in found], pa.binary())], ["fp", "n", "last", "tokens"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
-    own = rows.join(wanted, rows["_doc"].eqNullSafe(wanted["doc"]) & (rows["_hash"] == wanted["hash"]))
-    # A document repeated in full would give its set more than once.
-    return own.groupBy("fp").agg(F.first("text").alias("text")).mapInArrow(build, "fp binary, n bigint, last binary, tokens binary")
+    return sets.select("fp", "tokens").mapInArrow(build, "fp binary, n bigint, last binary, tokens binary")
 
 
 # Comparisons
 
 def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[Iterator[tuple]]:
     """Runs of rows with equal first ``n_keys`` columns."""
-    from itertools import groupby
-
     rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
     for _, group in groupby(rows, key=lambda row: row[:n_keys]):
         yield group
 
 
 def _edges(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+    return _batch(pairs, [("a", pa.binary()), ("b", pa.binary())])
 
 
 def _tokens(data: bytes) -> np.ndarray:
@@ -362,8 +417,7 @@ def common_prefixes(members: DataFrame, percent: int) -> DataFrame:
         found: dict[tuple[bytes, bytes], int] = {}
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.binary()), pa.array([k[1] for k in found], pa.binary()),
-                                               pa.array(list(found.values()), pa.int64())], ["a", "b", "common"])
+            return _batch([(*pair, n) for pair, n in found.items()], [("a", pa.binary()), ("b", pa.binary()), ("common", pa.int64())])
 
         for group in _groups(batches, 3):
             rows = list(group)      # by size; a pair within one block is counted where low and high are equal
@@ -384,10 +438,10 @@ def common_prefixes(members: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("common").alias("common"))
 
 
-def reachable(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def reachable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """fp, leader: the pairs (a, b, common) that may be similar. Of two nodes, all common n-grams up to the end of the prefix that ends first are
     counted, so their overlap is at most the count and what that node has after its prefix."""
-    own = lambda side: sets.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), F.col("last").alias(f"last_{side}"))     # noqa: E731
+    own = lambda side: sizes.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), F.col("last").alias(f"last_{side}"))     # noqa: E731
     joined = pairs.join(own("a"), "a").join(own("b"), "b")
     n = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
     after = F.ceil(n * F.lit(percent) / 100) - 1
@@ -401,24 +455,26 @@ def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    profile = staged(profiled(docs, 4 * tasks, width))
-    rows = profile.where("fp IS NOT NULL").select("doc", "hash", "fp", "n")
+    rows = staged(profiled(docs, 4 * tasks, width))
     first = F.struct(F.col("doc").isNull().alias("none"), F.col("doc"), F.col("hash"))
-    nodes = staged(rows.where("n > 0").groupBy("fp").agg(F.max("n").alias("n"), F.min(first).alias("first"))
-                   .withColumn("short", F.conv(F.hex(F.substring("fp", 1, 8)), 16, -10).cast("long")))
-    order = spark.sparkContext.broadcast(global_order(profile))
-    prefixes = scalar(nodes, F.sum(F.col("n") * (100 - percent) / 100 + 1)) or 0
-    shorts = staged(candidate_lists(docs, order, max(4 * tasks, math.ceil(prefixes / PART_NGRAMS)), width, percent))
-    lists = shorts.join(nodes.select("short", "fp", "n"), "short").select("list", "fp", "n", "weight")
+    nodes = staged(rows.where("n > 0").groupBy("fp").agg(F.max("n").alias("n"), F.max("repeated").alias("repeated"), F.min(first).alias("first")))
+    near = staged(nodes.where(F.col("repeated") * 100 >= F.col("n") * percent)
+                  .select("fp", "n", F.col("first.doc").alias("doc"), F.col("first.hash").alias("hash"),
+                          F.conv(F.hex(F.substring("fp", 1, 8)), 16, -10).cast("long").alias("short")))
+    kept = staged(kept_sets(docs, near, width))
+    order = spark.sparkContext.broadcast(global_order(kept, 4 * tasks))
+    prefixes = scalar(near, F.sum(F.col("n") * (100 - percent) / 100 + 1)) or 0
+    shorts = staged(candidate_lists(kept, order, max(4 * tasks, math.ceil(prefixes / PART_NGRAMS)), percent))
+    lists = shorts.join(near.select("short", "fp", "n"), "short").select("list", "fp", "n", "weight")
     heads = lists.groupBy(F.col("list").alias("_list")).agg(F.min("fp").alias("leader"))
     lists = staged(lists.join(heads, lists["list"] == heads["_list"]).select("list", "leader", "fp", "n", "weight"))
-    wanted = nodes.join(lists.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first.doc").alias("doc"), F.col("first.hash").alias("hash"))
-    sets = staged(ordered_sets(docs, staged(wanted), order, width, percent))
+    sets = ordered_sets(kept.join(lists.select("fp").distinct(), "fp", "left_semi"), order, percent)
+    sizes = staged(sets.select("fp", "n", "last"))
     links = staged(leader_links(staged(lists.where("leader != fp").select("fp", "leader").distinct()), sets, percent))
     linked = components(links).withColumnRenamed("node", "fp")
     members = staged(lists.join(linked, "fp", "left").select("list", "fp", "n", "weight", F.coalesce("component", "fp").alias("component")))
     mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list")
-    pairs = staged(reachable(common_prefixes(members.join(mixed, "list"), percent), sets, percent))
+    pairs = staged(reachable(common_prefixes(members.join(mixed, "list"), percent), sizes, percent))
     more = staged(leader_links(pairs, sets, percent))
     if not more.isEmpty():
         linked = components(links.unionByName(more)).withColumnRenamed("node", "fp")

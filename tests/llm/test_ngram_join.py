@@ -74,6 +74,7 @@ def test_against_brute_force(docs, seed, monkeypatch):
         monkeypatch.setattr(J, "BLOCK_NODES", 3)
         monkeypatch.setattr(J, "PART_NGRAMS", 100)
         monkeypatch.setattr(J, "CHUNK_NGRAMS", 500)
+        monkeypatch.setattr(J, "BROADCAST_NODES", 0)
     rows = list(enumerate(families(seed)))
     assert result(docs(rows).repartition(3)) == brute(rows)
 
@@ -95,8 +96,8 @@ def test_links_that_no_leader_has(docs, monkeypatch, nodes):
 @pytest.mark.parametrize("order", [(), (3, 8, 9)])
 def test_traversal(order):
     pick = random.Random(1)
-    own = J.Order(np.array(order, np.uint32), np.arange(len(order)))
-    sets = [np.array(sorted(pick.sample(range(40), pick.randrange(1, 30))), np.uint64) << np.uint64(J.COUNTED_BITS) for _ in range(300)]
+    own = J.Order(np.array(order, np.uint64), np.arange(len(order)) + 2)
+    sets = [np.array(sorted(pick.sample(range(40), pick.randrange(1, 30))), np.uint64) for _ in range(300)]
     ordered = sorted((own.apply(s) for s in sets), key=lambda s: s.astype(">u8").tobytes())
     for q in sets[:40]:
         traversal = J.Traversal(own.apply(q), 75)
@@ -111,6 +112,16 @@ def test_prefixes_of_similar_sets_meet(n):
     assert n - J.prefix_length(n) < -(-75 * n // 100) and J.prefix_length(n) >= 1
 
 
+@pytest.mark.parametrize("n", [2, 3, 48, 1000, 2 ** 20, 2 ** 33])
+def test_slices(n):
+    pick = random.Random(n)
+    tokens = np.array(sorted([0, 1, 2 ** 64 - 1, 2 ** 63] + [pick.randrange(2 ** 64) for _ in range(500)]), np.uint64)
+    ranges, heads = J.Slices(n).cut(tokens)
+    assert ranges.min() >= 0 and ranges.max() < n and (np.diff(ranges) >= 0).all()
+    same = ranges[1:] == ranges[:-1]
+    assert (heads[1:][same].astype(np.int64) >= heads[:-1][same]).all()
+
+
 def test_components(spark):
     pick = random.Random(2)
     edges = [(f"{pick.randrange(300):03d}", f"{pick.randrange(300):03d}") for _ in range(200)] + [(f"9{i:02d}", f"9{i + 1:02d}") for i in range(90)]
