@@ -108,7 +108,7 @@ class ArchiveWriter:
         self.name = f"{uuid.uuid4().hex}.warc.zst"
         self.path = f"{folder.rstrip('/')}/{self.name}"
         self.files.create_dir(root, recursive=True)
-        self.out = self.files.open_output_stream(f"{root.rstrip('/')}/{self.name}")
+        self.out = self.files.open_output_stream(f"{root.rstrip('/')}/{self.name}", compression=None)     # by its name Arrow would compress it again
         self.n_records = self.n_bytes = 0
         used = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         self.compressor = zstandard.ZstdCompressor(level=3, dict_data=used, write_content_size=True, write_checksum=True)
@@ -260,7 +260,7 @@ def archive_rows(path: str, errors: str = "raise") -> Iterator[tuple]:
     """A row per record of an archive, in order."""
     files, place = fs.FileSystem.from_uri(path)
     fault = lambda e: (None,) * 7 + (path, str(e))      # noqa: E731
-    with files.open_input_stream(place) as stream:
+    with files.open_input_stream(place, compression=None) as stream:
         decompressor, leading = zstandard.ZstdDecompressor(), True
         try:
             for magic, data in frames(stream):

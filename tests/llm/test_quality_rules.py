@@ -76,4 +76,4 @@ def test_odd_rows(spark, odd_docs):
 def test_empty(spark, odd_docs):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert Q.quality_verdicts(odd_docs.limit(0), labels).count() == 0
-    assert Q.quality_verdicts(odd_docs, labels).where("kept != NOT base_failed").count() == 0
+    assert Q.quality_verdicts(odd_docs, labels).where("kept != (NOT base_failed)").count() == 0
