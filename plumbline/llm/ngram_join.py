@@ -9,9 +9,9 @@ The steps, all exact:
    share come last. Any order gives the same result; what is broadcast of it is at most ``FREQUENT`` n-grams, the most frequent ones.
 3. Two similar sets share one of their first ``n - ceil(t n) + 1`` n-grams. These prefixes are dealt out by n-gram, packed into
    arrays, and n-grams with several nodes give the candidate lists; equal lists count once.
-4. Each node is compared with the leaders of its lists. Lists that then still lie in several components are gone through in blocks of
-   bounded size, for pairs across components: the prefix n-grams that two nodes share are counted, and only pairs whose
-   count plus remaining length can reach the bound are compared.
+4. Each node is compared with the leaders of its lists. Lists that then still lie in several components are put together to families,
+   which are gone through in blocks of bounded size: the prefix n-grams that two nodes share are counted in place, and only pairs across
+   components whose count plus remaining length can reach the bound are compared.
 5. A comparison traverses a prefix tree: the sets that meet one query set are sorted by their ordered n-grams, which is the
    depth-first order of their trie, so the overlap counted along a shared path is counted once, and a subtree is left when overlap plus
    remaining length cannot reach the bound.
@@ -46,7 +46,8 @@ CHUNK_NGRAMS = 4_000_000    # n-grams of the sets that are counted, or packed, t
 CHUNK_SETS = 1 << 16        # and sets; their numbers take 16 bits
 PART_NGRAMS = 1_000_000     # prefix n-grams of a part
 LEADER_NODES = 1024         # nodes that a task compares with one leader
-BLOCK_NODES = 64            # nodes of a block of a list
+BLOCK_NODES = 1024          # nodes of a block of a family
+DENSE_PAIRS, DENSE_LISTS = 4096, 512    # pairs from which a list is counted by a matrix product, and lists of one product
 BROADCAST_NODES = 1_000_000 # whose ids, 40 bytes each, go to every executor; more are joined by a shuffle
 STEP = 64                   # n-grams of a path that are looked up at once
 
@@ -404,49 +405,75 @@ def leader_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .mapInArrow(compare, "a binary, b binary")
 
 
-def common_prefixes(members: DataFrame, percent: int) -> DataFrame:
-    """a, b, common: pairs of nodes of different components, of sizes that can be similar, that have prefix n-grams in common, and how
-    many. ``members``: list, fp, n, weight, component."""
-    sizes = staged(members.groupBy(F.col("list").alias("_list")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_NODES)).alias("blocks")))
-    placed = members.join(sizes, members["list"] == sizes["_list"]) \
-        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks"))) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
-        .select("list", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "n", "fp", "own", "weight", "component")
+def _shared_weights(entries: list[tuple[np.ndarray, np.ndarray, int]], rows: int, columns: int) -> np.ndarray:
+    """How many prefix n-grams the nodes of two blocks have in common, from (places in one, places in the other, weight) per list."""
+    total = np.zeros((rows, columns), np.float32)
+    long = [e for e in entries if len(e[0]) * len(e[1]) > DENSE_PAIRS]
+    for i in range(0, len(long), DENSE_LISTS):
+        left, right = np.zeros((rows, DENSE_LISTS), np.float32), np.zeros((DENSE_LISTS, columns), np.float32)
+        for k, (a, b, weight) in enumerate(long[i:i + DENSE_LISTS]):
+            left[a, k], right[k, b] = weight, 1
+        total += left @ right
+    for a, b, weight in entries:
+        if len(a) * len(b) <= DENSE_PAIRS:
+            total[np.ix_(a, b)] += weight
+    return total
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[bytes, bytes], int] = {}
 
-        def out() -> pa.RecordBatch:
-            return _batch([(*pair, n) for pair, n in found.items()], [("a", pa.binary()), ("b", pa.binary()), ("common", pa.int64())])
+def reachable_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """fp, leader: pairs of nodes of different components that may be similar. ``members``: list, family, fp, n, last, weight, component.
+
+    Of two nodes, all common n-grams up to the end of the prefix that ends first are counted, so their overlap is at most the count
+    and what that node has after its prefix. Lists that nodes connect are a family; a task counts for two blocks of a family's nodes.
+    """
+    sizes = members.groupBy(F.col("family").alias("_family")).agg(F.ceil(F.count_distinct("fp") / F.lit(BLOCK_NODES)).alias("blocks"))
+    placed = members.join(staged(sizes), F.col("family") == F.col("_family")) \
+        .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks"))) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
+        .select("family", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "list", "own", "fp", "n", "last",
+                "weight", "component")
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, 3):
-            rows = list(group)      # by size; a pair within one block is counted where low and high are equal
-            for i, (_, low, high, n, fp, own, weight, component) in enumerate(rows):
-                for _, _, _, m, other, block, _, far in rows[i + 1:]:
-                    if n * 100 < percent * m:
-                        break
-                    if component != far and (low == high or own != block):
-                        key = (fp, other) if fp < other else (other, fp)
-                        found[key] = found.get(key, 0) + weight
-            if len(found) > 50_000:
-                yield out()
-                found.clear()
-        yield out()
-
-    pairs = placed.repartition("list", "low", "high").sortWithinPartitions("list", "low", "high", "n", "fp") \
-        .mapInArrow(count, "a binary, b binary, common bigint")
-    return pairs.groupBy("a", "b").agg(F.sum("common").alias("common"))
-
-
-def reachable(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """fp, leader: the pairs (a, b, common) that may be similar. Of two nodes, all common n-grams up to the end of the prefix that ends first are
-    counted, so their overlap is at most the count and what that node has after its prefix."""
-    own = lambda side: sizes.select(F.col("fp").alias(side), F.col("n").alias(f"n_{side}"), F.col("last").alias(f"last_{side}"))     # noqa: E731
-    joined = pairs.join(own("a"), "a").join(own("b"), "b")
-    n = F.when(F.col("last_a") <= F.col("last_b"), F.col("n_a")).otherwise(F.col("n_b"))
-    after = F.ceil(n * F.lit(percent) / 100) - 1
-    return joined.where((F.col("common") + after) * (100 + percent) >= percent * (F.col("n_a") + F.col("n_b"))) \
-        .select(F.col("b").alias("fp"), F.col("a").alias("leader"))
+            nodes: dict[int, dict] = {}
+            lists: dict[int, tuple] = {}
+            low = high = None
+            for _, low, high, name, own, fp, n, last, weight, component in group:
+                block = nodes.setdefault(own, {})
+                place = block.setdefault(fp, (len(block), n, last, component))[0]
+                lists.setdefault(name, ([], [], weight))[0 if own == low else 1].append(place)
+            if low not in nodes or high not in nodes:
+                continue
+            a, b = nodes[low], nodes[high]
+            entries = [(np.array(x), np.array(x if low == high else y), w) for x, y, w in lists.values() if x and (y or low == high)]
+            common = _shared_weights(entries, len(a), len(b))
+            n_a, n_b = (np.array([v[1] for v in block.values()], np.int64) for block in (a, b))
+            order = {x: i for i, x in enumerate(sorted({v[2] for block in (a, b) for v in block.values()}))}
+            last_a, last_b = (np.array([order[v[2]] for v in block.values()]) for block in (a, b))
+            part = {x: i for i, x in enumerate({v[3] for block in (a, b) for v in block.values()})}
+            part_a, part_b = (np.array([part[v[3]] for v in block.values()]) for block in (a, b))
+            first = np.where(last_a[:, None] <= last_b[None, :], n_a[:, None], n_b[None, :])
+            bound = common + (-(-first * percent // 100) - 1)
+            near = (common > 0) & (bound * (100 + percent) >= percent * (n_a[:, None] + n_b[None, :])) & (part_a[:, None] != part_b[None, :])
+            near &= np.minimum(n_a[:, None], n_b[None, :]) * 100 >= percent * np.maximum(n_a[:, None], n_b[None, :])
+            if low == high:
+                near = np.triu(near, 1)
+            names_a, names_b = list(a), list(b)
+            yield _edges([(names_a[i], names_b[j]) for i, j in zip(*np.nonzero(near))])
+
+    pairs = placed.repartition("family", "low", "high").sortWithinPartitions("family", "low", "high") \
+        .mapInArrow(compare, "leader binary, fp binary")
+    return pairs.select("fp", "leader")
+
+
+def led(lists: DataFrame) -> DataFrame:
+    """Adds each list's leader: the node that shares most n-grams with most nodes, as a text does that others were made from."""
+    sizes = lists.groupBy(F.col("list").alias("_list")).agg(F.count(F.lit(1)).alias("_nodes"))
+    shared = lists.join(sizes, lists["list"] == sizes["_list"]).groupBy(F.col("fp").alias("_fp")) \
+        .agg(F.sum(F.col("weight") * (F.col("_nodes") - 1)).alias("_shared"))
+    ranked = lists.join(shared, lists["fp"] == shared["_fp"]).select("list", "fp", "n", "weight", F.struct(-F.col("_shared"), "fp").alias("_rank"))
+    heads = ranked.groupBy(F.col("list").alias("_list")).agg(F.min("_rank")["fp"].alias("leader"))
+    return ranked.join(heads, ranked["list"] == heads["_list"]).select("list", "leader", "fp", "n", "weight")
 
 
 def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -466,15 +493,17 @@ def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     prefixes = scalar(near, F.sum(F.col("n") * (100 - percent) / 100 + 1)) or 0
     shorts = staged(candidate_lists(kept, order, max(4 * tasks, math.ceil(prefixes / PART_NGRAMS)), percent))
     lists = shorts.join(near.select("short", "fp", "n"), "short").select("list", "fp", "n", "weight")
-    heads = lists.groupBy(F.col("list").alias("_list")).agg(F.min("fp").alias("leader"))
-    lists = staged(lists.join(heads, lists["list"] == heads["_list"]).select("list", "leader", "fp", "n", "weight"))
+    lists = staged(led(staged(lists)))
     sets = ordered_sets(kept.join(lists.select("fp").distinct(), "fp", "left_semi"), order, percent)
     sizes = staged(sets.select("fp", "n", "last"))
     links = staged(leader_links(staged(lists.where("leader != fp").select("fp", "leader").distinct()), sets, percent))
     linked = components(links).withColumnRenamed("node", "fp")
-    members = staged(lists.join(linked, "fp", "left").select("list", "fp", "n", "weight", F.coalesce("component", "fp").alias("component")))
-    mixed = members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list")
-    pairs = staged(reachable(common_prefixes(members.join(mixed, "list"), percent), sizes, percent))
+    members = staged(lists.join(linked, "fp", "left").select("list", "leader", "fp", "weight", F.coalesce("component", "fp").alias("component")))
+    mixed = staged(members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list"))
+    members = staged(members.join(mixed, "list"))
+    families = components(members.where("leader != fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()) \
+        .select(F.col("node").alias("fp"), F.col("component").alias("family"))
+    pairs = staged(reachable_pairs(staged(members.join(families, "fp").join(sizes, "fp")), percent))
     more = staged(leader_links(pairs, sets, percent))
     if not more.isEmpty():
         linked = components(links.unionByName(more)).withColumnRenamed("node", "fp")

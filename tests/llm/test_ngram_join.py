@@ -74,6 +74,7 @@ def test_against_brute_force(docs, seed, monkeypatch):
         monkeypatch.setattr(J, "BLOCK_NODES", 3)
         monkeypatch.setattr(J, "PART_NGRAMS", 100)
         monkeypatch.setattr(J, "CHUNK_NGRAMS", 500)
+        monkeypatch.setattr(J, "DENSE_PAIRS", 1)
         monkeypatch.setattr(J, "BROADCAST_NODES", 0)
     rows = list(enumerate(families(seed)))
     assert result(docs(rows).repartition(3)) == brute(rows)
