@@ -37,6 +37,15 @@ def repeated_documents(spark, sf_dir):
     return rounded(distinctness_global(table(spark, sf_dir, "documents"), ["lang", "text"], digest=True))
 
 
+# Zeros of both signs are one value, by digest as by row
+@query("distinctness_digest_zeros", _distinct_sql(["z", "l_returnflag"], """(SELECT l_returnflag,
+    CASE WHEN l_linenumber % 2 = 0 THEN 0.0 ELSE l_discount END AS z FROM lineitem)"""))
+def zeros_of_both_signs(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", F.when(F.col("l_linenumber") % 4 == 0, F.lit(-0.0))
+                                                    .when(F.col("l_linenumber") % 2 == 0, F.lit(0.0)).otherwise(F.col("l_discount")).alias("z"))
+    return rounded(distinctness_global(lines, ["z", "l_returnflag"], digest=True))
+
+
 DISTINCT_KEYS = [["l_orderkey"], ["l_partkey", "l_suppkey"], ["l_returnflag", "l_linestatus"]]
 
 
@@ -151,6 +160,20 @@ def valid_combinations(spark, sf_dir):
     return rounded(with_association(homes, [regions, segments]).select("c_custkey", "ASSOCIATION_CONSISTENCY"))
 
 
+# Three lists that are taken for too long to broadcast
+@query("association_many_lists", f"""
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {r6("""(
+    CASE WHEN EXISTS (SELECT 1 FROM lineitem e WHERE e.l_returnflag = l.l_returnflag AND e.l_quantity = l.l_quantity AND e.l_shipdate < TIMESTAMP '1992-03-01 00:00:00') THEN 1 ELSE 0 END
+  + CASE WHEN l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45) THEN 1 ELSE 0 END
+  + CASE WHEN l_returnflag || l_linestatus IN (SELECT l_returnflag || l_linestatus FROM lineitem WHERE l_shipdate < TIMESTAMP '1992-03-01 00:00:00') THEN 1 ELSE 0 END) / 3.0""")}
+  AS "ASSOCIATION_CONSISTENCY" FROM lineitem l""")
+def many_lists(spark, sf_dir):
+    lineitem = table(spark, sf_dir, "lineitem")
+    early = lineitem.filter(F.col("l_shipdate") < F.lit("1992-03-01 00:00:00").cast("timestamp_ntz"))
+    lists = [early.select("l_returnflag", "l_quantity"), lineitem.filter("l_quantity > 45").select("l_partkey"), early.select("l_returnflag", "l_linestatus")]
+    return rounded(with_association(lineitem, lists, broadcast_bytes=0).select("l_orderkey", "l_linenumber", "ASSOCIATION_CONSISTENCY"))
+
+
 # A list that is taken for too long to broadcast: flags with quantities of lines shipped before March 1992; few flags hold all rows
 @query("association_long_list", """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, EXISTS (

@@ -53,13 +53,18 @@ def complete_rows(spark, sf_dir):
     return rounded(drop_incomplete(labelled(spark, sf_dir), columns).select(*columns))
 
 
-@query("sample_confidence")
+# What holds for any sample: rows of the table, none twice, about as many as asked for
+@query("sample_confidence", """
+SELECT true AS subset, true AS no_repeats, count(*) > 0 AS share_is_near, CAST(0.25 AS DOUBLE) AS "Confidence" FROM lineitem""")
 def sampled(spark, sf_dir):
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_partkey")
     rows = sample_rows(lineitem, 0.25, seed=7)
-    total = lineitem.agg(F.count(F.lit(1))).scalar()
-    return rows.agg(F.count(F.lit(1)).alias("rows"), F.avg("l_quantity").alias("mean_quantity")).select(
-        "rows", "mean_quantity", (F.col("rows") / total).alias("share"), F.lit(0.25).alias("Confidence"))
+    facts = lineitem.groupBy(*lineitem.columns).agg(F.count(F.lit(1)).alias("there")).join(
+        rows.groupBy(*lineitem.columns).agg(F.count(F.lit(1)).alias("taken")), lineitem.columns, "full")
+    return facts.agg(F.max("there").isNotNull().alias("some"), F.bool_and(F.col("there").isNotNull()).alias("subset"),
+                     F.bool_and(F.coalesce("taken", F.lit(0)) <= F.col("there")).alias("no_repeats"),
+                     (F.abs(F.sum("taken") / F.sum("there") - 0.25) < 0.02).alias("share_is_near")) \
+        .select("subset", "no_repeats", "share_is_near", F.lit(0.25).alias("Confidence"))
 
 
 # Text batches
@@ -117,6 +122,7 @@ def types_of_texts(spark, sf_dir):
     return type_table(_texts(spark, sf_dir), TEXTS, FORMATS)
 
 
+# The column types each dimension can be measured on, stated again for the SQL.
 ALLOWED_SQL = {"Completeness_Missing": "float string datetime", "Completeness_Frequency": "datetime",
                "Accuracy": "float", "Completeness_Population": "float string", "Volume": "float string",
                "Precision": "float", "Consistency": "float string datetime", "Timeliness": "datetime",

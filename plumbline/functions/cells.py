@@ -22,6 +22,13 @@ NULL_TEXT = "null"
 KEY_SEPARATOR = ","
 
 
+TYPED_PREFIX = "__typed_"       # of the typed companion of a text column in stored rows
+
+
+def typed_name(column: str) -> str:
+    return TYPED_PREFIX + column
+
+
 def cell(name: str) -> Column:
     """Reference a column whatever characters its name holds."""
     return F.col("`" + name.replace("`", "``") + "`")

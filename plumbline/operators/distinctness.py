@@ -91,7 +91,11 @@ def new_values(df: DataFrame, columns: Sequence[str], stored: DataFrame) -> Data
     a long history is only scanned when the batch's values are few enough to broadcast, and can be thinned out
     by a run-time filter when they are not; against the history itself it would be shuffled for every batch.
     """
-    current = distinct_values(df, columns)
+    return unseen_values(distinct_values(df, columns), stored)
+
+
+def unseen_values(current: DataFrame, stored: DataFrame) -> DataFrame:
+    """Those of a batch's distinct values that are not stored. ``current`` is read twice."""
     repeated = stored.join(current, ["attribute", "value"], "left_semi")
     return current.join(repeated, ["attribute", "value"], "left_anti")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..functions.cells import cell, is_missing, is_text, text_to_number
 from ..functions.times import parse_time
 
 FLOAT, DATETIME, STRING, ALL = "float", "datetime", "string", "all"
+COUNTS_PER_SCAN = 120           # of one scan that infers types
 
 # The column types each dimension can be measured on.
 ALLOWED_TYPES = {
@@ -74,18 +76,26 @@ def _order(candidates: Candidates) -> list[str]:
 def candidate_counts(df: DataFrame, candidates: Candidates) -> DataFrame:
     """Per text column its ``filled`` cells, and in ``read_<n>`` how many of them read as candidate ``n``.
 
-    One scan turns the cells into (column, cell) pairs, which are counted per column where they are read. So
-    each candidate is one expression however many columns there are, and the generated code stays small.
+    Cells are counted where they are read, without a row or a group per cell: one scan for every ``COUNTS_PER_SCAN`` counts, so that
+    generated code stays small however many columns there are.
     """
-    pairs = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.when(~is_missing(df, c), cell(c)).alias("value")) for c in candidates])))
-    counters = []
-    for n, candidate in enumerate(_order(candidates)):
-        tried_on = [c for c, tried in candidates.items() if candidate in tried]
-        value = F.when(F.col("column").isin(tried_on), F.col("value"))
-        read = text_to_number(value) if candidate == FLOAT else parse_time(value, candidate)
-        counters.append(F.count(read).alias(f"read_{n}"))
-    return pairs.groupBy("column").agg(F.count("value").alias("filled"), *counters)
+    order, columns = _order(candidates), list(candidates)
+    per_scan = max(1, COUNTS_PER_SCAN // (1 + len(order)))
+    frames = [_counts_of(df, columns[i:i + per_scan], candidates, order) for i in range(0, len(columns), per_scan)]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _counts_of(df: DataFrame, columns: Sequence[str], candidates: Candidates, order: Sequence[str]) -> DataFrame:
+    counters, rows = [], []
+    for i, c in enumerate(columns):
+        value = F.when(~is_missing(df, c), cell(c))
+        counters.append(F.count(value).alias(f"filled_{i}"))
+        for n, candidate in enumerate(order):
+            read = F.lit(None) if candidate not in candidates[c] else text_to_number(value) if candidate == FLOAT else parse_time(value, candidate)
+            counters.append(F.count(read).alias(f"read_{i}_{n}"))
+        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"filled_{i}").alias("filled"),
+                             *[F.col(f"read_{i}_{n}").alias(f"read_{n}") for n in range(len(order))]))
+    return df.agg(*counters).select(F.inline(F.array(*rows)))
 
 
 def inferred_types(df: DataFrame, candidates: Candidates) -> DataFrame:

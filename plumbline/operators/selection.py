@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.cells import all_filled, cell, dtype, is_text, number
+from ..functions.cells import all_filled, cell, dtype, is_text, number, typed_name
 from ..functions.times import range_end, timestamp
 from .inference import DATETIME, FLOAT, ColumnTypes
 
@@ -42,8 +42,12 @@ def _in_range(value: Column, end, limits: Range) -> Column:
 
 def in_ranges(df: DataFrame, name: str, ranges: Sequence[Range], types: ColumnTypes) -> Column:
     """Row is in one of the ranges: times by ``dd/mm/yyyy HH.MM.SS`` ends, numbers as numbers, texts as texts."""
-    kind = types.kinds.get(name)
-    if kind == DATETIME:
+    kind, typed_column = types.kinds.get(name), typed_name(name)
+    if typed_column in df.columns:
+        # A stored companion: the predicate reaches the scan.
+        ends = range_end if kind == DATETIME else lambda end: F.lit(float(end.replace(",", ".")))      # noqa: E731
+        limits = [_in_range(cell(typed_column), ends, r) for r in ranges]
+    elif kind == DATETIME:
         if is_text(dtype(df, name)):
             value = timestamp(df, name, types.formats.get(name))
             limits = [_in_range(value, range_end, r) for r in ranges]

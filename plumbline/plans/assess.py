@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cells import cell
+from ..functions.cells import cell, typed_name
 from ..functions.times import DEFAULT_VOLATILITY_HOURS, instant
 from ..operators.accuracy import Accuracy, Expected
 from ..operators.completeness import Completeness
@@ -318,9 +318,12 @@ def assess(spark: SparkSession, spec: AssessmentSpec, as_of: dt.datetime | str)
         value_rates={c: r for c in times if (r := state.value_rates(c)) is not None},
         rules=state.association_rules(), distinctness=state.source_distinctness(version),
         volatility_hours=metadata.volatility_hours)
-    extended = state.extended(metadata, state.correct_batches(spec.batches))
+    batches = state.correct_batches(spec.batches)
+    extended = state.extended(metadata, batches)
     staging = staging_folder(spark, result.folder + "/_staging")
-    source = extended.select(*[cell(c) for c in spec.columns])
+    # Ranges on text columns compare the stored numbers and times, which the scan can skip by.
+    typed = [typed_name(c) for c in spec.columns if spec.ranges.get(c) and c in metadata.typed]
+    source = state.extended(metadata, batches, bool(typed)).select(*[cell(c) for c in (*spec.columns, *typed)])
     tables = assess_frame(source, types, spec, as_of, staging, reference, result.errors)
     if any(spec.asks(d, TUPLE) for d in spec.dimensions):
         try:

@@ -9,11 +9,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cells import cell
-from ..functions.times import instant
+from ..functions.cells import cell, is_text, number, typed_name
+from ..functions.times import instant, timestamp
 from ..operators.completeness import Completeness, completeness_row
 from ..operators.consistency import Rule, consistency_attribute, consistency_value, rule_set, with_association
-from ..operators.distinctness import distinctness_update, new_values
+from ..operators.distinctness import VALUES_SCHEMA, distinct_values, distinctness_update, unseen_values
 from ..operators.frequency import frequency_global, frequency_hour
 from ..operators.inference import ColumnTypes, infer_types
 from ..operators.precision import Precision
@@ -105,15 +105,18 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
     spark, now = state.spark, instant(as_of)
     metadata = state.metadata(version - 1)
     if metadata is None:
-        metadata = SourceMetadata(infer_types(batch, spec.all_time_formats), batch.schema, spec.volatility_hours,
-                                  tuple(spec.binding_paths))
+        found = infer_types(batch, spec.all_time_formats)
+        metadata = SourceMetadata(found, batch.schema, spec.volatility_hours, tuple(spec.binding_paths), tuple(
+            f.name for f in batch.schema.fields if is_text(f.dataType) and (found.is_time(f.name) or f.name in found.columns_for("Precision"))))
         state.save_metadata(metadata, version)
     types, volatility = metadata.types, metadata.volatility_hours
     bindings = read_bindings(spark, metadata.binding_paths)
 
     # The scored rows are written first: everything else reads their columns instead of the raw batch.
     own = batch.select(*[cell(f.name).cast(f.dataType).alias(f.name) for f in metadata.schema.fields])
-    state.write_extended(extend_rows(own, types, volatility, now, bindings), name)
+    scored = extend_rows(own, types, volatility, now, bindings)
+    state.write_extended(scored.withColumns({
+        typed_name(c): timestamp(own, c, types.formats.get(c)) if types.is_time(c) else number(own, c) for c in metadata.typed}), name)
     rows = state.extended_batch(metadata, name).select(*map(cell, metadata.columns))
 
     rates = {c: r for c in types.columns_for("Timeliness") if (r := state.hourly_rates(c)) is not None}
@@ -122,7 +125,9 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
 
     distinct_columns = types.columns_for("Distinctness")
     if distinct_columns:
-        added = new_values(rows, distinct_columns, state.distinct_values(version - 1))
+        # Found once and written: the look-up among the stored values reads them twice.
+        state.write_version(distinct_values(rows, distinct_columns), "batch_values", version)
+        added = unseen_values(state.read_version("batch_values", version, VALUES_SCHEMA), state.distinct_values(version - 1))
         state.write_values(added, version)
         update = distinctness_update(rows.agg(F.count(F.lit(1)).alias("rows")), distinct_columns,
                                      state.added_values(version), state.source_distinctness(version - 1))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cells import typed_name
 from ..functions.times import DEFAULT_VOLATILITY_HOURS
 from ..operators.consistency import RULES_SCHEMA
 from ..operators.distinctness import DISTINCTNESS_SCHEMA, VALUES_SCHEMA
@@ -26,7 +27,7 @@ HOURLY_RATE_SCHEMA = "Hour int, Frequency double"
 VALUE_RATE_SCHEMA = "Key string, Value string, Hour int, Frequency double"
 METADATA_SCHEMA = ("header array<string>, volatility double, datatypes array<string>, timeFormats array<string>, "
                    "dimensionAttributeName map<string,array<string>>, timelinessNames array<string>, "
-                   "consistencyRuleFiles array<string>, columnSchema string")
+                   "consistencyRuleFiles array<string>, columnSchema string, typedColumns array<string>")
 
 
 def read_or_none(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
@@ -51,6 +52,7 @@ class SourceMetadata:
     schema: T.StructType
     volatility_hours: float = DEFAULT_VOLATILITY_HOURS
     binding_paths: tuple[str, ...] = ()
+    typed: tuple[str, ...] = ()         # text columns of numbers or times that are stored in their type as well
 
     @property
     def columns(self) -> list[str]:
@@ -174,10 +176,11 @@ class SourceState:
         found = read_or_none(self.spark, self.path("malformed_lines"), "line string, batch string", "parquet")
         return found if found is not None else self.spark.createDataFrame([], "line string, batch string")
 
-    def extended(self, metadata: SourceMetadata, batches: DataFrame | None = None) -> DataFrame:
-        """Profiled rows of the correctly analysed batches. The names prune the partitions that are read."""
+    def extended(self, metadata: SourceMetadata, batches: DataFrame | None = None, typed: bool = False) -> DataFrame:
+        """Profiled rows of the correctly analysed batches, with the typed companions of text columns if asked for. The names prune the
+        partitions that are read."""
         names = self.correct_batches() if batches is None else batches
-        rows = self.spark.read.schema(self.extended_schema(metadata)).parquet(self.path("extended_dataset"))
+        rows = self.spark.read.schema(self.extended_schema(metadata, typed)).parquet(self.path("extended_dataset"))
         return rows.join(names, "batch", "left_semi")
 
     def extended_batch(self, metadata: SourceMetadata, batch: str) -> DataFrame:
@@ -186,8 +189,10 @@ class SourceState:
         return rows.filter(F.col("batch") == batch)
 
     @staticmethod
-    def extended_schema(metadata: SourceMetadata) -> T.StructType:
+    def extended_schema(metadata: SourceMetadata, typed: bool = False) -> T.StructType:
         schema = T.StructType(list(metadata.schema.fields))
+        for name in metadata.typed if typed else ():
+            schema = schema.add(typed_name(name), T.TimestampType() if metadata.types.is_time(name) else T.DoubleType())
         for name in extended_columns(metadata):
             schema = schema.add(name, T.DoubleType())
         return schema.add("batch", T.StringType())
@@ -199,7 +204,7 @@ class SourceState:
         row = (metadata.columns, float(metadata.volatility_hours),
                [types.kinds[c] for c in metadata.columns], [types.formats.get(c) for c in metadata.columns],
                dimension_columns(types), [f"TIMELINESS_{c}" for c in types.columns_for("Timeliness")],
-               list(metadata.binding_paths), metadata.schema.json())
+               list(metadata.binding_paths), metadata.schema.json(), list(metadata.typed))
         (self.spark.createDataFrame([row], METADATA_SCHEMA).write.mode("overwrite")
          .json(self.path("preliminary_information", f"version={version}")))
 
@@ -212,7 +217,7 @@ class SourceState:
         header, formats = row["header"], row["timeFormats"]
         types = ColumnTypes(dict(zip(header, row["datatypes"])), {c: f for c, f in zip(header, formats) if f})
         return SourceMetadata(types, T.StructType.fromJson(json.loads(row["columnSchema"])), row["volatility"],
-                              tuple(row["consistencyRuleFiles"] or ()))
+                              tuple(row["consistencyRuleFiles"] or ()), tuple(row["typedColumns"] or ()))
 
     # Tables the source's owner provides
 

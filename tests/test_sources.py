@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from plumbline import (AssessmentSpec, ColumnTypes, ProfileSpec, Range, Reference, Rule, SourceState, TextLayout, assess,
                        assess_frame, profile_batch, profile_files)
 from plumbline.functions.times import instant
+from plumbline.operators.inference import infer_types
+from plumbline.operators.selection import select_rows
 from plumbline.plans.merge import merge_quality
 from plumbline.plans.profile import batch_metrics
 from plumbline.plans.staging import stage, staging_folder
@@ -511,6 +513,32 @@ def test_one_bad_parameter_leaves_the_other_dimensions(spark, tmp_path):
         assess_frame(frame, ColumnTypes({"k": "string", "x": "float"}), spec, AS_OF, str(tmp_path / "2"))
 
 
+def test_time_range_of_a_text_source_reaches_the_scan(spark, tmp_path, trips):
+    spec, _ = trips
+    state = SourceState(spark, spec.result_folder)
+    metadata = state.metadata()
+    assert set(metadata.typed) == {"CODLINHA", "NUMEROCARTAO", "DATAUTILIZACAO"}
+    rows = state.extended(metadata, typed=True)
+    limits = {"DATAUTILIZACAO": [Range("02/05/2017 17.00.00", None)], "NUMEROCARTAO": [Range("2000000", None)]}
+    shown = spark.conf.get("spark.sql.maxMetadataStringLength")
+    try:
+        spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+        chosen = select_rows(rows, FIELDS, limits, {}, metadata.types)
+        pushed = chosen._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1]
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", shown)
+    assert "GreaterThanOrEqual(__typed_DATAUTILIZACAO" in pushed and "GreaterThanOrEqual(__typed_NUMEROCARTAO" in pushed
+    plain = select_rows(state.extended(metadata), FIELDS, limits, {}, metadata.types)
+    assert sorted(map(str, chosen.collect())) == sorted(map(str, plain.collect())) and chosen.count() == 4
+
+
+def test_types_of_many_columns(spark):
+    frame = spark.range(50).select(*[(F.col("id") + i).cast("string").alias(f"c{i}") if i % 2 else F.concat(F.lit("x"), F.col("id")).alias(f"c{i}")
+                                     for i in range(500)])
+    types = infer_types(frame, ("%d/%m/%y",))
+    assert [types.kinds[f"c{i}"] for i in range(500)] == ["string", "float"] * 250
+
+
 def test_stored_rules_are_bounded(spark, monkeypatch):
     from plumbline.operators import consistency
     monkeypatch.setattr(consistency, "MAX_RULES", 2)
