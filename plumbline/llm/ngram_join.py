@@ -48,7 +48,7 @@ PART_NGRAMS = 1_000_000     # prefix n-grams of a part
 LEADER_NODES = 1024         # nodes that a task compares with one leader
 BLOCK_NODES = 1024          # nodes of a block of a family
 DENSE_PAIRS, DENSE_LISTS = 4096, 512    # pairs from which a list is counted by a matrix product, and lists of one product
-BROADCAST_NODES = 1_000_000 # whose ids, 40 bytes each, go to every executor; more are joined by a shuffle
+BROADCAST_NODES = 1_000_000 # rows of at most 60 bytes that go to every executor; more are joined by a shuffle
 STEP = 64                   # n-grams of a path that are looked up at once
 
 
@@ -228,8 +228,13 @@ def profiled(docs: DataFrame, slices: int, width: int) -> DataFrame:
         .groupBy("chunk").applyInArrow(total, "doc bigint, hash bigint, fp binary, n bigint, repeated bigint")
 
 
-def kept_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """fp, tokens (sorted hashes) of nodes (fp, and doc, hash: one document that has the set)."""
+def _spread(ids: DataFrame) -> DataFrame:
+    """A frame of short rows, to be broadcast in a join if it has few enough of them; else Spark shuffles both sides."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_NODES else ids
+
+
+def kept_sets(docs: DataFrame, nodes: DataFrame, width: int, repeated: bool) -> DataFrame:
+    """fp, tokens (sorted hashes) of nodes (fp, and doc, hash: one document that has the set). ``repeated``: rows may be there twice."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,12 +242,10 @@ def kept_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array(sets, pa.binary())], ["fp", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
-    wanted = nodes.select("fp", "doc", "hash")
-    if nodes.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
+    wanted = _spread(nodes.select("fp", "doc", "hash"))
     own = rows.join(wanted, rows["_doc"].eqNullSafe(wanted["doc"]) & (rows["_hash"] == wanted["hash"]))
-    # A document repeated in full would give its set more than once.
-    return own.select("fp", "text").mapInArrow(build, "fp binary, tokens binary").dropDuplicates(["fp"])
+    sets = own.select("fp", "text").mapInArrow(build, "fp binary, tokens binary")
+    return sets.dropDuplicates(["fp"]) if repeated else sets
 
 
 def global_order(sets: DataFrame, slices: int) -> Order:
@@ -400,7 +403,8 @@ def leader_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 found = []
         yield _edges(found)
 
-    rows = placed.unionByName(leaders).join(sets.select("fp", "tokens"), "fp").select("leader", "block", "role", "tokens", "fp")
+    placed = _spread(staged(placed.unionByName(leaders)))
+    rows = sets.select("fp", "tokens").join(placed, "fp").select("leader", "block", "role", "tokens", "fp")
     return rows.repartition("leader", "block").sortWithinPartitions("leader", "block", "role", "tokens") \
         .mapInArrow(compare, "a binary, b binary")
 
@@ -488,13 +492,14 @@ def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     near = staged(nodes.where(F.col("repeated") * 100 >= F.col("n") * percent)
                   .select("fp", "n", F.col("first.doc").alias("doc"), F.col("first.hash").alias("hash"),
                           F.conv(F.hex(F.substring("fp", 1, 8)), 16, -10).cast("long").alias("short")))
-    kept = staged(kept_sets(docs, near, width))
+    repeated = not rows.groupBy("doc", "hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty()
+    kept = staged(kept_sets(docs, near, width, repeated))
     order = spark.sparkContext.broadcast(global_order(kept, 4 * tasks))
     prefixes = scalar(near, F.sum(F.col("n") * (100 - percent) / 100 + 1)) or 0
     shorts = staged(candidate_lists(kept, order, max(4 * tasks, math.ceil(prefixes / PART_NGRAMS)), percent))
     lists = shorts.join(near.select("short", "fp", "n"), "short").select("list", "fp", "n", "weight")
     lists = staged(led(staged(lists)))
-    sets = ordered_sets(kept.join(lists.select("fp").distinct(), "fp", "left_semi"), order, percent)
+    sets = ordered_sets(kept.join(_spread(staged(lists.select("fp").distinct())), "fp", "left_semi"), order, percent)
     sizes = staged(sets.select("fp", "n", "last"))
     links = staged(leader_links(staged(lists.where("leader != fp").select("fp", "leader").distinct()), sets, percent))
     linked = components(links).withColumnRenamed("node", "fp")
