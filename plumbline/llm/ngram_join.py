@@ -42,7 +42,7 @@ from plumbline.llm.words import LOWER, distinct, texts, window_hashes, word_hash
 
 WIDTH, PERCENT = 5, 75
 FREQUENT = 1 << 22          # most n-grams whose frequency is broadcast
-CHUNK_NGRAMS = 4_000_000    # n-grams of the sets that are counted, or packed, together
+CHUNK_NGRAMS = 1 << 20      # n-grams of the sets that are counted, or packed, together
 CHUNK_SETS = 1 << 16        # and sets; their numbers take 16 bits
 PART_NGRAMS = 1_000_000     # prefix n-grams of a part
 LEADER_NODES = 1024         # nodes that a task compares with one leader
