@@ -59,7 +59,7 @@ OUTSIDE_WORDS = _NAMES(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs "
     "sidebar aside footer masthead topbar toolbar notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription "
     "signup login comment comments commentlist disqus respond replies reply related recommended recommendations share sharing social "
-    "pagination pager copyright disclaimer alert")
+    "pagination pager copyright disclaimer alert side rail teaser adsbygoogle")
 HEADER_OF_TEXT = _NAMES("article entry post content story")
 NEGATED = _NAMES("has with no without not hide")
 

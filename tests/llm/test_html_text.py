@@ -18,6 +18,8 @@ CASES = {
     "raw text": (f"<article><p>{P}<script>var a='</p><p>no';</script><style>x</style></p><!-- <p>no</p> --><noscript>no</noscript></article>", P),
     "outside by class": (f"<article><p>{P}</p><div class='share-box'>no</div><aside>no</aside><form>no<button>no</button></form><section id=comments><article><p>no</p>"
                          f"</article></section></article><div class=cookie-notice>no</div><div role=navigation>no</div>", P),
+    "outside before it": (f"<div class='side-bar'>no</div><div class=rightRail>no</div><div id=disqus_thread>no</div><ins class=adsbygoogle></ins>"
+                          f"<div class='top siteHeader'>no</div><article class='post has-comments'><p>{P}</p></article>", P),
     "page settings in body": (f"<main class='has-sidebar'><p>{P}</p></main>", P),
     "article header": (f"<header>Site</header><article><header><h1>Head</h1></header><p>{P}</p></article>", f"Head\n{P}"),
     "lists and tables": (f"<article><p>{P}<ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table></article>", f"{P}\none\ntwo\na\nb\nc"),
