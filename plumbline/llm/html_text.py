@@ -7,8 +7,9 @@ parent region (Gaussian weights), fused as their product's square root, and path
 the page's deviation are content. As whole paths are chosen, short paragraphs of an article stay with its long ones.
 
 Paths through regions that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms or comments are no
-candidates. An ``article`` or ``main`` region, where a page has one with text, bounds the candidates, and within it
-any path that is not mostly links is content.
+candidates. An ``article`` or ``main`` region only raises: its paths' fused ratios gain the region's best one times the
+region's share of the text, so short paths between long ones are kept where the region holds the page's text. The threshold is that of the
+whole page, and paths outside such regions are measured by it alike.
 
 Reading is lenient, as in browsers: attributes in any quotes, comments and raw-text elements skipped, missing end tags of paragraphs,
 list items, cells and the like implied, an unknown end tag ignored, a page cut off anywhere read as far as it goes.
@@ -34,7 +35,7 @@ from pyspark.sql import types as T
 SMOOTHING = 1           # blocks on each side
 THRESHOLD = 0.5         # of the fused ratios' deviation
 LINK_SHARE = 0.6        # from which a path is a menu
-CONTENT_SHARE = 0.05    # of the page's text that an article region must hold
+CONTENT_SHARE = 0.05    # of the page's text that an article region must hold to raise its paths
 
 _NAMES = lambda text: frozenset(text.split())       # noqa: E731
 
@@ -226,9 +227,9 @@ def content_blocks(found: list[Block]) -> list[Block]:
     lengths: dict[int, int] = {}
     for b in inside:
         lengths[b.article] = lengths.get(b.article, 0) + len(b.text)
-    articles = {a for a, n in lengths.items() if a and n >= CONTENT_SHARE * total}
-    if articles:
-        inside = [b for b in inside if b.article in articles]
+    shares = {a: n / total for a, n in lengths.items() if a and n >= CONTENT_SHARE * total}
+    if not inside:
+        return []
     paths: dict[tuple, list[float]] = {}
     for b in inside:
         sums = paths.setdefault(b.path, [0, 0, 0, 0])
@@ -237,17 +238,22 @@ def content_blocks(found: list[Block]) -> list[Block]:
         sums[2] += 1
         sums[3] += b.linked
     menus = {p for p, s in paths.items() if s[3] >= LINK_SHARE * s[0]}
-    if articles or not inside:
-        return [b for b in inside if b.path not in menus]
     regions = [b.path[:-1] for b in inside]
     length = _smoothed(np.array([paths[b.path][0] / paths[b.path][2] for b in inside]), regions)
     marks = _smoothed(np.array([(paths[b.path][1] + 0.5) / paths[b.path][2] for b in inside]), regions)
     fused = np.sqrt(length * marks)
     best: dict[tuple, float] = {}
+    tops: dict[int, float] = {}
     for b, f in zip(inside, fused):
         best[b.path] = max(best.get(b.path, 0.0), float(f))
+        if b.path not in menus:
+            tops[b.article] = max(tops.get(b.article, 0.0), float(f))
     bound = min(THRESHOLD * float(np.std(fused)), max(best.values()))
-    return [b for b in inside if b.path not in menus and best[b.path] >= bound]
+    raised: dict[tuple, float] = {}
+    for b in inside:
+        lift = shares.get(b.article, 0.0) * tops.get(b.article, 0.0)
+        raised[b.path] = max(raised.get(b.path, 0.0), best[b.path] + lift)
+    return [b for b in inside if b.path not in menus and raised[b.path] >= bound]
 
 
 def main_text(page: str) -> str:

@@ -65,3 +65,17 @@ def test_rows(spark):
     got = H.page_texts(table)
     assert sorted((str(r["page_id"]), r["text"]) for r in got.collect()) == [("1", P), ("1", P), ("2", ""), ("None", "")]
     assert H.page_texts(table.limit(0)).count() == 0
+
+
+def test_body_beside_article_cards():
+    body = "".join(f"<p>{P} Paragraph {i}, of the body.</p>" for i in range(6))
+    cards = "".join(f"<article class=card><h3>Card {i}</h3><p>Some words on another page that stands elsewhere on the site</p></article>" for i in range(3))
+    got = H.main_text(f"<div class=text>{body}</div><div class=more>{cards}</div>").split("\n")
+    assert got[:6] == [f"{P} Paragraph {i}, of the body." for i in range(6)]
+    # A region that holds little of the text is measured beside the body and does not replace it.
+    assert H.main_text(f"<div class=text>{body}</div><main>Some words that stand in a region by themselves</main>").split("\n")[:6] == got[:6]
+
+
+def test_article_raises_its_short_paths():
+    short = "".join(f"<h2>Head {i}</h2><p>{P} {P} {P}</p>" for i in range(3))
+    assert H.main_text(f"<div><h4>Aside</h4></div><main>{short}</main>") == "\n".join(f"Head {i}\n{P} {P} {P}" for i in range(3))
