@@ -7,7 +7,8 @@ parent region (Gaussian weights), fused as their product's square root, and path
 the page's deviation are content. As whole paths are chosen, short paragraphs of an article stay with its long ones.
 
 Paths through regions that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms or comments are no
-candidates. An ``article`` or ``main`` region only raises: its paths' fused ratios gain the region's best one times the
+candidates, unless they hold the article: the page's largest article or main region, or its h1 with more text than that where there is no such
+region, or most of its unlinked text. Then only what lies in them counts. An ``article`` or ``main`` region only raises: its paths' fused ratios gain the region's best one times the
 region's share of the text, so short paths between long ones are kept where the region holds the page's text. The threshold is that of the
 whole page, and paths outside such regions are measured by it alike.
 
@@ -23,8 +24,10 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +54,8 @@ IMPLIED = {"li": _NAMES("li"), "dt": _NAMES("dt dd"), "dd": _NAMES("dt dd"), "tr
            "tbody": _NAMES("thead tbody tfoot tr td th"), "tfoot": _NAMES("thead tbody tfoot tr td th")}
 SCOPES = {"li": _NAMES("ul ol menu"), "dt": _NAMES("dl"), "dd": _NAMES("dl"), "tr": _NAMES("table"), "td": _NAMES("table"),
           "th": _NAMES("table"), "option": _NAMES("select"), "thead": _NAMES("table"), "tbody": _NAMES("table"), "tfoot": _NAMES("table")}
+LANDMARKS = _NAMES("article main")
+NEVER_WRAPS = _NAMES("nav menu button head search dialog footer")     # outside even with most of the text, if no article region is in it
 OUTSIDE = _NAMES("nav footer aside form menu dialog button fieldset head search")
 ROLES = _NAMES("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar status")
 SPACE = re.compile(r"\s+")
@@ -61,11 +66,12 @@ OUTSIDE_WORDS = _NAMES(
     "sidebar aside footer masthead topbar toolbar notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription "
     "signup login comment comments commentlist disqus respond replies reply related recommended recommendations share sharing social "
     "pagination pager copyright disclaimer alert side rail teaser adsbygoogle")
+ADDED_WORDS = _NAMES("comment comments commentlist disqus respond replies reply related recommended recommendations")   # often longer than the article
 HEADER_OF_TEXT = _NAMES("article entry post content story")
 NEGATED = _NAMES("has with no without not hide")
 
 _TAG = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<([/]?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+|["'][^\s>]*+)|))?""")
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _MARKS = re.compile(r"[.,;:!?…、。，；：！？]")
 
@@ -77,60 +83,147 @@ class Block:
     linked: int
     outside: bool
     article: int        # number of the article region it lies in, 0 for none
+    unlinked_marks: int = 0
 
 
-def _names_outside(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element opens a region that is not the article's text."""
+@dataclass(slots=True)
+class Region:
+    """An element that is no inline one; numbered as they open, so its contents are the numbers up to ``end``."""
+    parent: int         # -1 for none
+    tag: str
+    suspect: bool       # by tag, role or class
+    added: bool         # comments and the like
+    hidden: bool
+    article: int
+    landmark: bool
+    end: int = 0
+    text: int = 0       # characters without links, hidden ones left out
+    headed: int = 0     # h1 elements
+    head_text: int = 0
+    best: int = 0       # text of the largest article region in it
+    inner: int = 0      # text of the article regions in it
+    landmark_at: int = -1   # the innermost article region it lies in or is
+    outside: bool = False
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    """Names and values; of equal names the first, as in browsers."""
+    out: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(raw):
+        value = next((v for v in values if v), "")
+        out.setdefault(name.lower(), html.unescape(value) if "&" in value else value)
+    return out
+
+
+def _names_outside(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Whether an element is named like a region that is not the article's text."""
     if tag in OUTSIDE or (tag == "header" and not in_article):
         return True
     if not attributes or tag in ("html", "body", "main"):
         return False
-    for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), next((v for v in values if v), "")
-        if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
-        if name == "role":
-            if value.lower() in ROLES:
+    if attributes.get("role", "").strip().lower() in ROLES:
+        return True
+    for token in attributes.get("class", "").split() + attributes.get("id", "").split():
+        if tag == "article":        # often carries settings of the whole page
+            if token.lower() in OUTSIDE_WORDS:
                 return True
-        elif name in ("class", "id"):
-            for token in value.split():
-                if tag == "article":        # often carries settings of the whole page
-                    if token.lower() in OUTSIDE_WORDS:
-                        return True
-                    continue
-                words = [w.lower() for w in _WORD.findall(token)]
-                if words and words[0] in NEGATED:
-                    continue
-                if OUTSIDE_WORDS.intersection(words):
-                    return True
-                if "header" in words and not in_article and not HEADER_OF_TEXT.intersection(words):
-                    return True
+            continue
+        words = [w.lower() for w in _WORD.findall(token)]
+        if words and words[0] in NEGATED:
+            continue
+        if OUTSIDE_WORDS.intersection(words):
+            return True
+        if "header" in words and not in_article and not HEADER_OF_TEXT.intersection(words):
+            return True
     return False
 
 
+def _added(attributes: dict[str, str]) -> bool:
+    return any(w.lower() in ADDED_WORDS for name in ("class", "id") for w in _WORD.findall(attributes.get(name, "")))
+
+
+def _mark_outside(regions: list[Region], texts: list[tuple[int, int]]) -> None:
+    """Sets ``outside``. ``texts``: region and unlinked characters of each block."""
+    for i, r in enumerate(regions):
+        up = regions[r.parent] if r.parent >= 0 else None
+        r.hidden = r.hidden or (up is not None and up.hidden)
+        r.landmark_at = i if r.landmark else up.landmark_at if up is not None else -1
+        r.end = i + 1
+    total = 0
+    for i, n in texts:
+        if i < 0:
+            total += n
+        elif not regions[i].hidden:
+            regions[i].text += n
+            total += n
+    for r in reversed(regions):
+        if r.tag == "h1" and r.text:
+            r.headed, r.head_text = 1, r.text
+        if r.parent >= 0:
+            up = regions[r.parent]
+            up.end = max(up.end, r.end)
+            up.text, up.headed, up.head_text = up.text + r.text, up.headed + r.headed, up.head_text + r.head_text
+            up.best, up.inner = max(up.best, r.best, r.text if r.landmark else 0), up.inner + (r.text if r.landmark else r.inner)
+    # Article regions that end before a place, and that begin after it.
+    landmarks = [(i, r) for i, r in enumerate(regions) if r.landmark]
+    by_end = sorted((r.end, r.text) for _, r in landmarks)
+    ends, before = [e for e, _ in by_end], list(accumulate((n for _, n in by_end), max, initial=0))
+    starts, after = [i for i, _ in landmarks], list(accumulate((r.text for _, r in reversed(landmarks)), max, initial=0))[::-1]
+    top = {}            # the outermost article region by its number
+    for i, r in landmarks:
+        top.setdefault(r.article, i)
+    heads = [regions[r.landmark_at] for r in regions if r.tag == "h1" and r.headed and r.landmark_at >= 0]
+    heads_end = min((r.end for r in heads), default=len(regions) + 1)
+    heads_start = max((r.landmark_at for r in heads), default=-1)
+    any_article = any(r.text for _, r in landmarks)
+    for i, r in enumerate(regions):
+        r.outside = r.hidden or (r.parent >= 0 and regions[r.parent].outside)
+        if r.outside or not r.suspect:
+            continue
+        apart = max(before[bisect_right(ends, i)], after[bisect_left(starts, r.end)])
+        own = r.text - r.inner
+        holders = {top[r.article], regions[r.parent].landmark_at} if r.article and top[r.article] < i else ()
+        elsewhere = max([apart, *(regions[h].text - regions[h].inner - own for h in holders)])
+        if not r.headed and (heads_end <= i or heads_start >= r.end):       # the article's head is elsewhere
+            r.outside = True
+        elif r.best:
+            r.outside = r.best < elsewhere
+        elif r.headed and not any_article and r.text > 2 * r.head_text:
+            r.outside = False
+        else:
+            beside = elsewhere > 0 if r.added else 2 * apart > total - r.text
+            r.outside = r.tag in NEVER_WRAPS or 2 * r.text <= total or beside
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []     # tag, outside, article
+    stack: list[tuple[str, int]] = []       # tag and classes, region
+    regions: list[Region] = []
+    places: list[int] = []                  # region of each block
     parts: list[str] = []
-    linked = links = articles = 0
+    linked = links = articles = marks = 0
     at, end = 0, len(page)
 
     def close() -> None:
-        nonlocal linked
+        nonlocal linked, marks
         if parts:
             text = SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                out.append(Block(tuple(t for t, _, _ in stack), text, linked, bool(stack) and stack[-1][1], stack[-1][2] if stack else 0))
+                place = stack[-1][1] if stack else -1
+                out.append(Block(tuple(t for t, _ in stack), text, linked, False, regions[place].article if stack else 0, marks))
+                places.append(place)
             parts.clear()
-        linked = 0
+        linked = marks = 0
 
     def add(raw: str) -> None:
-        nonlocal linked
+        nonlocal linked, marks
         text = html.unescape(raw) if "&" in raw else raw
         parts.append(text)
         if links:
             linked += len(text)
+        else:
+            marks += len(_MARKS.findall(text))
 
     def pop_to(depth: int) -> None:
         close()
@@ -155,7 +248,7 @@ def blocks(page: str) -> list[Block]:
                 links = max(0, links - 1)
             elif tag in INLINE:
                 pass
-            elif tag in ("br", "p") and not any(t == tag for t, _, _ in stack):
+            elif tag in ("br", "p") and not any(t == tag for t, _ in stack):
                 parts.append(" ") if tag == "br" else close()
             else:
                 for depth in range(len(stack) - 1, -1, -1):
@@ -190,20 +283,27 @@ def blocks(page: str) -> list[Block]:
                 elif open_tag in SCOPES.get(tag, ()) or tag not in IMPLIED:
                     break
         if tag == "body":       # the head ends where the body begins
-            for depth, (open_tag, _, _) in enumerate(stack):
+            for depth, (open_tag, _) in enumerate(stack):
                 if open_tag.split(".")[0] == "head":
                     pop_to(depth)
                     break
         close()
-        outside, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        outside = outside or _names_outside(tag, attributes, bool(article))
-        if not article and not outside and (tag in ("article", "main") or re.search(r"\brole\s*=\s*[\"']?(?:main|article)\b", attributes)):
+        given = _attributes(attributes) if attributes else {}
+        parent = stack[-1][1] if stack else -1
+        article = regions[parent].article if stack else 0
+        suspect = _names_outside(tag, given, bool(article))
+        landmark = tag in LANDMARKS or given.get("role", "").strip().lower() in LANDMARKS
+        if landmark and not article:
             articles += 1
             article = articles
-        label = re.search(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", attributes) if attributes else None
-        classes = "" if label is None else "." + ".".join(sorted((label[1] or label[2] or label[3] or "").split()))
-        stack.append((tag + classes, outside, article))
+        hidden = "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true"
+        hidden = hidden and tag not in ("html", "body", "main")
+        stack.append((".".join([tag, *sorted(given.get("class", "").split())]), len(regions)))
+        regions.append(Region(parent, tag, suspect, suspect and _added(given), hidden, article, landmark))
     close()
+    _mark_outside(regions, [(place, max(0, len(b.text) - b.linked)) for place, b in zip(places, out)])
+    for place, b in zip(places, out):
+        b.outside = place >= 0 and regions[place].outside
     return out
 
 
@@ -232,12 +332,14 @@ def content_blocks(found: list[Block]) -> list[Block]:
         return []
     paths: dict[tuple, list[float]] = {}
     for b in inside:
-        sums = paths.setdefault(b.path, [0, 0, 0, 0])
+        sums = paths.setdefault(b.path, [0, 0, 0, 0, 0])
         sums[0] += len(b.text)
         sums[1] += len(_MARKS.findall(b.text))
         sums[2] += 1
         sums[3] += b.linked
-    menus = {p for p, s in paths.items() if s[3] >= LINK_SHARE * s[0]}
+        sums[4] += b.unlinked_marks if b.article in shares else 0
+    # An article's sentences may be mostly links; a menu has no marks between its own.
+    menus = {p for p, s in paths.items() if s[3] >= LINK_SHARE * s[0] and s[4] < s[2]}
     regions = [b.path[:-1] for b in inside]
     length = _smoothed(np.array([paths[b.path][0] / paths[b.path][2] for b in inside]), regions)
     marks = _smoothed(np.array([(paths[b.path][1] + 0.5) / paths[b.path][2] for b in inside]), regions)

@@ -79,3 +79,39 @@ def test_body_beside_article_cards():
 def test_article_raises_its_short_paths():
     short = "".join(f"<h2>Head {i}</h2><p>{P} {P} {P}</p>" for i in range(3))
     assert H.main_text(f"<div><h4>Aside</h4></div><main>{short}</main>") == "\n".join(f"Head {i}\n{P} {P} {P}" for i in range(3))
+
+
+BODY = f"<h1>Head</h1><p>{P}</p><p>{P}</p><p>Short.</p>"
+WANT = f"Head\n{P}\n{P}\nShort."
+WRAPPED = {
+    "style": f"<article><div style='overflow:hidden'>{BODY}</div></article>",
+    "data attribute": f"<article><div data-hidden=false data-id='related-7' data-class=sidebar data-role=navigation title='hidden gems'>{BODY}</div></article>",
+    "value with names": f"<article><div title='class=ad id=menu hidden'>{BODY}</div></article>",
+    "one form": f"<form id=aspnetForm><nav><a href=/>Home</a></nav><article>{BODY}</article><footer>foot</footer></form>",
+    "one form, no article": f"<form method=post><div class=menu><a href=/>Home</a></div><div id=text>{BODY}</div></form><div class=footer>foot</div>",
+    "wrapper": f"<div class='site right-sidebar'><div class=sidebar>no</div><main>{BODY}</main></div>",
+    "wrapper in main": f"<main><div class=layout-sidebar-left><div class=sidebar>no</div><article>{BODY}</article></div></main>",
+    "wrapper, no article": f"<div id=layout-sidebar-left><div>{BODY}</div><div class=sidebar>no</div></div>",
+    "wrapper below the head": f"<main><h1>Head</h1><div class=layout-sidebar-left><article><p>{P}</p><p>{P}</p><p>Short.</p></article></div></main>",
+    "wrapper below the head, no article": f"<main><h1>Head</h1><div class=layout-sidebar-left><p>{P}</p><p>{P}</p><p>Short.</p></div></main>",
+    "comments in the article": f"<article>{BODY}<div id=comments>" + f"<p>{P} {P} {P}</p>" * 9 + "</div></article>",
+    "comments in articles": f"<article>{BODY}</article><section id=comments>" + f"<article><p>{P} {P} {P}</p></article>" * 9 + "</section>",
+    "header of the site": f"<header><h1>Site</h1></header><article><h2>Head</h2><p>{P}</p><p>{P}</p><p>Short.</p></article>",
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_regions_that_hold_the_article(name):
+    assert H.main_text(f"<html><body>{WRAPPED[name]}</body></html>") == WANT
+    assert H.main_text(WRAPPED[name]) == WANT
+
+
+def test_hidden_regions():
+    for hidden in ("hidden", "hidden=''", "HIDDEN", "aria-hidden=true", 'aria-hidden="TRUE"'):
+        assert H.main_text(f"<article>{BODY}<div {hidden}><p>{P}</p></div></article>") == WANT
+
+
+def test_linked_sentences():
+    linked = f"<p><a href=x>{P}</a>, as they say; and more of it.</p>"
+    assert H.main_text(f"<article>{linked}{linked}<ul><li><a href=1>one</a><li><a href=2>two</a></ul></article>") \
+        == "\n".join([f"{P}, as they say; and more of it."] * 2)
