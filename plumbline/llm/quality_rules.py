@@ -1,14 +1,17 @@
 """Quality rules whose cutoffs are chosen on labelled documents so that few good documents are rejected.
 
 Each rule compares a share measured on the whole text with a cutoff. For each stratum (a column, the language by
-default) the cutoffs of a rule are tried from lenient to strict. A cutoff is certified if, were the true share of good
-documents that it rejects as large as its risk, so few rejected ones in the holdout would have at most the allowed
-probability (an exact binomial bound of Clopper and Pearson). The sequence stops at the first cutoff that fails, which
-needs no correction along the sequence; across rules and strata the error is split evenly (Bonferroni), and the risk is
-split over the rules, so the rules together reject at most ``risk`` of a stratum's good documents, with probability
-``1 - error`` for all strata at once. Among the certified cutoffs the one that rejects most labelled bad documents is
-used, the more lenient one of equals; a rule that rejects no bad document is not used. The grid of cutoffs is fixed, so
-the whole set of labels is a holdout. All labels take part.
+default) cutoffs are tightened from lenient to strict, rule after rule, and each time all rules in use are tested together:
+they are certified if, were the true share of good documents that any of them rejects as large as ``risk``, so few
+rejected ones in the holdout would have at most the allowed probability (an exact binomial bound of Clopper and Pearson).
+Rules come in the order of the labelled bad documents that they add, and cutoffs that add none are left out, so what is
+tested follows from the bad documents alone and not from the good ones that test it. A sequence stops at the first
+failure, which needs no correction along it. Then the rule that failed is set aside, the others go on in a sequence of its
+own, and at its end the rules set aside are tightened as far as they can be. The error is split evenly over strata; in
+a stratum the first sequence has half of it, those after one failure a quarter together, and so on (all of it where
+one rule alone rejects bad documents). So the rules together reject at most ``risk`` of a stratum's good documents, with
+probability ``1 - error`` for all strata at once. Of all that is certified, what rejects most labelled bad documents
+is used. The grid of cutoffs is fixed. All labels take part.
 
 Defined cases: null text has no words. A stratum without labels, or with too few to certify anything, rejects nothing
 beyond the base rules. Null is a stratum of its own. A document labelled more than once is good if all its labels
@@ -112,17 +115,73 @@ def binomial_at_most(k: int, n: int, p: float) -> float:
     return min(1.0, math.exp(top) * math.fsum(math.exp(x - top) for x in logs))
 
 
+def _certified(good: int, n_good: int, risk: float, error: float) -> bool:
+    return n_good > 0 and binomial_at_most(good, n_good, risk) <= error
+
+
 def chosen(cutoffs: list[float], good: list[int], bad: list[int], n_good: int, risk: float, error: float) -> float:
-    """The cutoff to use; infinity for none. ``good`` and ``bad``: documents that each cutoff, lenient first, rejects."""
+    """The cutoff to use of a rule by itself; infinity for none. ``good`` and ``bad``: documents that each cutoff, lenient first, rejects."""
     best, most = math.inf, 0
     for cutoff, g, b in zip(cutoffs, good, bad):
-        if not n_good or binomial_at_most(g, n_good, risk) > error:
+        if not _certified(g, n_good, risk, error):
             break
         if b > most:
             best, most = cutoff, b
     return best
 
 
+def joint_levels(passed: np.ndarray, good: np.ndarray, bad: np.ndarray, steps: list[int], risk: float, error: float) -> list[int]:
+    """How many of each rule's cutoffs to go through, lenient first (0: rule not used), so that the last of them is used.
+
+    A row of ``passed`` is a kind of document: how many of each rule's ``steps`` cutoffs its share is above. ``good`` and
+    ``bad`` count the labelled documents of that kind.
+    """
+    sizes, n_good = np.array(steps), int(good.sum())
+    useful = int(sum(bad[passed[:, k] > 0].sum() > 0 for k in range(len(steps))))
+
+    def rejected(levels: np.ndarray, counts: np.ndarray) -> int:
+        return int(counts[((levels > 0) & (passed > sizes - levels)).any(axis=1)].sum())
+
+    def tightened(levels: np.ndarray, k: int) -> list[tuple[int, np.ndarray]]:
+        """The steps of rule ``k`` that each reject more bad documents, with their number."""
+        out, most = [], rejected(levels, bad)
+        for level in range(levels[k] + 1, steps[k] + 1):
+            tried = levels.copy()
+            tried[k] = level
+            if (n := rejected(tried, bad)) > most:
+                out.append((n, tried))
+                most = n
+        return out
+
+    best, most = np.zeros(len(steps), int), 0
+    levels, aside = best, []
+
+    def passes(n: int, tried: np.ndarray) -> bool:
+        nonlocal best, most
+        part = error if useful == 1 else error / 2 ** (len(aside) + 1) / math.perm(useful, len(aside))
+        if not _certified(rejected(tried, good), n_good, risk, part):
+            return False
+        if n > most:
+            best, most = tried, n
+        return True
+
+    while True:
+        sequences = [(k, s) for k in range(len(steps)) if k not in aside and (s := tightened(levels, k))]
+        if not sequences:
+            break
+        k, sequence = max(sequences, key=lambda x: x[1][-1][0])
+        if all(passes(n, tried) for n, tried in sequence):
+            levels = sequence[-1][1]
+        else:
+            aside.append(k)
+    for k in aside:
+        for n, tried in tightened(levels, k):
+            if not passes(n, tried):
+                return best.tolist()
+            levels = tried
+    return best.tolist()
+
+
 def calibrated(measured_docs: DataFrame, labels: DataFrame, plan: RiskPlan, stratum: str = "stratum") -> DataFrame:
     """A row per labelled stratum: ``stratum`` and the cutoff ``cut_<rule>`` of each rule (infinity: not used).
 
@@ -131,22 +190,21 @@ def calibrated(measured_docs: DataFrame, labels: DataFrame, plan: RiskPlan, stra
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("_id")) \
         .agg(F.min("quality").alias("_low"), F.max("quality").alias("_high")).where("_low = _high")
     rows = measured_docs.join(known, measured_docs["doc_id"] == known["_id"]).where(~base_failed(F.col("m")))
-    steps = [F.struct(F.lit(rule).alias("rule"), _passed(_share(F.col("m"), parts), plan.cutoffs[rule]).alias("passed"))
-             for rule, parts in plan.rules.items()]
-    counts = staged(rows.select(F.col(stratum).alias("stratum"), (F.col("_low") >= 1).alias("good"), F.explode(F.array(*steps)).alias("s"))
-                    .groupBy("stratum", "s.rule", "s.passed", "good").agg(F.count(F.lit(1)).alias("n")))
+    passed = F.array(*[_passed(_share(F.col("m"), parts), plan.cutoffs[rule]) for rule, parts in plan.rules.items()])
+    # A row per kind of document: at most the product of the rules' cutoffs, whatever the data.
+    counts = staged(rows.select(F.col(stratum).alias("stratum"), (F.col("_low") >= 1).alias("good"), passed.alias("passed"))
+                    .groupBy("stratum", "passed", "good").agg(F.count(F.lit(1)).alias("n")))
     strata = scalar(counts, F.count_distinct(F.coalesce(F.col("stratum"), F.lit("\0null"))))
-    risk, error = plan.risk / len(plan.rules), plan.error / (len(plan.rules) * max(strata, 1))
-    cutoffs = plan.cutoffs
+    risk, error = plan.risk, plan.error / max(strata, 1)
+    cutoffs = {rule: plan.cutoffs[rule] for rule in plan.rules}
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
+        good, n = group["good"].to_numpy(bool), group["n"].to_numpy(np.int64)
+        kinds = np.array(group["passed"].tolist(), np.int64)
+        levels = joint_levels(kinds, n * good, n * ~good, [len(c) for c in cutoffs.values()], risk, error)
         row = {"stratum": group["stratum"].iloc[0]}
-        for rule, part in group.groupby("rule"):
-            good, bad = part[part["good"]], part[~part["good"]]
-            # The lenient cutoffs come first and are the largest, so a share above the strictest i + 1 is above cutoff -1-i.
-            steps = len(cutoffs[rule])
-            above = [[int(side["n"][side["passed"] >= steps - i].sum()) for i in range(steps)] for side in (good, bad)]
-            row[f"cut_{rule}"] = chosen(cutoffs[rule], *above, int(good["n"].sum()), risk, error)
+        for (rule, cuts), level in zip(cutoffs.items(), levels):
+            row[f"cut_{rule}"] = cuts[level - 1] if level else math.inf
         return pd.DataFrame([row])
 
     schema = "stratum string, " + ", ".join(f"cut_{rule} double" for rule in plan.rules)

@@ -77,3 +77,41 @@ def test_empty(spark, odd_docs):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert Q.quality_verdicts(odd_docs.limit(0), labels).count() == 0
     assert Q.quality_verdicts(odd_docs, labels).where("kept != (NOT base_failed)").count() == 0
+
+
+def test_rules_are_tested_together():
+    none = lambda *rows: tuple(map(Q.np.array, zip(*rows)))     # noqa: E731
+    # Kinds of documents: cutoffs passed of two rules, good ones, bad ones. The first rule separates, the second is alike on both sides.
+    passed, good, bad = none(([0, 0], 300, 0), ([2, 0], 0, 20))
+    assert Q.joint_levels(passed, good, bad, [3, 3], 0.02, 0.05 / 4) == [2, 0]
+    assert Q.joint_levels(passed, Q.np.array([217, 0]), bad, [3, 3], 0.02, 0.05 / 4) == [2, 0]
+    assert Q.joint_levels(passed, Q.np.array([216, 0]), bad, [3, 3], 0.02, 0.05 / 4) == [0, 0]
+    # Two rules that separate are used together; one that rejects good documents is set aside as far as it must be.
+    passed, good, bad = none(([0, 0, 0], 800, 0), ([3, 0, 0], 0, 20), ([0, 3, 0], 0, 10), ([0, 0, 1], 100, 40), ([0, 0, 3], 0, 5))
+    assert Q.joint_levels(passed, good, bad, [3, 3, 3], 0.02, 0.05 / 4) == [1, 1, 1]
+    # Each alone would hold the risk, both together do not.
+    passed, good, bad = none(([0, 0], 960, 0), ([1, 0], 12, 50), ([0, 1], 12, 40))
+    assert sum(Q.joint_levels(passed, good, bad, [1, 1], 0.02, 0.2)) == 1
+    assert Q.joint_levels(passed, good * 0, bad, [1, 1], 0.02, 0.05) == [0, 0]
+
+
+def test_error_is_held():
+    """Each rule rejects a bit more than half the risk of the good documents, so any two together, and one alone, exceed it."""
+    rng, wrong, runs = Q.np.random.default_rng(5), 0, 600
+    kinds = Q.np.array([[0, 0, 0], [1, 0, 0], [0, 1, 0], [0, 0, 1], [0, 2, 0]])
+    true = Q.np.array([0.936, 0.011, 0.011, 0.021, 0.021])
+    for _ in range(runs):
+        levels = Q.joint_levels(kinds, rng.multinomial(400, true), Q.np.array([0, 30, 20, 9, 25]), [2, 2, 2], 0.02, 0.1)
+        hit = ((Q.np.array(levels) > 0) & (kinds > 2 - Q.np.array(levels))).any(axis=1)
+        wrong += true[hit].sum() > 0.02
+    assert wrong <= 0.1 * runs + 3 * math.sqrt(0.1 * 0.9 * runs)
+
+
+def test_junk_of_a_small_language(spark):
+    """Expected verdicts: all good documents are kept, separable junk goes in the large and in the small language."""
+    docs = many(spark, [0.0] * 500 + [0.45] * 20).unionByName(
+        many(spark, [0.0] * 300 + [0.45] * 20, "es").selectExpr("doc_id + 1000 AS doc_id", "text", "lang"))
+    good = [*range(500), *range(1000, 1300)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in good] + [(i, 0, 0) for i in [*range(500, 515), *range(1300, 1315)]],
+                                   "doc_id bigint, quality int, toxic int")
+    assert {r["doc_id"] for r in Q.quality_verdicts(docs, labels).where("kept").collect()} == set(good)
