@@ -4,6 +4,8 @@ from plumbline.llm.decontaminate import contamination
 from plumbline.llm.ngram_join import similar_classes
 from plumbline.llm.shared import shared_folder, staged, table
 
+from .conftest import DOCS, text, words
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -50,3 +52,20 @@ def test_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         shared_folder(Session)
+
+
+def test_junk_of_a_small_language(spark, tmp_path):
+    """A small stratum whose junk is clearly separable, against the expected verdicts."""
+    def rows(first, n_good, n_junk, lang):
+        make = lambda i: text(i, 80, 10_000) if i < first + n_good else " ".join(f"{w}###" for w in words(i, 80, 10_000))      # noqa: E731
+        return [(i, make(i), lang, f"s{i % 2}", None) for i in range(first, first + n_good + n_junk)]
+
+    docs = rows(0, 400, 20, "en") + rows(1000, 260, 20, "es")
+    good = {*range(400), *range(1000, 1260)}
+    labelled = [(i, int(i in good), 0) for i, *_ in docs if i in good or i % 2]
+    spark.createDataFrame(docs, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labelled, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = P.good_documents(spark, table(spark, str(tmp_path), "documents"), str(tmp_path))
+    assert {r["doc_id"] for r in kept.collect()} == good
+    assert {r["doc_id"] for r in P.run(spark, str(tmp_path)).select("doc_id").collect()} <= good
