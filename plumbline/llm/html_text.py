@@ -70,7 +70,10 @@ ADDED_WORDS = _NAMES("comment comments commentlist disqus respond replies reply
 HEADER_OF_TEXT = _NAMES("article entry post content story")
 NEGATED = _NAMES("has with no without not hide")
 
-_TAG = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<([/]?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+# A quote opens a value only straight after "=" and white space; anywhere else it is a character like others, up to ">".
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|["'][^\s>]*+|)"""
+_TAG = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<([/]?)([A-Za-z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+" + _VALUE
+                  + r")?)*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+|["'][^\s>]*+)|))?""")
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _MARKS = re.compile(r"[.,;:!?…、。，；：！？]")

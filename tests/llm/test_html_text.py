@@ -115,3 +115,12 @@ def test_linked_sentences():
     linked = f"<p><a href=x>{P}</a>, as they say; and more of it.</p>"
     assert H.main_text(f"<article>{linked}{linked}<ul><li><a href=1>one</a><li><a href=2>two</a></ul></article>") \
         == "\n".join([f"{P}, as they say; and more of it."] * 2)
+
+
+def test_quotes_inside_unquoted_values():
+    assert H.main_text('<article><p data-w=5">First.</p><p>Second.</p><p>He said "hi".</p></article>') == 'First.\nSecond.\nHe said "hi".'
+    assert H.main_text(f"<article><p>{P} <a href=/o'neil>Name</a> said.</p><p>It's more.</p></article>") == f"{P} Name said.\nIt's more."
+    assert H.main_text('<article><p "x>First.</p><p a"b=c"d>Second "it".</p><p x = "a>b" y = \'c>d\' z= e>Third.</p></article>') \
+        == 'First.\nSecond "it".\nThird.'
+    assert H.main_text("<article><p =\">First.</p><p a==\">Second.</p><p class=>Third.</p><p title='x>Fourth.</article>") == "First.\nSecond.\nThird.\nFourth."
+    assert H.blocks("<div class=a'b><p>x</div>")[0].path == ("div.a'b", "p")
