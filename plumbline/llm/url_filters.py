@@ -12,7 +12,7 @@ Of several active entries the longest key decides (a path before its host, a hos
 same time the largest verdict in code point order, a removal last. Several lists may hold a key; each list has its own intervals.
 
 Defined cases: captures without url or time meet no entry and are kept; changes without key or time are left out; changes repeated in
-full count once; equal captures each get a row. Hosts are compared in lower case, without a trailing dot. A url without
+full count once; equal and null captures each get a row of their own. Hosts are compared in lower case, without a trailing dot. A url without
 scheme or host has no keys. Empty lists keep every capture.
 """
 
@@ -87,11 +87,14 @@ def active_entries(captures: DataFrame, changes: DataFrame, slot_seconds: int =
 
 
 def decisions(captures: DataFrame, changes: DataFrame, slot_seconds: int = SLOT_SECONDS, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """A row per capture: capture, ``n_active`` entries, the ``key`` and ``verdict`` that decide (null: none) and ``blocked``."""
-    active = active_entries(captures, changes, slot_seconds, hot_rows)
+    """A row per row of ``captures``: capture, ``n_active`` entries, the ``key`` and ``verdict`` that decide (null: none) and ``blocked``.
+
+    The rows are numbered and staged, so captures may repeat or be null.
+    """
+    rows = staged(captures.select("capture", "url", "fetched", F.monotonically_increasing_id().alias("_row")))
+    active = active_entries(rows.select(F.col("_row").alias("capture"), "url", "fetched"), changes, slot_seconds, hot_rows)
     strongest = F.max(F.struct(F.length("key"), F.col("key"), F.col("verdict")))
-    best = active.groupBy("capture").agg(F.count(F.lit(1)).alias("n_active"), strongest.alias("best")) \
-        .withColumnRenamed("capture", "_capture")
-    return captures.select("capture").join(best, F.col("capture") == F.col("_capture"), "left") \
+    best = active.groupBy(F.col("capture").alias("_found")).agg(F.count(F.lit(1)).alias("n_active"), strongest.alias("best"))
+    return rows.select("capture", "_row").join(best, F.col("_row") == F.col("_found"), "left") \
         .select("capture", F.coalesce("n_active", F.lit(0).cast("long")).alias("n_active"), F.col("best.key").alias("key"),
                 F.col("best.verdict").alias("verdict"), F.coalesce(F.col("best.verdict") == "block", F.lit(False)).alias("blocked"))

@@ -77,3 +77,13 @@ def test_clashing_columns(spark):
     c = spark.createDataFrame([(*x, "k", "s", 1) for x in captures], CAPTURES + ", key string, slot string, salt int")
     e = spark.createDataFrame([(*x, "u", 1) for x in changes], CHANGES + ", until string, slot int")
     assert sorted([tuple(r) for r in U.decisions(c, e).collect()], key=repr) == brute(captures, changes)
+
+
+def test_repeated_and_null_captures(spark):
+    changes = [("one", "a.com", day(0), "add", "block"), ("two", "com", day(0), "add", "watch")]
+    captures = [(1, "http://a.com", day(5)), (1, "http://a.com", day(5)), (1, "http://b.com", day(5)), (None, "http://a.com", day(5)),
+                (None, "http://c.org", day(5)), (2, "http://a.com", day(-5))]
+    got = U.decisions(spark.createDataFrame(captures, CAPTURES), spark.createDataFrame(changes, CHANGES)).collect()
+    want = [(1, 2, "a.com", "block", True), (1, 2, "a.com", "block", True), (1, 1, "com", "watch", False), (None, 2, "a.com", "block", True),
+            (None, 0, None, None, False), (2, 0, None, None, False)]
+    assert sorted([tuple(r) for r in got], key=repr) == sorted(want, key=repr) == brute(captures, changes)
