@@ -1,6 +1,6 @@
 """SQL (DuckDB) for the queries that SQL can express on whole tables. The rest is tested against brute force.
 
-Not here: token counts and page texts (no such functions), shards (no CRC-32 function).
+Not here: token counts, ids and groups and page texts (no such functions), shards (no CRC-32 function).
 """
 
 from __future__ import annotations
@@ -136,6 +136,29 @@ best AS (SELECT page_id, count(*) AS n_active, arg_max(key, (length(key), key, v
 SELECT pages.page_id, coalesce(n_active, 0) AS n_active, entry, verdict, coalesce(verdict = 'block', false) AS blocked FROM pages LEFT JOIN best USING (page_id)
 """
 
+FILTER_AUDIT = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS copy FROM d),
+l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, CASE WHEN len(ws) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN copy THEN 'E' ELSE '' END AS mask,
+             coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM w LEFT JOIN l USING (doc_id)),
+m AS (SELECT part, mask, count(*) AS docs, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY part, mask),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM o),
+g AS (SELECT m.*, filter_order, step, contains(mask, substr(filter_order, step, 1)) AS fails,
+             length(translate(mask, substr(filter_order, 1, step - 1), '')) < length(mask) AS gone,
+             mask = substr(filter_order, step, 1) AS alone FROM m, s),
+r AS (SELECT part, filter_order, step, CAST(coalesce(sum(docs) FILTER (WHERE NOT gone AND NOT fails), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(docs) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS removed, CAST(coalesce(sum(docs) FILTER (WHERE gone AND fails), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(docs) FILTER (WHERE alone), 0) AS BIGINT) AS unique_fails, CAST(coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS BIGINT) AS toxic_lost FROM g GROUP BY part, filter_order, step)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, substr(filter_order, step, 1)) AS BIGINT) AS shapley FROM r
+"""
+
 SQL = {
     "op1_quality_rules": QUALITY.format(documents="documents", result=QUALITY_ROWS),
     "op3_source_mix": MIX.format(documents="documents", result=MIX_ROWS),
@@ -144,6 +167,7 @@ SQL = {
     "op6_line_dedup": LINES,
     "op7_ngram_join": NGRAMS.format(documents="documents", result=NGRAMS_ROWS),
     "op9_url_filters": URLS,
+    "op13_filter_audit": FILTER_AUDIT,
 }
 
 # The pipeline: each stage's SQL over what the one before it kept.

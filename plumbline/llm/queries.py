@@ -9,12 +9,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, html_text, line_dedup, ngram_join, quality_rules, sharding, source_mix, token_counts, url_filters, warc
+from plumbline.llm import (alignment, bpe_codec, decontaminate, filter_audit, html_text, line_dedup, ngram_join, quality_rules, sharding, source_mix,
+                           token_counts, url_filters, warc)
 from plumbline.llm.oracles import SQL  # noqa: F401
 from plumbline.llm.shared import importable, table
 
 TOKENIZER = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
+SECOND_TOKENIZER = "piece_bpe_32k.model"
 
 
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +102,26 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens that two tokenizers give every document, and how common the linked pairs of ids are."""
+    found = alignment.alignments(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(SECOND_TOKENIZER))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return alignment.scored(found.withColumn("groups_sha256", digest).drop("groups")) \
+        .select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document and of the text that they decode to."""
+    path = public_tokenizers.path(TOKENIZER)
+    found = bpe_codec.encoded(table(spark, sf_dir, "documents"), path)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(bpe_codec.decoded("ids", path), 256).alias("decoded_sha256"))
+
+
+def filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove of the documents, in every order."""
+    return filter_audit.document_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _whole(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,5 +134,5 @@ def _whole(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _whole(query) for name, query in {
     "op1_quality_rules": quality, "op2_token_counts": tokens, "op3_source_mix": mix, "op4_decontamination": contaminated,
     "op5_warc": archives, "op6_line_dedup": lines, "op7_ngram_join": ngrams, "op8_sharding": shards, "op9_url_filters": urls,
-    "op10_html_text": page_text,
+    "op10_html_text": page_text, "op11_token_alignment": token_groups, "op12_bpe_codec": token_ids, "op13_filter_audit": filter_orders,
 }.items()}
