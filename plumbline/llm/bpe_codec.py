@@ -243,13 +243,18 @@ def _batch(rows: list[tuple], names: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(names)], [name for name, _ in names])
 
 
-def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """A row per document: doc_id, n_tokens, ids (little-endian 32-bit integers). ``tokenizer``: path of a file that every executor has."""
+def encoded(docs: DataFrame, tokenizer: str, decode: bool = False) -> DataFrame:
+    """A row per document: doc_id, n_tokens, ids (little-endian 32-bit integers). ``tokenizer``: path of a file that every executor has. With
+    ``decode`` also ``text``, what the ids decode to, by the same worker."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     long = F.octet_length("text") > LONG_TEXT
-    whole = [("doc_id", pa.int64()), ("copies", pa.int64()), ("ids", pa.binary())]
+    whole = [("doc_id", pa.int64()), ("copies", pa.int64()), ("ids", pa.binary()), *([("text", pa.string())] if decode else [])]
+    schema = "doc_id long, copies long, ids binary" + (", text string" if decode else "")
     part = [("doc_id", pa.int64()), ("digest", pa.binary()), ("number", pa.int32()), ("joins", pa.bool_())]
 
+    def row(own: Codec, name: int | None, copies: int, ids: bytes) -> tuple:
+        return (name, copies, ids, own.decode(np.frombuffer(ids, "<u4"))) if decode else (name, copies, ids)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer)
 
@@ -263,9 +268,9 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
                     some.append(text.decode("utf-8", "replace"))
                     size += len(text)
                     if size >= SOME_BYTES:
-                        yield from ((n, 1, ids) for n, ids in zip(names, own.encode(some)))
+                        yield from (row(own, n, 1, ids) for n, ids in zip(names, own.encode(some)))
                         some, names, size = [], [], 0
-                yield from ((n, 1, ids) for n, ids in zip(names, own.encode(some)))
+                yield from (row(own, n, 1, ids) for n, ids in zip(names, own.encode(some)))
 
         yield from _bounded(out(), whole)
 
@@ -289,10 +294,11 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     def concatenate(table: pa.Table) -> pa.Table:
         found = sorted(table.select(["number", "joins", "copies", "first", "last", "ids"]).to_pylist(), key=lambda r: r["number"])
         parts = [(r["joins"], (np.frombuffer(r["ids"], "<u4"), r["first"], r["last"])) for r in found[1:]]
-        ids = codec(tokenizer).concatenated(parts)[1][0].tobytes()
-        return pa.Table.from_batches([_batch([(table.column("doc_id")[0].as_py(), found[0]["copies"], ids)], whole)])
+        own = codec(tokenizer)
+        ids = own.concatenated(parts)[1][0].tobytes()
+        return pa.Table.from_batches([_batch([row(own, table.column("doc_id")[0].as_py(), found[0]["copies"], ids)], whole)])
 
-    short = rows.where(~long).mapInArrow(encode, "doc_id long, copies long, ids binary")
+    short = rows.where(~long).mapInArrow(encode, schema)
     keyed = rows.where(long).select("doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), "text")
     # A row repeated in full is cut and encoded once; how often it is there comes with number -1.
     copies = keyed.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("copies")) \
@@ -301,9 +307,9 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     parts = keyed.mapInArrow(cut, "doc_id long, digest binary, number int, joins boolean, part string") \
         .dropDuplicates(["doc_id", "digest", "number"]) \
         .mapInArrow(encode_part, "doc_id long, digest binary, number int, joins boolean, copies long, first long, last long, ids binary")
-    longer = parts.unionByName(copies).groupBy("doc_id", "digest").applyInArrow(concatenate, "doc_id long, copies long, ids binary")
+    longer = parts.unionByName(copies).groupBy("doc_id", "digest").applyInArrow(concatenate, schema)
     longer = longer.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return short.unionByName(longer).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
+    return short.unionByName(longer).select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", *(["text"] if decode else []))
 
 
 def decoded(ids: Column | str, tokenizer: str) -> Column:

@@ -27,6 +27,7 @@ null ids are never the smallest of a component unless it has no other. An empty
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -49,6 +50,7 @@ LEADER_NODES = 1024         # nodes that a task compares with one leader
 BLOCK_NODES = 1024          # nodes of a block of a family
 DENSE_PAIRS, DENSE_LISTS = 4096, 512    # pairs from which a list is counted by a matrix product, and lists of one product
 BROADCAST_NODES = 1_000_000 # rows of at most 60 bytes that go to every executor; more are joined by a shuffle
+OUT_BYTES = 1 << 23         # of sets that a task holds back
 STEP = 64                   # n-grams of a path that are looked up at once
 
 
@@ -137,6 +139,20 @@ def _batch(rows: list[tuple], kinds: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [name for name, _ in kinds])
 
 
+def _bounded(rows: Iterator[tuple], kinds: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Batches of rows whose last column, bytes, holds about ``OUT_BYTES`` at most."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1]) + 64
+        if size >= OUT_BYTES:
+            yield _batch(held, kinds)
+            held, size = [], 0
+    if held:
+        yield _batch(held, kinds)
+
+
 def _blobs(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
     return [np.frombuffer(b.as_py(), kind) for b in column]
 
@@ -237,9 +253,8 @@ def kept_sets(docs: DataFrame, nodes: DataFrame, width: int, repeated: bool) ->
     """fp, tokens (sorted hashes) of nodes (fp, and doc, hash: one document that has the set). ``repeated``: rows may be there twice."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [ngram_set(text, width).tobytes() for text in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array(sets, pa.binary())], ["fp", "tokens"])
+        yield from _bounded(((fp.as_py(), ngram_set(text, width).tobytes()) for batch in batches for fp, text in zip(batch.column(0), texts(batch.column(1)))),
+                            [("fp", pa.binary()), ("tokens", pa.binary())])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
     wanted = _spread(nodes.select("fp", "doc", "hash"))
@@ -355,11 +370,14 @@ def ordered_sets(sets: DataFrame, order, percent: int) -> DataFrame:
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = order.value
-        for batch in batches:
-            found = [own.apply(np.frombuffer(t.as_py(), np.uint64)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.binary()), pa.array([len(s) for s in found], pa.int64()),
-                                              pa.array([own.place(s[prefix_length(len(s), percent) - 1]) for s in found], pa.binary()),
-                                              pa.array([s.astype(">u8").tobytes() for s in found], pa.binary())], ["fp", "n", "last", "tokens"])
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for fp, tokens in zip(batch.column(0), batch.column(1)):
+                    found = own.apply(np.frombuffer(tokens.as_py(), np.uint64))
+                    yield fp.as_py(), len(found), own.place(found[prefix_length(len(found), percent) - 1]), found.astype(">u8").tobytes()
+
+        yield from _bounded(rows(), [("fp", pa.binary()), ("n", pa.int64()), ("last", pa.binary()), ("tokens", pa.binary())])
 
     return sets.select("fp", "tokens").mapInArrow(build, "fp binary, n bigint, last binary, tokens binary")
 
@@ -368,7 +386,8 @@ def ordered_sets(sets: DataFrame, order, percent: int) -> DataFrame:
 
 def _groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[Iterator[tuple]]:
     """Runs of rows with equal first ``n_keys`` columns."""
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    # One row at a time: the sets are by far the largest part of a batch.
+    rows = (tuple(v.as_py() for v in row) for batch in batches for row in zip(*batch.columns))
     for _, group in groupby(rows, key=lambda row: row[:n_keys]):
         yield group
 
@@ -445,11 +464,11 @@ def reachable_pairs(members: DataFrame, percent: int) -> DataFrame:
             for _, low, high, name, own, fp, n, last, weight, component in group:
                 block = nodes.setdefault(own, {})
                 place = block.setdefault(fp, (len(block), n, last, component))[0]
-                lists.setdefault(name, ([], [], weight))[0 if own == low else 1].append(place)
+                lists.setdefault(name, (array("i"), array("i"), weight))[0 if own == low else 1].append(place)
             if low not in nodes or high not in nodes:
                 continue
             a, b = nodes[low], nodes[high]
-            entries = [(np.array(x), np.array(x if low == high else y), w) for x, y, w in lists.values() if x and (y or low == high)]
+            entries = [(np.frombuffer(x, np.int32), np.frombuffer(x if low == high else y, np.int32), w) for x, y, w in lists.values() if x and (y or low == high)]
             common = _shared_weights(entries, len(a), len(b))
             n_a, n_b = (np.array([v[1] for v in block.values()], np.int64) for block in (a, b))
             order = {x: i for i, x in enumerate(sorted({v[2] for block in (a, b) for v in block.values()}))}
@@ -472,11 +491,12 @@ def reachable_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def led(lists: DataFrame) -> DataFrame:
     """Adds each list's leader: the node that shares most n-grams with most nodes, as a text does that others were made from."""
-    sizes = lists.groupBy(F.col("list").alias("_list")).agg(F.count(F.lit(1)).alias("_nodes"))
+    sizes = _spread(staged(lists.groupBy(F.col("list").alias("_list")).agg(F.count(F.lit(1)).alias("_nodes"))))
     shared = lists.join(sizes, lists["list"] == sizes["_list"]).groupBy(F.col("fp").alias("_fp")) \
         .agg(F.sum(F.col("weight") * (F.col("_nodes") - 1)).alias("_shared"))
+    shared = _spread(staged(shared))
     ranked = lists.join(shared, lists["fp"] == shared["_fp"]).select("list", "fp", "n", "weight", F.struct(-F.col("_shared"), "fp").alias("_rank"))
-    heads = ranked.groupBy(F.col("list").alias("_list")).agg(F.min("_rank")["fp"].alias("leader"))
+    heads = _spread(staged(ranked.groupBy(F.col("list").alias("_list")).agg(F.min("_rank")["fp"].alias("leader"))))
     return ranked.join(heads, ranked["list"] == heads["_list"]).select("list", "leader", "fp", "n", "weight")
 
 
@@ -505,7 +525,7 @@ def similar_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     linked = components(links).withColumnRenamed("node", "fp")
     members = staged(lists.join(linked, "fp", "left").select("list", "leader", "fp", "weight", F.coalesce("component", "fp").alias("component")))
     mixed = staged(members.groupBy("list").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("list"))
-    members = staged(members.join(mixed, "list"))
+    members = staged(members.join(_spread(mixed), "list"))
     families = components(members.where("leader != fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()) \
         .select(F.col("node").alias("fp"), F.col("component").alias("family"))
     pairs = staged(reachable_pairs(staged(members.join(families, "fp").join(sizes, "fp")), percent))

@@ -112,9 +112,8 @@ def token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids of every document and of the text that they decode to."""
-    path = public_tokenizers.path(TOKENIZER)
-    found = bpe_codec.encoded(table(spark, sf_dir, "documents"), path)
-    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(bpe_codec.decoded("ids", path), 256).alias("decoded_sha256"))
+    found = bpe_codec.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), decode=True)
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

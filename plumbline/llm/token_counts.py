@@ -59,7 +59,7 @@ class Counter:
         size = 0
         for piece in pieces:
             batch.append(piece)
-            size += len(piece)
+            size += len(piece.encode("utf-8", "replace"))
             if size >= BATCH_BYTES:
                 lengths += map(len, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False))
                 batch, size = [], 0

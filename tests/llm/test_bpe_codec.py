@@ -96,8 +96,8 @@ def test_known_pieces_are_bounded(own, monkeypatch):
 
 
 def checked(frame, whole):
-    out = C.encoded(frame, PATH)
-    out = out.withColumn("text", C.decoded("ids", PATH)).collect()
+    out = C.encoded(frame, PATH, decode=True).withColumn("again", C.decoded("ids", PATH)).collect()
+    assert all(r["again"] == r["text"] for r in out)
     got = sorted((str(r["doc_id"]), r["n_tokens"], ids_of(r["ids"]), r["text"]) for r in out)
     assert got == sorted((str(r["doc_id"]), len(whole(r["text"] or "")), whole(r["text"] or ""), r["text"] or "") for r in frame.collect())
     return got
