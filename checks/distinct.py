@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from plumbline.functions.cells import as_text, key_set_name
@@ -46,6 +48,15 @@ def zeros_of_both_signs(spark, sf_dir):
     return rounded(distinctness_global(lines, ["z", "l_returnflag"], digest=True))
 
 
+# The same inside arrays and structs
+@query("distinctness_digest_nested", _distinct_sql(["z", "l_returnflag"], """(SELECT l_returnflag,
+    CASE WHEN l_linenumber % 2 = 0 THEN 0.0 ELSE l_discount END AS z FROM lineitem)"""))
+def nested_zeros_of_both_signs(spark, sf_dir):
+    zero = F.when(F.col("l_linenumber") % 4 == 0, F.lit(-0.0)).when(F.col("l_linenumber") % 2 == 0, F.lit(0.0)).otherwise(F.col("l_discount"))
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", F.array(zero, F.lit(None)).alias("list"), F.struct(zero.alias("x"), F.array(zero).alias("y")).alias("pair"))
+    return rounded(distinctness_global(lines, ["list", "pair", "l_returnflag"], digest=True))
+
+
 DISTINCT_KEYS = [["l_orderkey"], ["l_partkey", "l_suppkey"], ["l_returnflag", "l_linestatus"]]
 
 
@@ -140,6 +151,25 @@ def rules_of_selection(spark, sf_dir):
     return rounded(consistency_attribute(consistency_value(rows, rule_set(stored, [RULES[2]], rows.columns))))
 
 
+# 287 rules between seven columns: every one or two columns towards each other one, and every three too. 35 sets of four columns count them all.
+MANY = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_suppkey"]
+MANY_RULES = [Rule(left, (right,)) for n in (1, 2, 3) for left in combinations(MANY, n) for right in MANY if right not in left]
+
+
+def _many_sql():
+    narrow = {frozenset(r.columns): ", ".join(c for c in MANY if c in r.columns) for r in MANY_RULES}
+    name = {columns: f"s{i}" for i, columns in enumerate(narrow)}
+    counts = [f"{name[c]} AS MATERIALIZED (SELECT {by}, count(*) AS n FROM lineitem GROUP BY {by})" for c, by in narrow.items()]
+    means = [f"""SELECT '{r.left}' AS "RuleAntecedent", '{r.right}' AS "RuleConsequent", {r6("avg(score)")} AS "ConsistencyValue", CAST(1.0 AS DOUBLE) AS "Confidence"
+FROM (SELECT max(n) / CAST(sum(n) AS DOUBLE) AS score FROM {name[frozenset(r.columns)]} GROUP BY {", ".join(r.antecedent)})""" for r in MANY_RULES]
+    return "WITH " + ",\n".join(counts) + "\n" + union(means)
+
+
+@query("consistency_many_rules", _many_sql())
+def many_rules(spark, sf_dir):
+    return rounded(consistency_attribute(consistency_value(table(spark, sf_dir, "lineitem"), MANY_RULES)))
+
+
 # Valid combinations: nations with the region they belong to, where the region's key is below 4, and segments
 # that start with the letters up to F
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline import AssessmentSpec, ProfileSpec, Range, SourceState, TextLayout, assess, profile_files
 from plumbline.functions.times import dated_names
 from plumbline.operators.inference import infer_types
-from plumbline.sources.readers import read_batch
+from plumbline.sources.readers import parse_batch, read_batch
 
 from .registry import query, r6, rounded, table, union
 from .sources import work_folder
@@ -141,3 +141,37 @@ def csv_source(spark, sf_dir):
         F.col("l_returnflag").alias("flag"), F.col("l_extendedprice").cast("decimal(14,2)").cast("string").alias("price"),
         F.date_format("l_shipdate", "dd/MM/yy HH:mm:ss").alias("day")).write.option("header", "true").option("sep", ";").csv(path)
     return read_batch(spark, [path], "csv", options={"header": "true", "sep": ";"})
+
+
+# Raw lines parsed once: objects, arrays of objects, and lines that are neither
+
+ODD_LINES_SQL = "SELECT event_id, event_type, CAST(user_id AS VARCHAR) AS \"user\", event_id % 10 AS kind FROM events"
+
+
+def _odd_batch(spark, sf_dir):
+    """Events as JSON lines: an object each, every tenth as an array of itself and a copy, every tenth cut off."""
+    folder = work_folder(spark)
+    event = F.to_json(F.struct("event_type", F.col("user_id").cast("string").alias("user")))
+    kind = F.col("event_id") % 10
+    lines = table(spark, sf_dir, "events").select(
+        F.when(kind == 3, F.concat(F.lit("["), event, F.lit(", "), event, F.lit("]"))).when(kind == 7, F.rtrim(event, F.lit("}"))).otherwise(event).alias("value"))
+    lines.write.text(f"{folder}/lines")
+    return parse_batch(spark, [f"{folder}/lines"], f"{folder}/staged")
+
+
+@query("json_parsed_once", f"""
+WITH e AS ({ODD_LINES_SQL})
+SELECT event_type, "user", CAST(sum(CASE WHEN kind = 3 THEN 2 ELSE 1 END) AS BIGINT) AS n FROM e WHERE kind <> 7 GROUP BY event_type, "user"
+""")
+def json_parsed_once(spark, sf_dir):
+    return _odd_batch(spark, sf_dir).rows.groupBy("event_type", "user").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("json_line_counts", f"""
+WITH e AS ({ODD_LINES_SQL})
+SELECT CAST(sum(CASE kind WHEN 3 THEN 2 WHEN 7 THEN 0 ELSE 1 END) AS BIGINT) AS n_rows, count(*) FILTER (WHERE kind = 7) AS n_malformed,
+       count(DISTINCT event_type || "user") FILTER (WHERE kind = 7) AS n_lines FROM e""")
+def json_line_counts(spark, sf_dir):
+    batch = _odd_batch(spark, sf_dir)
+    return batch.malformed.agg(F.lit(batch.n_rows).cast("long").alias("n_rows"), F.lit(batch.n_malformed).cast("long").alias("n_malformed"),
+                               F.count_distinct("line").alias("n_lines"))

@@ -45,6 +45,18 @@ def value_lists(spark, sf_dir):
     return rounded(select_rows(table(spark, sf_dir, "orders"), ORDER_COLUMNS, {}, listed, ORDER_TYPES))
 
 
+# Numbers written in several ways in a text column: a listed number finds them all
+@query("value_filter_text", """
+SELECT CASE l_linenumber % 3 WHEN 0 THEN '0' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) WHEN 1 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) || ',0'
+       ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity, l_returnflag FROM lineitem WHERE l_quantity IN (5, 17) AND l_returnflag IN ('A', 'N')""")
+def value_list_of_texts(spark, sf_dir):
+    whole, kind = F.col("l_quantity").cast("long").cast("string"), F.col("l_linenumber") % 3
+    rows = table(spark, sf_dir, "lineitem").select(F.when(kind == 0, F.concat(F.lit("0"), whole)).when(kind == 1, F.concat(whole, F.lit(",0"))).otherwise(whole).alias("quantity"),
+                                                   "l_returnflag")
+    types = ColumnTypes({"quantity": "float", "l_returnflag": "string"})
+    return select_rows(rows, ["quantity", "l_returnflag"], {}, {"quantity": ["5", "17,0", "x"], "l_returnflag": ["A", "N"]}, types)
+
+
 @query("drop_incomplete", f"""WITH {LABELLED}
 SELECT doc_id, lang, CAST(quality AS BIGINT) AS quality, CAST(toxic AS BIGINT) AS toxic FROM labelled
 WHERE doc_id IS NOT NULL AND lang IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL""")

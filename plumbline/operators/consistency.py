@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.cells import as_text, cell, key_cell, key_text
+from ..functions.cells import KEY_SEPARATOR, NULL_TEXT, as_text, cell, dtype, key_cell, key_text
 from ..functions.scores import ratio
 from ..plans.lookup import BROADCAST_BYTES, Lookup, flag_known
-from ..plans.summary import aggregate_sets, by_set
+from ..plans.summary import SETS_PER_SCAN, aggregate_sets, by_set
 
 RULES_SCHEMA = "Antecedent string, Consequent string"
-MAX_RULES = 10_000              # every dozen is a scan of its own
+MAX_RULES = 10_000
 
 
 @dataclass(frozen=True)
@@ -66,20 +68,71 @@ def consistency_value(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     One scan counts the combinations of all rules. They are combined before each shuffle, so an antecedent
     that holds most of the rows is spread over its consequents first and summed up from partial results.
+    Up to ``SETS_PER_SCAN`` sets of columns are grouping sets; more go through the lattice of ``rule_pairs``.
     """
     if not rules:
         raise ValueError("consistency needs at least one rule")
-    key = {n: f"key_{i}" for i, n in enumerate(dict.fromkeys(c for r in rules for c in r.columns))}
-    rows = df.select(*[key_cell(df, n).alias(k) for n, k in key.items()])
-    counted = aggregate_sets(rows, [[key[c] for c in r.columns] for r in rules], [F.count(F.lit(1)).alias("pairs")])
-    pairs = counted.select("pairs", by_set([F.lit(r.left) for r in rules]).alias("RuleAntecedent"),
-                           by_set([F.lit(r.right) for r in rules]).alias("RuleConsequent"),
-                           by_set([key_text([key[c] for c in r.antecedent]) for r in rules]).alias("AntecedentValue"))
+    if len({frozenset(r.columns) for r in rules}) > SETS_PER_SCAN:
+        pairs = rule_pairs(df, rules)
+    else:
+        key = {n: f"key_{i}" for i, n in enumerate(dict.fromkeys(c for r in rules for c in r.columns))}
+        rows = df.select(*[key_cell(df, n).alias(k) for n, k in key.items()])
+        counted = aggregate_sets(rows, [[key[c] for c in r.columns] for r in rules], [F.count(F.lit(1)).alias("pairs")])
+        pairs = counted.select("pairs", by_set([F.lit(r.left) for r in rules]).alias("RuleAntecedent"),
+                               by_set([F.lit(r.right) for r in rules]).alias("RuleConsequent"),
+                               by_set([key_text([key[c] for c in r.antecedent]) for r in rules]).alias("AntecedentValue"))
     return (pairs.groupBy("RuleAntecedent", "RuleConsequent", "AntecedentValue")
             .agg(ratio(F.max("pairs"), F.sum("pairs")).alias("ConsistencyValue"))
             .withColumn("Rule", F.concat_ws(" -> ", "RuleAntecedent", "RuleConsequent")))
 
 
+def covering_sets(rules: Sequence[Rule]) -> dict[frozenset[str], frozenset[str]]:
+    """For the columns of each rule a set of columns to count by: themselves, unless other rules need more than those. Then the
+    smallest such set that no other one contains."""
+    sets = sorted({frozenset(r.columns) for r in rules}, key=lambda s: (-len(s), sorted(s)))
+    widest: list[frozenset[str]] = []
+    for columns in sets:
+        if not any(columns < wider for wider in widest):
+            widest.append(columns)
+    return {columns: min((w for w in widest if columns <= w), key=lambda w: (len(w), sorted(w))) for columns in sets}
+
+
+def _exact_cell(df: DataFrame, name: str) -> Column:
+    """The cell as a text that two cells share if and only if grouping takes them as equal; what follows a zero character is not shown."""
+    kind = dtype(df, name)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.coalesce((cell(name) + F.lit(0.0)).cast("string"), F.lit(NULL_TEXT))       # 0.0 for -0.0
+    if isinstance(kind, T.TimestampType):
+        return F.concat(as_text(name), F.lit("\0"), F.coalesce(F.unix_micros(cell(name)).cast("string"), F.lit("")))
+    return as_text(name)
+
+
+def rule_pairs(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``RuleAntecedent, RuleConsequent, AntecedentValue, pairs``: rows per combination of each rule.
+
+    Rows are counted by the widest sets of columns only, in one scan, and the counts of narrower sets are rolled up from those. Sets and
+    rules are rows of data here, so neither the plan nor the number of scans grows with them.
+    """
+    columns = list(dict.fromkeys(c for r in rules for c in r.columns))
+    cover = covering_sets(rules)
+    sets = {wide: i for i, wide in enumerate(dict.fromkeys(cover.values()))}
+    members = [[c for c in columns if c in wide] for wide in sets]
+    places = F.from_json(F.lit(json.dumps([[columns.index(c) for c in m] for m in members])), "array<array<int>>")
+    table = [(sets[cover[frozenset(r.columns)]], r.left, r.right, *[[members[sets[cover[frozenset(r.columns)]]].index(c) for c in side]
+                                                                   for side in (r.antecedent, r.consequent)]) for r in rules]
+    own = df.sparkSession.createDataFrame(table, "set_no int, RuleAntecedent string, RuleConsequent string, left array<int>, right array<int>")
+
+    cells = df.select(F.array(*[_exact_cell(df, c) for c in columns]).alias("cells"))
+    keyed = cells.select("cells", F.posexplode(places).alias("set_no", "places")) \
+        .select("set_no", F.transform("places", lambda i: F.get("cells", i)).alias("keys"))
+    counted = keyed.groupBy("set_no", "keys").agg(F.count(F.lit(1)).alias("pairs"))
+    # At most MAX_RULES rows.
+    joined = counted.join(F.broadcast(own), "set_no").select(
+        "RuleAntecedent", "RuleConsequent", "pairs", F.transform("right", lambda i: F.get("keys", i)).alias("consequent"),
+        F.array_join(F.transform("left", lambda i: F.substring_index(F.get("keys", i), "\0", 1)), KEY_SEPARATOR).alias("AntecedentValue"))
+    return joined.groupBy("RuleAntecedent", "RuleConsequent", "AntecedentValue", "consequent").agg(F.sum("pairs").alias("pairs")).drop("consequent")
+
+
 def consistency_attribute(values: DataFrame, confidence: float = 1.0) -> DataFrame:
     """Per rule: mean over the antecedent values, each counting once."""
     return (values.groupBy("RuleAntecedent", "RuleConsequent")

@@ -16,17 +16,27 @@ VALUES_SCHEMA = "attribute string, value string"
 DISTINCTNESS_SCHEMA = "Attribute string, Count bigint, TotalRows bigint, DistinctnessValue double"
 
 
-def _exact_text(name: str, kind: T.DataType) -> Column:
-    """A text that two cells share if and only if grouping takes them as equal."""
+def _exact(value: Column, kind: T.DataType) -> Column:
+    """A value that two cells share if and only if grouping takes them as equal, at any depth: zeros of either sign are one, and instants do not
+    depend on the session's zone."""
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return (cell(name) + F.lit(0.0)).cast("string")         # 0.0 for -0.0
+        return (value + F.lit(0.0)).cast("string")              # 0.0 for -0.0
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(cell(name)).cast("string")         # two instants may share a local time
+        return F.unix_micros(value).cast("string")              # two instants may share a local time
     if isinstance(kind, T.BinaryType):
-        return F.hex(cell(name))
+        return F.hex(value)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _exact(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        fields = [_exact(value.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return value.cast("string")
+
+
+def _exact_text(name: str, kind: T.DataType) -> Column:
     if isinstance(kind, (T.ArrayType, T.StructType)):
-        return F.to_json(F.struct(cell(name)), {"ignoreNullFields": "false"})
-    return cell(name).cast("string")
+        return F.to_json(F.struct(_exact(cell(name), kind).alias("c")), {"ignoreNullFields": "false"})
+    return _exact(cell(name), kind)
 
 
 def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -107,11 +117,15 @@ def distinctness_update(rows: DataFrame, columns: Sequence[str], added: DataFram
     ``rows`` is one row with the batch's ``rows``, ``added`` the values new to the source and ``previous``
     the state before the batch, empty for the first one.
     """
+    return distinctness_totals(rows, columns, added.groupBy("attribute").agg(F.count(F.lit(1)).alias("Count")), previous)
+
+
+def distinctness_totals(rows: DataFrame, columns: Sequence[str], fresh: DataFrame, previous: DataFrame) -> DataFrame:
+    """As ``distinctness_update``, from the number of new values per attribute (attribute, Count)."""
     batch = rows.select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("Attribute"),
                         F.lit(0).cast("long").alias("Count"), F.col("rows").alias("TotalRows"))
-    fresh = added.select(F.col("attribute").alias("Attribute"), F.lit(1).cast("long").alias("Count"),
-                         F.lit(0).cast("long").alias("TotalRows"))
+    counted = fresh.select(F.col("attribute").alias("Attribute"), "Count", F.lit(0).cast("long").alias("TotalRows"))
     before = previous.select("Attribute", "Count", "TotalRows")
-    return (before.unionByName(fresh).unionByName(batch).groupBy("Attribute")
+    return (before.unionByName(counted).unionByName(batch).groupBy("Attribute")
             .agg(F.sum("Count").alias("Count"), F.sum("TotalRows").alias("TotalRows"))
             .withColumn("DistinctnessValue", ratio(F.col("Count"), F.col("TotalRows"))))

@@ -67,12 +67,25 @@ def in_ranges(df: DataFrame, name: str, ranges: Sequence[Range], types: ColumnTy
     return reduce(or_, limits)
 
 
-def in_values(df: DataFrame, name: str, values: Sequence[str]) -> Column:
-    """Row has one of the listed values, compared as text for texts and in the column's type otherwise."""
-    if is_text(dtype(df, name)):
+def _number(text: str) -> float | None:
+    try:
+        return float(text.replace(",", "."))
+    except ValueError:
+        return None
+
+
+def in_values(df: DataFrame, name: str, values: Sequence[str], types: ColumnTypes) -> Column:
+    """Row has one of the listed values: as a number in a column of numbers, typed or text, as text in other texts, and in the column's type
+    otherwise. A listed text that is no number is in no column of numbers."""
+    own = dtype(df, name)
+    if is_text(own) and types.kinds.get(name) == FLOAT:
+        numbers = [n for n in map(_number, values) if n is not None]
+        # A stored companion reaches the scan.
+        value = cell(typed_name(name)) if typed_name(name) in df.columns else number(df, name)
+        return value.isin(numbers) if numbers else F.lit(False)
+    if is_text(own):
         return cell(name).isin(list(values))
-    own = dtype(df, name).simpleString()
-    return cell(name).isin([F.lit(v).cast(own) for v in values])
+    return cell(name).isin([F.lit(v).cast(own.simpleString()) for v in values])
 
 
 def select_rows(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Sequence[Range]],
@@ -90,7 +103,7 @@ def select_rows(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, Sequ
             df = df.filter(cell(name).isNotNull() & in_ranges(df, name, limits, types))
     for name, listed in values.items():
         if listed:
-            df = df.filter(cell(name).isNotNull() & in_values(df, name, listed))
+            df = df.filter(cell(name).isNotNull() & in_values(df, name, listed, types))
     return df.select(*[cell(c) for c in columns])
 
 

@@ -112,17 +112,19 @@ class _Plan:
         self.validities = validities_of(spec, types, reference.volatility_hours)
         build = {
             "Volume": lambda: source.count(),
-            "Completeness_Missing": lambda: self._checked(Completeness(spec.columns)),
-            "Accuracy": lambda: self._checked(Accuracy([Expected(c, *spec.expected[c]) for c in columns("Accuracy")
-                                                        if c in spec.expected])),
-            "Precision": lambda: self._checked(Precision(columns("Precision"))),
-            "Timeliness": lambda: self._checked(Timeliness(self.validities, now)),
+            "Completeness_Missing": lambda: Completeness(spec.columns),
+            "Accuracy": lambda: Accuracy([Expected(c, *spec.expected[c]) for c in columns("Accuracy") if c in spec.expected]),
+            "Precision": lambda: Precision(columns("Precision")),
+            "Timeliness": lambda: Timeliness(self.validities, now),
         }
         # A dimension that cannot be built is left out, so that the others still share their scan.
         built: dict[str, object] = {}
+        together = self._fit(build, spec.dimensions)
         for dimension in [d for d in build if d in spec.dimensions]:
             try:
-                built[dimension] = build[dimension]()
+                built[dimension] = together[dimension] if dimension in together else build[dimension]()
+                if dimension not in together:
+                    self._checked([built[dimension]])
             except Exception as error:      # noqa: BLE001 - reported, the other dimensions go on
                 if errors is None:
                     raise
@@ -136,11 +138,20 @@ class _Plan:
         self.precision = built.get("Precision") or Precision([])
         self.timeliness = built.get("Timeliness") or Timeliness([], now)
 
-    def _checked(self, measure):
-        """The measure, once its columns and aggregates are known to fit the rows."""
-        self.selected.select(*[c.alias(n) for n, c in measure.row_columns(self.selected, F.lit(True)).items()]) \
-            .agg(F.count(F.lit(1)), *measure.aggregates()).schema
-        return measure
+    def _checked(self, measures) -> None:
+        """Analyses the columns and aggregates of measures over the rows; those that do not fit raise."""
+        measures = [m for m in measures if not isinstance(m, int)]
+        columns = {n: c for m in measures for n, c in m.row_columns(self.selected, F.lit(True)).items()}
+        self.selected.select(*named(columns)).agg(F.count(F.lit(1)), *[a for m in measures for a in m.aggregates()]).schema
+
+    def _fit(self, build, dimensions) -> dict[str, object]:
+        """All measures, analysed at once. None if one of them fails, which a look at each by itself then tells."""
+        try:
+            built = {d: build[d]() for d in build if d in dimensions}
+            self._checked(built.values())
+            return built
+        except Exception:       # noqa: BLE001 - raised again, or reported, for the dimension at fault
+            return {}
 
     def summary_part(self) -> Part:
         if not any(d in self.spec.dimensions for d in SUMMARISED):
@@ -321,8 +332,8 @@ def assess(spark: SparkSession, spec: AssessmentSpec, as_of: dt.datetime | str)
     batches = state.correct_batches(spec.batches)
     extended = state.extended(metadata, batches)
     staging = staging_folder(spark, result.folder + "/_staging")
-    # Ranges on text columns compare the stored numbers and times, which the scan can skip by.
-    typed = [typed_name(c) for c in spec.columns if spec.ranges.get(c) and c in metadata.typed]
+    # Ranges and value lists on text columns compare the stored numbers and times, which the scan can skip by.
+    typed = [typed_name(c) for c in spec.columns if (spec.ranges.get(c) or spec.values.get(c)) and c in metadata.typed]
     source = state.extended(metadata, batches, bool(typed)).select(*[cell(c) for c in (*spec.columns, *typed)])
     tables = assess_frame(source, types, spec, as_of, staging, reference, result.errors)
     if any(spec.asks(d, TUPLE) for d in spec.dimensions):

@@ -136,7 +136,8 @@ def merge_quality(stored: DataFrame | None, batch: DataFrame, rules: Mapping[str
     """One row with the source's quality after the batch.
 
     ``batch`` is one row with ``source``, ``Volume_TotalRows`` and a column for every rule; ``stored`` the row
-    this function gave for the batches before, or None for the first batch, which is then stored as it is.
+    this function gave for the batches before, or None for the first batch, which is then stored as it is. Both rows are
+    computed here and merged on the driver.
     """
     if stored is None:
         return batch.select("source", F.lit(1).cast("long").alias(UPDATES), ROWS, *[cell(n) for n in rules])
@@ -150,6 +151,6 @@ def merge_quality(stored: DataFrame | None, batch: DataFrame, rules: Mapping[str
 
     # A metric that is no longer measured keeps its stored value.
     kept = [pair.old(n).alias(n) for n in names if n not in rules and n not in (UPDATES, ROWS)]
-    return old_and_new(stored, batch, "source").select(
-        "source", (pair.old(UPDATES) + 1).alias(UPDATES), (pair.old_rows + pair.new_rows).alias(ROWS),
+    return old_and_new(stored, batch).select(
+        F.col("new_source").alias("source"), (pair.old(UPDATES) + 1).alias(UPDATES), (pair.old_rows + pair.new_rows).alias(ROWS),
         *[merged(n, r) for n, r in rules.items()], *kept)

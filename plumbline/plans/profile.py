@@ -10,19 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cells import cell, is_text, number, typed_name
+from ..functions.scores import ratio
 from ..functions.times import instant, timestamp
 from ..operators.completeness import Completeness, completeness_row
 from ..operators.consistency import Rule, consistency_attribute, consistency_value, rule_set, with_association
-from ..operators.distinctness import VALUES_SCHEMA, distinct_values, distinctness_update, unseen_values
+from ..operators.distinctness import distinct_values, distinctness_totals
 from ..operators.frequency import frequency_global, frequency_hour
 from ..operators.inference import ColumnTypes, infer_types
 from ..operators.precision import Precision
+from ..operators.sketches import merged_sketches, sketch_counts, value_sketches
 from ..operators.timeliness import RowTimeliness, Validity, timeliness_row
-from ..sources.readers import batch_digest, batch_name, malformed_lines, read_batch
+from ..sources.readers import batch_digest, batch_name, parse_batch
 from ..sources.state import SourceMetadata, SourceState, read_bindings
-from ..spec import ProfileSpec
-from .combine import named, side_by_side
+from ..spec import SKETCH, ProfileSpec
+from .combine import local, named, side_by_side
 from .merge import (ROWS, MergeRule, distinctness_rules, merge_quality, precision_rules, timeliness_rules, weighted)
+from .staging import staging_folder
 from .summary import summarise, whole
 
 log = logging.getLogger(__name__)
@@ -107,7 +110,8 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
     if metadata is None:
         found = infer_types(batch, spec.all_time_formats)
         metadata = SourceMetadata(found, batch.schema, spec.volatility_hours, tuple(spec.binding_paths), tuple(
-            f.name for f in batch.schema.fields if is_text(f.dataType) and (found.is_time(f.name) or f.name in found.columns_for("Precision"))))
+            f.name for f in batch.schema.fields if is_text(f.dataType) and (found.is_time(f.name) or f.name in found.columns_for("Precision"))),
+            spec.distinct_state)
         state.save_metadata(metadata, version)
     types, volatility = metadata.types, metadata.volatility_hours
     bindings = read_bindings(spark, metadata.binding_paths)
@@ -122,24 +126,32 @@ def _profile(state: SourceState, batch: DataFrame, name: str, spec: ProfileSpec,
     rates = {c: r for c in types.columns_for("Timeliness") if (r := state.hourly_rates(c)) is not None}
     rules = rule_set(state.association_rules(), (), metadata.columns)
     metrics, merge = batch_metrics(rows, types, volatility, now, rates, rules, spec.digits_only)
+    metrics = local(metrics)        # one row; all that follows is as small
 
     distinct_columns = types.columns_for("Distinctness")
     if distinct_columns:
-        # Found once and written: the look-up among the stored values reads them twice.
-        state.write_version(distinct_values(rows, distinct_columns), "batch_values", version)
-        added = unseen_values(state.read_version("batch_values", version, VALUES_SCHEMA), state.distinct_values(version - 1))
-        state.write_values(added, version)
-        update = distinctness_update(rows.agg(F.count(F.lit(1)).alias("rows")), distinct_columns,
-                                     state.added_values(version), state.source_distinctness(version - 1))
+        update = local(_distinctness(state, rows, metrics, distinct_columns, metadata.distinct_state, spec.sketch_lg_k, version))
         state.write_version(update, "source_distinctness", version)
-        metrics = side_by_side([metrics, distinctness_metrics(state.source_distinctness(version), distinct_columns)],
-                               "source")
+        metrics = local(side_by_side([metrics, distinctness_metrics(update, distinct_columns)], "source"))
         merge |= distinctness_rules(distinct_columns)
 
     stored = state.source_quality(version - 1) if version > 1 else None
     state.write_version(merge_quality(stored, metrics, merge, now), "source_quality", version)
 
 
+def _distinctness(state: SourceState, rows: DataFrame, metrics: DataFrame, columns: Sequence[str], kept: str, lg_k: int, version: int) -> DataFrame:
+    """Distinctness of the source after the batch, whose values or sketches are stored."""
+    if kept == SKETCH:
+        before, now = state.source_sketches(version - 1), value_sketches(rows, columns, lg_k)
+        state.write_version(now if before is None else merged_sketches(before, now), "source_distinct_sketches", version)
+        counts = sketch_counts(state.source_sketches(version), lg_k)
+        return counts.select(F.col("attribute").alias("Attribute"), "Count", "TotalRows", ratio(F.col("Count"), F.col("TotalRows")).alias("DistinctnessValue"))
+    added = state.values.unseen(distinct_values(rows, columns), version)
+    state.write_values(added, version)
+    fresh = local(state.added_values(version).groupBy("attribute").agg(F.count(F.lit(1)).alias("Count")))
+    return distinctness_totals(metrics.select(F.col(ROWS).alias("rows")), columns, fresh, state.source_distinctness(version - 1))
+
+
 def profile_files(spark: SparkSession, paths: Sequence[str], spec: ProfileSpec, as_of: dt.datetime | str) -> bool:
     """Profile the batch that a list of files makes up."""
     if not paths:
@@ -149,9 +161,9 @@ def profile_files(spark: SparkSession, paths: Sequence[str], spec: ProfileSpec,
     if analysed:
         return False
     metadata = state.metadata(version)
-    batch = read_batch(spark, paths, spec.file_format, spec.layout, metadata.columns if metadata else spec.columns, spec.options)
-    if spec.file_format == "json" and spec.layout is None:
-        lines = state.write_malformed(malformed_lines(spark, paths, batch.schema), name)
-        if lines:
-            log.warning("batch %s: %d lines are no JSON objects, kept in malformed_lines", name, lines)
-    return profile_batch(spark, batch, name, spec, as_of, digest)
+    batch = parse_batch(spark, paths, staging_folder(spark, state.path("staging")), spec.file_format, spec.layout,
+                        metadata.columns if metadata else spec.columns, spec.options)
+    if batch.n_malformed:
+        state.write_malformed(batch.malformed, name)
+        log.warning("batch %s: %d lines are no JSON objects, kept in malformed_lines", name, batch.n_malformed)
+    return profile_batch(spark, batch.rows, name, spec, as_of, digest)

@@ -7,40 +7,103 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.cells import cell
+from ..functions.cells import cell, is_text
+from ..plans.staging import stage
 
 DIGEST_DIGITS = 16              # of the digest of a batch's paths
 CORRUPT = "_corrupt_record"
+CELLS = "map<string,string>"
+MAX_FIELDS = 10_000
 
 
-def text_schema(columns: Sequence[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+def json_entries(lines: DataFrame) -> DataFrame:
+    """``cells, line`` of text lines in column ``value``: a row with its cells for each JSON object, those of an array of objects too, and a row
+    with the line itself where it holds anything else. Every line is parsed once and is either data or malformed.
+
+    Cells are texts; a nested one is its JSON text. Blank lines are nothing, an empty array is data without a row. Of a field that an object
+    names twice the first one counts.
+    """
+    kept = lines.filter(F.trim("value") != "")
+    many = F.ltrim("value").startswith("[")
+    parsed = F.when(many, F.from_json("value", "array<map<string,string>>")).otherwise(F.array(F.from_json("value", "map<string,string>")))
+    whole = parsed.isNotNull() & F.forall(parsed, lambda cells: cells.isNotNull())
+    found = kept.select("value", F.when(F.col("value").isNotNull(), F.struct(parsed.alias("entries"), whole.alias("whole"))).alias("p"))
+    rows = F.transform("p.entries", lambda cells: F.struct(cells.alias("cells"), F.lit(None).cast("string").alias("line")))
+    bad = F.array(F.struct(F.lit(None).cast(CELLS).alias("cells"), F.col("value").alias("line")))
+    return found.select(F.inline(F.when(F.col("p.whole"), rows).otherwise(bad)))
+
+
+def field_names(entries: DataFrame, source: object) -> list[str]:
+    """Names of all fields of parsed objects, in order. They come to the driver, so more than ``MAX_FIELDS`` are an error."""
+    names = entries.select(F.explode(F.map_keys("cells")).alias("name")).distinct().limit(MAX_FIELDS + 1).collect()
+    if not names:
+        raise ValueError(f"no JSON objects in {source}")
+    if len(names) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} fields in {source}")
+    return sorted(r["name"] for r in names)
+
+
+def entry_cells(entries: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The cells of parsed objects as text columns; fields that are not named are left out."""
+    return entries.filter(F.col("cells").isNotNull()).select(*[F.try_element_at("cells", F.lit(c)).alias(c) for c in columns])
+
+
+def _lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    return spark.read.text(paths if isinstance(paths, str) else list(paths))
 
 
 def read_json(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """JSON lines, every cell a text. Without ``columns`` the field names are found by a pass over the data.
 
-    Lines that are no JSON objects are neither rows nor columns; ``malformed_lines`` has them.
+    Lines that hold anything but objects are neither rows nor columns; ``malformed_lines`` has them.
+    """
+    entries = json_entries(_lines(spark, paths))
+    return entry_cells(entries, columns or field_names(entries, paths))
+
+
+def malformed_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``line`` of every line of JSON files that ``read_json`` takes no row from."""
+    return json_entries(_lines(spark, paths)).filter(F.col("line").isNotNull()).select("line")
+
+
+@dataclass(frozen=True)
+class ParsedBatch:
+    """A batch of files, parsed once and staged: its rows, how many they are, and the lines that are no data."""
+
+    rows: DataFrame
+    n_rows: int
+    malformed: DataFrame | None = None
+    n_malformed: int = 0
+
+
+def parse_batch(spark: SparkSession, paths: Sequence[str], folder: str, file_format: str = "json", layout: "TextLayout | None" = None,
+                columns: Sequence[str] | None = None, options: Mapping[str, str] | None = None) -> ParsedBatch:
+    """Read a batch of text or JSON files in one scan, which also counts rows and malformed lines, into tables below ``folder``.
+
+    All that follows (field names, types, rows) reads those tables, a column at a time. Files of typed formats are read as they are.
     """
-    files = paths if isinstance(paths, str) else list(paths)
-    reader = spark.read.option("primitivesAsString", "true").option("columnNameOfCorruptRecord", CORRUPT)
-    found = text_schema(columns) if columns else reader.json(files).schema
-    schema = T.StructType([f for f in found.fields if f.name != CORRUPT])
-    if not schema.fields:
-        raise ValueError(f"no JSON objects in {paths}")
-    return reader.schema(schema).option("mode", "DROPMALFORMED").json(files)
-
-
-def malformed_lines(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType) -> DataFrame:
-    """``line`` of every line of JSON files that is no JSON object of this schema."""
-    whole = T.StructType(list(schema.fields)).add(CORRUPT, T.StringType())
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).filter(F.trim("value") != "")
-    parsed = F.from_json("value", whole, {"columnNameOfCorruptRecord": CORRUPT})
-    return lines.filter(parsed[CORRUPT].isNotNull()).select(F.col("value").alias("line"))
+    counts = Observation()
+    if file_format == "json" and layout is None:
+        entries = json_entries(_lines(spark, paths))
+        if columns:
+            cells = [F.try_element_at("cells", F.lit(c)).alias(f"c{i}") for i, c in enumerate(columns)]
+            entries = entries.select(F.col("cells").isNotNull().alias("row"), "line", *cells)
+        else:
+            entries = entries.select(F.col("cells").isNotNull().alias("row"), "line", "cells")
+        found = stage(entries.observe(counts, F.count_if("row").alias("rows"), F.count("line").alias("malformed")), folder, "parsed")
+        if columns:
+            rows = found.filter("row").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+        else:
+            rows = stage(entry_cells(found, field_names(found, paths)), folder, "rows")
+        return ParsedBatch(rows, counts.get["rows"], found.filter("NOT row").select("line"), counts.get["malformed"])
+    rows = read_batch(spark, paths, file_format, layout, columns, options)
+    if not all(is_text(f.dataType) for f in rows.schema.fields):
+        return ParsedBatch(rows, -1)
+    rows = stage(rows.observe(counts, F.count(F.lit(1)).alias("rows")), folder, "parsed")
+    return ParsedBatch(rows, counts.get["rows"])
 
 
 @dataclass(frozen=True)

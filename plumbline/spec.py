@@ -9,6 +9,7 @@ from .functions.times import DEFAULT_VOLATILITY_HOURS
 from .operators.consistency import Rule, parse_rule
 from .operators.inference import ColumnTypes
 from .operators.selection import Range
+from .operators.sketches import LG_K
 from .plans.summary import distinct_key_sets
 from .sources.readers import TextLayout
 
@@ -26,6 +27,7 @@ GRANULARITIES = {
     "Completeness_Population": (ATTRIBUTE,),
     "Consistency": (ATTRIBUTE, VALUE, TUPLE),
 }
+EXACT, SKETCH = "exact", "sketch"       # what a source keeps of its distinct values
 REFRESH_SUFFIX = "-R"           # of Consistency: score the rows again even with unchanged binding lists
 
 
@@ -34,7 +36,8 @@ class ProfileSpec:
     """One source: where its state lives and how its batches read.
 
     ``columns`` names the fields of JSON batches; without it the first batch is read once more to find them. ``options``
-    are those of Spark's reader for the other formats.
+    are those of Spark's reader for the other formats. ``distinct_state`` says whether the source keeps its distinct values, or
+    sketches of 2^``sketch_lg_k`` registers whose counts are estimates; the first batch's choice holds for the source.
     """
 
     result_folder: str
@@ -46,6 +49,12 @@ class ProfileSpec:
     columns: tuple[str, ...] | None = None
     digits_only: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
+    distinct_state: str = EXACT
+    sketch_lg_k: int = LG_K
+
+    def __post_init__(self):
+        if self.distinct_state not in (EXACT, SKETCH):
+            raise ValueError(f"a source keeps {EXACT!r} or {SKETCH!r} distinct values, got {self.distinct_state!r}")
 
     @property
     def all_time_formats(self) -> tuple[str, ...]:

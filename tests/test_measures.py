@@ -2,6 +2,7 @@ import datetime as dt
 import math
 import random
 from collections import defaultdict
+from itertools import permutations
 
 import pytest
 from conftest import as_dicts
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.times import instant
 from plumbline.operators.accuracy import Accuracy, Expected
 from plumbline.operators.completeness import Completeness, completeness_row
+from plumbline.operators.consistency import Rule, consistency_attribute, consistency_value, covering_sets
 from plumbline.operators.distinctness import (DISTINCTNESS_SCHEMA, VALUES_SCHEMA, distinctness_attribute,
                                               distinctness_global, distinctness_update, new_values,
                                               population_attribute)
@@ -261,3 +263,65 @@ def test_distinctness_over_batches(spark, rows):
     assert (later["k"]["Count"], later["k"]["TotalRows"]) == (4, 5) and later["n"]["DistinctnessValue"] == 0.4
     again = new_values(second, ["k", "n"], added.unionByName(more))
     assert as_dicts(distinctness_update(count(second), ["k", "n"], again, state), "Attribute")["n"]["Count"] == 1
+
+
+def _mean_by_hand(rows, rule, columns):
+    """Mean over the antecedents of the share that the most frequent consequent has."""
+    seen = {}
+    for row in rows:
+        cells = dict(zip(columns, row))
+        left = ",".join("null" if cells[c] is None else str(cells[c]) for c in rule.antecedent)
+        right = tuple(cells[c] for c in rule.consequent)
+        seen.setdefault(left, {}).setdefault(right, 0)
+        seen[left][right] += 1
+    return {left: max(n.values()) / sum(n.values()) for left, n in seen.items()}
+
+
+def test_many_rules_by_lattice(spark):
+    columns = ["a", "b", "c", "d", "e"]
+    rows = [(f"x{i % 3}", None if i % 5 == 0 else i % 4, f"p,{i % 2}", "" if i % 7 else None, i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "a string, b int, c string, d string, e int")
+    rules = [Rule(left, right) for n in (1, 2, 3) for left in permutations(columns, n) for right in permutations([c for c in columns if c not in left], 1)]
+    assert len(rules) == 20 + 60 + 120
+    got = {}
+    for r in consistency_value(df, rules).collect():
+        got.setdefault((r["RuleAntecedent"], r["RuleConsequent"]), {})[r["AntecedentValue"]] = r["ConsistencyValue"]
+    assert got == {(r.left, r.right): pytest.approx(_mean_by_hand(rows, r, columns)) for r in rules}
+    # Only the widest sets are counted, and fewer rules give the same by grouping sets.
+    assert len(set(covering_sets(rules).values())) == 5
+    few = {(r["RuleAntecedent"], r["RuleConsequent"], r["AntecedentValue"]): r["ConsistencyValue"] for r in consistency_value(df, rules[:5] + rules[-3:]).collect()}
+    assert all(got[left, right][value] == score for (left, right, value), score in few.items())
+
+
+def test_plan_does_not_grow_with_rules(spark):
+    df = spark.createDataFrame([tuple(range(60))], ", ".join(f"c{i} int" for i in range(60)))
+    every = [Rule((f"c{i}",), (f"c{j}",)) for i in range(60) for j in range(60) if i != j]
+    sizes = {}
+    for n in (40, 500, 3000):
+        plan = consistency_attribute(consistency_value(df, every[:n]))._jdf.queryExecution().optimizedPlan()
+        text = plan.treeString()
+        sizes[n] = (text.count("\n"), text.count("LogicalRDD") + text.count("LocalRelation"))
+    assert sizes[40] == sizes[500] == sizes[3000] and sizes[500][1] <= 2
+    assert consistency_attribute(consistency_value(df, every[:500])).count() == 500
+
+
+def test_lattice_takes_equal_cells_as_grouping_does(spark):
+    rows = [(0.0, "a", dt.datetime(2024, 1, 1)), (-0.0, "a", dt.datetime(2024, 1, 1)), (1.0, "b", dt.datetime(2024, 1, 2)), (float("nan"), "b", None)]
+    df = spark.createDataFrame([(*r, *[str(i) for i in range(6)]) for r in rows], "z double, k string, t timestamp, " + ", ".join(f"f{i} string" for i in range(6)))
+    rules = [Rule(("k",), ("z",)), Rule(("k",), ("t",)), Rule(("t",), ("z",)), *[Rule(("z",), (f"f{i}",)) for i in range(6)], *[Rule(("t",), (f"f{i}",)) for i in range(6)]]
+    by_lattice = {(r["Rule"], r["AntecedentValue"]): r["ConsistencyValue"] for r in consistency_value(df, rules).collect()}
+    plain = {(r["Rule"], r["AntecedentValue"]): r["ConsistencyValue"] for r in consistency_value(df, rules[:3]).collect()}
+    assert plain == {key: score for key, score in by_lattice.items() if key[0] in {k for k, _ in plain}}
+    assert by_lattice["k -> z", "a"] == 1.0
+
+
+def test_digest_of_nested_cells_groups_as_rows_do(spark):
+    schema = "a array<double>, s struct<x:double,y:array<struct<z:float>>>, t array<timestamp>"
+    at = dt.datetime(2024, 1, 1)
+    cells = [([0.0], (0.0, [(0.0,)]), [at]), ([-0.0], (-0.0, [(-0.0,)]), [at]), ([0.0], (0.0, [(0.0,)]), [at]), ([None], None, None), (None, (None, None), []),
+             ([], (None, []), [None]), ([float("nan")], (1.0, [None]), [at]), ([1.0, 2.0], (1.0, [(None,)]), [at, at])]
+    df = spark.createDataFrame(cells, schema)
+    for columns in (["a"], ["s"], ["t"], ["a", "s", "t"]):
+        plain, digest = (distinctness_global(df, columns, d).head() for d in (False, True))
+        assert plain == digest, columns
+    assert distinctness_global(df.limit(3).select("a"), ["a"], True).head()["DistinctRatio"] == pytest.approx(1 / 3)

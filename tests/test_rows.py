@@ -221,3 +221,14 @@ def test_batch_names():
     assert batch_name(["/in/a.txt", "/in/b.txt", "/in/c.txt"]) == "a_c"
     with pytest.raises(ValueError):
         batch_name([])
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_listed_numbers_find_texts_of_equal_numbers(rows, stored):
+    df = rows([("5", 5.0), ("5,0", 5.0), ("05", 5.0), (" 5 ", 5.0), ("50", 50.0), (None, None), ("1e1", 10.0)], "x string, " + "__typed_x double")
+    df = df if stored else df.select("x")
+    types = ColumnTypes({"x": "float"})
+    found = lambda listed: sorted(r["x"] for r in select_rows(df, ["x"], {}, {"x": listed}, types).collect())      # noqa: E731
+    assert found(["5"]) == sorted(["5", "5,0", "05", " 5 "]) == sorted(r["x"] for r in select_rows(df, ["x"], {"x": [Range("5", "5")]}, {}, types).collect())
+    assert found(["10", "abc"]) == ["1e1"] and found(["abc"]) == []
+    assert [r["x"] for r in select_rows(df, ["x"], {}, {"x": ["5"]}, ColumnTypes({"x": "string"})).collect()] == ["5"]

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import subprocess
+import sys
 
 import pytest
 from conftest import as_dicts
@@ -15,7 +17,7 @@ from plumbline.operators.selection import select_rows
 from plumbline.plans.merge import merge_quality
 from plumbline.plans.profile import batch_metrics
 from plumbline.plans.staging import stage, staging_folder
-from plumbline.sources.readers import batch_digest, read_batch
+from plumbline.sources.readers import batch_digest, malformed_lines, parse_batch, read_batch, read_json
 from plumbline.sources.state import read_bindings, write_table
 from plumbline.spec import granularities
 from plumbline.streaming.batches import profile_stream
@@ -109,20 +111,6 @@ def test_ledger_and_second_batch(spark, tmp_path, trips):
     assert sorted(r["batch"] for r in state.correct_batches().collect()) == ["doc1-2017050215", "doc2"]
 
 
-def test_snapshots_of_distinct_values(spark, tmp_path):
-    state = SourceState(spark, str(tmp_path), snapshot_every=2)
-    schema = "attribute string, value string"
-    for version in range(1, 6):
-        state.write_values(spark.createDataFrame([("a", str(version))], schema), version)
-    assert sorted(p.name for p in (tmp_path / "source_distinct_snapshots").iterdir() if "=" in p.name) == [
-        "version=2", "version=4"]
-    for version in range(6):
-        expected = [str(v) for v in range(1, version + 1)]
-        assert sorted(r["value"] for r in state.distinct_values(version).collect()) == expected
-        # Without snapshots the same values come from the versions alone.
-        assert sorted(r["value"] for r in SourceState(spark, str(tmp_path), 7).distinct_values(version).collect()) == expected
-
-
 def test_failed_batch_is_recorded_and_can_run_again(spark, tmp_path):
     spec = ProfileSpec(str(tmp_path / "result"), 10.0, ("%Q",))
     batch = spark.createDataFrame([("x",)], "a string")
@@ -532,6 +520,53 @@ def test_time_range_of_a_text_source_reaches_the_scan(spark, tmp_path, trips):
     assert sorted(map(str, chosen.collect())) == sorted(map(str, plain.collect())) and chosen.count() == 4
 
 
+def test_a_line_is_data_or_malformed(spark, tmp_path):
+    lines = ['{"a":1}', '[{"a":2},{"a":3}]', "", "  ", '[{"a":4},5]', "[]", "7", '"text"', "{", '{"a":null,"b":{"c":[1, 2]}}', "{}", '  {"a":" x "}', "null"]
+    path = tmp_path / "lines"
+    path.write_text("\n".join(lines) + "\n")
+    for columns in (None, ("a", "b")):
+        batch = parse_batch(spark, [str(path)], str(tmp_path / f"staged-{columns}"), columns=columns)
+        got = sorted(((r["a"], r["b"]) for r in batch.rows.collect()), key=repr)
+        assert got == sorted([("1", None), ("2", None), ("3", None), (None, '{"c":[1,2]}'), (None, None), (" x ", None)], key=repr)
+        bad = ['[{"a":4},5]', "7", '"text"', "{", "null"]
+        assert sorted(r["line"] for r in batch.malformed.collect()) == sorted(bad) and (batch.n_rows, batch.n_malformed) == (6, 5)
+        assert sorted(((r["a"], r["b"]) for r in read_json(spark, str(path), columns).collect()), key=repr) == got
+    assert sorted(r["line"] for r in malformed_lines(spark, str(path)).collect()) == sorted(bad)
+    with pytest.raises(ValueError, match="no JSON objects"):
+        path.write_text("7\n")
+        parse_batch(spark, [str(path)], str(tmp_path / "none"))
+
+
+def test_raw_files_are_scanned_once(tmp_path):
+    """In a session of its own, whose event log tells the scans of a batch of 200 columns from first to last."""
+    lines = [{f"c{i}": f"{i}.5" if i % 2 else "02/05/17 17:26:30" for i in range(200)} for _ in range(3)]
+    path = write_lines(tmp_path / "in" / "wide.txt", lines)
+    write_lines(tmp_path / "in" / "few.txt", [{"k": "a", "v": "1"}, {"k": "b"}])
+    (tmp_path / "in" / "cells.txt").write_text("[a][1,5]\n[b][2]\n")
+    code = f"""
+import sys
+sys.path[:0] = {[str(p) for p in sys.path]!r}
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.eventLog.enabled", "true")
+         .config("spark.eventLog.dir", "file://{tmp_path}/events").config("spark.eventLog.rolling.enabled", "false").config("spark.eventLog.compress", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate())
+from plumbline import ProfileSpec, TextLayout, profile_files
+from plumbline.operators.inference import infer_types
+from plumbline.sources.readers import parse_batch
+kinds = infer_types(parse_batch(spark, [{path!r}], "{tmp_path}/staged").rows, ("%d/%m/%y %H:%M:%S",)).kinds
+assert len(kinds) == 200 and kinds["c1"] == "float" and kinds["c2"] == "datetime"
+for name, options in (("few.txt", dict()), ("cells.txt", dict(file_format="text", layout=TextLayout("[", "]", ("x", "y"))))):
+    spec = ProfileSpec("{tmp_path}/" + name + "-result", **options)
+    assert profile_files(spark, ["{tmp_path}/in/" + name], spec, "2024-01-01 00:00:00")
+spark.stop()
+"""
+    (tmp_path / "events").mkdir()
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=300, capture_output=True)
+    [log] = [p for p in (tmp_path / "events").iterdir() if not p.name.startswith(".")]
+    plans = [e for e in map(json.loads, log.read_text().splitlines()) if e["Event"].endswith("SparkListenerSQLExecutionStart")]
+    for raw in ("wide.txt", "few.txt", "cells.txt"):
+        assert sum(e["physicalPlanDescription"].count("Scan text") and raw in e["physicalPlanDescription"] for e in plans) == 1, raw
+
+
 def test_types_of_many_columns(spark):
     frame = spark.range(50).select(*[(F.col("id") + i).cast("string").alias(f"c{i}") if i % 2 else F.concat(F.lit("x"), F.col("id")).alias(f"c{i}")
                                      for i in range(500)])
