@@ -1,8 +1,9 @@
 """Alignment of the tokens of two tokenizers over the same texts, and how often their ids meet.
 
 Both tokenizers cut a text into tokens; where tokens of both end at the same byte, a group ends. Within a group every two tokens that
-overlap are linked. A text is cut first at places where a token of either ends for certain: before a space between two visible
-characters, and around a line end between two. What lies between (a word) is aligned once and looked up in a table of bounded size after.
+overlap are linked. A text is cut first at places where a token of either ends for certain: before a space, or a line end, between two
+visible characters. The ids of what lies between (a word) are looked up in a table of bounded size; unknown words are encoded
+many at once. Groups and links of about a megabyte of texts are then found together, by merging the ends of all tokens.
 
 Counting pairs of ids over all documents takes an *identity map*: for each id of the first tokenizer the id of the second with the same bytes.
 Groups of one token each hold such a pair, and most groups do. Each task counts the documents of those pairs in a vector as long as
@@ -22,9 +23,9 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -37,138 +38,216 @@ from plumbline.llm.shared import staged
 from plumbline.llm.words import texts
 
 FREQUENT_PAIRS = 1 << 20            # pairs, of 24 bytes, whose counts are broadcast
-KNOWN_WORDS, KNOWN_CHARS = 150_000, 40     # a worker's table, and the longest word in it
-SOME_BYTES = 1 << 22                # of texts whose words are looked up together
-OUT_BYTES = 1 << 23                 # of results that a task holds back
+KNOWN_WORDS, KNOWN_CHARS = 300_000, 40     # a worker's table, and the longest word in it
+SOME_BYTES = 1 << 20                # of texts that are aligned together
+CHUNK_CHARS = 1 << 13               # of unknown words that are encoded as one text
 CHUNK_PAIRS = 1 << 20               # pairs that are combined before the shuffle
 
 _LINE = re.compile(r"\n(?<=\S\n)(?=\S)")
 _SPACE = re.compile(r" (?<=\S )(?=\S)")
+_FIRST, _SECOND = itemgetter(0), itemgetter(1)
 
-# n_a, n_b, n_groups, the groups as a text, links: (key, occurrences). The key of an identity pair is the first id, that of any other pair
-# (first id + 1) * 2^32 + second id.
-Word = tuple[int, int, int, str, tuple[tuple[int, int], ...]]
+Ids = tuple[bytes, bytes]           # of either tokenizer, little-endian 32 bits
 
 
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
         with open(path_a, encoding="utf-8") as f:
             spec = json.load(f)
         step = spec.get("pre_tokenizer") or {}
         if step.get("type") != "ByteLevel":
             raise ValueError(f"{path_a} is no byte-level tokenizer")
-        self.a = Tokenizer.from_file(path_a)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         own = {c: b for b, c in byte_letters().items()}
         vocabulary = spec["model"]["vocab"]
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_a[i] = bytes(own.get(c, 0) for c in token)
+        plain = spec.get("normalizer") is None and step.get("use_regex", True) and not step.get("add_prefix_space")
+        self.encode_a = self._encoder(path_a, spec, plain)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         same: dict[bytes, int] = {}
-        for i, p in enumerate(pieces):
+        for i in range(len(pieces)):
             if not (self.b.is_control(i) or self.b.is_unknown(i)) and (self.bytes_b[i] not in same or self.b.is_byte(same[self.bytes_b[i]])):
                 same[self.bytes_b[i]] = i
-        self.identity = [same.get(t, -1) if t else -1 for t in self.bytes_a]
-        self.line = self.b.encode("\n")
-        self.cuts = (spec.get("normalizer") is None and step.get("use_regex", True) and not step.get("add_prefix_space")
-                     and not any(re.search("[^▁]▁|\n.|.\n", p, re.DOTALL) for p in pieces) and self._cuts_b())
-        self.known: dict[tuple[bool, str], Word | None] = {}
+        self.identity = np.array([same.get(t, -1) if t else -1 for t in self.bytes_a], np.int64)
+        self.length_a, self.length_b = (np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        # Each id as a text with what follows it in a group: another id, the ids of the other tokenizer, another group.
+        self.texts_a = [np.array([f"{i}{end}" for i in range(len(self.bytes_a))], object) for end in ",|"]
+        self.texts_b = [np.array([f"{i}{end}" for i in range(len(self.bytes_b))], object) for end in ",;"]
+        self.cuts = plain and not any(re.search("[^▁]▁|\n.|.\n", p, re.DOTALL) for p in pieces) and self._cuts_b()
+        self.known: dict = {}           # ids of words, None where they do not spell the word
+        self.unspelled: set = set()     # those of them
+        self.long: list = []            # words that are forgotten after the texts they are in
+
+    def _encoder(self, path: str, spec: dict, plain: bool):
+        """Encodes a text, special strings in it as plain text. Where the order of the vocabulary is that of the merges, as usual, the
+        same ids come faster from a tokenizer that goes by this order."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        vocabulary, model = spec["model"]["vocab"], spec["model"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        ordered = sorted(vocabulary[c] for c in byte_letters().values() if c in vocabulary) == list(range(256)) and \
+            all(vocabulary.get(x + y) == 256 + i for i, (x, y) in enumerate(pairs)) and not any(model.get(k) for k in ("dropout", "ignore_merges"))
+        if plain and ordered:
+            ranks = {self.bytes_a[i]: i for i in range(256 + len(pairs))}
+            quick = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            return lambda text: quick.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+        library = Tokenizer.from_file(path)
+        library.no_truncation()
+        library.no_padding()
+        library.encode_special_tokens = True
+        return lambda text: np.array(library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def encode_b(self, text: str) -> np.ndarray:
+        return np.array(self.b.encode(text), "<u4")
 
     def _cuts_b(self) -> bool:
         """Whether the second tokenizer begins every text with a space and leaves all other characters as they are."""
         encode = self.b.encode
         return all(encode(f"{x} {y}") == encode(x) + encode(y) and encode(f"{x}\n{y}") == encode(x) + encode("\n" + y)[1:]
-                   and encode("\n" + y)[:len(self.line)] == self.line and self._spells(encode(x), " " + x, self.bytes_b)
+                   and self._spells(encode(x), " " + x, self.bytes_b)
                    for x, y in (("a", "b"), ("  a", "9\xa0é"), ("ﬁ\t\t.", "ｱ  !"), ("Ａ　", "́x\r\n")))
 
     @staticmethod
-    def _spells(ids: list[int], text: str, table: list[bytes]) -> bool:
-        return b"".join([table[i] for i in ids]) == text.encode()
+    def _spells(ids, text: str, table: list[bytes]) -> bool:
+        return b"".join([table[i] for i in (ids if isinstance(ids, list) else ids.tolist())]) == text.encode()
 
-    def words_of(self, text: str) -> list[tuple[bool, str]]:
-        """Words with whether each begins with the space before it, which the word leaves out."""
+    def words_of(self, text: str) -> list:
+        """The words of a text: each with a space before it that it leaves out, or with the line end before it. A first word that begins with
+        white space is in a tuple."""
         if not self.cuts:
-            return [(True, text)]
-        out: list[tuple[bool, str]] = []
-        for i, line in enumerate(_LINE.split(text)):
-            if i:
-                out.append((False, "\n"))
-            first, *rest = _SPACE.split(line)
-            out.append((not i, first))
-            out.extend([(True, w) for w in rest])
-        return out
+            return [(text,)]
+        lines = _LINE.split(text)
+        words = _SPACE.split(lines[0])
+        if words[0][:1].isspace():
+            words[0] = (words[0],)
+        for line in lines[1:]:
+            some = _SPACE.split(line)
+            some[0] = "\n" + some[0]
+            words += some
+        return words
 
-    def _aligned(self, a: list[int], b: list[int], text: str) -> Word | None:
+    @staticmethod
+    def _spelled(word) -> str:
+        return " " + word[0] if isinstance(word, tuple) else word if word[0] == "\n" else " " + word
+
+    def _encoded(self, words: list) -> None:
+        """Looks words up that are not in the table: as one text, if each begins and ends at a place of a cut."""
+        spelled = [self._spelled(w) for w in words]
+        text = "".join(spelled)
+        a, b = self.encode_a(text), self.encode_b("a" + text if text[0] == "\n" else text[1:])
+        if text[0] == "\n":         # the letter before it is there so that no space is added
+            b = b[len(self.b.encode("a")):]
         if not (self._spells(a, text, self.bytes_a) and self._spells(b, text, self.bytes_b)):
-            return None
-        groups: list[str] = []
-        links: Counter[int] = Counter()
-        i = j = first_a = first_b = 0
-        end_a, end_b = len(self.bytes_a[a[0]]), len(self.bytes_b[b[0]])
-        while True:
-            x, y = a[i], b[j]
-            links[x if self.identity[x] == y else (x + 1 << 32) + y] += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-                i, j = i + 1, j + 1
-                first_a, first_b = i, j
-                if i == len(a):
-                    break
-                end_a, end_b = end_a + len(self.bytes_a[a[i]]), end_b + len(self.bytes_b[b[j]])
-            elif end_a < end_b:
-                i += 1
-                end_a += len(self.bytes_a[a[i]])
+            if len(words) == 1:
+                self.known[words[0]] = None
+                self.unspelled.add(words[0])
             else:
-                j += 1
-                end_b += len(self.bytes_b[b[j]])
-        return len(a), len(b), len(groups), ";".join(groups), tuple(links.items())
-
-    def words(self, wanted: list[tuple[bool, str]]) -> dict[tuple[bool, str], Word | None]:
-        """The alignment of each word, None where the tokens do not spell it."""
-        spelled = [" " + w if spaced else w for spaced, w in wanted]
-        of_a = self.a.encode_batch_fast(spelled, add_special_tokens=False)
-        of_b = self.b.encode([w if spaced else "\n" + w for spaced, w in wanted], num_threads=1)
-        skip = len(self.line)
-        out: dict[tuple[bool, str], Word | None] = {}
-        for word, text, a, b in zip(wanted, spelled, of_a, of_b):
-            out[word] = self._aligned(a.ids, b if word[0] else b[skip:], text)
-        return out
-
-    def whole(self, text: str) -> Word | None:
-        return self._aligned(self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text), " " + text)
-
-    def texts(self, some: list[str]) -> Iterator[tuple[int, int, int, str, dict[int, int]] | None]:
-        """Alignment of every text with its links and their occurrences; None without tokens."""
+                for word in words:
+                    self._encoded([word])
+            return
+        ends = np.cumsum([len(w.encode()) for w in spelled])
+        cut_a, cut_b = (np.searchsorted(np.cumsum(table[ids]), ends, "right").tolist() for ids, table in ((a, self.length_a), (b, self.length_b)))
+        a, b = a.tobytes(), b.tobytes()
+        i = j = 0
+        for word, k, m in zip(words, cut_a, cut_b):
+            self.known[word] = a[4 * i:4 * k], b[4 * j:4 * m]
+            i, j = k, m
+
+    def ids_of(self, some: list[str]) -> list[Ids]:
+        """Ids of both tokenizers of every text; empty where one's tokens do not spell it."""
         known = self.known
-        for word in [w for w in known if len(w[1]) > KNOWN_CHARS] if len(known) <= KNOWN_WORDS else list(known):
-            del known[word]
+        if len(known) > KNOWN_WORDS:        # the older half goes
+            for word in list(known)[:max(len(known) - KNOWN_WORDS // 2, 0)]:
+                del known[word]
+        for word in self.long:
+            known.pop(word, None)
+        self.long.clear()
+        self.unspelled.intersection_update(known)
         cut = [self.words_of(t) if t else [] for t in some]
-        new = list({w for words in cut for w in words if w not in known})
-        for i in range(0, len(new), 4096):
-            known.update(self.words(new[i:i + 4096]))
-        for text, words in zip(some, cut):
-            if not words:
-                yield None
+        chunk: list = []
+        size = 0
+        for word in set().union(*cut).difference(known):
+            if len(word) > KNOWN_CHARS or isinstance(word, tuple):
+                self.long.append(word)
+            if isinstance(word, tuple) or len(word) > CHUNK_CHARS or word[-1].isspace():
+                self._encoded([word])
                 continue
-            own = [known[w] for w in words]
-            if None in own:     # each word by itself, or the text as one where lengths might make up for each other
-                one = self.whole(text)
-                yield None if one is None else (*one[:4], dict(one[4]))
+            chunk.append(word)
+            size += len(word)
+            if size >= CHUNK_CHARS:
+                self._encoded(chunk)
+                chunk, size = [], 0
+        if chunk:
+            self._encoded(chunk)
+        out = []
+        for text, words in zip(some, cut):
+            if self.unspelled and not self.unspelled.isdisjoint(words):     # as a whole, where lengths might make up for each other
+                a, b = self.encode_a(" " + text), self.encode_b(text)
+                fits = self._spells(a, " " + text, self.bytes_a) and self._spells(b, " " + text, self.bytes_b)
+                out.append((a.tobytes(), b.tobytes()) if fits else (b"", b""))
                 continue
-            links: dict[int, int] = {}
-            for word, n in Counter(words).items():
-                for key, occurrences in known[word][4]:
-                    links[key] = links.get(key, 0) + n * occurrences
-            yield sum(w[0] for w in own), sum(w[1] for w in own), sum(w[2] for w in own), ";".join([w[3] for w in own]), links
+            own = list(map(known.__getitem__, words))
+            out.append((b"".join(map(_FIRST, own)), b"".join(map(_SECOND, own))))
+        return out
+
+    def align(self, some: list[str]) -> dict[str, pa.Array]:
+        """The columns of ``alignments`` for texts, but for their ids."""
+        ids = self.ids_of(some)
+        n = len(some)
+        a, b = (np.frombuffer(b"".join([x[i] for x in ids]), "<u4").astype(np.int64) for i in (0, 1))
+        n_a, n_b = (np.array([len(x[i]) // 4 for x in ids], np.int64) for i in (0, 1))
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        # Between two neighbouring ends, of tokens of either, lies one link: that of the two tokens that reach over it.
+        ends = np.concatenate((end_a, end_b))
+        ends.sort(kind="stable")
+        ends = ends[np.concatenate(([True], ends[1:] != ends[:-1]))] if len(ends) else ends
+        at_a, at_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
+        of_a, of_b = np.zeros(len(ends), np.int64), np.zeros(len(ends), np.int64)
+        of_a[at_a], of_b[at_b] = 1, 1
+        cut = of_a & of_b
+        link_a, link_b, group = a[np.cumsum(of_a) - of_a], b[np.cumsum(of_b) - of_b], np.cumsum(cut) - cut
+        del of_a, of_b
+        bytes_upto = np.concatenate(([0], end_a))[np.cumsum(n_a)]
+        links_upto = np.concatenate(([0], np.searchsorted(ends, bytes_upto, "right")))
+        n_links = np.diff(links_upto)
+        n_groups = np.diff(np.concatenate(([0], np.cumsum(cut)))[links_upto])
+
+        # Distinct pairs of each text. An identity pair is numbered by its first id, the others follow those.
+        size_a, size_b = len(self.bytes_a), len(self.bytes_b)
+        number = np.where(self.identity[link_a] == link_b, link_a, size_a + link_a * size_b + link_b)
+        number += np.repeat(np.arange(n) * (size_a + size_a * size_b), n_links)
+        number, occurrences = np.unique(number, return_counts=True)
+        doc, number = number // (size_a + size_a * size_b), number % (size_a + size_a * size_b)
+        same = number < size_a
+        lists = {}
+        for name, kept, values in (("same", same, number), ("same_links", same, occurrences), ("a", ~same, (number - size_a) // size_b),
+                                   ("b", ~same, (number - size_a) % size_b), ("links", ~same, occurrences)):
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(doc[kept], minlength=n)))).astype(np.int32)
+            lists[name] = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[kept].astype(np.int32)))
+
+        return {"n_a": pa.array(n_a), "n_b": pa.array(n_b), "n_groups": pa.array(n_groups), "n_links": pa.array(n_links),
+                "groups": pa.array(self._texts(a, b, group[at_a], group[at_b], n_a + n_b), pa.string()), **lists}
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, sizes: np.ndarray) -> list[str]:
+        """The groups as text: in each the ids of the first tokenizer, then those of the second."""
+        n_a, n_b = (np.bincount(g, minlength=int(group_a[-1]) + 1 if len(group_a) else 0) for g in (group_a, group_b))
+        first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        in_a, in_b = np.arange(len(a)) - first_a[group_a], np.arange(len(b)) - first_b[group_b]
+        start = first_a + first_b
+        out = np.empty(len(a) + len(b), object)
+        for ids, group, inside, count, place, (within, last) in ((a, group_a, in_a, n_a, start[group_a] + in_a, self.texts_a),
+                                                                 (b, group_b, in_b, n_b, start[group_b] + n_a[group_b] + in_b, self.texts_b)):
+            out[place] = np.where(inside == count[group] - 1, last[ids], within[ids])
+        upto = np.concatenate(([0], np.cumsum(sizes))).tolist()
+        return ["".join(out[i:j])[:-1] for i, j in zip(upto, upto[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -176,17 +255,11 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-_COLUMNS = [("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups", pa.string())]
 _LINKS = ["same", "same_links", "a", "b", "links"]
 _SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, same array<int>, same_links array<int>, a array<int>, " \
           "b array<int>, links array<int>"
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *values])))
-
-
 def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """A row per document: doc_id, n_a, n_b, n_groups, n_links, ``groups`` (``a1,a2|b1;a3|b2,b3``: ids in order), and its links by pair
     of ids: ``same`` (first ids linked with the id of the same bytes) with ``same_links`` occurrences, and ``a``, ``b`` with ``links``. ``path_a``:
@@ -194,45 +267,15 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(path_a, path_b)
-        rows: list[tuple] = []
-        links: list[tuple] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            columns = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(_COLUMNS)]
-            return pa.RecordBatch.from_arrays(columns + [_lists([x[i] for x in links]) for i in range(5)], [n for n, _ in _COLUMNS] + _LINKS)
-
-        def batched() -> Iterator[tuple[list, list[str]]]:
-            for batch in batches:
-                names: list = []
-                some: list[str] = []
-                held = 0
-                for doc, text in zip(batch.column(0), texts(batch.column(1))):
-                    names.append(doc.as_py())
-                    some.append(text.decode("utf-8", "replace"))
-                    held += len(text)
-                    if held >= SOME_BYTES:
-                        yield names, some
-                        names, some, held = [], [], 0
-                yield names, some
-
-        for names, some in batched():
-            for name, found in zip(names, own.texts(some)):
-                n_a, n_b, n_groups, groups, pairs = found or (0, 0, 0, "", {})
-                keys = np.fromiter(pairs, np.int64, len(pairs))
-                occurrences = np.fromiter(pairs.values(), np.int32, len(pairs))
-                by_key = np.argsort(keys)
-                keys, occurrences = keys[by_key], occurrences[by_key]
-                k = int(np.searchsorted(keys, 1 << 32))
-                rows.append((name, n_a, n_b, n_groups, n_a + n_b - n_groups, groups))
-                links.append((keys[:k].astype(np.int32), occurrences[:k], ((keys[k:] >> 32) - 1).astype(np.int32),
-                              (keys[k:] & 0xFFFFFFFF).astype(np.int32), occurrences[k:]))
-                size += len(groups) + 12 * len(keys) + 128
-                if size >= OUT_BYTES:
-                    yield out()
-                    rows, links, size = [], [], 0
-        if rows:
-            yield out()
+        for batch in batches:
+            start = size = 0
+            some: list[str] = []
+            for i, text in enumerate(texts(batch.column(1)), 1):
+                some.append(text.decode("utf-8", "replace"))
+                size += len(text)
+                if size >= SOME_BYTES or i == len(batch):
+                    yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0).slice(start, len(some)), **own.align(some)})
+                    start, size, some = i, 0, []
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(align, _SCHEMA)
 

@@ -3,6 +3,7 @@ import itertools
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -74,13 +75,12 @@ def test_words_give_the_alignment_of_the_whole(tokenizers, seed):
     own, pick = L.aligner(A, B), random.Random(seed)
     assert own.cuts
     bodies = ["".join(pick.choice(PIECES) for _ in range(pick.randrange(60))) for _ in range(6)] + ["x▁y z", "▁", " ", "\n", "a", " lead", "trail ", "a▁ b c d"]
-    for body, got in zip(bodies, list(own.texts(bodies))):
+    for body, got in zip(bodies, pa.table(own.align(bodies)).to_pylist(), strict=True):
         n_a, n_b, n_groups, n_links, groups, links = aligned(tokenizers, body)
-        if got is None:
-            assert not n_a
-            continue
-        assert got[:4] == (n_a, n_b, n_groups, groups) and n_a + n_b - n_groups == n_links
-        assert got[4] == {(i if own.identity[i] == j else (i + 1 << 32) + j): n for (i, j), n in links.items()}
+        assert (got["n_a"], got["n_b"], got["n_groups"], got["n_links"], got["groups"]) == (n_a, n_b, n_groups, n_links, groups)
+        same = {(i, j): n for (i, j), n in links.items() if own.identity[i] == j}
+        assert dict(zip(got["same"], got["same_links"])) == {i: n for (i, _), n in same.items()}
+        assert {(i, j): n for i, j, n in zip(got["a"], got["b"], got["links"])} == {p: n for p, n in links.items() if p not in same}
 
 
 def test_counts_against_brute_force(tokenizers, docs):
@@ -103,14 +103,22 @@ def test_pair_may_be_linked_inside_and_outside_groups_of_one(tokenizers, docs):
 
 def test_small_tables_of_known_words(tokenizers, docs, monkeypatch):
     monkeypatch.setattr(L, "KNOWN_WORDS", 5)
-    monkeypatch.setattr(L, "SOME_BYTES", 100)
+    monkeypatch.setattr(L, "CHUNK_CHARS", 20)
     own = L.Aligner(A, B)
     for i in range(10):
-        assert all(own.texts([f"some words {i} {i + 1} {'z' * 50}"]))
-        assert len(own.known) <= 5 + 6
+        body = f"some words {i} {i + 1}\n{'z' * 50} ▁ x"
+        assert own.align([body])["n_a"].to_pylist() == [0] and own.align([body[:-3]])["groups"].to_pylist() == [aligned(tokenizers, body[:-3])[4]]
+        assert len(own.known) <= 5 + 8
     checked(tokenizers, docs([text(i, 40) for i in range(20)]))
 
 
+def test_tokenizer_that_cannot_be_cut(tokenizers):
+    own = L.Aligner(A, B)
+    own.cuts = False
+    bodies = ["one two\nthree  ", " x", "▁", "", "a"]
+    assert own.align(bodies)["groups"].to_pylist() == [aligned(tokenizers, t)[4] for t in bodies]
+
+
 def test_odd_rows(tokenizers, odd_docs):
     assert len(checked(tokenizers, odd_docs)) == 9
     empty = odd_docs.limit(0)
