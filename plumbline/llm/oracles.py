@@ -10,11 +10,59 @@ from plumbline.llm.source_mix import BUCKETS
 
 _PLAN = RiskPlan()
 _RULE_ROWS = "\nUNION ALL\n".join(
-    f"SELECT doc_id, lang, '{rule}' AS rule, {part} / greatest({whole}, 1) AS share FROM m" for rule, (part, whole) in RULES.items())
-_CUT_ROWS = ", ".join(f"('{rule}', {i}, CAST({c} AS DOUBLE))" for rule, cuts in CUTOFFS.items() for i, c in enumerate(cuts))
+    f"SELECT doc_id, lang, {k} AS k, {part} / greatest({whole}, 1) AS share FROM m" for k, (part, whole) in enumerate(RULES.values(), 1))
+_CUT_ROWS = ", ".join(f"({k}, {i}, CAST({c} AS DOUBLE))" for k, cuts in enumerate(CUTOFFS.values(), 1) for i, c in enumerate(cuts, 1))
+_PASSED = ", ".join(f"len(list_filter([{', '.join(map(str, CUTOFFS[rule]))}], lambda c: {part} / greatest({whole}, 1) > c))" for rule, (part, whole) in RULES.items())
+_SIZES = f"[{', '.join(str(len(c)) for c in CUTOFFS.values())}]"
+_PLACES = list(range(1, len(RULES) + 1))
+
+
+def _rejects(levels: str) -> str:
+    """Whether rules at these levels reject a kind of document."""
+    return f"len(list_filter({_PLACES}, lambda i: {levels}[i] > 0 AND kinds.passed[i] > {_SIZES}[i] - {levels}[i])) > 0"
+
+
+# Levels of the rules, by stratum. An iteration takes one rule through the cutoffs that each reject more bad documents. In phase 1 that is the
+# rule whose last cutoff rejects most; it is set aside at a failure. In phase 2 the rules set aside follow in their order, up to a failure.
+_LEVELS = f"""
+kinds AS (SELECT coalesce(lang, chr(0) || 'null') AS s, [{_PASSED}] AS passed, count(*) FILTER (WHERE q >= 1) AS good, count(*) FILTER (WHERE q < 1) AS bad
+          FROM b JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
+useful AS (SELECT s, count(*) AS useful FROM (SELECT s, k, sum(bad) FILTER (WHERE passed[k] > 0) AS n FROM kinds, (SELECT unnest({_PLACES}) AS k) GROUP BY s, k) WHERE n > 0 GROUP BY s),
+strata AS (SELECT s, sum(good) AS n_good, any_value(coalesce(useful, 0)) AS useful, {_PLAN.error!r} / (SELECT count(DISTINCT s) FROM kinds) AS error
+           FROM kinds LEFT JOIN useful USING (s) GROUP BY s),
+run AS (
+  SELECT s, n_good, useful, error, 0 AS iteration, {[0] * len(RULES)} AS levels, CAST([] AS INTEGER[]) AS aside, {[0] * len(RULES)} AS best, 0 AS most, 1 AS phase, 0 AS place FROM strata
+  UNION ALL
+  SELECT s, n_good, useful, error, iteration + 1, CASE WHEN k IS NOT NULL AND failed IS NULL THEN last_try ELSE levels END,
+         CASE WHEN phase = 1 AND failed IS NOT NULL THEN list_append(aside, k) ELSE aside END,
+         CASE WHEN good_most > most THEN good_try ELSE best END, greatest(most, coalesce(good_most, 0)),
+         CASE WHEN k IS NULL AND phase = 1 THEN 2 WHEN phase = 2 AND failed IS NOT NULL THEN 3 ELSE phase END,
+         CASE WHEN phase = 2 OR k IS NULL THEN place + 1 ELSE place END
+  FROM run LEFT JOIN (
+    SELECT s AS of, k, max_by(t, l) AS last_try, min(l) FILTER (WHERE NOT ok) AS failed,
+           max_by(t, l) FILTER (WHERE all_ok) AS good_try, max(bad) FILTER (WHERE all_ok) AS good_most
+    FROM (SELECT *, bool_and(ok) OVER (PARTITION BY s, k ORDER BY l) AS all_ok,
+                 first_value(k) OVER (PARTITION BY s ORDER BY total DESC, k ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS first_k
+          FROM (SELECT *, max(bad) OVER (PARTITION BY s, k) AS total, n_good > 0 AND
+                       (CASE WHEN good >= n_good THEN 1.0 ELSE list_sum(list_transform(range(0, CAST(good AS BIGINT) + 1), lambda x: exp(
+                          lgamma(n_good + 1) - lgamma(x + 1) - lgamma(n_good - x + 1) + x * ln({_PLAN.risk!r}) + (n_good - x) * ln(1 - {_PLAN.risk!r})))) END)
+                       <= CASE WHEN useful = 1 THEN error ELSE error / 2 ** (len(aside) + 1) / (factorial(CAST(useful AS INTEGER)) / factorial(CAST(useful - len(aside) AS INTEGER))) END AS ok
+                FROM (SELECT *, max(bad) OVER (PARTITION BY s, k ORDER BY l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+                      FROM (SELECT tried.s, k, l, any_value(t) AS t, any_value(tried.n_good) AS n_good, any_value(useful) AS useful, any_value(error) AS error, any_value(aside) AS aside,
+                                   coalesce(sum(kinds.bad) FILTER (WHERE {_rejects("t")}), 0) AS bad, coalesce(sum(kinds.good) FILTER (WHERE {_rejects("t")}), 0) AS good,
+                                   coalesce(sum(kinds.bad) FILTER (WHERE {_rejects("levels")}), 0) AS now
+                            FROM (SELECT run.*, k, l, list_concat(list_concat(levels[:k - 1], [l]), levels[k + 1:]) AS t
+                                  FROM run, (SELECT k, CAST(unnest(range(1, {_SIZES}[k] + 1)) AS INTEGER) AS l FROM (SELECT unnest({_PLACES}) AS k))
+                                  WHERE l > levels[k] AND ((phase = 1 AND NOT list_contains(aside, k)) OR (phase = 2 AND aside[place] = k))) AS tried
+                            JOIN kinds ON kinds.s = tried.s GROUP BY tried.s, k, l))
+                WHERE bad > greatest(now, coalesce(before, 0))))
+    WHERE k = first_k GROUP BY s, k) AS sequence ON run.s = sequence.of
+  WHERE phase = 1 OR (phase = 2 AND place <= len(aside))),
+levels AS (SELECT s, max_by(best, iteration) AS best FROM run GROUP BY s),
+"""
 
 QUALITY = rf"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM {{documents}}),
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS text FROM {{documents}}),
 w AS (SELECT r, doc_id, lang, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
       list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM docs),
 win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
@@ -25,20 +73,12 @@ m AS (SELECT w.r, doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesc
       CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(ls) AS BIGINT) AS n_lines,
       CAST(length(regexp_replace(text, '[^A-Z]', '', 'g')) AS BIGINT) AS n_upper, CAST(length(regexp_replace(text, '[^!?]', '', 'g')) AS BIGINT) AS n_marks
       FROM w LEFT JOIN rep ON rep.r = w.r),
-b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+b AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 known AS (SELECT doc_id, min(quality) AS q FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
 shares AS ({_RULE_ROWS.replace("FROM m", "FROM b WHERE NOT base_failed")}),
-cuts(rule, i, cut) AS (VALUES {_CUT_ROWS}),
-strata AS (SELECT lang, count(*) FILTER (WHERE q >= 1) AS n FROM b JOIN known USING (doc_id) WHERE NOT base_failed GROUP BY lang),
-counts AS (SELECT s.lang, s.rule, c.i, c.cut, count(*) FILTER (WHERE q >= 1 AND share > cut) AS good, count(*) FILTER (WHERE q < 1 AND share > cut) AS bad
-           FROM shares s JOIN known USING (doc_id) JOIN cuts c ON c.rule = s.rule GROUP BY ALL),
-tested AS (SELECT c.*, n, (SELECT sum(exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln(p) + (n - k) * ln(1 - p)))
-           FROM (SELECT unnest(range(0, c.good + 1)) AS k)) AS tail
-           FROM (SELECT counts.*, strata.n, {_PLAN.risk / len(RULES)!r} AS p FROM counts JOIN strata ON counts.lang IS NOT DISTINCT FROM strata.lang) c),
-passed AS (SELECT *, bool_and(n > 0 AND tail <= {_PLAN.error!r} / ({len(RULES)} * (SELECT count(*) FROM strata)))
-           OVER (PARTITION BY lang, rule ORDER BY i) AS ok FROM tested),
-best AS (SELECT lang, rule, cut FROM (SELECT *, row_number() OVER (PARTITION BY lang, rule ORDER BY bad DESC, i) AS k FROM passed WHERE ok AND bad > 0) WHERE k = 1),
-rejected AS (SELECT DISTINCT s.doc_id FROM shares s JOIN best USING (rule) WHERE s.lang IS NOT DISTINCT FROM best.lang AND share > cut)
+cuts(k, i, cut) AS (VALUES {_CUT_ROWS}),
+{_LEVELS}
+rejected AS (SELECT DISTINCT doc_id FROM shares JOIN levels ON coalesce(lang, chr(0) || 'null') = s JOIN cuts ON cuts.k = shares.k AND cuts.i = best[shares.k] WHERE share > cut)
 SELECT {{result}}
 """
 QUALITY_ROWS = """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper, n_marks, base_failed,
