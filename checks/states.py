@@ -49,7 +49,7 @@ def ledger_of_three(spark, sf_dir):
     state = _state(spark, sf_dir)
     checkpoint, later = state.log.sources()
     assert checkpoint and len(later) == 1, (checkpoint, later)
-    filled = [not state.added_values(v).isEmpty() for v in (1, 2, 3)]
+    filled = [not state.distinct_values(v).isEmpty() for v in (1, 2, 3)]
     return rounded(state.ledger().select("fileName", "version", "correctAnalysis", F.element_at(F.array(*map(F.lit, filled)), F.col("version")).alias("filled")))
 
 

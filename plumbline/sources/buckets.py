@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.distinctness import VALUES_SCHEMA, unseen_values
 from .log import Files
 
-BUCKETS = 64
+BUCKETS = 16
 MERGE_AFTER = 8                 # directories of a bucket
 
 Manifest = dict[int, list[str]]

@@ -24,7 +24,7 @@ from ..operators.distinctness import DISTINCTNESS_SCHEMA
 from ..operators.inference import ColumnTypes, dimension_columns
 from ..operators.sketches import SKETCH_SCHEMA
 from .buckets import BUCKETS, MERGE_AFTER, ValueBuckets
-from .log import CHECKPOINT_EVERY, CommitLog, NumberTaken
+from .log import CHECKPOINT_EVERY, CommitLog, Files, NumberTaken
 from .readers import CORRUPT, DIGEST_DIGITS
 
 LEDGER_SCHEMA = "fileName string, correctAnalysis int, analysisTime string, version int, paths string, attempt string"
@@ -38,6 +38,8 @@ METADATA_SCHEMA = ("header array<string>, volatility double, datatypes array<str
 def read_or_none(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
                  file_format: str = "json") -> DataFrame | None:
     """A table, or None where nothing has been written."""
+    if not any(c in path for c in "*?[{") and not Files(spark).exists(path):
+        return None
     reader = spark.read.format(file_format)
     if schema is not None:
         reader = reader.schema(schema)
