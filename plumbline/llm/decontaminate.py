@@ -30,7 +30,7 @@ from plumbline.llm.shared import staged
 from plumbline.llm.words import LOWER_ALNUM, covered, texts
 
 WIDTH = 10
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 200_000       # item words of a block: about 130 MB on the driver while it is built, 45 MB in a worker
 SEGMENT_WORDS = 10_000
 _FOUND = "struct<n_words:int, starts:array<int>, stops:array<int>, items:array<string>>"
 

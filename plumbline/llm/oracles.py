@@ -157,7 +157,7 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.node = w.doc_id"""
 
 URLS = r"""
 WITH h AS (SELECT page_id, url, nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '\.$', ''), '') AS host,
-      to_timestamp(1672531200 + (page_id * 7919 * 3607) % 63072000) AS fetched,
+      to_timestamp(1672531200 + ((page_id % 63072000 + 63072000) % 63072000 * 7919 * 3607) % 63072000) AS fetched,
       list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '') AS steps FROM pages),
 labels_of AS (SELECT *, string_split(host, '.') AS ls FROM h WHERE host IS NOT NULL),
 keys AS (SELECT page_id, fetched, array_to_string(ls[i:], '.') AS key FROM (SELECT page_id, fetched, ls, unnest(range(1, len(ls) + 1)) AS i FROM labels_of)

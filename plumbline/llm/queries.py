@@ -71,7 +71,8 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def captures_of(pages: DataFrame) -> DataFrame:
     """Captures of the pages: fetched at a time of the years 2023 and 2024 that the page's id decides."""
-    seconds = F.pmod(F.col("page_id") * 7919 * 3607, F.lit(2 * 365 * 86400))
+    years = F.lit(2 * 365 * 86400)
+    seconds = F.pmod(F.pmod(F.col("page_id"), years) * 7919 * 3607, years)
     return pages.select(F.col("page_id").alias("capture"), "url", F.timestamp_seconds(F.lit(1672531200) + seconds).alias("fetched"))
 
 

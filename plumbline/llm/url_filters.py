@@ -26,6 +26,7 @@ from plumbline.llm.shared import staged
 
 SLOT_SECONDS = 30 * 86400
 HOT_ROWS = 50_000           # captures of a key and slot that share a salt
+BROADCAST_PAIRS = 500_000   # pairs of key and slot, of about 60 bytes, that go to every executor
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 _PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
 
@@ -73,14 +74,17 @@ def active_entries(captures: DataFrame, changes: DataFrame, slot_seconds: int =
     if looked_up.isEmpty():
         return looked_up.join(intervals, "key").select("capture", "list", "key", "verdict")
     ends = looked_up.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
-    salts = staged(looked_up.groupBy("key", "slot").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).alias("salts")))
+    # Only pairs of key and slot with more captures than share a salt, so at most one for every ``hot_rows`` look-ups.
+    hot = staged(looked_up.groupBy("key", "slot").agg(F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).alias("salts")).where("salts > 1"))
+    salts = F.broadcast(hot) if hot.count() <= BROADCAST_PAIRS else hot
     laid_out = intervals.withColumn("slot", F.explode(F.when(
         F.coalesce(_slot(F.col("until"), slot_seconds), F.lit(ends["high"])) >= F.greatest(_slot(F.col("since"), slot_seconds), F.lit(ends["low"])),
         F.when(F.greatest(_slot(F.col("since"), slot_seconds), F.lit(ends["low"])) <= F.least(F.coalesce(_slot(F.col("until"), slot_seconds), F.lit(ends["high"])), F.lit(ends["high"])),
                F.sequence(F.greatest(_slot(F.col("since"), slot_seconds), F.lit(ends["low"])),
                           F.least(F.coalesce(_slot(F.col("until"), slot_seconds), F.lit(ends["high"])), F.lit(ends["high"])))))))
-    laid_out = laid_out.join(salts, ["key", "slot"]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts")
-    own = looked_up.join(salts, ["key", "slot"]).withColumn("salt", F.pmod(F.xxhash64("capture"), F.col("salts"))).drop("salts")
+    parts = F.coalesce("salts", F.lit(1).cast("long"))
+    laid_out = laid_out.join(salts, ["key", "slot"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("salts")
+    own = looked_up.join(salts, ["key", "slot"], "left").withColumn("salt", F.pmod(F.xxhash64("capture"), parts)).drop("salts")
     found = own.join(laid_out, ["key", "slot", "salt"])
     return found.where((F.col("since") <= F.col("fetched")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until")))) \
         .select("capture", "list", "key", "verdict")

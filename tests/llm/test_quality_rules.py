@@ -1,9 +1,12 @@
 import math
 import random
 
+import duckdb
+import pandas as pd
 import pytest
 
 from plumbline.llm import quality_rules as Q
+from plumbline.llm.oracles import SQL
 
 from .conftest import text
 
@@ -115,3 +118,56 @@ def test_junk_of_a_small_language(spark):
     labels = spark.createDataFrame([(i, 1, 0) for i in good] + [(i, 0, 0) for i in [*range(500, 515), *range(1300, 1315)]],
                                    "doc_id bigint, quality int, toxic int")
     assert {r["doc_id"] for r in Q.quality_verdicts(docs, labels).where("kept").collect()} == set(good)
+
+
+def _fixture():
+    """Labelled documents of three languages: cutoffs can be certified in en (two rules), in de (one of two rules) and not in fr."""
+    rows, labels = [], []
+
+    def add(lang, n, body, quality):
+        for i in range(n):
+            doc = len(rows)
+            rows.append((doc, body(doc), lang))
+            if quality is not None:
+                labels.append((doc, quality, 0))
+
+    clean = lambda i: " ".join(f"wort{i}x{j}" for j in range(60))       # noqa: E731
+    symbols = lambda i: clean(i) + " " + "#*" * (60 + i % 90)           # noqa: E731
+    capitals = lambda i: clean(i).upper() if i % 2 else clean(i) + " " + "QX" * (300 + i % 50)      # noqa: E731
+    add("en", 330, clean, 1), add("en", 40, symbols, 0), add("en", 25, capitals, 0), add("en", 20, symbols, None), add("en", 30, capitals, None)
+    add("de", 300, clean, 1), add("de", 15, capitals, 1), add("de", 30, symbols, 0), add("de", 40, capitals, 0), add("de", 10, symbols, None)
+    add("fr", 50, clean, 1), add("fr", 20, symbols, 0), add(None, 5, symbols, None), add("en", 5, lambda i: "short", None)
+    return rows, labels
+
+
+def test_sql_and_query_agree_where_cutoffs_are_certified(spark):
+    rows, labels = _fixture()
+    con = duckdb.connect()
+    documents, known = pd.DataFrame(rows, columns=["doc_id", "text", "lang"]), pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"])
+    con.register("documents", documents), con.register("labels", known)
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, base_failed, kept, n_symbols FROM ({SQL['op1_quality_rules']})").fetchall()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["base_failed"], r["kept"], r["n_symbols"]) for r in Q.quality_verdicts(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    assert got == want
+    rejected = {lang: sum(not got[d][0] and not got[d][1] for d, _, x in rows if x == lang) for lang in ("en", "de", "fr", None)}
+    assert rejected["en"] == 40 + 25 + 20 + 30 and rejected["de"] == 30 + 10 and not rejected["fr"] and not rejected[None]
+
+
+def test_sql_and_query_agree_on_many_mixtures(spark):
+    """Shares at random around the cutoffs, so that sequences stop in different places."""
+    pick = random.Random(3)
+    for trial in range(3):
+        rows, labels = [], []
+        for doc in range(900):
+            lang, good = pick.choice(["a", "b"]), pick.random() < 0.75
+            words = [f"w{doc}y{j}" for j in range(50 + pick.randrange(30))]
+            strength = 0 if good and pick.random() < 0.985 else pick.random()
+            kind = pick.choice(["#", "X", "!", "line"])
+            body = " ".join(words) + ("\nsame\n" * int(4 * strength) if kind == "line" else " " + kind * int(300 * strength))
+            rows.append((doc, body, lang))
+            labels.append((doc, int(good), 0))
+        con = duckdb.connect()
+        con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "lang"])), con.register("labels", pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"]))
+        want = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, kept FROM ({SQL['op1_quality_rules']})").fetchall()}
+        frames = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+        assert {r["doc_id"]: r["kept"] for r in Q.quality_verdicts(*frames).collect()} == want, trial
