@@ -10,12 +10,12 @@ from plumbline.functions.cells import as_text, key_set_name
 from plumbline.operators.consistency import (Rule, consistency_attribute, consistency_value, rule_set,
                                              with_association)
 from plumbline.operators.distinctness import (DISTINCTNESS_SCHEMA, VALUES_SCHEMA, distinct_values,
-                                              distinctness_attribute, distinctness_global, distinctness_update,
-                                              new_values, population_attribute)
+                                              distinctness_attribute, distinctness_global, distinctness_in_two_steps,
+                                              distinctness_update, new_values, population_attribute)
 from plumbline.plans.lookup import Lookup, flag_known
 from plumbline.plans.summary import summarise
 
-from .registry import query, r6, rounded, sql_key, table, union
+from .registry import query, r6, rounded, sql_key, table, union, work_folder
 
 SPLIT = "2024-01-16 00:00:00"
 VALUE_COLUMNS = ["event_type", "user_id", "props"]
@@ -39,6 +39,17 @@ def repeated_documents(spark, sf_dir):
     return rounded(distinctness_global(table(spark, sf_dir, "documents"), ["lang", "text"], digest=True))
 
 
+# Hashes first, then only rows whose hash repeats: by a broadcast, and by digests where the repeated hashes are taken for too many
+@query("distinctness_two_steps", _distinct_sql(["l_orderkey", "l_linenumber"], "lineitem"))
+def repeated_lines_by_hash(spark, sf_dir):
+    return rounded(distinctness_in_two_steps(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], work_folder(spark)))
+
+
+@query("distinctness_two_steps_texts", _distinct_sql(["lang", "text"], "documents"))
+def repeated_documents_by_hash(spark, sf_dir):
+    return rounded(distinctness_in_two_steps(table(spark, sf_dir, "documents"), ["lang", "text"], work_folder(spark), broadcast_hashes=0))
+
+
 # Zeros of both signs are one value, by digest as by row
 @query("distinctness_digest_zeros", _distinct_sql(["z", "l_returnflag"], """(SELECT l_returnflag,
     CASE WHEN l_linenumber % 2 = 0 THEN 0.0 ELSE l_discount END AS z FROM lineitem)"""))

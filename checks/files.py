@@ -9,8 +9,7 @@ from plumbline.functions.times import dated_names
 from plumbline.operators.inference import infer_types
 from plumbline.sources.readers import parse_batch, read_batch
 
-from .registry import query, r6, rounded, table, union
-from .sources import work_folder
+from .registry import query, r6, rounded, table, union, work_folder
 
 HOURS, FIRST_RUN, SECOND_RUN, ASSESSED = 1000.123457, "2024-01-16 00:00:00", "2024-02-01 00:00:00", "2024-02-10 00:00:00"
 FORMAT, DAYS = "%d/%m/%y %H:%M:%S", ("20240101", "20240116")

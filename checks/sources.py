@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from plumbline import AssessmentSpec, ProfileSpec, Reference, assess_frame, profile_batch
@@ -13,11 +11,10 @@ from plumbline.operators.inference import ColumnTypes
 from plumbline.operators.selection import Range
 from plumbline.plans.merge import merge_quality
 from plumbline.plans.profile import batch_metrics, extend_rows
-from plumbline.plans.staging import staging_folder
 from plumbline.sources.state import SourceState
 
 from .numbers import _precision_sql
-from .registry import clamp, query, r6, rounded, table, union
+from .registry import clamp, query, r6, rounded, table, union, work_folder
 
 SPLIT, FIRST_RUN, SECOND_RUN, HOURS = "2024-01-16 00:00:00", "2024-01-16 00:00:00", "2024-02-01 00:00:00", 1000.0
 COLUMNS = ["event_type", "value", "ts"]
@@ -25,12 +22,6 @@ TYPES = ColumnTypes({"event_type": "string", "value": "float", "ts": "datetime"}
 RULE = Rule(("event_type",), ("value",))
 
 
-def work_folder(spark) -> str:
-    """A fresh folder below the cluster's checkpoint folder; a temporary one only if none is set and the driver runs the tasks."""
-    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
-    return staging_folder(spark, tempfile.gettempdir() if local else None)
-
-
 def _halves(spark, sf_dir):
     events, split = table(spark, sf_dir, "events"), F.lit(SPLIT).cast("timestamp_ntz")
     return [events.filter(condition).select(*COLUMNS) for condition in (F.col("ts") < split, F.col("ts") >= split)]

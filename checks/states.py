@@ -11,8 +11,7 @@ from plumbline.operators.sketches import (distinctness_estimate, key_sketches, p
 from plumbline.sources.state import SourceState
 from plumbline.spec import SKETCH
 
-from .registry import query, r6, rounded, table, union
-from .sources import work_folder
+from .registry import query, r6, rounded, table, union, work_folder
 
 CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
 VALUES = ["event_type", "user", "props"]

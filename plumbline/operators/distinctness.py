@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from ..functions.cells import as_text, cell
 from ..functions.scores import at_least_zero, at_most_one, ratio
+from ..plans.staging import stage
 from ..plans.summary import KeySet, groups
 
 VALUES_SCHEMA = "attribute string, value string"
+BROADCAST_HASHES = 4_000_000    # of repeated rows
 DISTINCTNESS_SCHEMA = "Attribute string, Count bigint, TotalRows bigint, DistinctnessValue double"
 
 
@@ -58,11 +60,39 @@ def distinctness_global(df: DataFrame, columns: Sequence[str], digest: bool = Fa
     """
     keys = [row_digest(df, columns).alias("digest")] if digest else [cell(c) for c in columns]
     counted = df.select(*keys)
-    sizes = counted.groupBy(*[cell(c) for c in counted.columns]).agg(F.count(F.lit(1)).alias("copies"))
-    repeated = F.sum(F.when(F.col("copies") > 2, F.col("copies") / 2).otherwise(0.0))
-    rows = F.sum("copies")
-    return sizes.agg(at_least_zero(1 - ratio(repeated, rows)).alias("Distinctness"),
-                     ratio(F.count(F.lit(1)), rows).alias("DistinctRatio"))
+    return _row_distinctness(counted.groupBy(*[cell(c) for c in counted.columns]).agg(F.count(F.lit(1)).alias("copies")))
+
+
+def _row_distinctness(sizes: DataFrame) -> DataFrame:
+    """From the size of each group of equal rows in ``copies``; ``groups``, if there, tells how many groups a row stands for."""
+    groups = F.sum("groups") if "groups" in sizes.columns else F.count(F.lit(1))
+    rows = F.sum(F.col("copies") * F.col("groups")) if "groups" in sizes.columns else F.sum("copies")
+    repeated = F.sum(F.when(F.col("copies") > 2, F.col("copies") / 2 * (F.col("groups") if "groups" in sizes.columns else 1)).otherwise(0.0))
+    return sizes.agg(at_least_zero(1 - ratio(repeated, rows)).alias("Distinctness"), ratio(groups, rows).alias("DistinctRatio"))
+
+
+def distinctness_in_two_steps(df: DataFrame, columns: Sequence[str], staging: str, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
+    """As ``distinctness_global``, for wide rows of which most come once.
+
+    The first step shuffles a 64-bit hash per row. A hash that comes once is a row that comes once, and only how many those are matters. The
+    second step reads the rows again, keeps those whose hash repeats and groups them exactly, so two rows of one hash are still
+    two. Up to ``broadcast_hashes`` repeated hashes of 8 bytes go to every executor, which finds the rows in place; more of them meet
+    the digests of the rows in a shuffle. In neither case is a row shuffled that is not repeated. ``staging``: folder for the
+    hashes.
+    """
+    own = F.xxhash64(*[cell(c) for c in columns])       # zeros of either sign and all NaN hash alike
+    counted = stage(df.groupBy(own.alias("hash")).agg(F.count(F.lit(1)).alias("copies")), staging, "row_hashes")
+    single = counted.filter("copies = 1").agg(F.count(F.lit(1)).alias("n")).head()["n"]
+    repeated = counted.filter("copies > 1").select("hash")
+    few = repeated.limit(broadcast_hashes + 1).count() <= broadcast_hashes
+    if few:
+        rows = df.withColumn("__hash", own).join(F.broadcast(repeated), F.col("__hash") == F.col("hash"), "left_semi").select(*[cell(c) for c in columns])
+        sizes = rows.groupBy(*[cell(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
+    else:
+        digests = df.select(own.alias("hash"), row_digest(df, columns).alias("digest")).groupBy("hash", "digest").agg(F.count(F.lit(1)).alias("copies"))
+        sizes = digests.join(repeated, "hash", "left_semi")
+    once = df.sparkSession.createDataFrame([(1, single)] if single else [], "copies long, groups long")
+    return _row_distinctness(sizes.select("copies", F.lit(1).cast("long").alias("groups")).unionByName(once))
 
 
 def _counted(summary: DataFrame, key_sets: Sequence[KeySet]) -> DataFrame:

@@ -18,7 +18,7 @@ from ..operators.accuracy import Accuracy, Expected
 from ..operators.completeness import Completeness
 from ..operators.consistency import (applicable_bindings, consistency_attribute, consistency_value, rule_set,
                                      with_association)
-from ..operators.distinctness import distinctness_attribute, distinctness_global, population_attribute
+from ..operators.distinctness import distinctness_attribute, distinctness_global, distinctness_in_two_steps, population_attribute
 from ..operators.frequency import frequency_attribute, frequency_global, frequency_hour, frequency_value
 from ..operators.inference import ColumnTypes
 from ..operators.precision import Precision
@@ -223,6 +223,8 @@ class _Plan:
         spec = self.spec
         if not spec.asks("Distinctness", GLOBAL):
             return {}, []
+        if spec.hash_rows:
+            return {}, [distinctness_in_two_steps(self.filled, spec.columns, self.staging)]
         return {}, [distinctness_global(self.filled, spec.columns, spec.digest_rows)]
 
     def consistency_part(self) -> Part:

@@ -76,7 +76,11 @@ def granularities(dimension: str, asked: Sequence[str]) -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class AssessmentSpec:
-    """One assessment. Mappings are keyed by column; ``None`` batches are all batches of the source."""
+    """One assessment. Mappings are keyed by column; ``None`` batches are all batches of the source.
+
+    Distinctness of whole rows groups the rows, or with ``digest_rows`` their digests; with ``hash_rows`` it shuffles hashes first
+    and then only rows that may be repeated. The answer is the same.
+    """
 
     columns: tuple[str, ...]
     dimensions: Mapping[str, Sequence[str]]
@@ -95,6 +99,7 @@ class AssessmentSpec:
     sample: float = 1.0
     seed: int | None = None
     digest_rows: bool = False
+    hash_rows: bool = False
     file_format: str = "parquet"
 
     def __post_init__(self):

@@ -13,7 +13,8 @@ from plumbline.operators.accuracy import Accuracy, Expected
 from plumbline.operators.completeness import Completeness, completeness_row
 from plumbline.operators.consistency import Rule, consistency_attribute, consistency_value, covering_sets
 from plumbline.operators.distinctness import (DISTINCTNESS_SCHEMA, VALUES_SCHEMA, distinctness_attribute,
-                                              distinctness_global, distinctness_update, new_values,
+                                              distinctness_global, distinctness_in_two_steps,
+                                              distinctness_update, new_values,
                                               population_attribute)
 from plumbline.operators.frequency import frequency_attribute, frequency_global, frequency_hour, frequency_value
 from plumbline.operators.precision import Precision
@@ -325,3 +326,28 @@ def test_digest_of_nested_cells_groups_as_rows_do(spark):
         plain, digest = (distinctness_global(df, columns, d).head() for d in (False, True))
         assert plain == digest, columns
     assert distinctness_global(df.limit(3).select("a"), ["a"], True).head()["DistinctRatio"] == pytest.approx(1 / 3)
+
+
+@pytest.mark.parametrize("broadcast", [0, 1000])
+def test_two_steps_give_what_grouping_gives(spark, tmp_path, broadcast):
+    schema = "a array<double>, s struct<x:double,y:array<string>>, w string, z double"
+    wide = "x" * 5000
+    cells = [([0.0], (0.0, ["k"]), wide, -0.0), ([-0.0], (-0.0, ["k"]), wide, 0.0), ([0.0], (0.0, ["k"]), wide, 0.0), ([1.0], None, wide + "y", 2.0), (None, None, None, None),
+             (None, None, None, None), ([float("nan")], (1.0, None), "", float("nan")), ([float("nan")], (1.0, None), "", float("nan")), ([], (1.0, []), "null", 1.0)]
+    df = spark.createDataFrame(cells, schema)
+    for i, columns in enumerate((["z"], ["a", "s"], ["a", "s", "w", "z"], ["w"])):
+        plain = distinctness_global(df, columns).head()
+        assert distinctness_in_two_steps(df, columns, str(tmp_path / f"{i}"), broadcast).head() == plain
+    empty = distinctness_in_two_steps(df.limit(0), ["w"], str(tmp_path / "empty"), broadcast).head()
+    assert empty == distinctness_global(df.limit(0), ["w"]).head() and empty["DistinctRatio"] is None
+    alone = distinctness_in_two_steps(spark.range(50).select(F.col("id").cast("string").alias("w")), ["w"], str(tmp_path / "alone"), broadcast).head()
+    assert alone["Distinctness"] == 1.0 == alone["DistinctRatio"]
+
+
+def test_rows_that_come_once_are_not_shuffled_whole(spark, tmp_path):
+    df = spark.range(100).select((F.col("id") % 90).alias("id"), F.lit("wide").alias("w"))
+    for broadcast in (0, 1000):
+        plan = distinctness_in_two_steps(df, ["id", "w"], str(tmp_path / f"{broadcast}"), broadcast)._jdf.queryExecution().executedPlan().toString()
+        # Whole rows are dealt out by their cells only after the join that leaves the others out.
+        exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(id" in line]
+        assert bool(exchanges) == bool(broadcast) and (not broadcast or plan.index("LeftSemi") > plan.index("Exchange hashpartitioning(id"))
