@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from plumbline.operators.inference import (ColumnTypes, DIMENSIONS, dimension_columns, infer_types,
                                            type_table)
+from plumbline.operators.sampling import sampled_means
 from plumbline.operators.selection import Range, drop_incomplete, sample_rows, select_rows
 from plumbline.sources.readers import TextLayout, clean_line, split_cells
 
 from .completeness import LABELLED, labelled
-from .registry import query, rounded, table, union
+from .registry import query, r6, rounded, table, union
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORDER_TYPES = ColumnTypes({"o_orderkey": "float", "o_custkey": "float", "o_orderstatus": "string",
@@ -148,3 +149,20 @@ ON type = CASE WHEN kind IN ('float', 'string') THEN kind ELSE 'datetime' END"""
 def columns_of_dimensions(spark, sf_dir):
     found = dimension_columns(infer_types(_texts(spark, sf_dir), FORMATS))
     return spark.createDataFrame([(d, c) for d in DIMENSIONS for c in found[d]], "dimension string, column string")
+
+
+# Means of row scores from a sample of every key, beside the exact ones: these lie within the bounds
+
+SCORE = "greatest(0.0, 1 - abs((l_quantity - 25.0) / 20.0))"
+
+
+@query("sample_bounds", f"""
+SELECT 'accuracy' AS metric, {r6(f"avg({SCORE})")} AS exact, true AS within, true AS narrow, count(*) AS "rows" FROM lineitem
+UNION ALL SELECT 'cheap', {r6("avg(CASE WHEN l_extendedprice < 20000 THEN 1.0 ELSE 0.0 END)")}, true, true, count(*) FROM lineitem""")
+def bounds_of_sampled_means(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    scores = {"accuracy": F.greatest(F.lit(0.0), 1 - F.abs((F.col("l_quantity") - 25.0) / 20.0)), "cheap": (F.col("l_extendedprice") < 20000).cast("double")}
+    found = sampled_means(lines, scores, ["l_returnflag", "l_linestatus", "l_linenumber"], 1000, sigmas=4.0)
+    exact = lines.agg(*[F.avg(c).alias(n) for n, c in scores.items()]).select(F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).alias("exact")) for n in scores])))
+    return rounded(found.join(exact, "metric").select("metric", "exact", F.col("exact").between(F.col("low"), F.col("high")).alias("within"),
+                                                      (F.col("high") - F.col("low") < 0.05).alias("narrow"), "rows"))
