@@ -3,14 +3,18 @@
 A page is read as blocks: runs of text between block tags, each with the path of open block tags from the root (names and classes), the length
 of its text, of the part in links, and its punctuation. Blocks with the same path are taken together: the text length per
 block and the punctuation per block are the path's two ratios. Along the page both ratios are smoothed over neighbouring blocks with the same
-parent region (Gaussian weights), fused as their product's square root, and paths whose fused ratio reaches a share of
-the page's deviation are content. As whole paths are chosen, short paragraphs of an article stay with its long ones.
+parent region (Gaussian weights), and fused as their product's square root, times the path's weight by name. A path is content if its
+score reaches the bound: a share of the deviation of the fused ratios of the page, and at least a share of its best score. As whole paths
+are chosen, short paragraphs of an article stay with its long ones.
 
-Paths through regions that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms or comments are no
-candidates, unless they hold the article: the page's largest article or main region, or its h1 with more text than that where there is no such
-region, or most of its unlinked text. Then only what lies in them counts. An ``article`` or ``main`` region only raises: its paths' fused ratios gain the region's best one times the
-region's share of the text, so short paths between long ones are kept where the region holds the page's text. The threshold is that of the
-whole page, and paths outside such regions are measured by it alike.
+Weight by name: paths through regions that by tag, role or class are menus, headers, footers, sidebars, notices, adverts, forms or comments
+weigh FAINT, a paragraph or heading named so WEAK, so that one much longer than the others stays; others weigh 1. A class or id names such a
+region by a whole token, or by one whose words all are of such regions or of layout ("share-box", not "share-price"). Regions that hold the
+article weigh 1 whatever their name: the page's largest article or main region, or its h1 with more text than that where there is no such
+region, or most of its unlinked text.
+
+Score: the path's best fused ratio, raised by the page's best one times the share of the page's weighted text that stands under the
+same parent, and that of its region by the share of its ``article`` or ``main`` region, so that short paths between long ones stay.
 
 Reading is lenient, as in browsers: attributes in any quotes, comments and raw-text elements skipped, missing end tags of paragraphs,
 list items, cells and the like implied, an unknown end tag ignored, a page cut off anywhere read as far as it goes.
@@ -37,6 +41,8 @@ from pyspark.sql import types as T
 
 SMOOTHING = 1           # blocks on each side
 THRESHOLD = 0.5         # of the fused ratios' deviation
+LEAST_SCORE = 0.3       # of the page's best score
+FAINT, WEAK = 0.02, 0.15    # weights of regions, and of paragraphs and headings, named as something else than the article
 LINK_SHARE = 0.6        # from which a path is a menu
 CONTENT_SHARE = 0.05    # of the page's text that an article region must hold to raise its paths
 
@@ -67,6 +73,12 @@ OUTSIDE_WORDS = _NAMES(
     "signup login comment comments commentlist disqus respond replies reply related recommended recommendations share sharing social "
     "pagination pager copyright disclaimer alert side rail teaser adsbygoogle")
 ADDED_WORDS = _NAMES("comment comments commentlist disqus respond replies reply related recommended recommendations")   # often longer than the article
+LAYOUT_WORDS = _NAMES(      # beside them in a compound
+    "box block area section wrapper wrap container content inner outer list item items bar links link button buttons icons widget widgets panel "
+    "top bottom left right center main site page global primary secondary slot unit zone label form header post posts article articles story "
+    "stories news thread id js layout col column row")
+TEXT_TAGS = _NAMES("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption")
+LEAD_WORDS = _NAMES("teaser")       # of a paragraph or heading, the article's lead
 HEADER_OF_TEXT = _NAMES("article entry post content story")
 NEGATED = _NAMES("has with no without not hide")
 
@@ -84,7 +96,7 @@ class Block:
     path: tuple[str, ...]
     text: str
     linked: int
-    outside: bool
+    weight: float       # by the names of its regions; 0 if hidden
     article: int        # number of the article region it lies in, 0 for none
     unlinked_marks: int = 0
 
@@ -106,7 +118,7 @@ class Region:
     best: int = 0       # text of the largest article region in it
     inner: int = 0      # text of the article regions in it
     landmark_at: int = -1   # the innermost article region it lies in or is
-    outside: bool = False
+    weight: float = 1.0
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -131,22 +143,29 @@ def _names_outside(tag: str, attributes: dict[str, str], in_article: bool) -> bo
             if token.lower() in OUTSIDE_WORDS:
                 return True
             continue
-        words = [w.lower() for w in _WORD.findall(token)]
-        if words and words[0] in NEGATED:
+        if tag in TEXT_TAGS and token.lower() in LEAD_WORDS:
             continue
-        if OUTSIDE_WORDS.intersection(words):
-            return True
-        if "header" in words and not in_article and not HEADER_OF_TEXT.intersection(words):
+        if _names_region(token, in_article):
             return True
     return False
 
 
+def _names_region(token: str, in_article: bool) -> bool:
+    """Whether a class or id is a word for such regions, or made of nothing but them and words for layout."""
+    if token.lower() in OUTSIDE_WORDS:
+        return True
+    words = [w.lower() for w in _WORD.findall(token)]
+    if not words or words[0] in NEGATED or not all(w in OUTSIDE_WORDS or w in LAYOUT_WORDS for w in words):
+        return False
+    return not OUTSIDE_WORDS.isdisjoint(words) or ("header" in words and not in_article and HEADER_OF_TEXT.isdisjoint(words))
+
+
 def _added(attributes: dict[str, str]) -> bool:
     return any(w.lower() in ADDED_WORDS for name in ("class", "id") for w in _WORD.findall(attributes.get(name, "")))
 
 
-def _mark_outside(regions: list[Region], texts: list[tuple[int, int]]) -> None:
-    """Sets ``outside``. ``texts``: region and unlinked characters of each block."""
+def _weigh(regions: list[Region], texts: list[tuple[int, int]]) -> None:
+    """Sets ``weight``. ``texts``: region and unlinked characters of each block."""
     for i, r in enumerate(regions):
         up = regions[r.parent] if r.parent >= 0 else None
         r.hidden = r.hidden or (up is not None and up.hidden)
@@ -180,22 +199,25 @@ def _mark_outside(regions: list[Region], texts: list[tuple[int, int]]) -> None:
     heads_start = max((r.landmark_at for r in heads), default=-1)
     any_article = any(r.text for _, r in landmarks)
     for i, r in enumerate(regions):
-        r.outside = r.hidden or (r.parent >= 0 and regions[r.parent].outside)
-        if r.outside or not r.suspect:
+        r.weight = 0.0 if r.hidden else regions[r.parent].weight if r.parent >= 0 else 1.0
+        by_name = WEAK if r.tag in TEXT_TAGS and not r.added else FAINT
+        if r.weight <= by_name or not r.suspect:
             continue
         apart = max(before[bisect_right(ends, i)], after[bisect_left(starts, r.end)])
         own = r.text - r.inner
         holders = {top[r.article], regions[r.parent].landmark_at} if r.article and top[r.article] < i else ()
         elsewhere = max([apart, *(regions[h].text - regions[h].inner - own for h in holders)])
         if not r.headed and (heads_end <= i or heads_start >= r.end):       # the article's head is elsewhere
-            r.outside = True
+            outside = True
         elif r.best:
-            r.outside = r.best < elsewhere
+            outside = r.best < elsewhere
         elif r.headed and not any_article and r.text > 2 * r.head_text:
-            r.outside = False
+            outside = False
         else:
             beside = elsewhere > 0 if r.added else 2 * apart > total - r.text
-            r.outside = r.tag in NEVER_WRAPS or 2 * r.text <= total or beside
+            outside = r.tag in NEVER_WRAPS or 2 * r.text <= total or beside
+        if outside:
+            r.weight = by_name
 
 
 def blocks(page: str) -> list[Block]:
@@ -214,7 +236,7 @@ def blocks(page: str) -> list[Block]:
             text = SPACE.sub(" ", "".join(parts)).strip()
             if text:
                 place = stack[-1][1] if stack else -1
-                out.append(Block(tuple(t for t, _ in stack), text, linked, False, regions[place].article if stack else 0, marks))
+                out.append(Block(tuple(t for t, _ in stack), text, linked, 1.0, regions[place].article if stack else 0, marks))
                 places.append(place)
             parts.clear()
         linked = marks = 0
@@ -304,9 +326,9 @@ def blocks(page: str) -> list[Block]:
         stack.append((".".join([tag, *sorted(given.get("class", "").split())]), len(regions)))
         regions.append(Region(parent, tag, suspect, suspect and _added(given), hidden, article, landmark))
     close()
-    _mark_outside(regions, [(place, max(0, len(b.text) - b.linked)) for place, b in zip(places, out)])
+    _weigh(regions, [(place, max(0, len(b.text) - b.linked)) for place, b in zip(places, out)])
     for place, b in zip(places, out):
-        b.outside = place >= 0 and regions[place].outside
+        b.weight = regions[place].weight if place >= 0 else 1.0
     return out
 
 
@@ -323,42 +345,61 @@ def _smoothed(values: np.ndarray, regions: list) -> np.ndarray:
     return out
 
 
-def content_blocks(found: list[Block]) -> list[Block]:
-    """The blocks whose paths are content."""
-    inside = [b for b in found if not b.outside]
-    total = sum(len(b.text) for b in inside)
-    lengths: dict[int, int] = {}
-    for b in inside:
-        lengths[b.article] = lengths.get(b.article, 0) + len(b.text)
-    shares = {a: n / total for a, n in lengths.items() if a and n >= CONTENT_SHARE * total}
-    if not inside:
-        return []
+def scores(found: list[Block]) -> tuple[dict[tuple, float], float]:
+    """Score of each path and weight among the blocks, and the bound that content reaches."""
     paths: dict[tuple, list[float]] = {}
-    for b in inside:
-        sums = paths.setdefault(b.path, [0, 0, 0, 0, 0])
+    parents: dict[tuple, float] = {}
+    articles: dict[int, float] = {}
+    total = 0.0
+    for b in found:
+        sums = paths.setdefault((b.path, b.weight), [0, 0, 0])
         sums[0] += len(b.text)
         sums[1] += len(_MARKS.findall(b.text))
         sums[2] += 1
-        sums[3] += b.linked
-        sums[4] += b.unlinked_marks if b.article in shares else 0
-    # An article's sentences may be mostly links; a menu has no marks between its own.
-    menus = {p for p, s in paths.items() if s[3] >= LINK_SHARE * s[0] and s[4] < s[2]}
-    regions = [b.path[:-1] for b in inside]
-    length = _smoothed(np.array([paths[b.path][0] / paths[b.path][2] for b in inside]), regions)
-    marks = _smoothed(np.array([(paths[b.path][1] + 0.5) / paths[b.path][2] for b in inside]), regions)
+        size = b.weight * len(b.text)
+        total += size
+        parents[b.path[:-1]] = parents.get(b.path[:-1], 0.0) + size
+        articles[b.article] = articles.get(b.article, 0.0) + size
+    regions = [(b.path[:-1], b.weight) for b in found]
+    per_path = {k: (n / m, (marks + 0.5) / m) for k, (n, marks, m) in paths.items()}
+    length = _smoothed(np.array([per_path[b.path, b.weight][0] for b in found]), regions)
+    marks = _smoothed(np.array([per_path[b.path, b.weight][1] for b in found]), regions)
     fused = np.sqrt(length * marks)
     best: dict[tuple, float] = {}
     tops: dict[int, float] = {}
-    for b, f in zip(inside, fused):
-        best[b.path] = max(best.get(b.path, 0.0), float(f))
-        if b.path not in menus:
-            tops[b.article] = max(tops.get(b.article, 0.0), float(f))
-    bound = min(THRESHOLD * float(np.std(fused)), max(best.values()))
-    raised: dict[tuple, float] = {}
-    for b in inside:
-        lift = shares.get(b.article, 0.0) * tops.get(b.article, 0.0)
-        raised[b.path] = max(raised.get(b.path, 0.0), best[b.path] + lift)
-    return [b for b in inside if b.path not in menus and raised[b.path] >= bound]
+    for b, f in zip(found, fused):
+        best[b.path, b.weight] = max(best.get((b.path, b.weight), 0.0), float(f))
+        tops[b.article] = max(tops.get(b.article, 0.0), b.weight * float(f))
+    out: dict[tuple, float] = {}
+    for b in found:
+        share = articles[b.article] / total if b.article else 0.0
+        lift = max(parents[b.path[:-1]] / total * max(tops.values()), share * tops[b.article] if share >= CONTENT_SHARE else 0.0)
+        key = b.path, b.weight
+        out[key] = max(out.get(key, 0.0), b.weight * (best[key] + lift))
+    top = max((v for (_, weight), v in out.items() if weight > FAINT), default=math.inf)    # no bound is reached if all are named otherwise
+    weights = np.array([b.weight for b in found])
+    return out, min(max(THRESHOLD * float(np.std(weights * fused)), LEAST_SCORE * top), top)
+
+
+def content_blocks(found: list[Block]) -> list[Block]:
+    """The blocks whose paths are content."""
+    seen = [b for b in found if b.weight > 0]
+    if not seen:
+        return []
+    links: dict[tuple, list[int]] = {}
+    for b in seen:
+        sums = links.setdefault((b.path, b.weight), [0, 0, 0, 0])
+        sums[0] += len(b.text)
+        sums[1] += b.linked
+        sums[2] += b.unlinked_marks if b.article else 0
+        sums[3] += 1
+    # An article's sentences may be mostly links; a menu has no marks between its own.
+    menus = {k for k, (n, linked, marks, m) in links.items() if linked >= LINK_SHARE * n and marks < m}
+    candidates = [b for b in seen if (b.path, b.weight) not in menus]
+    if not candidates:
+        return []
+    by_path, bound = scores(candidates)
+    return [b for b in candidates if by_path[b.path, b.weight] >= bound]
 
 
 def main_text(page: str) -> str:

@@ -1,6 +1,13 @@
+import math
+import random
+import re
+from collections import Counter
+from html.parser import HTMLParser
+
 import pytest
 
 from plumbline.llm import html_text as H
+from plumbline.llm.queries import QUERIES
 
 P = "A paragraph of the article, with enough words to be one. It goes on, and on; so it is long."
 BASE = "<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body>{}</body></html>"
@@ -124,3 +131,116 @@ def test_quotes_inside_unquoted_values():
         == 'First.\nSecond "it".\nThird.'
     assert H.main_text("<article><p =\">First.</p><p a==\">Second.</p><p class=>Third.</p><p title='x>Fourth.</article>") == "First.\nSecond.\nThird.\nFourth."
     assert H.blocks("<div class=a'b><p>x</div>")[0].path == ("div.a'b", "p")
+
+
+@pytest.mark.parametrize("name", ["teaser", "share-price", "side-effects", "related-work", "login-help", "comment-on-law", "popup-books", "Banner-text",
+                                  "adsorption", "admin", "notice-period"])
+def test_paragraphs_named_by_words_inside_compounds(name):
+    assert H.main_text(f"<article>{BODY}<p class='{name}'>{P}</p></article>") == f"{WANT}\n{P}"
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot", "share-box", "cookieNotice", "post-comments", "related-articles", "sidebar_left", "newsletter-form"])
+def test_regions_named_by_whole_tokens(name):
+    assert H.main_text(f"<article>{BODY}<div class='{name}'><p>{P}</p></div></article>") == WANT
+
+
+def brute_scores(found):
+    """The scores by their definition, each from all blocks again, and the weighted fused ratios."""
+    out, fused = {}, []
+    alike = lambda b: [c.text for c in found if c.path == b.path and c.weight == b.weight]      # noqa: E731
+    length = lambda b: sum(map(len, alike(b))) / len(alike(b))                                  # noqa: E731
+    marks = lambda b: (sum(c in ".,;:!?" for t in alike(b) for c in t) + 0.5) / len(alike(b))
+
+    def smooth(i, ratio):
+        near = [j for j in (i - 1, i, i + 1) if 0 <= j < len(found) and found[j].path[:-1] == found[i].path[:-1] and found[j].weight == found[i].weight]
+        weights = [math.exp(-((i - j) ** 2) / 2) for j in near]
+        return sum(w * ratio(found[j]) for w, j in zip(weights, near)) / sum(weights)
+
+    for i in range(len(found)):
+        fused.append(math.sqrt(smooth(i, length) * smooth(i, marks)))
+    size = lambda some: sum(c.weight * len(c.text) for c in some)         # noqa: E731
+    for b in found:
+        mine = [f for c, f in zip(found, fused) if c.path == b.path and c.weight == b.weight]
+        lift = size(c for c in found if c.path[:-1] == b.path[:-1]) / size(found) * max(c.weight * f for c, f in zip(found, fused))
+        share = size(c for c in found if c.article == b.article) / size(found)
+        if b.article and share >= H.CONTENT_SHARE:
+            lift = max(lift, share * max(c.weight * f for c, f in zip(found, fused) if c.article == b.article))
+        out[b.path, b.weight] = max(out.get((b.path, b.weight), 0.0), b.weight * (max(mine) + lift))
+    return out, [b.weight * f for b, f in zip(found, fused)]
+
+
+def test_scores_by_brute_force():
+    deal = random.Random(7)
+    for _ in range(150):
+        paths = [tuple(deal.choice("abc") for _ in range(deal.randint(0, 3))) for _ in range(5)]
+        found = [H.Block(deal.choice(paths), "".join(deal.choice("ab ,.") for _ in range(deal.randint(1, 60))), 0,
+                         deal.choice([1.0, 1.0, H.WEAK, H.FAINT]), deal.randint(0, 2)) for _ in range(deal.randint(1, 25))]
+        got, bound = H.scores(found)
+        want, weighted = brute_scores(found)
+        assert got.keys() == want.keys()
+        assert all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+        top = max((v for (_, w), v in want.items() if w > H.FAINT), default=math.inf)
+        mean = sum(weighted) / len(weighted)
+        deviation = math.sqrt(sum((v - mean) ** 2 for v in weighted) / len(weighted))
+        assert bound == pytest.approx(min(max(H.THRESHOLD * deviation, H.LEAST_SCORE * top), top))
+
+
+class Article(HTMLParser):
+    """The article's blocks, read by another reader: the test pages have no other regions in it."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = self.inside or tag == "article"
+        if tag in ("p", "h1"):
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.inside = self.inside and tag != "article"
+        if tag in ("p", "h1", "article"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def article_text(page):
+    reader = Article()
+    reader.feed(page or "")
+    reader.close()
+    return "\n".join(t for t in (re.sub(r"\s+", " ", b).strip() for b in reader.blocks) if t)
+
+
+def test_query_by_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r["text"] for r in QUERIES["op10_html_text"](spark, folder).collect()}
+    want = {r["page_id"]: article_text(r["html"]) for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "html").collect()}
+    assert got == want
+
+
+def neutral(page):
+    """The page without any name or element that says what a region is."""
+    return re.sub(r"<(/?)(nav|article|footer)\b", r"<\1div", page).replace(' class="ad"', "")
+
+
+def test_ratios_decide_without_names(spark, monkeypatch):
+    pages = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").where("html IS NOT NULL").select("html").collect()]
+
+    def measured():
+        right = taken = wanted = 0
+        for page in pages:
+            got, want = Counter(H.main_text(neutral(page)).split("\n")), Counter(article_text(page).split("\n"))
+            right += sum(len(t) * n for t, n in (got & want).items())
+            taken += sum(len(t) * n for t, n in got.items())
+            wanted += sum(len(t) * n for t, n in want.items())
+        return right / taken, right / wanted
+
+    precision, recall = measured()
+    assert precision >= 0.975 and recall >= 0.999
+    monkeypatch.setattr(H, "scores", lambda found: ({(b.path, b.weight): 1.0 for b in found}, 0.0))
+    assert measured()[0] < precision - 0.02     # without the ratios boilerplate stays
