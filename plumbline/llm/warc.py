@@ -38,6 +38,8 @@ MANDATORY = (b"WARC-Record-ID", b"WARC-Type", b"WARC-Date", b"Content-Length")
 
 ID_PREFIX, ID_END = "<urn:plumbline:page:", ">"
 LEAST_REVISIT = 100             # smaller payloads are written again
+HOT_COPIES = 1000               # of a payload, from which on it is looked up in a broadcast list
+MOST_HOT = 500_000              # rows of that list
 ARCHIVE_BYTES = 64 << 20        # an archive is closed beyond this
 DICTIONARY_BYTES = 64 << 10
 DICTIONARY_SAMPLE = 200         # payloads a dictionary is made from; it changes the compression only
@@ -57,17 +59,28 @@ class WarcError(ValueError):
 
 # Typing rows
 
-def typed_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to. Only digests and ids are shuffled to find the
-    first page of each payload; payloads that occur once, or the list of the others if its file is small, cause no shuffle."""
+def typed_records(pages: DataFrame, least: int = LEAST_REVISIT, hot: int = HOT_COPIES) -> DataFrame:
+    """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to. Digests and ids are shuffled to find the first page of
+    each payload that occurs more than once. Payloads of more than ``hot`` copies are looked up in a broadcast list, of at most a row
+    per ``hot`` pages and MOST_HOT rows; the others by their digest, where pages that have nothing to look up are dealt out by a
+    key of their own. If the list of the others is small enough to be broadcast, no payload is shuffled."""
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")) \
         .withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
     firsts = staged(rows.where(F.col("payload_bytes") >= least).groupBy(F.col("payload_digest").alias("_digest"))
-                    .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
-    joined = rows.join(firsts, (rows["payload_digest"] == firsts["_digest"]) & (rows["payload_bytes"] >= least), "left")
-    again = F.col("_first").isNotNull() & ~F.col("_first").eqNullSafe(F.col("page_id"))
+                    .agg(F.min("page_id").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"))
+    while firsts.where(F.col("_n") > hot).count() > MOST_HOT:
+        hot *= 2
+    often = firsts.where(F.col("_n") > hot).select(F.col("_digest").alias("_often"), F.col("_first").alias("_often_first"))
+    rows = rows.join(F.broadcast(often), (F.col("payload_digest") == F.col("_often")) & (F.col("payload_bytes") >= least), "left")
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url", "payload_digest").cast("string"))
+    rows = rows.withColumn("_key", F.when(F.col("_often").isNull() & (F.col("payload_bytes") >= least), F.col("payload_digest")).otherwise(alone))
+    rare = firsts.where(F.col("_n") <= hot).select("_digest", "_first")
+    joined = rows.join(rare, rows["_key"] == rare["_digest"], "left")
+    found = F.col("_often").isNotNull() | F.col("_digest").isNotNull()
+    first = F.when(F.col("_often").isNotNull(), F.col("_often_first")).otherwise(F.col("_first"))
+    again = found & first.isNotNull() & ~first.eqNullSafe(F.col("page_id"))
     return joined.withColumn("record_type", F.when(again, "revisit").otherwise("response")) \
-        .withColumn("refers_to", F.when(again, F.col("_first"))).drop("_digest", "_first")
+        .withColumn("refers_to", F.when(again, first)).drop("_digest", "_first", "_often", "_often_first", "_key")
 
 
 # Writing

@@ -107,3 +107,22 @@ def test_empty(spark):
     assert W.round_trip(pages.limit(0)).count() == 0
     few = W.round_trip(pages.where("page_id = 1").select("page_id", "url", F.lit(None).cast("string").alias("html"))).collect()
     assert [(r["page_id"], bytes(r["payload"]), r["record_type"]) for r in few] == [(1, b"", "response")]
+
+
+def test_hot_payloads_are_looked_up_apart(spark, monkeypatch):
+    pages, _ = fixture(spark)
+    monkeypatch.setitem(W.__dict__, "MOST_HOT", 1)
+
+    def typed(hot):
+        rows = W.typed_records(pages, hot=hot).select("page_id", "payload_digest", "record_type", "refers_to").collect()
+        return sorted(map(str, rows))
+
+    want = typed(10**9)         # none is hot
+    assert sum("revisit" in r for r in want) == 4
+    assert typed(1) == typed(2) == want     # 1: two payloads are, one more than the list may hold, so that the bound is raised
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert typed(2) == want
+        assert W.typed_records(pages.limit(0), hot=1).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
