@@ -140,6 +140,25 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+def test_rounds_of_components_shrink(spark, monkeypatch):
+    """Chains whose ends meet late: every round goes on with fewer nodes, so all that is written stays within a few times the edges."""
+    import plumbline.llm.components as C
+
+    written, stage = [], C.staged
+
+    def counted(df):
+        out = stage(df)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "staged", counted)
+    names = random.Random(3).sample(range(10_000), 800)
+    edges = list(zip(names, names[1:])) + [(names[0], names[0]), (20_000, 20_000), (30_000, 30_001), (30_001, 30_000)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: min(names) for x in names} | {20_000: 20_000, 30_000: 30_000, 30_001: 30_000}
+    assert sum(written) <= 12 * len(edges)
+
+
 def test_odd_rows(spark, odd_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert result(odd_docs) == brute(rows)
