@@ -105,14 +105,21 @@ def assessed_rows_rescored(spark, sf_dir):
 LINES_SQL = "SELECT l_returnflag AS flag, CAST(CAST(l_extendedprice AS DECIMAL(14,2)) AS VARCHAR) AS price, strftime(l_shipdate, '%d/%m/%y %H:%M:%S') AS day FROM lineitem"
 
 
+FILE_ROWS = 500_000             # of a text file, about: one task writes it
+
+
 def _text_files(spark, sf_dir, header: bool) -> str:
-    lines = table(spark, sf_dir, "lineitem").select(
+    """Text files of the lines, four or more as there are rows, each with its header line first."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    n = max(4, -(-lineitem.count() // FILE_ROWS))
+    lines = lineitem.select(
         F.concat(F.lit("["), F.col("l_returnflag"), F.lit("]["), F.col("l_extendedprice").cast("decimal(14,2)").cast("string"), F.lit("]["),
-                 F.date_format("l_shipdate", "dd/MM/yy HH:mm:ss"), F.lit("]")).alias("value"), (F.col("l_orderkey") % 4).alias("file"), F.lit(1).alias("row"))
+                 F.date_format("l_shipdate", "dd/MM/yy HH:mm:ss"), F.lit("]")).alias("value"), F.floor(F.rand(3) * n).cast("int").alias("file"), F.lit(1).alias("row"))
     if header:
-        lines = lines.unionByName(spark.range(4).select(F.lit("flag,price,day").alias("value"), F.col("id").alias("file"), F.lit(0).alias("row")))
+        lines = lines.unionByName(spark.range(n).select(F.lit("flag,price,day").alias("value"), F.col("id").cast("int").alias("file"), F.lit(0).alias("row")))
     path = f"{work_folder(spark)}/lines"
-    lines.repartition(4, "file").sortWithinPartitions("row").select("value").write.text(path)
+    lines = lines.repartitionById(n, F.col("file"))
+    (lines.sortWithinPartitions("row") if header else lines).select("value").write.text(path)
     return path
 
 

@@ -610,3 +610,14 @@ def test_stream_of_batches(spark, tmp_path):
     query.awaitTermination(120)
     assert query.exception() is None and state.source_quality(state.version()).head()["Volume_TotalRows"] == 4
     assert Reference().volatility_hours == 17520.0
+
+
+def test_text_files_grow_in_number_not_in_size(spark, monkeypatch):
+    import checks.files
+
+    monkeypatch.setattr(checks.files, "FILE_ROWS", 500, raising=False)
+    path = checks.files._text_files(spark, "/root/testdata/sf0.001", True)
+    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"))
+    per_file = [r["n"] for r in lines.groupBy("file").agg(F.count("value").alias("n")).collect()]
+    assert sum(per_file) == 6000 + len(per_file) and len(per_file) == 12 and max(per_file) < 1000
+    assert lines.filter("value = 'flag,price,day'").select("file").distinct().count() == 12
