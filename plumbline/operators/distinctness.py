@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,9 @@ from ..plans.summary import KeySet, groups
 
 VALUES_SCHEMA = "attribute string, value string"
 BROADCAST_HASHES = 4_000_000    # of repeated rows
+DIGEST_BYTES = 32
+HOT_COPIES = 10_000             # of a row; rows of more are combined before a shuffle
+HASHES_PER_TASK = 1_000_000     # that are combined before the shuffle, and about as many that a task counts after it
 DISTINCTNESS_SCHEMA = "Attribute string, Count bigint, TotalRows bigint, DistinctnessValue double"
 
 
@@ -71,26 +76,67 @@ def _row_distinctness(sizes: DataFrame) -> DataFrame:
     return sizes.agg(at_least_zero(1 - ratio(repeated, rows)).alias("Distinctness"), ratio(groups, rows).alias("DistinctRatio"))
 
 
+def _tasks(df: DataFrame, per_task: int = HASHES_PER_TASK) -> int:
+    """Tasks after a shuffle of the frame's rows, for each to hold its share."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // per_task))
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*[cell(c) for c in rows.columns]).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def hash_counts(hashes: DataFrame, per_task: int = HASHES_PER_TASK) -> DataFrame:
+    """``hash, copies`` of a frame of one column of 64-bit numbers.
+
+    They are combined before the shuffle, so a frequent one meets in few rows, but in parts of bounded size: a hash map over all that a task reads
+    would spill where most come once. After it there are as many tasks as it takes for each to hold its share.
+    """
+
+    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            values, copies = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(copies, pa.int64())], ["hash", "copies"])
+
+        held: list[np.ndarray] = []
+        for batch in batches:
+            held.append(batch.column(0).to_numpy())
+            if sum(map(len, held)) >= per_task:
+                yield out()
+                held.clear()
+        if held:
+            yield out()
+
+    return hashes.mapInArrow(combined, "hash bigint, copies bigint").repartition(_tasks(hashes, per_task), "hash").groupBy("hash").agg(F.sum("copies").alias("copies"))
+
+
 def distinctness_in_two_steps(df: DataFrame, columns: Sequence[str], staging: str, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
     """As ``distinctness_global``, for wide rows of which most come once.
 
-    The first step shuffles a 64-bit hash per row. A hash that comes once is a row that comes once, and only how many those are matters. The
-    second step reads the rows again, keeps those whose hash repeats and groups them exactly, so two rows of one hash are still
-    two. Up to ``broadcast_hashes`` repeated hashes of 8 bytes go to every executor, which finds the rows in place; more of them meet
-    the digests of the rows in a shuffle. In neither case is a row shuffled that is not repeated. ``staging``: folder for the
-    hashes.
+    The first step shuffles a 64-bit hash per row. A hash that comes once is a row that comes once, and only how many those are matters, so
+    none of them is written. The second step reads the rows again, keeps those whose hash repeats and groups them exactly, so two rows of
+    one hash are still two. Up to ``broadcast_hashes`` repeated hashes of 8 bytes go to every executor, which finds the rows in place, so that no
+    row is shuffled that is not repeated. More of them meet the rows' digests in one shuffle, or the rows where these are shorter than a
+    digest; only hashes of more than ``HOT_COPIES`` rows, which are few, still go to every executor. ``staging``: folder for the hashes.
     """
     own = F.xxhash64(*[cell(c) for c in columns])       # zeros of either sign and all NaN hash alike
-    counted = stage(df.groupBy(own.alias("hash")).agg(F.count(F.lit(1)).alias("copies")), staging, "row_hashes")
-    single = counted.filter("copies = 1").agg(F.count(F.lit(1)).alias("n")).head()["n"]
-    repeated = counted.filter("copies > 1").select("hash")
+    singles = Observation()
+    counted = hash_counts(df.select(own.alias("hash"))).observe(singles, F.count_if(F.col("copies") == 1).alias("n"))
+    repeated = stage(counted.filter("copies > 1"), staging, "row_hashes")
+    single = singles.get["n"]
     few = repeated.limit(broadcast_hashes + 1).count() <= broadcast_hashes
+    keys = [cell(c) for c in columns]
     if few:
-        rows = df.withColumn("__hash", own).join(F.broadcast(repeated), F.col("__hash") == F.col("hash"), "left_semi").select(*[cell(c) for c in columns])
-        sizes = rows.groupBy(*[cell(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
+        sizes = _copies(df.withColumn("__hash", own).join(F.broadcast(repeated), F.col("__hash") == F.col("hash"), "left_semi").select(*keys))
     else:
-        digests = df.select(own.alias("hash"), row_digest(df, columns).alias("digest")).groupBy("hash", "digest").agg(F.count(F.lit(1)).alias("copies"))
-        sizes = digests.join(repeated, "hash", "left_semi")
+        kinds = [df.schema[c].dataType for c in columns]
+        short = all(isinstance(k, (T.NumericType, T.BooleanType, T.DateType, T.TimestampNTZType)) for k in kinds) and 8 * len(kinds) <= DIGEST_BYTES
+        cells = [c.alias(f"k{i}") for i, c in enumerate(keys)] if short else [F.unhex(row_digest(df, columns)).alias("k0")]
+        rows = df.select(own.alias("hash"), *cells)
+        hot = F.broadcast(repeated.filter(F.col("copies") > HOT_COPIES))
+        often = _copies(rows.join(hot, "hash", "left_semi").select("hash", *rows.columns[1:]))
+        tasks = _tasks(df)
+        seldom = rows.join(hot, "hash", "left_anti").repartition(tasks, "hash").join(repeated.filter(F.col("copies") <= HOT_COPIES).repartition(tasks, "hash"), "hash", "left_semi")
+        sizes = often.select("copies").unionByName(_copies(seldom).select("copies"))
     once = df.sparkSession.createDataFrame([(1, single)] if single else [], "copies long, groups long")
     return _row_distinctness(sizes.select("copies", F.lit(1).cast("long").alias("groups")).unionByName(once))
 

@@ -344,6 +344,19 @@ def test_two_steps_give_what_grouping_gives(spark, tmp_path, broadcast):
     assert alone["Distinctness"] == 1.0 == alone["DistinctRatio"]
 
 
+def test_only_repeated_hashes_are_written(spark, tmp_path, monkeypatch):
+    import plumbline.operators.distinctness as D
+
+    monkeypatch.setattr(D, "HOT_COPIES", 3, raising=False)
+    copies = F.when(F.col("id") % 10 == 0, 0).when(F.col("id") % 10 == 1, F.col("id") % 30).otherwise(F.col("id"))
+    df = spark.range(1000).select(copies.alias("id"), (F.col("id") % 1).cast("double").alias("z"), F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise("w").alias("w"))
+    for i, columns in enumerate((["id", "z"], ["id", "w"])):
+        for broadcast in (0, 1000):
+            got = distinctness_in_two_steps(df, columns, str(tmp_path / f"{i}_{broadcast}"), broadcast).head()
+            assert got == distinctness_global(df, columns).head()
+            assert spark.read.parquet(str(tmp_path / f"{i}_{broadcast}" / "row_hashes")).count() < 10
+
+
 def test_rows_that_come_once_are_not_shuffled_whole(spark, tmp_path):
     df = spark.range(100).select((F.col("id") % 90).alias("id"), F.lit("wide").alias("w"))
     for broadcast in (0, 1000):
