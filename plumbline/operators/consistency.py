@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.cells import KEY_SEPARATOR, NULL_TEXT, as_text, cell, dtype, key_cell, key_text
+from ..functions.cells import NULL_TEXT, as_text, cell, dtype, key_cell, key_text
 from ..functions.scores import ratio
 from ..plans.lookup import BROADCAST_BYTES, Lookup, flag_known
+from ..plans.rule_counts import HOT_ROWS, TASK_ROWS, hot_values, leads, rule_counts, value_numbers
 from ..plans.summary import SETS_PER_SCAN, aggregate_sets, by_set
 
 RULES_SCHEMA = "Antecedent string, Consequent string"
@@ -68,12 +69,12 @@ def consistency_value(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     One scan counts the combinations of all rules. They are combined before each shuffle, so an antecedent
     that holds most of the rows is spread over its consequents first and summed up from partial results.
-    Up to ``SETS_PER_SCAN`` sets of columns are grouping sets; more go through the lattice of ``rule_pairs``.
+    Up to ``SETS_PER_SCAN`` sets of columns are grouping sets; more are counted by ``rule_values``.
     """
     if not rules:
         raise ValueError("consistency needs at least one rule")
     if len({frozenset(r.columns) for r in rules}) > SETS_PER_SCAN:
-        pairs = rule_pairs(df, rules)
+        values = rule_values(df, rules)
     else:
         key = {n: f"key_{i}" for i, n in enumerate(dict.fromkeys(c for r in rules for c in r.columns))}
         rows = df.select(*[key_cell(df, n).alias(k) for n, k in key.items()])
@@ -81,9 +82,9 @@ def consistency_value(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         pairs = counted.select("pairs", by_set([F.lit(r.left) for r in rules]).alias("RuleAntecedent"),
                                by_set([F.lit(r.right) for r in rules]).alias("RuleConsequent"),
                                by_set([key_text([key[c] for c in r.antecedent]) for r in rules]).alias("AntecedentValue"))
-    return (pairs.groupBy("RuleAntecedent", "RuleConsequent", "AntecedentValue")
-            .agg(ratio(F.max("pairs"), F.sum("pairs")).alias("ConsistencyValue"))
-            .withColumn("Rule", F.concat_ws(" -> ", "RuleAntecedent", "RuleConsequent")))
+        values = pairs.groupBy("RuleAntecedent", "RuleConsequent", "AntecedentValue").agg(F.max("pairs").alias("top"), F.sum("pairs").alias("total"))
+    return values.select("RuleAntecedent", "RuleConsequent", "AntecedentValue", ratio(F.col("top"), F.col("total")).alias("ConsistencyValue"),
+                         F.concat_ws(" -> ", "RuleAntecedent", "RuleConsequent").alias("Rule"))
 
 
 def covering_sets(rules: Sequence[Rule]) -> dict[frozenset[str], frozenset[str]]:
@@ -107,30 +108,31 @@ def _exact_cell(df: DataFrame, name: str) -> Column:
     return as_text(name)
 
 
-def rule_pairs(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``RuleAntecedent, RuleConsequent, AntecedentValue, pairs``: rows per combination of each rule.
+def rule_values(df: DataFrame, rules: Sequence[Rule], hot_rows: int = HOT_ROWS, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``RuleAntecedent, RuleConsequent, AntecedentValue, top, total``: rows of the most frequent consequent, and all rows.
 
-    Rows are counted by the widest sets of columns only, in one scan, and the counts of narrower sets are rolled up from those. Sets and
-    rules are rows of data here, so neither the plan nor the number of scans grows with them.
+    Rules are data of the tasks that count them, so neither the plan nor the number of scans grows with them.
     """
+    rules = list(dict.fromkeys(rules))
     columns = list(dict.fromkeys(c for r in rules for c in r.columns))
-    cover = covering_sets(rules)
-    sets = {wide: i for i, wide in enumerate(dict.fromkeys(cover.values()))}
-    members = [[c for c in columns if c in wide] for wide in sets]
-    places = F.from_json(F.lit(json.dumps([[columns.index(c) for c in m] for m in members])), "array<array<int>>")
-    table = [(sets[cover[frozenset(r.columns)]], r.left, r.right, *[[members[sets[cover[frozenset(r.columns)]]].index(c) for c in side]
-                                                                   for side in (r.antecedent, r.consequent)]) for r in rules]
-    own = df.sparkSession.createDataFrame(table, "set_no int, RuleAntecedent string, RuleConsequent string, left array<int>, right array<int>")
-
-    cells = df.select(F.array(*[_exact_cell(df, c) for c in columns]).alias("cells"))
-    keyed = cells.select("cells", F.posexplode(places).alias("set_no", "places")) \
-        .select("set_no", F.transform("places", lambda i: F.get("cells", i)).alias("keys"))
-    counted = keyed.groupBy("set_no", "keys").agg(F.count(F.lit(1)).alias("pairs"))
-    # At most MAX_RULES rows.
-    joined = counted.join(F.broadcast(own), "set_no").select(
-        "RuleAntecedent", "RuleConsequent", "pairs", F.transform("right", lambda i: F.get("keys", i)).alias("consequent"),
-        F.array_join(F.transform("left", lambda i: F.substring_index(F.get("keys", i), "\0", 1)), KEY_SEPARATOR).alias("AntecedentValue"))
-    return joined.groupBy("RuleAntecedent", "RuleConsequent", "AntecedentValue", "consequent").agg(F.sum("pairs").alias("pairs")).drop("consequent")
+    place = {c: i for i, c in enumerate(columns)}
+    cells = df.select(*[_exact_cell(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    # Estimates decide where rows are counted, not what is counted.
+    values = value_numbers(df, columns)
+    led: dict[int, list[int]] = {}
+    for number, lead in enumerate(leads([frozenset(place[c] for c in r.columns) for r in rules], values, hot_rows)):
+        led.setdefault(lead, []).append(number)
+    groups = []
+    for lead, numbers in sorted(led.items()):
+        cover = covering_sets([rules[i] for i in numbers])
+        sets: dict[tuple[int, ...], list] = {}
+        for i in numbers:
+            wide = tuple(sorted(place[c] for c in cover[frozenset(rules[i].columns)]))
+            sets.setdefault(wide, []).append((i, *[tuple(place[c] for c in side) for side in (rules[i].antecedent, rules[i].consequent)]))
+        groups.append((lead, sets))
+    left, right = (F.from_json(F.lit(json.dumps(names)), "array<string>") for names in ([r.left for r in rules], [r.right for r in rules]))
+    return rule_counts(cells, groups, hot_values(cells, groups, values, hot_rows), task_rows).select(
+        F.get(left, F.col("rule")).alias("RuleAntecedent"), F.get(right, F.col("rule")).alias("RuleConsequent"), "AntecedentValue", "top", "total")
 
 
 def consistency_attribute(values: DataFrame, confidence: float = 1.0) -> DataFrame:

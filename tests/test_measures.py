@@ -2,7 +2,7 @@ import datetime as dt
 import math
 import random
 from collections import defaultdict
-from itertools import permutations
+from itertools import combinations, permutations
 
 import pytest
 from conftest import as_dicts
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.times import instant
 from plumbline.operators.accuracy import Accuracy, Expected
 from plumbline.operators.completeness import Completeness, completeness_row
-from plumbline.operators.consistency import Rule, consistency_attribute, consistency_value, covering_sets
+from plumbline.operators.consistency import Rule, consistency_attribute, consistency_value, covering_sets, rule_values
 from plumbline.operators.distinctness import (DISTINCTNESS_SCHEMA, VALUES_SCHEMA, distinctness_attribute,
                                               distinctness_global, distinctness_in_two_steps,
                                               distinctness_update, new_values,
@@ -20,6 +20,7 @@ from plumbline.operators.frequency import frequency_attribute, frequency_global,
 from plumbline.operators.precision import Precision
 from plumbline.operators.timeliness import RowTimeliness, Timeliness, Validity, timeliness_row
 from plumbline.operators.volume import volume_global, volume_value
+from plumbline.plans.rule_counts import NO_LEAD, leads
 from plumbline.plans.summary import aggregate_sets, summarise, whole
 
 AS_OF_TEXT = "2024-02-01 00:00:00"
@@ -294,6 +295,41 @@ def test_many_rules_by_lattice(spark):
     assert all(got[left, right][value] == score for (left, right, value), score in few.items())
 
 
+def test_rules_are_counted_once_per_lead():
+    """Of 287 rules between seven columns (35 sets of four columns), those with the widest column go to tasks by its values, once; one task has the rest."""
+    sets = [frozenset(s) for n in (2, 3, 4) for s in combinations(range(7), n)]
+    assert leads(sets, [3, 2, 7, 50, 11, 9, 1000]) == [6 if 6 in s else NO_LEAD for s in sets]
+    assert leads(sets, [3, 2, 7, 50, 11, 9, 1000], 10_000) == [6 if 6 in s else 3 if 3 in s else NO_LEAD for s in sets]
+    assert leads(sets, [3, 2, 7, 50, 11, 9, 1000], 1 << 28) == [NO_LEAD] * len(sets)
+
+
+@pytest.mark.parametrize(("hot_rows", "task_rows"), [(1 << 18, 1 << 18), (0, 1), (4, 7), (60, 1000)])
+def test_rules_of_hot_leads_and_shared_texts(spark, hot_rows, task_rows):
+    """Leads dealt out over tasks, antecedents that share a text by its commas, and NULL beside its text give the counts of one plain loop."""
+    columns = ["a", "b", "c", "d", "e"]
+    texts = ["x", "x,y", "y", "y,x", ",", "", None, "null", "é,"]
+    rows = [(0 if i % 3 else i, texts[i % 9], texts[i * i % 7], None if i % 4 == 0 else i % 5, float(i % 6) if i % 11 else -0.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b string, c string, d int, e double")
+    rules = [Rule(left, right) for n in (1, 2, 3) for left in combinations(columns, n) for k in (1, 2)
+             for right in combinations([c for c in columns if c not in left], k)] + [Rule(("c", "b"), ("a",)), Rule(("b",), ("b", "c"))]
+    got = {}
+    for r in rule_values(df, rules, hot_rows, task_rows).collect():
+        key = (r["RuleAntecedent"], r["RuleConsequent"]), r["AntecedentValue"]
+        assert key not in got
+        got[key] = r["top"], r["total"]
+    want = {}
+    for rule in rules:
+        seen = {}
+        for row in rows:
+            cells = {c: "null" if v is None else str(v + 0.0 if isinstance(v, float) else v) for c, v in zip(columns, row)}
+            pairs = seen.setdefault(",".join(cells[c] for c in rule.antecedent), {})
+            right = tuple(cells[c] for c in rule.consequent)
+            pairs[right] = pairs.get(right, 0) + 1
+        want.update({((rule.left, rule.right), left): (max(n.values()), sum(n.values())) for left, n in seen.items()})
+    assert got == want
+    assert rule_values(df.limit(0), rules, hot_rows, task_rows).count() == 0
+
+
 def test_plan_does_not_grow_with_rules(spark):
     df = spark.createDataFrame([tuple(range(60))], ", ".join(f"c{i} int" for i in range(60)))
     every = [Rule((f"c{i}",), (f"c{j}",)) for i in range(60) for j in range(60) if i != j]
