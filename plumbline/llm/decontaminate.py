@@ -133,7 +133,7 @@ def _scanner(spark, segments: DataFrame, width: int):
             yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(fields)],
                                              fields=[pa.field(*f) for f in fields])
 
-    return scan
+    return scan.asNondeterministic()    # else a filter on what it finds would scan the texts a second time
 
 
 def scanned(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -87,3 +87,11 @@ def test_odd_rows(spark, odd_docs):
             assert kept.columns == odd_docs.columns and kept.count() == (6 if how == "documents" else 9)
     assert D.contamination(odd_docs.limit(0), bench).count() == 0
     assert D.contamination(odd_docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_texts_are_scanned_once_where_hits_decide(spark):
+    bench = spark.createDataFrame([(1, text(5, 20)), (2, text(6, 20))], ITEM)
+    docs = spark.createDataFrame([(1, text(5, 30)), (2, text(7, 30))], "doc_id bigint, text string")
+    for found in (D.scanned(docs, bench).where("size(found.starts) > 0").select("row.doc_id", "found"), D.clean_documents(docs, bench)):
+        assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [r["doc_id"] for r in D.clean_documents(docs, bench).collect()] == [2]

@@ -173,3 +173,16 @@ def test_sql_and_query_agree_on_many_mixtures(spark):
         want = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, kept FROM ({SQL['op1_quality_rules']})").fetchall()}
         frames = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
         assert {r["doc_id"]: r["kept"] for r in Q.quality_verdicts(*frames).collect()} == want, trial
+
+
+def _workers(df):
+    """Python operators of the plan, each of which holds a worker of its own in a task."""
+    return df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython")
+
+
+def test_texts_are_measured_once_where_measures_decide(spark):
+    docs = spark.createDataFrame([(i, text(i, 80), "en") for i in range(20)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
+    kept = Q.kept_documents(docs, labels)
+    assert _workers(kept) == 1
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(20))
